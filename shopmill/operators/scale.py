@@ -54,7 +54,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether the planner's own size estimate lets it broadcast ``df``."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size.toString()) <= limit
+    return int(str(size)) <= limit
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.001, min_rows: int = 100_000) -> dict:
