@@ -29,10 +29,14 @@ def event_orders(events: DataFrame) -> DataFrame:
 
 
 def event_lines(events: DataFrame) -> DataFrame:
-    """One row per order line; an empty or missing list gives none."""
-    lines = events.select(
-        F.col("order.OrderID").alias("orderid"), F.explode("order_details").alias("d")
-    )
+    """One row per order line; an empty or missing list gives none.
+
+    The outer form, filtered afterwards, keeps the optimizer from testing the list's size below
+    the JSON parse, which would parse each document twice.
+    """
+    order_id = F.col("order.OrderID").alias("orderid")
+    lines = events.select(order_id, F.posexplode_outer("order_details").alias("pos", "d"))
+    lines = lines.filter(F.col("pos").isNotNull())
     return lines.select(
         F.col("d.OrderDetailID").alias("orderdetailid"),
         "orderid",
@@ -92,11 +96,11 @@ def nest_events(
         "orderid", F.ceil(2 * F.col("n") / F.lit(max_lines)).cast("int").alias("_parts")
     )
     any_oversize = small_table(oversize, 1)
-    part = F.lit(0)
+    by = ["orderid"]
     if any_oversize is None or any_oversize.count():
-        lines = lookup_join(lines, oversize, "orderid")
         slot = F.pmod(F.xxhash64("orderdetailid", "productid"), F.coalesce("_parts", F.lit(1)))
-        part = slot.cast("int")
+        lines = lookup_join(lines, oversize, "orderid").withColumn("_part", slot)
+        by.append("_part")
     detail = F.struct(
         F.col("orderdetailid").alias("OrderDetailID"),
         F.col("orderid").alias("OrderID"),
@@ -106,9 +110,8 @@ def nest_events(
         F.col("discount").alias("Discount"),
     )
     documents = (
-        lines.withColumn("_part", part)
-        .groupBy("orderid", "_part")
-        .agg(F.array_sort(F.collect_list(detail)).alias("order_details"))
+        lines.groupBy(*by)
+        .agg(F.sort_array(F.collect_list(detail)).alias("order_details"))
         .drop("_part")
     )
     paid = payments.select(

@@ -43,6 +43,41 @@ def money(amount: Column, precision: int = 14) -> Column:
     return amount.cast(f"decimal({precision},2)")
 
 
+def to_cents(amount: Column) -> Column:
+    """Whole cents of a two-decimal amount of up to 15 digits, exact.
+
+    Sums of long cents stay primitive inside generated code; decimal sums of this width do not.
+    """
+    return F.rint(amount.cast("double") * 100).cast("long")
+
+
+def from_cents(cents: Column, precision: int = 14) -> Column:
+    """Decimal amount of whole cents."""
+    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(f"decimal({precision},2)")
+
+
+def rounded_amounts(quantity: Column, price: Column, percent: Column) -> dict[str, Column]:
+    """Stored gross, discount and net amount of a line, each rounded half up on its own.
+
+    The same values as ``money`` of ``gross``, ``discount`` and ``net``, by whole-number
+    arithmetic: a percent with two decimals of whole cents counts ten-thousandths of a cent.
+    """
+    whole = quantity * to_cents(price)
+    off = whole * to_cents(percent)
+    left = whole * 10000 - off
+
+    def rounded(parts: Column) -> Column:
+        half = F.when(parts < 0, F.lit(-5000)).otherwise(F.lit(5000))
+        return F.call_function("div", parts + half, F.lit(10000))
+
+    amounts = {
+        "gross_amount": whole,
+        "discount_amount": rounded(off),
+        "total_amount": rounded(left),
+    }
+    return {name: from_cents(cents) for name, cents in amounts.items()}
+
+
 def clamp_negative(value: Column, dtype: str) -> Column:
     """Negative becomes 0, NULL stays NULL (``greatest`` would turn NULL into 0)."""
     return F.when(value < 0, F.lit(0).cast(dtype)).otherwise(value)

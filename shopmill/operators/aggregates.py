@@ -10,36 +10,48 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shopmill.functions.measures import customer_segment
+from shopmill.functions.measures import customer_segment, from_cents, to_cents
 from shopmill.operators.scale import skew_join
 
 TOTAL = "decimal(18,2)"
 
 
-def total(column: str, alias: str | None = None) -> Column:
-    """Exact money sum in one fixed type."""
-    return F.sum(column).cast(TOTAL).alias(alias or column)
+def cents(column: str, alias: str | None = None) -> Column:
+    """Sum of a stored amount (decimal, two places, up to 15 digits) as long cents."""
+    return F.sum(to_cents(F.col(column))).alias(alias or column)
+
+
+def total(df: DataFrame, column: str, alias: str | None = None) -> Column:
+    """Exact money sum in one fixed type. An integer column holds cents already summed."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.IntegralType):
+        summed = from_cents(F.sum(column), 18)
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 15 and kind.scale <= 2:
+        summed = from_cents(cents(column), 18)
+    else:
+        summed = F.sum(column).cast(TOTAL)
+    return summed.alias(alias or column)
 
 
 def order_summary(lines: DataFrame) -> DataFrame:
     return lines.groupBy("orderid").agg(
-        total("total_amount", "order_total_amount"),
+        total(lines, "total_amount", "order_total_amount"),
         F.sum("quantity").alias("order_total_quantity"),
     )
 
 
 def order_sales(orders: DataFrame, lines: DataFrame, measure: str = "total_amount") -> DataFrame:
-    """Order headers with the sum of their lines: one row per order that has lines."""
-    sums = lines.groupBy("orderid").agg(total(measure, "amount"))
+    """Order headers with the sum of their lines in ``cents``: one row per order with lines."""
+    sums = lines.groupBy("orderid").agg(cents(measure, "cents"))
     return orders.join(sums, "orderid")
 
 
 def customer_total(orders: DataFrame, summary: DataFrame) -> DataFrame:
-    return (
-        orders.join(summary, "orderid")
-        .groupBy("customerid")
-        .agg(total("order_total_amount", "total_customer_sales"))
+    joined = orders.join(summary, "orderid")
+    return joined.groupBy("customerid").agg(
+        total(joined, "order_total_amount", "total_customer_sales")
     )
 
 
@@ -50,28 +62,31 @@ def mean_of(df: DataFrame, column: str, alias: str) -> DataFrame:
 
 def global_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """One row: sales, orders, quantity and the mean order total over orders with lines."""
-    per_order = order_summary(lines)
+    per_order = lines.groupBy("orderid").agg(
+        cents("total_amount", "sales"), F.sum("quantity").alias("quantity")
+    )
+    whole = total(per_order, "sales")
     sums = per_order.agg(
-        total("order_total_amount", "total_sales"),
-        F.sum("order_total_quantity").alias("total_quantity"),
-        (
-            F.sum("order_total_amount").cast("double")
-            / F.nullif(F.count("order_total_amount"), F.lit(0)).cast("double")
-        ).alias("avg_order_value"),
+        whole.alias("total_sales"),
+        F.sum("quantity").alias("total_quantity"),
+        (whole.cast("double") / F.nullif(F.count("sales"), F.lit(0)).cast("double")).alias(
+            "avg_order_value"
+        ),
     )
     counted = orders.agg(F.count("orderid").alias("total_orders"))
     parts = sums.unionByName(counted, allowMissingColumns=True)
     return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
 
-def sales_by(sales: DataFrame, keys: Sequence[str], measure: str = "amount") -> DataFrame:
-    return sales.groupBy(*keys).agg(total(measure, "total_sales"))
+def sales_by(sales: DataFrame, keys: Sequence[str], measure: str = "cents") -> DataFrame:
+    """Sum of a money column, or of cents from ``order_sales``, by the given columns."""
+    return sales.groupBy(*keys).agg(total(sales, measure, "total_sales"))
 
 
 def sales_by_product(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Sales per known product over lines of known orders, with the product's category."""
     known = skew_join(lines, orders, "orderid", "left_semi", left_id=["orderdetailid"])
-    per_product = known.groupBy("productid").agg(total("total_amount", "total_sales"))
+    per_product = known.groupBy("productid").agg(total(known, "total_amount", "total_sales"))
     return per_product.join(products.select("productid", "categoryid"), "productid")
 
 
@@ -104,13 +119,11 @@ def date_bounds(orders: DataFrame) -> DataFrame:
     )
 
 
-def _line_sums(quantity_alias: str) -> list[Column]:
-    return [
-        F.sum("quantity").alias(quantity_alias),
-        total("gross_amount", "gross_sales"),
-        total("discount_amount", "total_discount"),
-        total("total_amount", "total_sales"),
-    ]
+_AMOUNTS = {
+    "gross_amount": "gross_sales",
+    "discount_amount": "total_discount",
+    "total_amount": "total_sales",
+}
 
 
 def customer_mart(fact_lines: DataFrame, fact_orders: DataFrame, **segment) -> DataFrame:
@@ -119,7 +132,9 @@ def customer_mart(fact_lines: DataFrame, fact_orders: DataFrame, **segment) -> D
     ``fact_orders`` has one row per order; lines without an order drop out.
     """
     per_order = fact_lines.groupBy("order_id").agg(
-        *_line_sums("quantity"), F.count("total_amount").alias("lines")
+        F.sum("quantity").alias("quantity"),
+        *[cents(c, alias) for c, alias in _AMOUNTS.items()],
+        F.count("total_amount").alias("lines"),
     )
     joined = per_order.join(
         fact_orders.select("order_id", "customer_id", "order_date"), "order_id"
@@ -127,23 +142,18 @@ def customer_mart(fact_lines: DataFrame, fact_orders: DataFrame, **segment) -> D
     sums = joined.groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("quantity").alias("total_quantity"),
-        total("gross_sales"),
-        total("total_discount"),
-        total("total_sales"),
+        *[total(joined, alias) for alias in _AMOUNTS.values()],
         F.sum("lines").alias("lines"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
+    mean = F.col("total_sales").cast("double") / F.nullif("lines", F.lit(0)).cast("double")
     return sums.select(
         "customer_id",
         "total_orders",
         "total_quantity",
-        "gross_sales",
-        "total_discount",
-        "total_sales",
-        (F.col("total_sales").cast("double") / F.nullif("lines", F.lit(0)).cast("double")).alias(
-            "average_order_line"
-        ),
+        *_AMOUNTS.values(),
+        mean.alias("average_order_line"),
         "first_order_date",
         "last_order_date",
         customer_segment(F.col("total_sales"), **segment).alias("customer_segment"),
@@ -156,17 +166,15 @@ def product_mart(fact_lines: DataFrame) -> DataFrame:
     Summed per (product, order) first, so a hot product is spread over its orders.
     """
     per_pair = fact_lines.groupBy("product_id", "order_id").agg(
-        *_line_sums("units_sold"),
-        total("unit_price", "price_sum"),
+        F.sum("quantity").alias("units_sold"),
+        *[cents(c, alias) for c, alias in _AMOUNTS.items()],
+        cents("unit_price", "price_sum"),
         F.count("unit_price").alias("prices"),
     )
     sums = per_pair.groupBy("product_id").agg(
         F.count("order_id").alias("total_orders"),
         F.sum("units_sold").alias("units_sold"),
-        total("gross_sales"),
-        total("total_discount"),
-        total("total_sales"),
-        total("price_sum"),
+        *[total(per_pair, alias) for alias in (*_AMOUNTS.values(), "price_sum")],
         F.sum("prices").alias("prices"),
     )
     mean = F.col("price_sum").cast("double") / F.nullif("prices", F.lit(0)).cast("double")
@@ -174,14 +182,13 @@ def product_mart(fact_lines: DataFrame) -> DataFrame:
         "product_id",
         "total_orders",
         "units_sold",
-        "gross_sales",
-        "total_discount",
-        "total_sales",
+        *_AMOUNTS.values(),
         mean.alias("average_unit_price"),
     )
 
 
 def daily_sales(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    return order_sales(orders, lines).groupBy("orderdate").agg(total("amount", "daily_sales"))
+    sales = order_sales(orders, lines)
+    return sales.groupBy("orderdate").agg(total(sales, "cents", "daily_sales"))
 
 

@@ -307,6 +307,7 @@ def request_rules(
         "productid",
         "left",
         left_id=["orderdetailid"],
+        unique="right",
     )
     per_order = checked.groupBy("orderid").agg(
         F.count("*").alias("items"),

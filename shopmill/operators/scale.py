@@ -107,6 +107,8 @@ def skew_join(
     how: str = "inner",
     left_id: Sequence[str] = (),
     right_id: Sequence[str] = (),
+    unique: str | None = None,
+    measure_on: DataFrame | None = None,
     share: float = 0.001,
     min_rows: int = 100_000,
     measure: bool | None = None,
@@ -114,9 +116,13 @@ def skew_join(
     """Equi-join on ``key`` that splits hot keys of either side over many tasks.
 
     ``how``: inner, left, left_semi or left_anti. ``left_id`` / ``right_id`` name columns that
-    tell rows of one key apart. When a side is small enough for the planner to broadcast, or no
-    key is hot, this is the plain join. Otherwise rows of a hot key get a slot from their id and
-    the other side's rows of that key are repeated once per slot: each pair meets exactly once.
+    tell rows of one key apart. ``unique`` names the side ("left" or "right") known to have one
+    row per key, which then needs no measuring. ``measure_on`` is a cheaper frame with the left
+    side's key distribution, for a left side that is itself a join.
+
+    When a side is small enough for the planner to broadcast, or no key is hot, this is the plain
+    join. Otherwise rows of a hot key get a slot from their id and the other side's rows of that
+    key are repeated once per slot: each pair meets exactly once.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
@@ -126,23 +132,24 @@ def skew_join(
         return left.join(right, key, how)
 
     if how in ("left_semi", "left_anti"):
-        right = right.select(key).distinct()
-    hot_left = hot_keys(left, key, share, min_rows)
-    hot_right = {} if how.startswith("left_") else hot_keys(right, key, share, min_rows)
+        right, unique = right.select(key).distinct(), "right"
+    source = left if measure_on is None else measure_on
+    hot_left = {} if unique == "left" else hot_keys(source, key, share, min_rows)
+    hot_right = {} if unique == "right" else hot_keys(right, key, share, min_rows)
     hot_right.pop(None, None)  # a NULL key on the right matches nothing
-    if how == "inner":
+    if how in ("inner", "left_semi"):
         hot_left.pop(None, None)
+    elif measure_on is not None:
+        hot_left.setdefault(None, min_rows)  # NULLs made by an earlier join are not in the source
     if not hot_left and not hot_right:
         return left.join(right, key, how)
 
     nl, nr = _splits(hot_left, share, min_rows), _splits(hot_right, share, min_rows)
     matched = {k: v for k, v in hot_left.items() if k is not None}
-    spread_left = left.withColumns(
-        {"_l": _spread(left, key, hot_left, nl, left_id)}
-    ).withColumn("_r", _copies(key, hot_right, nr))
-    spread_right = right.withColumns(
-        {"_r": _spread(right, key, hot_right, nr, right_id)}
-    ).withColumn("_l", _copies(key, matched, nl))
+    spread_left = left.withColumn("_l", _spread(left, key, hot_left, nl, left_id))
+    spread_left = spread_left.withColumn("_r", _copies(key, hot_right, nr))
+    spread_right = right.withColumn("_r", _spread(right, key, hot_right, nr, right_id))
+    spread_right = spread_right.withColumn("_l", _copies(key, matched, nl))
     on = [key, "_l", "_r"]
     if how != "left" or not hot_right:
         return spread_left.join(spread_right, on, how).drop("_l", "_r")
@@ -154,7 +161,10 @@ def skew_join(
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join a dimension of unknown size: broadcast when measured small, skew-safe otherwise."""
+    """Join a dimension of unknown size: broadcast when small by the planner's estimate or when
+    measured small, skew-safe otherwise."""
+    if fits_broadcast(dim):
+        return df.join(dim, key, how)
     small = small_table(dim)
     return df.join(small, key, how) if small is not None else skew_join(df, dim, key, how)
 
@@ -169,11 +179,10 @@ def global_rank(
     shuffle may sample other bounds. Each bucket is ranked on its own; one summary row per bucket
     supplies how many rows precede it and how many of those share its first score.
     """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(score).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie]]
+    split = (buckets, *order) if buckets else order  # without a number, small ranges coalesce
     ranged = durable(
-        df.repartitionByRange(n, *order).withColumn("_bucket", F.spark_partition_id())
+        df.repartitionByRange(*split).withColumn("_bucket", F.spark_partition_id())
     )
 
     counts = ranged.groupBy("_bucket", score).agg(F.count("*").alias("c"))
@@ -191,7 +200,7 @@ def global_rank(
         F.when(F.col("null_rows").isNull(), F.col("low")).alias("last"),
         F.coalesce("null_rows", "low_rows").alias("last_rows"),
     )
-    # Windows over one row per bucket: at most ``n`` rows whatever the size of ``df``.
+    # Windows over one row per bucket: as many rows as shuffle partitions, whatever ``df`` holds.
     line = Window.orderBy("_bucket")
     same_end = Window.partitionBy("last").orderBy("_bucket")
     offsets = (

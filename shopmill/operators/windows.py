@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopmill.operators.scale import global_rank, small_table
+from shopmill.operators.scale import fits_broadcast, global_rank, small_table
 
 
 def pick_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -37,7 +37,7 @@ def rank_in_group(
         df.select(*keys, score), keys, [F.col(score).desc_nulls_last()], max_rank
     )
     best = leaders.groupBy(*keys).agg(F.collect_list(score).alias("_best"))
-    bound = small_table(best)
+    bound = best if fits_broadcast(best) else small_table(best)
     if bound is None:
         whole = Window.partitionBy(*keys).orderBy(F.col(score).desc_nulls_last())
         return df.withColumn(out, F.rank().over(whole)).filter(F.col(out) <= max_rank)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopmill import schemas
 from shopmill.functions import cleaning as C
 from shopmill.functions import events as E
-from shopmill.functions.measures import clamp_negative, full_name, gross, with_date_parts
+from shopmill.functions.measures import clamp_negative, from_cents, full_name, to_cents, with_date_parts
 from shopmill.operators.aggregates import customer_mart, product_mart, sales_by
 from shopmill.operators.joins import wide_sales
 from shopmill.operators.setops import unify
@@ -49,7 +49,8 @@ def gross_lines(lines: DataFrame) -> DataFrame:
     quantity = clamp_negative(F.col("quantity"), "int")
     price = clamp_negative(F.col("unitprice"), "decimal(12,2)")
     clamped = lines.withColumns({"quantity": quantity, "unitprice": price})
-    return clamped.withColumn("total_amount", gross(F.col("quantity"), F.col("unitprice")))
+    cents = F.col("quantity") * to_cents(F.col("unitprice"))
+    return clamped.withColumn("total_amount", from_cents(cents))
 
 
 def clean_history(raw: Mapping[str, DataFrame], keep_null_keys: bool = False) -> Tables:

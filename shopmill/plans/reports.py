@@ -11,8 +11,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmill.functions.measures import strict_name
-from shopmill.operators.aggregates import top_k, total
+from shopmill.functions.measures import from_cents, strict_name
+from shopmill.operators.aggregates import cents, top_k, total
 from shopmill.operators.windows import period_growth, rank_in_group, ranked, running_total
 
 Star = Mapping[str, DataFrame]
@@ -23,18 +23,23 @@ def _ratio(top: str, bottom: str):
 
 
 def _per_order(star: Star) -> DataFrame:
+    """Sales in cents and quantity of each order that has lines."""
     return star["fact_order_detail"].groupBy("order_id").agg(
-        total("total_amount", "sales"), F.sum("quantity").alias("quantity")
+        cents("total_amount", "sales"), F.sum("quantity").alias("quantity")
     )
 
 
 def _per_product(star: Star) -> DataFrame:
-    """Sales of each known product with its name and category id."""
-    sums = star["fact_order_detail"].groupBy("product_id").agg(total("total_amount", "sales"))
+    """Sales in cents of each known product with its name and category id."""
+    sums = star["fact_order_detail"].groupBy("product_id").agg(cents("total_amount", "sales"))
     names = star["dim_product"].select("product_id", "product_name", "category_id")
     return sums.join(names, "product_id")
 
 
+def _sales_by(df: DataFrame, *keys: str) -> DataFrame:
+    return df.groupBy(*keys).agg(F.sum("sales").alias("sales"))
+
+
 def _per_customer(star: Star) -> DataFrame:
     names = star["dim_customer"].select(
         "customer_id", strict_name(F.col("first_name"), F.col("last_name")).alias("name")
@@ -49,33 +54,28 @@ def _monthly(star: Star) -> DataFrame:
         .join(orders, "order_id")
         .groupBy("date_id")
         .agg(
-            total("sales"), F.count("order_id").alias("orders"), F.sum("quantity").alias("quantity")
+            F.sum("sales").alias("sales"),
+            F.count("order_id").alias("orders"),
+            F.sum("quantity").alias("quantity"),
         )
     )
-    days = star["dim_date"].select("date_id", "year", "month")
-    return (
-        daily.join(days, "date_id")
-        .groupBy("year", "month")
-        .agg(
-            total("sales", "monthly_sales"),
-            F.sum("orders").alias("monthly_orders"),
-            F.sum("quantity").alias("monthly_quantity"),
-        )
+    dated = daily.join(star["dim_date"].select("date_id", "year", "month"), "date_id")
+    return dated.groupBy("year", "month").agg(
+        total(dated, "sales", "monthly_sales"),
+        F.sum("orders").alias("monthly_orders"),
+        F.sum("quantity").alias("monthly_quantity"),
     )
 
 
 def totals(star: Star) -> DataFrame:
     """Overall orders, customers, quantity and sales. Lines of unknown orders still count."""
     orders = star["fact_order"].select("order_id", "customer_id")
-    return (
-        _per_order(star)
-        .join(orders, "order_id", "left")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.countDistinct("customer_id").alias("total_customers"),
-            F.sum("quantity").alias("total_quantity_sold"),
-            total("sales", "total_sales"),
-        )
+    joined = _per_order(star).join(orders, "order_id", "left")
+    return joined.agg(
+        F.count("order_id").alias("total_orders"),
+        F.countDistinct("customer_id").alias("total_customers"),
+        F.sum("quantity").alias("total_quantity_sold"),
+        total(joined, "sales", "total_sales"),
     )
 
 
@@ -84,20 +84,23 @@ def monthly_sales(star: Star) -> DataFrame:
 
 
 def sales_by_category(star: Star) -> DataFrame:
-    per_category = _per_product(star).groupBy("category_id").agg(total("sales"))
+    per_category = _sales_by(_per_product(star), "category_id")
     named = per_category.join(star["dim_category"], "category_id")
-    sums = named.groupBy("category_name").agg(total("sales", "total_sales"))
+    sums = named.groupBy("category_name").agg(total(named, "sales", "total_sales"))
     return sums.orderBy(F.desc_nulls_last("total_sales"), "category_name")
 
 
 def top_products(star: Star, k: int = 10) -> DataFrame:
     """By name: products that share a name are one entry."""
-    sums = _per_product(star).groupBy("product_name").agg(total("sales", "total_sales"))
+    sold = _per_product(star)
+    sums = sold.groupBy("product_name").agg(total(sold, "sales", "total_sales"))
     return top_k(sums, "total_sales", ["product_name"], k)
 
 
 def top_products_by_id(star: Star, k: int = 10) -> DataFrame:
-    sums = _per_product(star).select("product_id", "product_name", F.col("sales").alias("total_sales"))
+    sums = _per_product(star).select(
+        "product_id", "product_name", from_cents(F.col("sales"), 18).alias("total_sales")
+    )
     return top_k(sums, "total_sales", ["product_id"], k)
 
 
@@ -109,7 +112,8 @@ def top_customers(star: Star, k: int = 10) -> DataFrame:
 
 
 def average_order_value(star: Star) -> DataFrame:
-    sums = _per_order(star).agg(total("sales"), F.count("order_id").alias("orders"))
+    per_order = _per_order(star)
+    sums = per_order.agg(total(per_order, "sales"), F.count("order_id").alias("orders"))
     return sums.select(_ratio("sales", "orders").alias("average_order_value"))
 
 
@@ -125,7 +129,7 @@ def payments_by_method(star: Star, completed_only: bool = False) -> DataFrame:
     if completed_only:
         payments = payments.filter(F.col("payment_status") == "COMPLETED")
     sums = payments.groupBy("payment_method_id").agg(
-        F.count("payment_id").alias("n"), total("amount"), F.count("amount").alias("amounts")
+        F.count("payment_id").alias("n"), total(payments, "amount"), F.count("amount").alias("amounts")
     )
     named = sums.join(star["dim_payment_method"], "payment_method_id")
     return named.select(
@@ -154,9 +158,8 @@ def shipment_performance(star: Star) -> DataFrame:
 
 def running_sales(star: Star) -> DataFrame:
     orders = star["fact_order"].select("order_id", "order_date")
-    daily = (
-        _per_order(star).join(orders, "order_id").groupBy("order_date").agg(total("sales", "daily_sales"))
-    )
+    joined = _per_order(star).join(orders, "order_id")
+    daily = joined.groupBy("order_date").agg(total(joined, "sales", "daily_sales"))
     return running_total(daily, "order_date", "daily_sales", "running_total_sales").orderBy("order_date")
 
 
@@ -167,14 +170,9 @@ def monthly_growth(star: Star) -> DataFrame:
 
 def top_products_per_category(star: Star, max_rank: int = 3) -> DataFrame:
     categories = star["dim_category"].select("category_id", "category_name")
-    sums = (
-        _per_product(star)
-        .groupBy("category_id", "product_name")
-        .agg(total("sales"))
-        .join(categories, "category_id")
-        .groupBy("category_name", "product_name")
-        .agg(total("sales"))
-    )
+    sold = _sales_by(_per_product(star), "category_id", "product_name")
+    named = _sales_by(sold.join(categories, "category_id"), "category_name", "product_name")
+    sums = named.withColumn("sales", from_cents(F.col("sales"), 18))
     top = rank_in_group(sums, ["category_name"], "sales", max_rank)
     return top.orderBy("category_name", "rank", "product_name")
 

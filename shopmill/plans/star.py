@@ -17,6 +17,7 @@ from shopmill.functions.measures import (
     gross,
     money,
     net,
+    rounded_amounts,
     with_date_parts,
 )
 from shopmill.operators.aggregates import customer_mart, date_bounds, product_mart
@@ -155,15 +156,18 @@ def fact_order_detail(lines: DataFrame, unique: bool = False) -> DataFrame:
 
     ``unique=True`` skips the dedup (a full shuffle) when the input is already one row per line.
     """
-    priced = line_amounts(lines)
-    fact = priced.select(
+    quantity = clamp_negative(F.col("quantity"), "int")
+    price = clamp_negative(F.col("unitprice"), "decimal(12,2)")
+    percent = clamp_negative(F.col("discount"), "decimal(12,2)")
+    amounts = rounded_amounts(quantity, price, percent)
+    fact = lines.select(
         F.col("orderdetailid").alias("order_detail_id"),
         F.col("orderid").alias("order_id"),
         F.col("productid").alias("product_id"),
-        "quantity",
-        F.col("unitprice").alias("unit_price"),
-        "discount",
-        *[money(F.col(c)).alias(c) for c in ("gross_amount", "discount_amount", "total_amount")],
+        quantity.alias("quantity"),
+        price.alias("unit_price"),
+        percent.alias("discount"),
+        *[c.alias(name) for name, c in amounts.items()],
     )
     return fact if unique else dedup(fact, ["order_detail_id"])
 

@@ -13,13 +13,11 @@ from shopmill import schemas
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Parquet with snappy. With partition columns, rows of one partition are written together.
-
-    The extra hash slot keeps a large partition from becoming one task and one file.
+    """Parquet with snappy. Partitioned output is rebalanced by its partition columns first, so
+    that small folders get one file and large ones several of even size (adaptive execution).
     """
     if partition_by:
-        slot = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        df = df.repartition(*partition_by, slot)
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
@@ -40,5 +38,5 @@ def write_events(events: DataFrame, path: str, ids_per_folder: int = 1_000_000)
     fields = schemas.schema("event").fieldNames()
     doc = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     bucket = F.floor(F.col("order.OrderID") / F.lit(ids_per_folder)).cast("long")
-    lines = events.select(doc.alias("value"), bucket.alias("id_bucket"))
+    lines = events.select(doc.alias("value"), bucket.alias("id_bucket")).hint("rebalance", "id_bucket")
     lines.write.mode("overwrite").partitionBy("id_bucket").text(path)

@@ -6,15 +6,19 @@ its ship date. Only customers, suppliers and products look something up (nation,
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmill.functions import events as E
-from shopmill.functions.measures import full_name, money, with_date_parts
+from shopmill.functions.measures import from_cents, full_name, money, with_date_parts
 from shopmill.operators.joins import with_lookup_id
+from shopmill.operators.scale import checkpoint_root
 from shopmill.plans.curated import gross_lines
 from shopmill.plans.star import Tables, dim_lookup, star_schema
 from shopmill.sources.files import parse_events
+from shopmill.sources.sinks import write_events
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -51,7 +55,9 @@ class Shop:
             }
         )
         self.star = star_schema(self.raw, unique_lines=True)
-        self.events = Tables({"nested": self._nested, "json": self._json, "parsed": self._parsed})
+        self.events = Tables(
+            {n: getattr(self, f"_{n}") for n in ("nested", "landed", "json", "parsed")}
+        )
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
@@ -146,8 +152,8 @@ class Shop:
             F.col("l_orderkey").alias("orderid"),
             F.col("l_partkey").alias("productid"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("unitprice"),
-            F.round(F.col("l_discount") * 100, 0).cast("decimal(12,2)").alias("discount"),
+            from_cents(F.rint(F.col("l_extendedprice") * 100).cast("long"), 12).alias("unitprice"),
+            F.rint(F.col("l_discount") * 100).cast("int").cast("decimal(12,2)").alias("discount"),
         )
         return gross_lines(lines)
 
@@ -205,8 +211,8 @@ class Shop:
             F.col("l_orderkey").alias("orderid"),
             F.col("l_partkey").alias("productid"),
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("unitprice"),
-            F.round(F.col("l_discount") * 100, 0).cast("decimal(12,2)").alias("discount"),
+            from_cents(F.rint(F.col("l_extendedprice") * 100).cast("long"), 12).alias("unitprice"),
+            F.rint(F.col("l_discount") * 100).cast("int").cast("decimal(12,2)").alias("discount"),
         )
         whole = (F.col("quantity") * F.col("unitprice")).cast("decimal(18,2)")
         off = (whole * F.col("discount") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
@@ -253,14 +259,18 @@ class Shop:
         )
         return E.nest_events(orders, lines, payments, shipments, summary)
 
+    def _landed(self) -> DataFrame:
+        """Event texts as they would arrive: written once as JSON lines, then read as text."""
+        path = f"{checkpoint_root(self.spark)}/{uuid.uuid4().hex}"
+        write_events(self.events["nested"], path)
+        return self.spark.read.schema("value string, id_bucket long").text(path)
+
     def _json(self) -> DataFrame:
-        """Event texts as they would arrive."""
-        nested = self.events["nested"]
-        text = F.to_json(F.struct(*nested.columns), {"ignoreNullFields": "false"})
-        return nested.select(F.col("order.OrderID").alias("orderid"), text.alias("value"))
+        text = self.events["landed"]
+        return text.select(F.get_json_object("value", "$.order.OrderID").cast("long").alias("orderid"), "value")
 
     def _parsed(self) -> DataFrame:
-        return parse_events(self.events["json"])
+        return parse_events(self.events["landed"])
 
 
 _SHOPS: dict[tuple[str, str], Shop] = {}
