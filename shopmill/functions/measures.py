@@ -66,14 +66,15 @@ def rounded_amounts(quantity: Column, price: Column, percent: Column) -> dict[st
     off = whole * to_cents(percent)
     left = whole * 10000 - off
 
-    def rounded(parts: Column) -> Column:
-        half = F.when(parts < 0, F.lit(-5000)).otherwise(F.lit(5000))
+    def rounded(parts: Column, half: Column) -> Column:
         return F.call_function("div", parts + half, F.lit(10000))
 
+    half = F.lit(5000)
     amounts = {
         "gross_amount": whole,
-        "discount_amount": rounded(off),
-        "total_amount": rounded(left),
+        "discount_amount": rounded(off, half),
+        # Above 100 percent the net amount is negative and rounds the other way.
+        "total_amount": rounded(left, F.when(percent > 100, -half).otherwise(half)),
     }
     return {name: from_cents(cents) for name, cents in amounts.items()}
 

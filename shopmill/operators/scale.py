@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 LOOKUP_ROWS = 10_000
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the session's ``spark.checkpoint.dir``.
 
@@ -26,9 +29,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="shopmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="shopmill-")
+    return _LOCAL_ROOTS[app]
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -90,12 +94,16 @@ def _is_hot(key: str, hot: dict) -> Column:
 
 
 def _spread(df: DataFrame, key: str, hot: dict, n: int, by: Sequence[str]) -> Column:
+    if not hot:
+        return F.lit(0)
     # A hash of the row's identity, not rand(): a re-run task must place each row as before.
     slot = F.pmod(F.xxhash64(*(by or df.columns)), F.lit(n)).cast("int")
     return F.when(_is_hot(key, hot), slot).otherwise(F.lit(0))
 
 
 def _copies(key: str, hot: dict, n: int) -> Column:
+    if not hot:
+        return F.lit(0)
     every = F.sequence(F.lit(0), F.lit(n - 1))
     return F.explode(F.when(_is_hot(key, hot), every).otherwise(F.array(F.lit(0))))
 

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopmill.operators.scale import fits_broadcast, global_rank, small_table
+from shopmill.operators.scale import durable, fits_broadcast, global_rank, small_table
 
 
 def pick_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -33,6 +33,8 @@ def rank_in_group(
     The ``max_rank`` best scores of a group (at most that many values) decide both who passes and
     each passer's rank, so the rows themselves never shuffle by group.
     """
+    if not fits_broadcast(df):
+        df = durable(df)  # read twice below; do not compute it twice
     leaders = top_n_per_group(
         df.select(*keys, score), keys, [F.col(score).desc_nulls_last()], max_rank
     )

@@ -35,7 +35,7 @@ CTES = {
         FROM orders""",
     "m_lines": """
         SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey
-                 AS orderdetailid,
+                 || '-' || CAST(round(l_extendedprice * 100) AS BIGINT) AS orderdetailid,
                l_orderkey AS orderid, l_partkey AS productid, l_suppkey AS supplierid,
                CAST(l_quantity AS INTEGER) AS quantity,
                CAST(l_extendedprice AS DECIMAL(12,2)) AS unitprice,

@@ -1193,8 +1193,15 @@ def unify_payments(shop):
 
 @query(
     "shipmentid:s orderid:i shipperid:i shipdate:s deliverydate:s",
-    f"""SELECT shipmentid, orderid, CASE WHEN shipdate >= {_NEW} THEN -1 ELSE shipperid END
-               AS shipperid, shipdate, deliverydate FROM m_shipments""",
+    f"""SELECT shipmentid, orderid, shipperid, shipdate, deliverydate FROM
+        (SELECT *, row_number() OVER (PARTITION BY shipmentid
+                ORDER BY src, orderid, shipperid, shipdate, deliverydate) AS nth FROM
+          (SELECT 0 AS src, shipmentid, orderid, -1 AS shipperid, shipdate, deliverydate
+           FROM m_shipments WHERE shipdate >= {_NEW}
+           UNION ALL
+           SELECT 1, shipmentid, orderid, shipperid, shipdate, deliverydate
+           FROM m_shipments WHERE shipdate < {_OLD}))
+        WHERE nth = 1""",
 )
 def unify_shipments(shop):
     old, new = _split(shop.raw["shipments"], "shipdate")
@@ -1337,7 +1344,10 @@ _table(
     "order_detail_id:s order_id:i product_id:i quantity:i unit_price:m discount:m gross_amount:m "
     "discount_amount:m total_amount:m",
     """SELECT order_detail_id, order_id, product_id, quantity, unit_price, discount, gross_amount,
-              discount_amount, net_amount AS total_amount FROM m_facts""",
+              discount_amount, net_amount AS total_amount FROM
+       (SELECT *, row_number() OVER (PARTITION BY order_detail_id
+               ORDER BY order_id, product_id, quantity, unit_price, discount) AS nth FROM m_facts)
+       WHERE nth = 1""",
 )
 def fact_order_detail(shop):
     """With every line delivered twice: the dedup restores one row per line."""

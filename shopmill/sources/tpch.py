@@ -144,7 +144,9 @@ class Shop:
         return with_date_parts(orders, "orderdate")
 
     def _line_id(self):
-        return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        """Line numbers repeat within an order here, so the id takes in the other columns."""
+        price = F.rint(F.col("l_extendedprice") * 100).cast("long")
+        return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", price)
 
     def _order_details(self) -> DataFrame:
         lines = self.source["lineitem"].select(
