@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopmill.functions.events import headers
 from shopmill.functions.measures import day_span
 from shopmill.operators.scale import skew_join
 
@@ -201,7 +202,7 @@ def reconcile_events(events: DataFrame, tax: str = TAX_RATE, tol: str = "0.01")
 
 
 def _paid(events: DataFrame) -> DataFrame:
-    return events.select(
+    return headers(events).select(
         F.col("order.OrderID").alias("orderid"),
         F.upper(F.trim("order.Status")).alias("actual"),
         (F.upper(F.trim("payment.PaymentStatus")) == "COMPLETED").alias("paid"),

@@ -51,7 +51,8 @@ FOREIGN_KEYS = [
     ("products", "categoryid", "categories", None),
 ]
 
-# One order event. Money and dates stay text-like in JSON and are typed when flattened.
+# One order event; dates are text in JSON and typed when flattened. Order sums are wide enough for
+# an order that holds a large part of all lines.
 EVENT = (
     "metadata struct<event_id:string,event_type:string,event_timestamp:string,source:string>,"
     "`order` struct<OrderID:long,CustomerID:long,OrderDate:string,Status:string>,"
@@ -61,8 +62,8 @@ EVENT = (
     "Amount:decimal(12,2),PaymentStatus:string>,"
     "shipment struct<ShipmentID:long,OrderID:long,ShipperID:long,ShipDate:string,"
     "DeliveryDate:string>,"
-    "summary struct<subtotal:decimal(12,2),discount:decimal(12,2),tax_rate:decimal(5,2),"
-    "tax_amount:decimal(12,2),shipping_cost:decimal(12,2),total_amount:decimal(12,2)>"
+    "summary struct<subtotal:decimal(18,2),discount:decimal(18,2),tax_rate:decimal(5,2),"
+    "tax_amount:decimal(18,2),shipping_cost:decimal(12,2),total_amount:decimal(18,2)>"
 )
 
 

@@ -219,13 +219,13 @@ class Shop:
         whole = (F.col("quantity") * F.col("unitprice")).cast("decimal(18,2)")
         off = (whole * F.col("discount") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
         sums = lines.groupBy("orderid").agg(
-            F.sum(whole - off).cast("decimal(12,2)").alias("subtotal"),
-            F.sum(off).cast("decimal(12,2)").alias("discount"),
+            F.sum(whole - off).cast("decimal(18,2)").alias("subtotal"),
+            F.sum(off).cast("decimal(18,2)").alias("discount"),
         )
-        tax = (F.col("subtotal") * F.lit("0.14").cast("decimal(5,2)")).cast("decimal(12,2)")
+        tax = (F.col("subtotal") * F.lit("0.14").cast("decimal(5,2)")).cast("decimal(18,2)")
         cost = F.when(status == "P", F.lit(0)).otherwise(F.lit(50)).cast("decimal(12,2)")
         slip = F.when(urgency == "1-URGENT", F.lit(1)).otherwise(F.lit(0))
-        zero = F.lit(0).cast("decimal(12,2)")
+        zero = F.lit(0).cast("decimal(18,2)")
         summary = (
             base.withColumnRenamed("o_orderkey", "orderid")
             .join(sums, "orderid", "left")
@@ -239,7 +239,7 @@ class Shop:
                 F.lit("0.14").cast("decimal(5,2)").alias("tax_rate"),
                 tax.alias("tax_amount"),
                 cost.alias("shipping_cost"),
-                (F.col("subtotal") + tax + cost + slip).cast("decimal(12,2)").alias("total_amount"),
+                (F.col("subtotal") + tax + cost + slip).cast("decimal(18,2)").alias("total_amount"),
             )
         )
         payments = base.select(

@@ -9,6 +9,7 @@ from fixtures import EVENTS, event, write_documents
 from shopmill.functions import events as E
 from shopmill.operators import quality as Q
 from shopmill.sources import files, sinks
+from shopmill.streaming import ingest
 
 D = Decimal
 
@@ -106,7 +107,16 @@ def test_oversize_order_becomes_several_documents(spark, tmp_path):
     sizes = {(r["id"], r["n"]) for r in nested.selectExpr("order.OrderID id", "size(order_details) n").collect()}
     assert max(n for _, n in sizes) < 60 and nested.count() > 2
     assert rows(E.event_lines(nested)) == rows(E.event_lines(big))
-    assert rows(Q.reconcile_events(nested)) == []
+    for flatten in (E.event_orders, E.event_payments, E.event_shipments, E.event_summary):
+        assert rows(flatten(nested)) == rows(flatten(big))
+    for check in (Q.reconcile_events, Q.status_mismatch, Q.shipment_rules):
+        assert rows(check(nested)) == []
+    sinks.write_events(nested, str(tmp_path / "out"))
+    texts = spark.read.text(str(tmp_path / "out"))
+    ingest.save_mark(spark, str(tmp_path / "mark"), 0)
+    ingest.ingest_batch(texts, str(tmp_path / "target"), str(tmp_path / "mark"))
+    stored = ingest.stored_events(spark, str(tmp_path / "target"))
+    assert rows(E.event_lines(stored)) == rows(E.event_lines(big))
 
 
 def test_written_events_read_back(spark, events, tmp_path):
