@@ -6,10 +6,12 @@ import json
 import os
 import statistics
 import time
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 from shopmill.registry import QUERIES
+from shopmill.session import start
 
 HEADLINE = """
     r01_totals r02_monthly_sales r03_sales_by_category r04_top_products r05_top_customers
@@ -21,18 +23,17 @@ HEADLINE = """
 """.split()
 
 
-def session() -> SparkSession:
-    cores = os.environ.get("BENCH_CPUS", "8")
+def session(folder: str) -> SparkSession:
+    cores = int(os.environ.get("BENCH_CPUS", "8"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("shopmill-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", cores)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
     )
-    spark = builder.getOrCreate()
+    size = sum(f.stat().st_size for f in Path(folder).glob("*.parquet"))
+    spark = start(builder, size, cores)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -46,7 +47,7 @@ def run(spark: SparkSession, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     rounds = int(os.environ.get("BENCH_ROUNDS", "3"))
-    spark = session()
+    spark = session(folder)
     times = {}
     for name in HEADLINE:
         run(spark, name, folder)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shopmill.functions.events import headers
 from shopmill.functions.measures import day_span
-from shopmill.operators.scale import skew_join
+from shopmill.operators.scale import lookup_join, skew_join
 
 # Fixed values of the order service.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
@@ -301,18 +301,17 @@ def request_rules(
 ) -> DataFrame:
     """Orders that an order request check would refuse, with reason codes."""
     lim = REQUEST_LIMITS | dict(limits or {})
-    known = products.select("productid", F.lit(True).alias("known"))
-    checked = skew_join(
-        lines.select("orderid", "orderdetailid", "productid", "quantity", "discount"),
-        known,
+    # The distinct product ids shrink before any shuffle; the lines then meet only the unknown ones.
+    sold = lines.select("productid").distinct()
+    unknown = skew_join(sold, products, "productid", "left_anti", unique="left")
+    checked = lookup_join(
+        lines.select("orderid", "productid", "quantity", "discount"),
+        unknown.withColumn("unknown", F.lit(True)),
         "productid",
-        "left",
-        left_id=["orderdetailid"],
-        unique="right",
     )
     per_order = checked.groupBy("orderid").agg(
         F.count("*").alias("items"),
-        F.bool_or(F.col("known").isNull()).alias("unknown"),
+        F.bool_or(F.col("unknown").isNotNull() | F.col("productid").isNull()).alias("unknown"),
         F.bool_or(~F.col("quantity").between(1, lim["quantity_max"])).alias("bad_quantity"),
         F.bool_or(~F.col("discount").between(0, lim["discount_max"])).alias("bad_discount"),
     )

@@ -45,8 +45,7 @@ def durable(df: DataFrame) -> DataFrame:
 def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
     """``df`` as a local relation when it has at most ``max_rows`` rows, else None.
 
-    Fetches no more than ``max_rows + 1`` rows. The local relation has an exact size, so the
-    planner itself broadcasts it.
+    Fetches no more than ``max_rows + 1`` rows.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
@@ -139,10 +138,11 @@ def skew_join(
     if not measure:
         return left.join(right, key, how)
 
+    left_unique = unique == "left"
     if how in ("left_semi", "left_anti"):
         right, unique = right.select(key).distinct(), "right"
     source = left if measure_on is None else measure_on
-    hot_left = {} if unique == "left" else hot_keys(source, key, share, min_rows)
+    hot_left = {} if left_unique else hot_keys(source, key, share, min_rows)
     hot_right = {} if unique == "right" else hot_keys(right, key, share, min_rows)
     hot_right.pop(None, None)  # a NULL key on the right matches nothing
     if how in ("inner", "left_semi"):
@@ -174,7 +174,9 @@ def lookup_join(df: DataFrame, dim: DataFrame, key: str, how: str = "left") -> D
     if fits_broadcast(dim):
         return df.join(dim, key, how)
     small = small_table(dim)
-    return df.join(small, key, how) if small is not None else skew_join(df, dim, key, how)
+    if small is None:
+        return skew_join(df, dim, key, how)
+    return df.join(F.broadcast(small), key, how)  # at most LOOKUP_ROWS rows
 
 
 def global_rank(

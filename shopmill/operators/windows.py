@@ -43,11 +43,11 @@ def rank_in_group(
     if bound is None:
         whole = Window.partitionBy(*keys).orderBy(F.col(score).desc_nulls_last())
         return df.withColumn(out, F.rank().over(whole)).filter(F.col(out) <= max_rank)
-    bound = bound.withColumnsRenamed({k: f"_{k}" for k in keys})
+    bound = bound.withColumnsRenamed({k: f"_{k}" for k in keys})  # small by either check
     same_group = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
     above = F.size(F.filter("_best", lambda b: b > F.col(score)))
     rank = F.when(F.col(score).isNull(), F.size("_best")).otherwise(above) + 1
-    passed = df.join(bound, same_group).withColumn(out, rank).filter(F.col(out) <= max_rank)
+    passed = df.join(F.broadcast(bound), same_group).withColumn(out, rank).filter(F.col(out) <= max_rank)
     return passed.select(*df.columns, out)
 
 

@@ -10,12 +10,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -120,3 +120,12 @@ def test_durable_cuts_lineage(spark):
     df = S.durable(spark.range(10).withColumn("x", F.col("id") * 2))
     assert df.count() == 10
     assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_settings_grow_with_the_input_and_stay_bounded():
+    from shopmill.session import settings
+
+    assert settings(10, 8)["spark.sql.shuffle.partitions"] == "8"
+    big = settings(100 * 1024**4, 4000)
+    assert big["spark.sql.shuffle.partitions"] == "80000"
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 * 1024**2)
