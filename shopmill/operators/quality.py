@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shopmill.functions.events import headers
 from shopmill.functions.measures import day_span
 from shopmill.operators.scale import lookup_join, skew_join
+from shopmill.schemas import FOREIGN_KEYS, KEYS
 
 # Fixed values of the order service.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
@@ -137,6 +138,18 @@ def fk_report(
     )
 
 
+def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``fk_report`` for every foreign key of the model whose two tables are given."""
+    parts = []
+    for child, key, parent, amount in FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            name = f"{child}.{key}"
+            parts.append(
+                fk_report(tables[child], tables[parent], key, KEYS[parent][0], amount, name)
+            )
+    return reduce(DataFrame.unionAll, parts)
+
+
 # --- event rules ----------------------------------------------------------------------------
 
 

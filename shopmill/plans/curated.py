@@ -14,7 +14,7 @@ from shopmill.functions.measures import clamp_negative, from_cents, full_name, t
 from shopmill.operators.aggregates import customer_mart, product_mart, sales_by
 from shopmill.operators.joins import wide_sales
 from shopmill.operators.setops import unify
-from shopmill.plans.star import Tables, star_schema
+from shopmill.plans.star import Tables, read_star, star_schema
 from shopmill.sources.sinks import write_table
 
 _MARTS = {
@@ -113,9 +113,20 @@ def unify_history(clean: Mapping[str, DataFrame], events: DataFrame, unique: boo
     return Tables(builders)
 
 
-def write_star(spark: SparkSession, raw: Mapping[str, DataFrame], root: str) -> list[str]:
-    """Write the star schema. Marts read the written facts instead of repeating their plans."""
-    star = star_schema(raw)
+def write_star(
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    root: str,
+    previous: str | None = None,
+) -> list[str]:
+    """Write the star schema. Marts read the written facts instead of repeating their plans.
+
+    ``previous`` is the folder of an earlier star (not ``root``) whose lookup ids are kept.
+    """
+    if previous == root:
+        raise ValueError("the previous star must lie in another folder than the new one")
+    lookups = ["dim_payment_method", "dim_order_status"]
+    star = star_schema(raw, existing=read_star(spark, previous, lookups) if previous else None)
     marts = ["fact_customer_sales", "fact_product_sales"]
     for name in [n for n in star if n not in marts]:
         write_table(star[name], f"{root}/{name}")

@@ -224,8 +224,17 @@ class Tables(Mapping):
         return len(self._builders)
 
 
-def star_schema(raw: Mapping[str, DataFrame], unique_lines: bool = False) -> Tables:
-    """The 17 star tables over unified raw tables."""
+def star_schema(
+    raw: Mapping[str, DataFrame],
+    unique_lines: bool = False,
+    existing: Mapping[str, DataFrame] | None = None,
+) -> Tables:
+    """The 17 star tables over unified raw tables.
+
+    ``existing`` may hold the stored ``dim_payment_method`` and ``dim_order_status``, whose ids
+    then stay as they are.
+    """
+    stored = existing or {}
     star: Tables
     builders: dict[str, Callable[[], DataFrame]] = {
         name: (lambda name=name, source=source: dimension(name, raw[source]))
@@ -234,8 +243,12 @@ def star_schema(raw: Mapping[str, DataFrame], unique_lines: bool = False) -> Tab
     }
     builders |= {
         "dim_date": lambda: dim_date(raw["orders"]),
-        "dim_payment_method": lambda: dim_payment_method(raw["payments"]),
-        "dim_order_status": lambda: dim_order_status(raw["orders"]),
+        "dim_payment_method": lambda: dim_payment_method(
+            raw["payments"], stored.get("dim_payment_method")
+        ),
+        "dim_order_status": lambda: dim_order_status(
+            raw["orders"], stored.get("dim_order_status")
+        ),
         "fact_order": lambda: fact_order(raw["orders"], star["dim_order_status"]),
         "fact_order_detail": lambda: fact_order_detail(raw["order_details"], unique_lines),
         "fact_payment": lambda: fact_payment(raw["payments"], star["dim_payment_method"]),

@@ -24,8 +24,7 @@ from shopmill.operators import windows as W
 from shopmill.operators.scale import checkpoint_root
 from shopmill.operators.setops import unify
 from shopmill.oracle import typed
-from shopmill.plans import curated, star
-from shopmill.plans.reports import REPORTS
+from shopmill.plans import curated, reports, star
 from shopmill.sources import files, sinks
 from shopmill.sources.tpch import Shop, open_shop
 from shopmill.streaming import ingest
@@ -172,6 +171,13 @@ def sql_over_views(shop):
     )
 
 
+@query("file:s", "SELECT 'lineitem.parquet' AS file UNION ALL SELECT 'orders.parquet'")
+def list_inputs(shop):
+    both = [files.list_inputs(shop.source[n]) for n in ("orders", "lineitem")]
+    found = both[0].unionAll(both[1]).filter("bytes > 0")
+    return found.select(F.regexp_extract("path", "[^/]+$", 0).alias("file"))
+
+
 # --- data quality ---------------------------------------------------------------------------
 
 
@@ -318,6 +324,38 @@ def fk_report(shop):
     )
 
 
+def _fk_sql(name: str, child: str, key: str, parent: str, pkey: str, amount: str) -> str:
+    return f"""SELECT '{name}' AS fk, count(*) AS "rows", count(*) - count(p.k) AS unmatched,
+        sum(CASE WHEN p.k IS NULL THEN {amount} END) AS lost_amount
+        FROM {child} c LEFT JOIN (SELECT DISTINCT {pkey} AS k FROM {parent}) p ON c.{key} = p.k"""
+
+
+@query(
+    "fk:s rows:i unmatched:i lost_amount:m",
+    " UNION ALL ".join(
+        [
+            _fk_sql("orders.customerid", "m_orders", "customerid", "customer", "c_custkey", "NULL"),
+            _fk_sql(
+                "order_details.orderid", "m_lines", "orderid", "orders", "o_orderkey", "total_amount"
+            ),
+            _fk_sql(
+                "order_details.productid", "m_lines", "productid", "part", "p_partkey", "total_amount"
+            ),
+            _fk_sql("payments.orderid", "m_payments", "orderid", "orders", "o_orderkey", "amount"),
+            _fk_sql("shipments.orderid", "m_shipments", "orderid", "orders", "o_orderkey", "NULL"),
+            _fk_sql(
+                "shipments.shipperid", "m_shipments", "shipperid", "supplier", "s_suppkey", "NULL"
+            ),
+            _fk_sql(
+                "products.categoryid", "m_products", "categoryid", "m_categories", "categoryid", "NULL"
+            ),
+        ]
+    ),
+)
+def integrity_report(shop):
+    return Q.integrity_report(shop.raw)
+
+
 @query(
     "shipmentid:s orderid:i shipdate:s",
     "SELECT shipmentid, orderid, shipdate FROM m_shipments WHERE orderid NOT IN "
@@ -612,6 +650,16 @@ def line_amounts(shop):
     return star.fact_order_detail(shop.raw["order_details"], unique=True)
 
 
+@query(
+    "orderdetailid:s gross_amount:m discount_amount:d total_amount:d",
+    """SELECT orderdetailid, total_amount AS gross_amount, total_amount * discount * 0.01
+              AS discount_amount, total_amount - total_amount * discount * 0.01 AS total_amount
+       FROM m_lines""",
+)
+def line_amounts_unrounded(shop):
+    return star.line_amounts(shop.raw["order_details"])
+
+
 @query(
     "orderid:i year:i month:i day:i quarter:i day_of_week:i week_of_year:i",
     """SELECT orderid, year(orderdate) AS "year", month(orderdate) AS "month",
@@ -1533,7 +1581,32 @@ _REPORT_SQL = {
     ),
 }
 for _name, (_columns, _sql) in _REPORT_SQL.items():
-    QUERIES[_name] = Query(lambda shop, f=REPORTS[_name]: f(shop.star), _columns, _sql)
+    QUERIES[_name] = Query(lambda shop, f=reports.REPORTS[_name]: f(shop.star), _columns, _sql)
+
+
+@query(
+    "product_id:i product_name:s total_sales:m",
+    """SELECT product_id, productname AS product_name, sum(net_amount) AS total_sales
+       FROM m_facts JOIN m_products ON product_id = productid
+       GROUP BY product_id, productname ORDER BY total_sales DESC, product_id LIMIT 10""",
+)
+def r04_top_products_by_id(shop):
+    return reports.top_products_by_id(shop.star)
+
+
+@query(
+    "payment_method:s num_transactions:i total_amount:m avg_payment_amount:d",
+    """SELECT upper(u) AS payment_method, count(*) AS num_transactions, sum(paid) AS total_amount,
+              CAST(CAST(sum(paid) AS DECIMAL(18,2)) AS DOUBLE) / CAST(count(paid) AS DOUBLE)
+                AS avg_payment_amount
+       FROM m_events WHERE s <> 'F' GROUP BY u""",
+)
+def r08_completed_payments(shop):
+    """Payments of the events, failed ones left out."""
+    paid = E.event_payments(shop.events["parsed"])
+    methods = shop.star["dim_payment_method"]
+    tables = {"fact_payment": star.fact_payment(paid, methods), "dim_payment_method": methods}
+    return reports.payments_by_method(tables, completed_only=True)
 
 
 # --- ingestion ------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ ONE_TASK_IS_SHORT = {
     "r01_totals", "r06_average_order_value", "r09_shipment_performance", "r10_running_sales",
     "r11_monthly_growth", "running_sales", "mom_growth", "avg_price", "avg_orders_per_month",
     "global_totals", "date_bounds", "distinct_customers", "cast_rejects", "fk_report",
-    "profile_counts", "profile_nulls_sum", "profile_nulls_count", "profile_schema",
+    "integrity_report", "profile_counts", "profile_nulls_sum", "profile_nulls_count", "profile_schema",
     "read_next_id", "r02_monthly_sales", "dim_category", "dim_payment_method", "dim_order_status", "dim_date",
 }
 WRITES = {
