@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LOOKUP_ROWS = 10_000
+LOOKUP_ROWS = 10_000  # a table of more rows is not fetched for a broadcast
+HOT_SHARE = 0.001  # a key with this share of the rows is hot ...
+HOT_ROWS = 100_000  # ... if it also has this many
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -42,11 +44,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_table(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame | None:
+def small_table(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     """``df`` as a local relation when it has at most ``max_rows`` rows, else None.
 
     Fetches no more than ``max_rows + 1`` rows.
     """
+    max_rows = LOOKUP_ROWS if max_rows is None else max_rows
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
@@ -60,7 +63,9 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= limit
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.001, min_rows: int = 100_000) -> dict:
+def hot_keys(
+    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+) -> dict:
     """Keys holding at least ``share`` of all rows (and ``min_rows``) with their estimated counts.
 
     One pass over the key column with a frequent-items sketch; at most ``1 / share`` keys return.
@@ -116,8 +121,8 @@ def skew_join(
     right_id: Sequence[str] = (),
     unique: str | None = None,
     measure_on: DataFrame | None = None,
-    share: float = 0.001,
-    min_rows: int = 100_000,
+    share: float | None = None,
+    min_rows: int | None = None,
     measure: bool | None = None,
 ) -> DataFrame:
     """Equi-join on ``key`` that splits hot keys of either side over many tasks.
@@ -138,6 +143,7 @@ def skew_join(
     if not measure:
         return left.join(right, key, how)
 
+    share, min_rows = share or HOT_SHARE, min_rows or HOT_ROWS
     left_unique = unique == "left"
     if how in ("left_semi", "left_anti"):
         right, unique = right.select(key).distinct(), "right"
@@ -168,14 +174,16 @@ def skew_join(
     )
 
 
-def lookup_join(df: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Join a dimension of unknown size: broadcast when small by the planner's estimate or when
-    measured small, skew-safe otherwise."""
+def lookup_join(
+    df: DataFrame, dim: DataFrame, key: str, how: str = "left", unique: str = "right"
+) -> DataFrame:
+    """Join a table of unknown size: broadcast when small by the planner's estimate or when
+    measured small, skew-safe otherwise. ``unique`` as in ``skew_join``."""
     if fits_broadcast(dim):
         return df.join(dim, key, how)
     small = small_table(dim)
     if small is None:
-        return skew_join(df, dim, key, how)
+        return skew_join(df, dim, key, how, unique=unique)
     return df.join(F.broadcast(small), key, how)  # at most LOOKUP_ROWS rows
 
 

@@ -1,4 +1,4 @@
-"""Reference SQL building blocks: the retail model over the same Parquet tables, in plain SQL.
+"""SQL building blocks for checking: the retail model over the same Parquet tables, in plain SQL.
 
 Written for DuckDB, naively and independently of the Spark plans, to check their results.
 """
