@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmill.llm import quality_rules
-from shopmill.llm.common import table
+from shopmill.llm import bpe, decontamination, near_dedup, quality_rules, secret_scan
+from shopmill.llm.common import show_package, table
 from shopmill.operators.scale import checkpoint_root
 
 
@@ -20,12 +20,50 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return judged.filter(F.col("_quality")["kept"]).drop("_quality")
 
 
-STAGES = [("quality_rules", quality)]
+def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
+    return near_dedup.keep_one(docs)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold no benchmark item within its error budget."""
+    marked = decontamination.contamination(docs, table(spark, folder, "benchmark"), out="_matches")
+    return marked.filter(F.size("_matches") == 0).drop("_matches")
+
+
+def secret_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, every found secret replaced by a sign; ``n_chars`` follows the text."""
+    marked = secret_scan.scan(docs, out="_secrets").withColumn("text", secret_scan.mask("text", "_secrets"))
+    size = F.when(F.size("_secrets") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return marked.withColumn("n_chars", size).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Token ids of each remaining document, its length in tokens and the digest of its decoded text."""
+    path = bpe.vocabulary("word_bpe_49k.json")
+    tokens = bpe.encode(docs, path)
+    return tokens.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "ids",
+    )
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_dedup", near_copies),
+    ("decontamination", benchmark_free),
+    ("secret_scan", secret_free),
+    ("bpe", encoded),
+]
 ORACLE_SQL = None  # several stages are not expressible in SQL; tests/llm holds brute-force versions
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """All stages in order; each result is written to the shared folder and read as the next one's input."""
+    show_package(spark)
     docs = table(spark, folder, "documents")
     home = f"{checkpoint_root(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES, 1):

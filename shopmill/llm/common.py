@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,14 @@ SPACE = r"[\x20\x09-\x0D]"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+def show_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package; on other machines install or ship it."""
+    home = str(Path(__file__).resolve().parents[2])
+    own = spark.sparkContext.environment
+    if home not in own.get("PYTHONPATH", "").split(":"):
+        own["PYTHONPATH"] = f"{own['PYTHONPATH']}:{home}" if own.get("PYTHONPATH") else home
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -7,15 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmill.llm import quality_rules, sharding
-from shopmill.llm.common import table
+from shopmill.llm import (
+    bpe,
+    decontamination,
+    near_dedup,
+    pu_quality,
+    quality_rules,
+    secret_scan,
+    sharding,
+    toxicity,
+)
+from shopmill.llm.common import show_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = build
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        show_package(spark)
+        return build(spark, folder)
+
+    QUERIES[build.__name__] = run
     return build
 
 
@@ -28,8 +41,86 @@ def op1_quality_rules(spark, folder):
     return quality_rules.judge(docs.select("doc_id", "text"), model).select("doc_id", "quality.*")
 
 
+@query
+def op2_near_dedup(spark, folder):
+    """Component of near copies of each document, on two-word shingles."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = near_dedup.components(docs, width=2)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+def _remainder(n: int):
+    """crc32 of the id as text, modulo ``n``; -1 without an id."""
+    crc = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8"))
+    return F.coalesce(F.pmod(crc, F.lit(n)).cast("int"), F.lit(-1))
+
+
+@query
+def op6_pu_quality(spark, folder):
+    """Probability of good quality of each document, learnt from trusted positives and unlabelled text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    good = table(spark, folder, "labels").filter("quality = 1")
+    model = pu_quality.fit(docs, good, allowed=_remainder(3) != 1)
+    return pu_quality.score(docs, model).select(
+        "doc_id",
+        (_remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op8_toxicity(spark, folder):
+    """Toxicity of each document by its most toxic string."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").filter(_remainder(5) != 0)
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (_remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op5_secret_scan(spark, folder):
+    """Secret spans of each document: how many of each fixed kind, a digest of those, and all spans."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scanned = secret_scan.scan(docs).select("doc_id", "secrets")
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = secret_scan.span_list(F.filter("secrets", lambda s: s["base"]))
+    return scanned.select(
+        "doc_id",
+        *[count(k) for k in ("assign", "access", "hex")],
+        F.sha2(base, 256).alias("base_sha256"),
+        secret_scan.span_list(F.col("secrets")).alias("spans"),
+    )
+
+
+@query
+def op7_bpe(spark, folder):
+    """Token counts and digests of the ids and of the decoded text of each document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode(docs, bpe.vocabulary("word_bpe_49k.json"), digest=True)
+
+
 @query
 def op9_sharding(spark, folder):
     """Every document in one of 16 shards of equal row counts, at a uniformly random slot."""
     rows = sharding.shard_documents(table(spark, folder, "documents"))
     return rows.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@query
+def op10_decontamination(spark, folder):
+    """Each document and test item that match within the error budget, and how closely."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marked = decontamination.contamination(docs, table(spark, folder, "benchmark"))
+    return marked.select("doc_id", F.explode("matches").alias("m")).select(
+        "doc_id", F.col("m.item").alias("item_id"), "m.edits", "m.first_word", "m.words"
+    )
