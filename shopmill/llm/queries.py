@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from shopmill.llm import (
     bpe,
+    chat,
     decontamination,
     near_dedup,
+    pii,
     pu_quality,
     quality_rules,
     secret_scan,
@@ -50,6 +52,24 @@ def op2_near_dedup(spark, folder):
     return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+@query
+def op3_pii(spark, folder):
+    """Personal-data spans of each document: how many of each kind, a digest of the plain ones, and all spans."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    marked = pii.mark(docs, pii.fit(docs)).select("doc_id", "spans")
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return marked.select(
+        "doc_id",
+        *[count(k) for k in pii.KINDS],
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"),
+        pii.span_list(F.col("spans")).alias("spans"),
+    )
+
+
 def _remainder(n: int):
     """crc32 of the id as text, modulo ``n``; -1 without an id."""
     crc = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8"))
@@ -84,6 +104,47 @@ def op8_toxicity(spark, folder):
     )
 
 
+#: Speaker names of the transcripts made from ``conversations``, by style: system, user, assistant.
+STYLES = (
+    ("System: ", "User: ", "Assistant: "),
+    ("context: ", "Human: ", "AI: "),
+    ("[system] ", "Q: ", "A: "),
+    ("<system> ", "<user> ", "<bot> "),
+)
+
+
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, line, text, role, begins``: lines of raw transcripts.
+
+    A conversation has one style of speaker names; every fifth turn lost its name.
+    """
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES)))
+    name = F.lit("")
+    for s, names in enumerate(STYLES):
+        for role, n in zip(chat.ROLES, names):
+            name = F.when((style == s) & (F.col("role") == role), n).otherwise(name)
+    lost = F.pmod(F.xxhash64(F.lit("lost"), "conv_id", "turn"), F.lit(5)) == 0
+    lines = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "text")
+    rows = conversations.select(
+        "conv_id", "turn", "role", F.when(lost, "").otherwise(name).alias("_name"), lines
+    )
+    begins = F.col("line") == 0
+    text = F.when(begins, F.concat("_name", "text")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", "line", text.alias("text"), "role", begins.alias("begins"))
+
+
+@query
+def op4_chat(spark, folder):
+    """Canonical turns of every conversation, roles recovered from raw transcripts.
+
+    The model is counted on conversations with an even checksum and applied to all.
+    """
+    lines = transcripts(table(spark, folder, "conversations"))
+    even = F.pmod(F.crc32(F.encode(F.col("conv_id").cast("string"), "utf-8")), F.lit(2)) == 0
+    model = chat.fit(lines.filter(even), "conv_id")
+    return chat.turns(chat.decode(lines, model, "conv_id"), "conv_id")
+
+
 @query
 def op5_secret_scan(spark, folder):
     """Secret spans of each document: how many of each fixed kind, a digest of those, and all spans."""

@@ -72,3 +72,29 @@ def secret_base(text):
     found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     return sorted(found)
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + k % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def pii_base(text):
+    """(kind, start, end) of the fixed patterns, kinds in order, then start."""
+    text, found = text or "", []
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append(("email", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append(("ip", m.start(), m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        if 13 <= len(digits(m)) <= 19 and luhn(digits(m)):
+            found.append(("card", m.start(), m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(digits(m)) <= 15:
+            found.append(("phone", m.start(), m.end()))
+    return found
