@@ -6,9 +6,10 @@ coordinate, ranks it; the least rank is the coordinate. Bands of coordinates put
 nodes of a bucket are linked is always decided on their full sets.
 
 What is wanted are the components of the links, so a pair need not be tested once its ends are known to be
-connected. In each round every node of a bucket that is not yet of one component is tested against one random
-member (its hub) and components are joined. When few open pairs are left, or after ``rounds`` rounds, all
-remaining pairs of a bucket that still lie in different components are tested, so no link between buckets' members is lost.
+connected. For ``rounds`` rounds every node of a bucket that is not yet of one component is tested against one
+random member (its hub) and components are joined. Then all remaining pairs of a bucket that still lie in
+different components are tested, in blocks of bounded size, so no link that matters is lost and no group is
+expanded into rows of pairs.
 
 With 32 bands of 5, a pair at similarity 0.8 shares no bucket with probability 3e-6, one at 0.9 with 1e-12.
 
@@ -22,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +34,10 @@ from shopmill.operators.scale import durable
 PERCENT = 80
 WIDTH = 5
 BANDS, ROWS = 32, 5
-ROUNDS = 8
+ROUNDS = 2
 SEED = 77
-OPEN_PAIRS = 4  # all remaining pairs are tested once they are at most so many times the bucket entries
+BLOCK = 512  # sets of either side that one task compares with each other
+FILE_ROWS = 200_000
 CHUNK = 1 << 17  # shingles whose signatures are computed at once
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -147,27 +150,34 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(similar(F.col("sx"), F.col("sy"), percent)).select("x", "y")
 
 
+def _compact(df: DataFrame, rows: int) -> DataFrame:
+    """``durable`` in as few files as ``rows`` rows of a few numbers need."""
+    return durable(df.coalesce(rows // FILE_ROWS + 1))
+
+
 def connect(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """``labels`` (node, comp) after joining the components at the ends of ``edges`` (x, y).
 
-    Least label wins; each step spreads labels along edges and then follows them (pointer jumping), so the
-    number of steps grows with the logarithm of a component's diameter.
+    Least label wins. Each step takes the least label among a component's own, its neighbours' and its
+    label's (pointer jumping), so the number of steps grows with the logarithm of a chain's length.
     """
-    ends = labels.toDF("x", "a")
-    ends = edges.join(ends, "x").join(labels.toDF("y", "b"), "y").select("a", "b").filter("a <> b")
+    ends = edges.join(labels.toDF("x", "a"), "x").join(labels.toDF("y", "b"), "y")
+    ends = ends.select("a", "b").filter("a <> b")
     both = durable(ends.union(ends.select("b", "a")).distinct())
-    if both.isEmpty():
+    n = both.count()
+    if not n:
         return labels
-    roots = both.select("a").distinct().select("a", F.col("a").alias("low"))
+    both = _compact(both, n)
+    roots = _compact(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), n)
     while True:
-        near = both.join(roots.toDF("b", "l"), "b").groupBy("a").agg(F.min("l").alias("l"))
-        spread = roots.join(near, "a").select("a", "low", F.least("low", "l").alias("l"))
-        spread = durable(spread)
-        jump = spread.select(F.col("a").alias("l"), F.col("l").alias("m"))
-        roots_next = durable(spread.join(jump, "l", "left").select("a", "low", F.least("l", "m").alias("next")))
-        if roots_next.filter("next < low").isEmpty():
+        near = both.join(roots.toDF("b", "l"), "b").select("a", "l")
+        jump = roots.join(roots.toDF("low", "l"), "low").select("a", "l")
+        own = roots.select("a", F.col("low").alias("l"), F.col("low").alias("was"))
+        every = own.unionByName(near.union(jump), allowMissingColumns=True)
+        step = _compact(every.groupBy("a").agg(F.min("l").alias("low"), F.max("was").alias("was")), n)
+        roots = step.select("a", "low")
+        if step.filter("low < was").isEmpty():
             break
-        roots = roots_next.select("a", F.col("next").alias("low"))
     return durable(
         labels.join(roots.toDF("comp", "low"), "comp", "left").select(
             "node", F.coalesce("low", "comp").alias("comp")
@@ -175,6 +185,67 @@ def connect(labels: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _rest(still: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links ``x, y`` among all pairs of a bucket that lie in different components, tested in blocks.
+
+    ``x`` runs over the members outside the bucket's largest component, ``y`` over all members. Both
+    are dealt into blocks; a task gets one block of each with their sets, tests every pair there
+    and returns one link for each ``x`` and component. A pair is tested in the first band it shares.
+    """
+    place = ["band", "bucket"]
+    by_comp = still.groupBy(*place, "comp").agg(F.count("*").alias("m"))
+    sizes = by_comp.groupBy(*place).agg(F.sum("m").alias("all"), F.max(F.struct("m", "comp")).alias("most"))
+    # A bucket's blocks: counts of a few per bucket, not rows of pairs.
+    blocks = sizes.select(
+        *place,
+        F.col("most.comp").alias("largest"),
+        F.ceil((F.col("all") - F.col("most.m")) / block).cast("int").alias("bx"),
+        F.ceil(F.col("all") / block).cast("int").alias("by"),
+    )
+    full = nodes.select("node", "bands").join(sets, "node")
+    rows = still.select(*place, "node", "comp").join(blocks, place).join(full, "node")
+    slot = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    key = [*place, "i", "j"]
+    columns = [*key, "node", "comp", "bands", "set"]
+    outside = rows.filter("comp <> largest").withColumn("i", slot("bx")).withColumn("j", every("by"))
+    inside = rows.withColumn("j", slot("by")).withColumn("i", every("bx")).select(*columns)
+    outside = outside.select(*columns)
+
+    def test(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        x = x.set_axis(y.columns, axis=1)
+        if len(x) and len(y):
+            band = int(x["band"].iloc[0])
+            bands = np.array(y["bands"].tolist())
+            sizes = np.array([len(v) for v in y["set"]])
+            values = np.concatenate(y["set"].tolist())
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.repeat(np.arange(len(y)), sizes)[order]
+            comps, names = y["comp"].to_numpy(), y["node"].to_numpy()
+            for node, comp, own, mine in zip(x["node"], x["comp"], x["bands"], x["set"]):
+                first = (bands == np.asarray(own)).argmax(axis=1) == band
+                small, large = np.minimum(sizes, len(mine)), np.maximum(sizes, len(mine))
+                wanted = first & (comps != comp) & (100 * small >= percent * large)
+                if wanted.any():
+                    low, high = (np.searchsorted(values, mine, side) for side in ("left", "right"))
+                    n = high - low  # holders of each shingle
+                    holders = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                    common = np.bincount(owner[holders], minlength=len(y))
+                    hit = wanted & (100 * common >= percent * (sizes + len(mine) - common))
+                    for k in np.unique(comps[hit], return_index=True)[1]:
+                        links.append((node, names[hit][k]))
+        return pd.DataFrame(links, columns=["x", "y"])
+
+    return (
+        outside.toDF(*[f"x_{c}" for c in columns])
+        .groupBy(*[f"x_{c}" for c in key])
+        .cogroup(inside.groupBy(*key))
+        .applyInPandas(test, "x long, y long")
+        .distinct()
+    )
+
+
 def components(
     docs: DataFrame,
     key: str = "doc_id",
@@ -184,14 +255,18 @@ def components(
     bands: int = BANDS,
     rows: int = ROWS,
     rounds: int = ROUNDS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """``key, n_shingles, component_id`` (least key of the component) and ``text_hash`` for every row."""
     marked = durable(nodes_of(docs, key, text, width, bands, rows))
-    nodes = durable(
-        marked.filter("_node is not null")
-        .groupBy(F.col("_node").alias("node"))
-        .agg(F.first("_bands").alias("bands"), F.first("_n").alias("n"), F.min(F.struct("_key", "_t")).alias("rep"), F.min("_key").alias("least"))
+    nodes = marked.filter("_node is not null").groupBy("_node")
+    nodes = nodes.agg(
+        F.first("_bands").alias("bands"),
+        F.first("_n").alias("n"),
+        F.min(F.struct("_key", "_t")).alias("rep"),
+        F.min("_key").alias("least"),
     )
+    nodes = durable(nodes.withColumn("node", F.monotonically_increasing_id()))  # short names, written down
     entries = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = entries.groupBy("band", "bucket").agg(F.count("*").alias("m")).filter("m > 1").drop("m")
     open_entries = durable(entries.join(shared, ["band", "bucket"]).select("band", "bucket", "node", "n"))
@@ -199,12 +274,14 @@ def components(
     labels = durable(members.select("node", F.col("node").alias("comp")))
 
     # Full sets of the nodes in shared buckets, from one document of each.
-    reps = members.join(nodes, "node").select("node", F.col("rep._key").alias("_k"), F.col("rep._t").alias("_t"))
+    reps = labels.select("node").join(nodes, "node")
+    reps = reps.select("node", F.col("rep._key").alias("_k"), F.col("rep._t").alias("_h"))
     whole = text_of(text)
     source = docs.select(F.col(key).alias("_key"), whole.alias("_text"), F.xxhash64(whole).alias("_t"))
-    on = source["_t"].eqNullSafe(reps["_t"]) & source["_key"].eqNullSafe(reps["_k"])
-    found = source.join(reps, on).select("node", shingles(F.col("_text"), width).alias("set"))
-    sets = durable(found.dropDuplicates(["node"]))
+    found = source.join(reps, F.expr("_t = _h and _key <=> _k"))
+    sets = durable(
+        found.select("node", shingles(F.col("_text"), width).alias("set")).dropDuplicates(["node"])
+    )
 
     for number in range(rounds + 1):
         state = open_entries.join(labels, "node")
@@ -215,32 +292,22 @@ def components(
         )
         split = split.filter("low <> high").select("band", "bucket", "hub")
         still = durable(state.join(split, ["band", "bucket"]))
-        sizes = still.groupBy("band", "bucket", "comp").agg(F.count("*").alias("m"))
-        sizes = sizes.groupBy("band", "bucket").agg(
-            F.sum("m").cast("double").alias("all"), F.sum(F.col("m").cast("double") * F.col("m")).alias("own")
-        )
-        left = sizes.agg(F.sum("all").alias("entries"), F.sum((F.col("all") ** 2 - F.col("own")) / 2).alias("pairs")).first()
-        if not left["pairs"]:
+        if still.isEmpty():
             break
-        last = number == rounds or left["pairs"] <= OPEN_PAIRS * left["entries"]
-        if last:
-            a = still.select("band", "bucket", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-            b = still.select("band", "bucket", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
-            pairs = a.join(b, ["band", "bucket"]).filter("cx < cy")
-        else:
+        if number < rounds:
             pairs = still.filter(F.col("comp") != F.col("hub.comp")).select(
                 F.col("node").alias("x"), F.col("n").alias("nx"), F.col("hub.node").alias("y"), F.col("hub.n").alias("ny")
             )
-        edges = durable(_verified(pairs.select("x", "y", "nx", "ny").distinct(), sets, percent))
-        labels = connect(labels, edges)
-        if last:
-            break
+            edges = _verified(pairs.distinct(), sets, percent)
+        else:
+            edges = _rest(still, nodes, sets, percent, block)
+        labels = connect(labels, durable(edges))
         open_entries = still.select("band", "bucket", "node", "n")
 
-    comps = nodes.select("node", "least").join(labels, "node", "left")
-    comps = comps.select("node", "least", F.coalesce("comp", "node").alias("comp"))
+    comps = nodes.select("_node", "node", "least").join(labels, "node", "left")
+    comps = comps.select("_node", "least", F.coalesce("comp", "node").alias("comp"))
     least = comps.groupBy("comp").agg(F.min("least").alias("component_id"))
-    known = durable(comps.join(least, "comp").select(F.col("node").alias("_node"), "component_id"))
+    known = durable(comps.join(least, "comp").select("_node", "component_id"))
     return marked.join(known, "_node", "left").select(
         F.col("_key").alias(key),
         F.col("_n").alias("n_shingles"),

@@ -178,7 +178,7 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", out: str = "
         for i in range(len(FEATURES)):
             z = (F.get(x, F.lit(i)) - model.mean[i]) / model.scale[i]
             z = F.greatest(F.least(z, F.lit(6.0)), F.lit(-6.0))
-            total = total + let(z, lambda z, i=i: z * model.linear[i] + z * z * model.square[i])
+            total = total + z * model.linear[i] + z * z * model.square[i]
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
     return docs.withColumn(out, let(let(text_of(text), features), probability))

@@ -1,0 +1,114 @@
+import itertools
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shopmill.llm import chat as C
+from shopmill.llm import queries
+
+LINE = "conv_id long, turn long, line long, text string, role string, begins boolean"
+
+
+def _model():
+    r = np.random.default_rng(2)
+    logs = lambda *shape: np.log(r.dirichlet(np.ones(shape[-1]), shape[:-1]))
+    size = len(C.STATES)
+    return C.Model(logs(1, size)[0], logs(size, size), [logs(size, n) for _, n in C.FEATURES])
+
+
+def _best(model, scores):
+    """Score of the best path, by trying all."""
+    paths = itertools.product(range(len(C.STATES)), repeat=len(scores))
+    def value(p):
+        moves = sum(model.move[a, b] for a, b in zip(p, p[1:]))
+        return model.start[p[0]] + moves + sum(s[q] for s, q in zip(scores, p))
+    return max((value(p), p) for p in paths)
+
+
+def test_viterbi_and_blocks_find_the_best_path():
+    model, r = _model(), np.random.default_rng(4)
+    for n in (1, 2, 5):
+        seen = np.stack([r.integers(0, size, n) for _, size in C.FEATURES], axis=1)
+        scores = model.scores(seen)
+        _, path = _best(model, scores)
+        assert C.viterbi(model, scores).tolist() == list(path)
+        cuts = [0, *sorted({1, n // 2, n} - {0})]
+        parts = [scores[a:b] for a, b in zip(cuts, cuts[1:]) if b > a]
+        ends = C.chain([C.block_table(model, p, i == 0) for i, p in enumerate(parts)])
+        joined = [s for p, (a, b) in zip(parts, ends) for s in C.viterbi(model, p, a, b).tolist()]
+        assert joined == list(path)
+
+
+def _talk(conv, turns, seed, lost=0.2):
+    r, rows = random.Random(seed), []
+    for t in range(turns):
+        role = "system" if t == 0 and seed % 3 == 0 else ("user", "assistant")[t % 2]
+        name = {"system": "System: ", "user": "User: ", "assistant": "AI: "}[role]
+        lines = 1 if role != "assistant" else r.randrange(2, 5)
+        for i in range(lines):
+            long = 400 if role == "assistant" else 60
+            text = "word " * (long // 5) + ("?" if role == "user" else ".")
+            rows.append((conv, t, i, (name if i == 0 and r.random() > lost else "") + text, role, i == 0))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def talks(spark):
+    rows = [r for c in range(60) for r in _talk(c, 6, c)] + _talk(999, 400, 7)
+    return spark.createDataFrame(rows, LINE).repartition(4)
+
+
+def test_roles_are_recovered_also_over_many_blocks(talks):
+    model = C.fit(talks.filter("conv_id % 2 = 0"), "conv_id")
+    found = C.decode(talks, model, "conv_id").toDF("conv_id", "turn", "line", "text", "r", "b")
+    assert found.count() == talks.count()
+    both = found.join(talks, ["conv_id", "turn", "line"]).filter("conv_id % 2 = 1")
+    right = both.agg(F.avg((F.col("r") == F.col("role")).cast("int"))).first()[0]
+    assert right > 0.95
+
+
+def test_blocks_change_nothing(talks, monkeypatch):
+    model = C.fit(talks, "conv_id")
+    one = sorted(map(tuple, C.turns(C.decode(talks, model, "conv_id"), "conv_id").collect()))
+    monkeypatch.setattr(C, "BLOCK", 10**6)
+    whole = sorted(map(tuple, C.turns(C.decode(talks, model, "conv_id"), "conv_id").collect()))
+    assert one == whole
+
+
+def test_turns_are_rendered_without_markers(spark):
+    rows = [(1, 0, 0, "User: hi", "user", True), (1, 0, 1, "AI: is a word here", "user", False),
+            (1, 1, 0, "AI: yes", "assistant", True), (1, 2, 0, "more", "assistant", True)]
+    got = C.turns(spark.createDataFrame(rows, LINE), "conv_id").orderBy("turn").collect()
+    assert [(r["turn"], r["role"], r["text"]) for r in got] == [
+        (0, "user", "hi\nAI: is a word here"), (1, "assistant", "yes"), (2, "assistant", "more")
+    ]
+    assert got[1]["chat"] == "<|assistant|>\nyes\n<|end|>"
+
+
+def test_odd_rows(spark, talks):
+    model = C.fit(talks, "conv_id")
+    rows = [(None, 0, 0, "User: a"), (None, 0, 0, "AI: b"), (1, None, 0, "x"), (1, 0, None, None), (1, 0, 0, ""),
+            (1, 0, 0, ""), (1, 1, 0, "y" * 50_000), (2, 0, 0, "tie b"), (2, 0, 0, "tie a")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, line long, text string")
+    df = df.withColumns({c: F.lit(1) for c in ("role", "seen", "_block", "opens")})
+    decoded = C.decode(df, model, "conv_id")
+    assert decoded.count() == len(rows) - 1  # equal rows once
+    turns = C.turns(decoded, "conv_id").collect()
+    assert {r["conv_id"] for r in turns} == {None, 1, 2}
+    assert sum(r["conv_id"] is None for r in turns) == 2  # a transcript each
+    assert C.turns(C.decode(df.limit(0), model, "conv_id"), "conv_id").count() == 0
+    assert C.fit(talks.limit(0), "conv_id").move.shape == (6, 6)
+
+
+def test_query_recovers_held_out_roles(spark):
+    folder = "/root/testdata/sf0.001"
+    talks = spark.read.parquet(f"{folder}/conversations.parquet")
+    rows = queries.QUERIES["op4_chat"](spark, folder)
+    odd = F.pmod(F.crc32(F.encode(F.col("conv_id").cast("string"), "utf-8")), F.lit(2)) == 1
+    assert rows.select("conv_id").distinct().count() == talks.select("conv_id").distinct().count()
+    true = talks.filter(odd).groupBy("role").count().collect()
+    got = {r["role"]: r["count"] for r in rows.filter(odd).groupBy("role").count().collect()}
+    for r in true:
+        assert abs(got.get(r["role"], 0) - r["count"]) <= 0.2 * r["count"] + 3

@@ -1,0 +1,123 @@
+"""Held-out quality of the two classifiers, and their odd inputs."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest_llm import prose
+from shopmill.llm import pu_quality as U
+from shopmill.llm import queries
+from shopmill.llm import toxicity as T
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def _held_out(spark, name, label):
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").select("doc_id", F.col(label).alias("y"))
+    rows = queries.QUERIES[name](spark, FOLDER)
+    assert rows.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    return rows.filter("held_out").join(labels, "doc_id").collect()
+
+
+def test_quality_on_held_out_rows(spark):
+    rows = _held_out(spark, "op6_pu_quality", "quality")
+    right = sum(r["predicted"] == r["y"] for r in rows)
+    assert right >= 0.95 * len(rows) and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    rows = _held_out(spark, "op8_toxicity", "toxic")
+    clean = [r for r in rows if r["y"] == 0]
+    assert sum(r["predicted"] for r in clean) <= 0.02 * len(clean)
+    assert np.mean([r["score"] for r in rows if r["y"]]) > 4 * np.mean([r["score"] for r in clean])
+
+
+def test_prior_and_risk(spark):
+    r = np.random.default_rng(1)
+    good, bad = (lambda n: r.normal(2, 1, (n, 3))), (lambda n: r.normal(-2, 1, (n, 3)))
+    model = U.fit_arrays(good(1000), np.concatenate([good(1400), bad(600)]))
+    assert abs(model.prior - 0.7) < 0.08
+
+    def scores(x):
+        z = np.clip((x - np.array(model.mean)) / np.array(model.scale), -6, 6)
+        return z @ np.array(model.linear) + (z * z) @ np.array(model.square) + model.bias
+
+    assert (scores(good(500)) > 0).mean() > 0.97 and (scores(bad(500)) < 0).mean() > 0.97
+
+
+def test_quality_features_of_odd_rows(spark, odd, empty):
+    every = F.lit(True)
+    none = U.fit(odd, spark.createDataFrame([], "doc_id long"), every)
+    assert none is None and {r["score"] for r in U.score(odd, none).collect()} == {0.5}
+    junk = [(100 + i, " ".join(w + "$$$" for w in prose(i, 50).split())) for i in range(60)]
+    good = [(200 + i, prose(i, 60)) for i in range(120)]
+    df = odd.unionAll(spark.createDataFrame(junk + good, "doc_id long, text string"))
+    model = U.fit(df, spark.createDataFrame([(200 + i,) for i in range(60)], "doc_id long"), every)
+    scored = U.score(df.withColumns({c: F.lit(9) for c in ("score", "x", "symbols")}), model)
+    by_id = {r["doc_id"]: r["score"] for r in scored.collect()}
+    assert all(0 <= s <= 1 for s in by_id.values()) and scored.count() == df.count()
+    assert min(by_id[200 + i] for i in range(60, 120)) > max(by_id[100 + i] for i in range(60))
+    assert U.score(empty, model).count() == 0
+
+
+def _slow_kernel(s, t, n, decay):
+    """Common subsequences by listing all, each weighted by the stretches it spans."""
+    import itertools
+
+    def spans(x):
+        out = {}
+        for at in itertools.combinations(range(len(x)), n):
+            u = "".join(x[i] for i in at)
+            out[u] = out.get(u, 0.0) + decay ** (at[-1] - at[0] + 1)
+        return out
+
+    a, b = spans(s), spans(t)
+    return sum(w * b.get(u, 0.0) for u, w in a.items())
+
+
+def test_kernel_equals_its_definition():
+    strings = ["idiot", "idixot", "xidiotx", "loser", "closer", "ab", "", "aaaa"]
+    got = T.kernel(strings, ["idiot", "loser", "aaaa"], block=3)
+    for i, s in enumerate(strings):
+        for j, t in enumerate(["idiot", "loser", "aaaa"]):
+            own = _slow_kernel(s, s, 3, T.DECAY) * _slow_kernel(t, t, 3, T.DECAY)
+            want = _slow_kernel(s, t, 3, T.DECAY) / own**0.5 if own else 0.0
+            assert got[i, j] == pytest.approx(want, abs=1e-4)
+
+
+INSULTS = ["idiot", "worthless", "pathetic", "stupid", "moron"]
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    docs, labels = [], []
+    for i in range(200):
+        r = random.Random(i)
+        words = prose(i, 60).split()
+        if i % 4 == 0:
+            for _ in range(4):
+                words.insert(r.randrange(len(words)), r.choice(INSULTS))
+        docs.append((i, " ".join(w + ("." if k % 9 == 8 else "") for k, w in enumerate(words))))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    return T.fit(docs, spark.createDataFrame(labels + [(None, 1), (5, None)], "doc_id long, toxic int"))
+
+
+def test_altered_insults_are_found_and_prose_is_not(spark, toxic_model):
+    texts = ["you Idiot!", "what an id-iot", "i d i o t", "1d10t", "wor.th.less stuff", "stupixd", "path***etic", "m_o_r_o_n"]
+    clean = [prose(i + 700, 40) for i in range(20)] + ["", None, "a b c d e f", "12 34"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(clean)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit(1))
+    got = {r["doc_id"]: r["score"] for r in T.score(df, toxic_model).collect()}
+    assert all(got[i] >= 0.5 for i in range(len(texts))), got
+    assert all(got[100 + i] < 0.5 for i in range(len(clean)))
+
+
+def test_toxicity_of_odd_rows(spark, odd, empty, toxic_model):
+    assert T.score(odd, toxic_model).count() == odd.count()
+    assert T.score(empty, toxic_model).count() == 0
+    none = T.fit(odd, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert len({r["score"] for r in T.score(odd, none).collect()}) == 1
+    assert T.windows("a" * 100)[0] == "a" * T.WINDOW and "".join(T.windows("abc")) == "abc"

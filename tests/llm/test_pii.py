@@ -1,0 +1,77 @@
+import pytest
+from pyspark.sql import functions as F
+
+from brute import pii_base, sha
+from conftest_llm import ODD, prose
+from shopmill.llm import pii as P
+from shopmill.llm import queries
+
+TEXTS = [
+    "a@b.c d@e.f@g.h x@y@z.com _a.b-c%+d@q-1.w_a@q.r .@a.b @a.b a@b", "1.2.3.4.5.6.7.8 256.1.1.1 0.0.0.0255 1.2.3",
+    "4111 1111 1111 1111 4111-1111-1111-1111 41111111111111 4111 1111 1111 1112 5500005555555559 5500005555555559",
+    "+1 (437) 555-0689 +44 20 7946 0958. +123 +1-2-3-4-5-6-7-8-9-0-1-2-3-4-5-6 ++49 (0) 30 123456 +", "é" * 50 + "x@y.zz",
+    "1" * 3000 + " " + "a" * 3000 + "@" + "b." * 2000 + "c", "9.9." * 500, "+" * 500, "a@" * 800, "12-34 " * 700,
+]
+
+
+def test_base_spans_equal_brute_force(spark):
+    docs = ODD + [(100 + i, t) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("spans", F.lit(1))
+    for r in P.mark(df, P.fit(df)).collect():
+        base = [(s["kind"], s["start"], s["end"]) for s in r["spans"] if s["base"]]
+        assert base == pii_base(r["text"])
+
+
+def _corpus():
+    docs = []
+    for i in range(120):
+        docs.append((i, f"{prose(i, 8)} call +1 (437) 555-{1000 + i} or write to me{i}@mail.com {prose(i + 500, 5)}"))
+        docs.append((1000 + i, f"{prose(i + 900, 6)} phone (437) 555-{1000 + i} and {prose(i, 4)}"))
+        docs.append((2000 + i, f"{prose(i + 50, 6)} page 100.200.{3000 + i} order 555.{i:03}.1234 % of {10**15 + i * 7919}"))
+    docs += [(5000, "reach me: jane.doe [at] mail [dot] com please"), (5001, "mobile (212) 555-0199 today")]
+    docs += [(5002, "order 555.123.9999 was late"), (5003, "total 1234567890123456 units")]
+    return docs
+
+
+def test_classifier_adds_what_looks_personal_and_leaves_the_rest(spark):
+    docs = _corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in P.mark(df, P.fit(df)).collect()}
+    extra = {k: [r["text"][s["start"] : s["end"]] for s in r["spans"] if not s["base"]] for k, r in rows.items()}
+    assert extra[5000] == ["jane.doe [at] mail [dot] com"] and extra[5001] == ["(212) 555-0199"]
+    assert extra[5002] == [] and extra[5003] == []
+    assert sum(bool(extra[1000 + i]) for i in range(120)) == 120
+    assert sum(bool(extra[2000 + i]) for i in range(120)) == 0
+
+
+def test_reliabilities_learn_from_agreement(spark):
+    """A labeler that contradicts the others ends less reliable than they do."""
+    rows = [([1, 1, 1, 0, 0, 0, 1, -1], 900), ([-1, -1, 0, 0, -1, -1, 0, 0], 900), ([1, 1, 0, 0, 0, 0, 1, 0], 50)]
+    prior, shares = P.estimate(spark.createDataFrame(rows, "votes array<int>, n long"))
+    assert 0.4 < prior < 0.65
+    assert shares[0][1][0] > 0.95 and shares[0][1][1] < 0.1  # shape votes yes on the personal ones
+    assert shares[7][-1][0] > shares[7][-1][1]  # edges votes no on them
+
+
+def test_running_sums(spark):
+    df = spark.createDataFrame([([1] * 1000,), ([],), ([3, 4],)], "a array<int>")
+    got = [r[0] for r in df.select(P.running(F.col("a"))).collect()]
+    assert got == [list(range(1000)), [], [0, 3]]
+
+
+def test_native_and_empty(spark, odd, empty, tmp_path):
+    model = P.fit(empty)
+    assert P.mark(empty, model).count() == 0
+    plan = P.mark(odd, model)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    spark.createDataFrame([(1, "x a@b.cc 1.2.3.4")], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    row = queries.QUERIES["op3_pii"](spark, str(tmp_path)).first()
+    assert row["spans"] == "email:2:8,ip:9:16" and row["base_sha256"] == sha("email:2:8,ip:9:16")
+    assert (row["n_email"], row["n_ip"], row["n_card"], row["n_phone"]) == (1, 1, 0, 0)
+
+
+@pytest.mark.parametrize("kind", P.KINDS)
+def test_kinds_are_the_contracts(kind):
+    assert kind in ("email", "ip", "card", "phone")
