@@ -5,24 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmill.operators.scale import lookup_join, small_table
-
-DOCUMENT_LINES = 10_000
-CONTINUATION = "ORDER_LINES"  # event_type of a document that only carries more lines of an order
-
 
 def _day(path: str):
     return F.try_to_date(F.col(path))
 
 
-def headers(events: DataFrame) -> DataFrame:
-    """Events without the documents that only continue an order's lines."""
-    return events.filter(~F.col("metadata.event_type").eqNullSafe(CONTINUATION))
-
-
 def event_orders(events: DataFrame) -> DataFrame:
     """Order header with the event's metadata."""
-    return headers(events).select(
+    return events.select(
         F.col("order.OrderID").alias("orderid"),
         F.col("order.CustomerID").alias("customerid"),
         _day("order.OrderDate").alias("orderdate"),
@@ -76,7 +66,7 @@ def event_shipments(events: DataFrame) -> DataFrame:
 
 
 def event_summary(events: DataFrame) -> DataFrame:
-    return headers(events).select(F.col("order.OrderID").alias("orderid"), "summary.*")
+    return events.select(F.col("order.OrderID").alias("orderid"), "summary.*")
 
 
 def _iso(column: str):
@@ -89,26 +79,13 @@ def nest_events(
     payments: DataFrame,
     shipments: DataFrame,
     summary: DataFrame,
-    max_lines: int = DOCUMENT_LINES,
 ) -> DataFrame:
     """One event per order from flat tables (the inverse of the ``event_*`` functions).
 
     ``orders`` may carry event_id, event_type, event_timestamp and source. At most one payment,
-    shipment and summary row per order. The lines of an order with more than ``max_lines`` of them
-    are shared out over its event and continuation documents, so no row holds an unbounded list.
+    shipment and summary row per order. An order is one document whatever its number of lines; the order
+    service admits few, and ``quality.request_rules`` reports orders that have more.
     """
-    per_order = lines.groupBy("orderid").agg(F.count("*").alias("n"))
-    oversize = per_order.filter(F.col("n") > max_lines).select(
-        "orderid", F.ceil(2 * F.col("n") / F.lit(max_lines)).cast("int").alias("_parts")
-    )
-    any_oversize = small_table(oversize, 1)
-    by = ["orderid"]
-    split = False
-    if any_oversize is None or any_oversize.count():
-        slot = F.pmod(F.xxhash64("orderdetailid", "productid"), F.coalesce("_parts", F.lit(1)))
-        lines = lookup_join(lines, oversize, "orderid").withColumn("_part", slot)
-        by.append("_part")
-        split = True
     detail = F.struct(
         F.col("orderdetailid").alias("OrderDetailID"),
         F.col("orderid").alias("OrderID"),
@@ -117,10 +94,9 @@ def nest_events(
         F.col("unitprice").alias("UnitPrice"),
         F.col("discount").alias("Discount"),
     )
-    documents = lines.groupBy(*by).agg(
+    documents = lines.groupBy("orderid").agg(
         F.sort_array(F.collect_list(detail)).alias("order_details")
     )
-    first = documents.filter("_part = 0").drop("_part") if split else documents
     paid = payments.select(
         "orderid",
         F.struct(
@@ -158,8 +134,8 @@ def nest_events(
             F.col("status").alias("Status"),
         ).alias("order"),
     )
-    events = (
-        header.join(first, "orderid", "left")
+    return (
+        header.join(documents, "orderid", "left")
         .join(paid, "orderid", "left")
         .join(sent, "orderid", "left")
         .join(sums, "orderid", "left")
@@ -173,25 +149,3 @@ def nest_events(
             "summary",
         )
     )
-    if not split:
-        return events
-    known = documents.filter("_part > 0").join(orders.select("orderid"), "orderid", "left_semi")
-    named = F.concat_ws("-", F.lit("lines"), "orderid", "_part")
-    more = {"event_id": named, "event_type": F.lit(CONTINUATION)}
-    only_id = {"OrderID": F.col("orderid")}
-    return events.unionByName(
-        known.select(
-            _partial(events, "metadata", more).alias("metadata"),
-            _partial(events, "order", only_id).alias("order"),
-            "order_details",
-            *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in events.columns[3:]],
-        )
-    )
-
-
-def _partial(events: DataFrame, struct: str, given: dict):
-    """A struct of the events' type with only the given fields filled."""
-    fields = events.schema[struct].dataType.fields
-    return F.struct(
-        *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
-    )

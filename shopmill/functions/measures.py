@@ -53,7 +53,8 @@ def to_cents(amount: Column) -> Column:
 
 def from_cents(cents: Column, precision: int = 14) -> Column:
     """Decimal amount of whole cents."""
-    return (cents.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast(f"decimal({precision},2)")
+    wide = cents.cast("decimal(18,0)" if precision <= 18 else "decimal(38,0)")
+    return (wide * F.lit(Decimal("0.01"))).cast(f"decimal({precision},2)")
 
 
 def rounded_amounts(quantity: Column, price: Column, percent: Column) -> dict[str, Column]:

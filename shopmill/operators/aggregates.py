@@ -15,21 +15,31 @@ from pyspark.sql import types as T
 from shopmill.functions.measures import customer_segment, from_cents, to_cents
 from shopmill.operators.scale import skew_join
 
-TOTAL = "decimal(18,2)"
+TOTAL = "decimal(38,2)"
+WIDE = "decimal(38,0)"
+MILLION = 1_000_000
 
 
 def cents(column: str, alias: str | None = None) -> Column:
-    """Sum of a stored amount (decimal, two places, up to 15 digits) as long cents."""
-    return F.sum(to_cents(F.col(column))).alias(alias or column)
+    """Sum of a stored amount (decimal, two places, up to 15 digits) as whole cents, ``decimal(38,0)``.
+
+    Millions of cents and the rest are summed apart as longs, which stay primitive in generated code and
+    hold 10^10 rows of the largest amount in one group; only the two sums are decimals.
+    """
+    whole = to_cents(F.col(column))
+    high = F.sum(F.call_function("div", whole, F.lit(MILLION))).cast("decimal(31,0)")
+    low = F.sum(whole % MILLION)
+    return (high * F.lit(MILLION) + low).cast(WIDE).alias(alias or column)
 
 
 def total(df: DataFrame, column: str, alias: str | None = None) -> Column:
-    """Exact money sum in one fixed type. An integer column holds cents already summed."""
+    """Exact money sum, ``decimal(38,2)``. A column without decimal places holds cents already summed."""
     kind = df.schema[column].dataType
-    if isinstance(kind, T.IntegralType):
-        summed = from_cents(F.sum(column), 18)
-    elif isinstance(kind, T.DecimalType) and kind.precision <= 15 and kind.scale <= 2:
-        summed = from_cents(cents(column), 18)
+    decimal = isinstance(kind, T.DecimalType)
+    if isinstance(kind, T.IntegralType) or decimal and kind.scale == 0:
+        summed = from_cents(F.sum(F.col(column).cast(WIDE)), 38)
+    elif decimal and kind.precision <= 15 and kind.scale <= 2:
+        summed = from_cents(cents(column), 38)
     else:
         summed = F.sum(column).cast(TOTAL)
     return summed.alias(alias or column)
@@ -83,9 +93,18 @@ def sales_by(sales: DataFrame, keys: Sequence[str], measure: str = "cents") -> D
     return sales.groupBy(*keys).agg(total(sales, measure, "total_sales"))
 
 
+def sales_by_customer(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Sales per customer over lines of known orders and known products.
+
+    Lines are cut to known products before they are summed per order.
+    """
+    known = skew_join(lines, products, "productid", "left_semi", "right")
+    return sales_by(order_sales(orders, known), ["customerid"])
+
+
 def sales_by_product(lines: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Sales per known product over lines of known orders, with the product's category."""
-    known = skew_join(lines, orders, "orderid", "left_semi", left_id=["orderdetailid"])
+    known = skew_join(lines, orders, "orderid", "left_semi", "right")
     per_product = known.groupBy("productid").agg(total(known, "total_amount", "total_sales"))
     return per_product.join(products.select("productid", "categoryid"), "productid")
 

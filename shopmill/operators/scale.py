@@ -1,252 +1,140 @@
-"""Building blocks that keep joins and rankings whole and balanced when one key is huge.
+"""Building blocks that keep joins, rankings and intermediates whole and balanced.
 
-Every helper first measures; the special path is taken only when the data asks for it.
+Plans stay lazy and declarative: Spark's own statistics and thresholds decide on broadcasts, and
+adaptive execution splits the hot partitions of a join by bytes at run time.
 """
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LOOKUP_ROWS = 10_000  # a table of more rows is not fetched for a broadcast
-HOT_SHARE = 0.001  # a key with this share of the rows is hot ...
-HOT_ROWS = 100_000  # ... if it also has this many
-
+BOUNDARIES = 1024  # ranges that a global rank is cut into
+COARSE = 32
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for written intermediates: the session's ``spark.checkpoint.dir``.
+    """This session's own folder under ``spark.checkpoint.dir``, for written intermediates.
 
-    Without that setting a local session gets a fresh temporary folder; a cluster must name one.
+    The setting must name a folder that all executors share. Where it is unset, a session on one
+    machine gets a temporary folder and a cluster is refused. ``release`` removes the folder.
     """
+    app = spark.sparkContext.applicationId
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named
+        return f"{named.rstrip('/')}/shopmill-{app}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="shopmill-")
     return _LOCAL_ROOTS[app]
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
-    path = f"{checkpoint_root(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
+def scratch(spark: SparkSession) -> str:
+    """A new path for one intermediate."""
+    return f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
 
-def small_table(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
-    """``df`` as a local relation when it has at most ``max_rows`` rows, else None.
 
-    Fetches no more than ``max_rows + 1`` rows.
-    """
-    max_rows = LOOKUP_ROWS if max_rows is None else max_rows
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies, through Hadoop's file system of its scheme."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the planner's own size estimate lets it broadcast ``df``."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+def release(spark: SparkSession) -> None:
+    """Delete all intermediates of this session, once nothing reads them any more."""
+    remove(spark, checkpoint_root(spark))
 
 
-def hot_keys(
-    df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> dict:
-    """Keys holding at least ``share`` of all rows (and ``min_rows``) with their estimated counts.
-
-    One pass over the key column with a frequent-items sketch; at most ``1 / share`` keys return.
-    NULL is reported under None.
-    """
-    k = math.ceil(1 / share)
-    row = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {k}, {10 * k})").alias("top"),
-        F.count("*").alias("n"),
-        F.count_if(F.col(key).isNull()).alias("nulls"),
-    ).first()
-    floor = max(min_rows, share * row["n"])
-    hot = {t["item"]: t["count"] for t in row["top"] or [] if t["count"] >= floor}
-    if row["nulls"] >= floor:
-        hot[None] = row["nulls"]
-    return hot
-
-
-def _splits(hot: dict, share: float, min_rows: int) -> int:
-    if not hot:
-        return 1
-    biggest = max(hot.values())
-    return max(2, min(512, math.ceil(biggest / min_rows), math.ceil(1 / share)))
-
-
-def _is_hot(key: str, hot: dict) -> Column:
-    keys = [k for k in hot if k is not None]
-    listed = F.coalesce(F.col(key).isin(keys), F.lit(False)) if keys else F.lit(False)
-    return listed | F.col(key).isNull() if None in hot else listed
-
-
-def _spread(df: DataFrame, key: str, hot: dict, n: int, by: Sequence[str]) -> Column:
-    if not hot:
-        return F.lit(0)
-    # A hash of the row's identity, not rand(): a re-run task must place each row as before.
-    slot = F.pmod(F.xxhash64(*(by or df.columns)), F.lit(n)).cast("int")
-    return F.when(_is_hot(key, hot), slot).otherwise(F.lit(0))
+def durable(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
+    path = path or scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _copies(key: str, hot: dict, n: int) -> Column:
-    if not hot:
-        return F.lit(0)
-    every = F.sequence(F.lit(0), F.lit(n - 1))
-    return F.explode(F.when(_is_hot(key, hot), every).otherwise(F.array(F.lit(0))))
+@contextmanager
+def kept(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``durable`` for the length of a block; what it wrote is removed at the end."""
+    home = scratch(spark)
+    try:
+        yield lambda df: durable(df, f"{home}/{uuid.uuid4().hex}")
+    finally:
+        remove(spark, home)
 
 
 def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    left_id: Sequence[str] = (),
-    right_id: Sequence[str] = (),
-    unique: str | None = None,
-    measure_on: DataFrame | None = None,
-    share: float | None = None,
-    min_rows: int | None = None,
-    measure: bool | None = None,
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", unique: str | None = None
 ) -> DataFrame:
-    """Equi-join on ``key`` that splits hot keys of either side over many tasks.
+    """Equi-join on ``key`` that stays balanced when one key holds a large part of either side.
 
-    ``how``: inner, left, left_semi or left_anti. ``left_id`` / ``right_id`` name columns that
-    tell rows of one key apart. ``unique`` names the side ("left" or "right") known to have one
-    row per key, which then needs no measuring. ``measure_on`` is a cheaper frame with the left
-    side's key distribution, for a left side that is itself a join.
-
-    When a side is small enough for the planner to broadcast, or no key is hot, this is the plain
-    join. Otherwise rows of a hot key get a slot from their id and the other side's rows of that
-    key are repeated once per slot: each pair meets exactly once.
+    ``how``: inner, left, left_semi or left_anti. Adaptive execution splits hot keys of the left
+    side in each of these, and of the right side in an inner join. It can not split the right side of
+    an outer join, so unless the right side has one row per key (``unique="right"``), a left join is
+    an inner join and the unmatched rest, which see the right side's distinct keys only.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if measure is None:
-        measure = not (fits_broadcast(right) or (how == "inner" and fits_broadcast(left)))
-    if not measure:
-        return left.join(right, key, how)
-
-    share, min_rows = share or HOT_SHARE, min_rows or HOT_ROWS
-    left_unique = unique == "left"
     if how in ("left_semi", "left_anti"):
-        right, unique = right.select(key).distinct(), "right"
-    source = left if measure_on is None else measure_on
-    hot_left = {} if left_unique else hot_keys(source, key, share, min_rows)
-    hot_right = {} if unique == "right" else hot_keys(right, key, share, min_rows)
-    hot_right.pop(None, None)  # a NULL key on the right matches nothing
-    if how in ("inner", "left_semi"):
-        hot_left.pop(None, None)
-    elif measure_on is not None:
-        hot_left.setdefault(None, min_rows)  # NULLs made by an earlier join are not in the source
-    if not hot_left and not hot_right:
+        keys = right.select(key)
+        return left.join(keys if unique == "right" else keys.distinct(), key, how)
+    if how == "inner" or unique == "right":
         return left.join(right, key, how)
+    matched = left.join(right, key)
+    rest = left.join(right.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(rest, allowMissingColumns=True)
 
-    nl, nr = _splits(hot_left, share, min_rows), _splits(hot_right, share, min_rows)
-    matched = {k: v for k, v in hot_left.items() if k is not None}
-    spread_left = left.withColumn("_l", _spread(left, key, hot_left, nl, left_id))
-    spread_left = spread_left.withColumn("_r", _copies(key, hot_right, nr))
-    spread_right = right.withColumn("_r", _spread(right, key, hot_right, nr, right_id))
-    spread_right = spread_right.withColumn("_l", _copies(key, matched, nl))
-    on = [key, "_l", "_r"]
-    if how != "left" or not hot_right:
-        return spread_left.join(spread_right, on, how).drop("_l", "_r")
-    # A key hot on the right exists there, so its unmatched copies are artefacts of the slots.
-    joined = spread_left.join(spread_right.withColumn("_hit", F.lit(True)), on, "left")
-    return joined.filter(~(_is_hot(key, hot_right) & F.col("_hit").isNull())).drop(
-        "_l", "_r", "_hit"
-    )
 
+def same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """NULL-safe equality of columns by pairs."""
+    return reduce(and_, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
 
-def lookup_join(
-    df: DataFrame, dim: DataFrame, key: str, how: str = "left", unique: str = "right"
-) -> DataFrame:
-    """Join a table of unknown size: broadcast when small by the planner's estimate or when
-    measured small, skew-safe otherwise. ``unique`` as in ``skew_join``."""
-    if fits_broadcast(dim):
-        return df.join(dim, key, how)
-    small = small_table(dim)
-    if small is None:
-        return skew_join(df, dim, key, how, unique=unique)
-    return df.join(F.broadcast(small), key, how)  # at most LOOKUP_ROWS rows
-
-
-def global_rank(
-    df: DataFrame, score: str, tie: Sequence[str], out: str = "rank", buckets: int | None = None
-) -> DataFrame:
+
+def _range_of(score: str, bounds: list) -> Column:
+    """How many of the descending ``bounds`` lie above the score; NULL comes after all."""
+    if not bounds:
+        return F.lit(0)
+    above = lambda listed: F.size(F.filter(listed, lambda b: b > F.col(score)))
+    every = F.array(*[F.lit(b) for b in bounds])
+    coarse = above(F.array(*[F.lit(b) for b in bounds[COARSE - 1 :: COARSE]]))
+    fine = above(F.slice(every, coarse * COARSE + 1, F.lit(COARSE)))
+    return F.when(F.col(score).isNull(), len(bounds)).otherwise(coarse * COARSE + fine)
+
+
+def global_rank(df: DataFrame, score: str, out: str = "rank", ranges: int = BOUNDARIES) -> DataFrame:
     """``rank() over (order by score desc nulls last)`` without moving all rows to one task.
 
-    Rows are range-partitioned by (score, tie), so even a score shared by a third of the rows is
-    cut into balanced buckets. The bucket number is written down once, because a re-planned range
-    shuffle may sample other bounds. Each bucket is ranked on its own; one summary row per bucket
-    supplies how many rows precede it and how many of those share its first score.
+    Only distinct scores with their counts are ranked: a sample of them (those of least hash, at
+    most ``ranges``) cuts the score's domain into ranges of about equal numbers, each range is summed on
+    its own, one row per range supplies what precedes it, and ranks join back to the rows by score.
+    The sample is fetched while the plan is built; nothing is written.
     """
-    order = [F.col(score).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie]]
-    split = (buckets, *order) if buckets else order  # without a number, small ranges coalesce
-    ranged = durable(
-        df.repartitionByRange(*split).withColumn("_bucket", F.spark_partition_id())
-    )
-
-    counts = ranged.groupBy("_bucket", score).agg(F.count("*").alias("c"))
-    summary = counts.groupBy("_bucket").agg(
-        F.sum("c").alias("rows"),
-        F.max(score).alias("first"),
-        F.min(score).alias("low"),
-        F.min_by("c", score).alias("low_rows"),
-        F.sum(F.when(F.col(score).isNull(), F.col("c"))).alias("null_rows"),
-    )
-    summary = summary.select(
-        "_bucket",
-        "rows",
-        "first",
-        F.when(F.col("null_rows").isNull(), F.col("low")).alias("last"),
-        F.coalesce("null_rows", "low_rows").alias("last_rows"),
-    )
-    # Windows over one row per bucket: as many rows as shuffle partitions, whatever ``df`` holds.
-    line = Window.orderBy("_bucket")
-    same_end = Window.partitionBy("last").orderBy("_bucket")
-    offsets = (
-        summary.withColumn("_run", F.sum("last_rows").over(same_end))
-        .withColumns(
-            {
-                "_before": F.coalesce(
-                    F.sum("rows").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-                ),
-                "_prev_last": F.lag("last").over(line),
-                "_prev_run": F.lag("_run").over(line),
-            }
-        )
-        .select(
-            "_bucket",
-            "_before",
-            F.col("first").alias("_first"),
-            F.when(F.col("first").eqNullSafe(F.col("_prev_last")), F.col("_prev_run"))
-            .otherwise(F.lit(0))
-            .alias("_carry"),
-        )
+    counts = df.groupBy(score).agg(F.count("*").alias("_c"))
+    known = counts.filter(F.col(score).isNotNull()).select(score)
+    sample = known.orderBy(F.xxhash64(score), score).limit(ranges - 1).collect()
+    bounds = sorted((r[0] for r in sample), reverse=True)
+    ranged = counts.withColumn("_range", _range_of(score, bounds))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_range").agg(F.sum("_c").alias("_total"))  # one row a range
+    offsets = offsets.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    inside = (
+        Window.partitionBy("_range")
+        .orderBy(F.col(score).desc_nulls_last())
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    local = Window.partitionBy("_bucket").orderBy(F.col(score).desc_nulls_last())
-    ranked = ranged.withColumn("_local", F.rank().over(local))
-    carry = F.when(F.col(score).eqNullSafe(F.col("_first")), F.coalesce("_carry", F.lit(0)))
-    place = F.col("_before") + F.col("_local") - F.coalesce(carry, F.lit(0))
-    return (
-        ranked.join(F.broadcast(offsets), "_bucket")  # one row per bucket
-        .withColumn(out, place.cast("long"))
-        .select(*df.columns, out)
+    ahead = F.coalesce(F.sum("_c").over(inside), F.lit(0))
+    ranks = ranged.withColumn("_ahead", ahead).join(F.broadcast(offsets), "_range")
+    ranks = ranks.select(
+        F.col(score).alias("_score"), (F.col("_before") + F.col("_ahead") + 1).cast("long").alias(out)
     )
+    return df.join(ranks, same([score], ["_score"])).select(*df.columns, out)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmill.functions.cleaning import dedup
-from shopmill.operators.scale import lookup_join
+from shopmill.operators.scale import skew_join
 
 
 def unify(
@@ -34,7 +34,7 @@ def unify(
         historical, incoming = historical.dropna(subset=list(keys)), incoming.dropna(subset=list(keys))
     if historical_is_unique and len(keys) == 1 and not keep_null_keys:
         replaced = incoming.select(*keys).distinct()
-        kept = lookup_join(historical.select(*columns), replaced, keys[0], "left_anti", "left")
+        kept = skew_join(historical.select(*columns), replaced, keys[0], "left_anti", "right")
         return kept.unionByName(dedup(incoming, keys, latest).select(*columns))
 
     extra = sorted({c for c in incoming.columns if c not in columns} if latest else set())

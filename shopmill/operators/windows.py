@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopmill.operators.scale import durable, fits_broadcast, global_rank, small_table
+from shopmill.operators.scale import global_rank, same
 
 
 def pick_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
@@ -30,40 +28,43 @@ def rank_in_group(
 ) -> DataFrame:
     """``rank() <= max_rank`` within each group, all ties kept, no group gathered in one task.
 
-    The ``max_rank`` best scores of a group (at most that many values) decide both who passes and
-    each passer's rank, so the rows themselves never shuffle by group.
+    The distinct scores of a group with their counts are cut to the ``max_rank`` best, which decide
+    the ranks, and join back to the rows by group and score.
     """
-    if not fits_broadcast(df):
-        df = durable(df)  # read twice below; do not compute it twice
-    leaders = top_n_per_group(
-        df.select(*keys, score), keys, [F.col(score).desc_nulls_last()], max_rank
+    counts = df.groupBy(*keys, score).agg(F.count("*").alias("_c"))
+    best = top_n_per_group(counts, keys, [F.col(score).desc_nulls_last()], max_rank, "_n")
+    ahead = (
+        Window.partitionBy(*keys).orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
     )
-    best = leaders.groupBy(*keys).agg(F.collect_list(score).alias("_best"))
-    bound = best if fits_broadcast(best) else small_table(best)
-    if bound is None:
-        whole = Window.partitionBy(*keys).orderBy(F.col(score).desc_nulls_last())
-        return df.withColumn(out, F.rank().over(whole)).filter(F.col(out) <= max_rank)
-    bound = bound.withColumnsRenamed({k: f"_{k}" for k in keys})  # small by either check
-    same_group = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    above = F.size(F.filter("_best", lambda b: b > F.col(score)))
-    rank = F.when(F.col(score).isNull(), F.size("_best")).otherwise(above) + 1
-    passed = df.join(F.broadcast(bound), same_group).withColumn(out, rank).filter(F.col(out) <= max_rank)
-    return passed.select(*df.columns, out)
-
-
-def ranked(df: DataFrame, score: str, tie: Sequence[str], out: str = "rank") -> DataFrame:
+    ranks = best.withColumn(out, (F.coalesce(F.sum("_c").over(ahead), F.lit(0)) + 1).cast("int"))
+    ranks = ranks.filter(F.col(out) <= max_rank)
+    names = [f"_{c}" for c in (*keys, score)]
+    ranks = ranks.select(*[F.col(c).alias(n) for c, n in zip((*keys, score), names)], out)
+    return df.join(ranks, same((*keys, score), names)).select(*df.columns, out)
+
+
+def ranked(df: DataFrame, score: str, out: str = "rank") -> DataFrame:
     """Global rank by descending score (see ``scale.global_rank``)."""
-    return global_rank(df, score, tie, out)
+    return global_rank(df, score, out)
 
 
 def running_total(df: DataFrame, order: str, value: str, out: str = "running_total") -> DataFrame:
-    """Cumulative sum. Input is one row per day or month, so the single ordered pass is short."""
-    window = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn(out, F.sum(value).over(window))
+    """Cumulative sum over one row per day or month.
+
+    Rows of one day are summed first, so the single ordered pass sees days, whatever ``df`` holds; they
+    then share the total that the day ends with.
+    """
+    window = Window.orderBy("_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_day = df.groupBy(F.col(order).alias("_o")).agg(F.sum(value).alias("_v"))
+    totals = per_day.select("_o", F.sum("_v").over(window).alias(out))
+    return df.join(totals, same([order], ["_o"])).drop("_o")
 
 
 def period_growth(df: DataFrame, order: Sequence[str], value: str) -> DataFrame:
-    """Previous period with data, difference and growth in percent (NULL after a zero period)."""
+    """Previous period with data, difference and growth in percent (NULL after a zero period).
+
+    ``df`` is one row per period, an aggregate by ``order``; periods are as few as months are.
+    """
     previous = F.lag(value).over(Window.orderBy(*order))
     step = df.withColumn("prev_sales", previous)
     diff = F.col(value) - F.col("prev_sales")

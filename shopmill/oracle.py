@@ -85,7 +85,7 @@ CTES = {
         SELECT customerid AS customer_id, count(DISTINCT order_id) AS total_orders,
                sum(quantity) AS total_quantity, sum(gross_amount) AS gross_sales,
                sum(discount_amount) AS total_discount, sum(net_amount) AS total_sales,
-               CAST(CAST(sum(net_amount) AS DECIMAL(18,2)) AS DOUBLE) / CAST(count(net_amount) AS DOUBLE) AS average_order_line,
+               CAST(CAST(sum(net_amount) AS DECIMAL(38,2)) AS DOUBLE) / CAST(count(net_amount) AS DOUBLE) AS average_order_line,
                min(orderdate) AS first_order_date, max(orderdate) AS last_order_date
         FROM m_fact_sales GROUP BY customerid""",
     "m_sums": """
@@ -116,7 +116,7 @@ CTES = {
 _KINDS = {
     "i": "CAST({0} AS BIGINT)",
     "s": "CAST({0} AS VARCHAR)",
-    "m": "CAST(CAST({0} AS DECIMAL(18,2)) AS DOUBLE)",
+    "m": "CAST(CAST({0} AS DECIMAL(38,2)) AS DOUBLE)",
     "d": "CAST({0} AS DOUBLE)",
 }
 

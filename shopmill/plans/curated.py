@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,6 +114,24 @@ def unify_history(clean: Mapping[str, DataFrame], events: DataFrame, unique: boo
     return Tables(builders)
 
 
+def union_counts(
+    clean: Mapping[str, DataFrame], events: DataFrame, merged: Mapping[str, DataFrame]
+) -> DataFrame:
+    """``table, before, incoming, after``: rows of the history, of the events and of both merged."""
+    rows = []
+    for name, (flatten, _) in _UNIFIED.items():
+        sides = {"before": clean[name], "incoming": flatten(events), "after": merged[name]}
+        counts = [
+            side.agg(F.count("*").alias("n")).select(F.lit(label).alias("side"), "n")
+            for label, side in sides.items()
+        ]
+        one = reduce(DataFrame.unionAll, counts).agg(
+            *[F.max(F.when(F.col("side") == label, F.col("n"))).alias(label) for label in sides]
+        )
+        rows.append(one.select(F.lit(name).alias("table"), *sides))
+    return reduce(DataFrame.unionAll, rows)
+
+
 def write_star(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],

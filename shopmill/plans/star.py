@@ -108,7 +108,7 @@ def dim_lookup(
         numbered = fresh.withColumn("_n", F.row_number().over(Window.orderBy(name_col)))
     else:
         total = fresh.count()
-        numbered = ranked(fresh, name_col, [], "_n").withColumn("_n", F.lit(total + 1) - F.col("_n"))
+        numbered = ranked(fresh, name_col, "_n").withColumn("_n", F.lit(total + 1) - F.col("_n"))
     built = numbered.select((offset + F.col("_n")).cast("int").alias(id_col), name_col)
     return built if existing is None else existing.select(id_col, name_col).unionByName(built)
 

@@ -7,8 +7,9 @@ depend on how a client maps decimals and dates. Library functions keep exact typ
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from shopmill.operators import aggregates as A
 from shopmill.operators import joins as J
 from shopmill.operators import quality as Q
 from shopmill.operators import windows as W
-from shopmill.operators.scale import checkpoint_root
+from shopmill.operators.scale import scratch
 from shopmill.operators.setops import unify
 from shopmill.oracle import typed
 from shopmill.plans import curated, reports, star
@@ -41,7 +42,7 @@ class Query(NamedTuple):
         for item in self.columns.split():
             name, kind = item.split(":")
             c = F.col(f"`{name}`")
-            c = c.cast("decimal(18,2)").cast("double") if kind == "m" else c.cast(casts[kind])
+            c = c.cast("decimal(38,2)").cast("double") if kind == "m" else c.cast(casts[kind])
             picked.append(c.alias(name))
         return self.build(open_shop(spark, folder)).select(*picked)
 
@@ -61,15 +62,27 @@ def query(columns: str, sql: str | None = None):
 
 
 def _scratch(shop: Shop) -> str:
-    return f"{checkpoint_root(shop.spark)}/{uuid.uuid4().hex}"
+    return scratch(shop.spark)
 
 
 def _day(text: str):
     return F.lit(text).cast("date")
 
 
+def _astray(df: DataFrame, *keys: str) -> DataFrame:
+    """Every key that 7 divides points to nothing, so that a check of references finds something."""
+    moved = {k: F.when(F.col(k) % 7 == 0, F.col(k) + 10**12).otherwise(F.col(k)) for k in keys}
+    return df.withColumns(moved)
+
+
+def _gone(key: str) -> str:
+    """The same in SQL."""
+    return f"CASE WHEN {key} % 7 = 0 THEN {key} + 1000000000000 ELSE {key} END"
+
+
 # --- sources and sinks ----------------------------------------------------------------------
 
+IDS_PER_FOLDER = 64  # so that the test data have several folders
 ORDERS = "orderid:i customerid:i orderdate:s status:s"
 LINES = "orderdetailid:s orderid:i productid:i quantity:i unitprice:m discount:m"
 
@@ -134,12 +147,15 @@ def write_events(shop):
 
 
 @query(
-    ORDERS,
-    "SELECT orderid, customerid, orderdate, status FROM m_orders "
-    "WHERE orderid >= 100 ORDER BY orderid LIMIT 1000",
+    "orderid:i customerid:i orderdate:s status:s",
+    "SELECT orderid, customerid, orderdate, status FROM m_events WHERE orderid >= 100 "
+    "ORDER BY orderid LIMIT 1000",
 )
 def read_since(shop):
-    return files.read_since(shop.raw["orders"], 100, 1000)
+    """A bounded pull of landed events by id; folders of lower ids are not read."""
+    path = _scratch(shop)
+    sinks.write_events(shop.events["nested"], path, IDS_PER_FOLDER)
+    return E.event_orders(files.read_events_since(shop.spark, path, 100, 1000, IDS_PER_FOLDER))
 
 
 @query(
@@ -181,54 +197,118 @@ def list_inputs(shop):
 # --- data quality ---------------------------------------------------------------------------
 
 
+#: The twelve raw tables: their rows in SQL and the columns with types.
+_RAW = {
+    "customers": (
+        "m_customers",
+        "customerid bigint, firstname string, lastname string, full_name string, email string, city string, "
+        "country string, registrationdate date",
+    ),
+    "categories": ("m_categories", "categoryid int, categoryname string"),
+    "products": (
+        "m_products",
+        "productid bigint, productname string, brand string, price decimal(12,2), cost decimal(12,2), "
+        "stock int, categoryid int",
+    ),
+    "departments": (
+        "(SELECT r_regionkey AS departmentid, r_name AS departmentname FROM region)",
+        "departmentid bigint, departmentname string",
+    ),
+    "employees": (
+        """(SELECT s_suppkey AS employeeid, CASE WHEN s_suppkey > 0 THEN s_suppkey // 10 END AS managerid,
+            n_regionkey AS departmentid, split_part(s_name, '#', 1) AS firstname,
+            split_part(s_name, '#', 2) AS lastname, s_acctbal AS salary, s_nationkey AS hiredate
+            FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)""",
+        "employeeid bigint, managerid bigint, departmentid bigint, firstname string, lastname string, "
+        "salary decimal(12,2), hiredate date",
+    ),
+    "suppliers": (
+        """(SELECT s_suppkey AS supplierid, s_name AS suppliername, n_name AS country
+            FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)""",
+        "supplierid bigint, suppliername string, country string",
+    ),
+    "product_suppliers": (
+        "(SELECT productid, supplierid FROM m_lines)", "productid bigint, supplierid bigint"
+    ),
+    "orders": (
+        """(SELECT *, "day"(orderdate) AS "day", dayofweek(orderdate) + 1 AS day_of_week FROM m_orders)""",
+        "orderid bigint, customerid bigint, orderdate date, status string, year int, month int, day int, "
+        "quarter int, day_of_week int",
+    ),
+    "order_details": (
+        "m_lines",
+        "orderdetailid string, orderid bigint, productid bigint, quantity int, unitprice decimal(12,2), "
+        "discount decimal(12,2), total_amount decimal(14,2)",
+    ),
+    "payments": (
+        "m_payments",
+        "paymentid bigint, orderid bigint, paymentmethod string, paymentdate date, amount decimal(12,2)",
+    ),
+    "shippers": (
+        "(SELECT s_suppkey AS shipperid, s_name AS companyname FROM supplier)",
+        "shipperid bigint, companyname string",
+    ),
+    "shipments": (
+        "m_shipments",
+        "shipmentid string, orderid bigint, shipperid bigint, shipdate date, deliverydate date",
+    ),
+}
+
+
+def _columns_of(table: str) -> list[tuple[str, str]]:
+    return [tuple(c.split(" ", 1)) for c in re.split(r", (?![0-9])", _RAW[table][1])]
+
+
+def _per_column(pick: str) -> str:
+    """SQL over every column of every raw table; ``pick`` may use {t}, {c}, {k} and the view v."""
+    parts = [
+        "SELECT " + pick.format(t=t, c=c, k=k) + f" FROM {_RAW[t][0]} v"
+        for t in _RAW
+        for c, k in _columns_of(t)
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _long(shop, count: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row per table and column from a one-row frame per table."""
+    parts = []
+    for table in _RAW:
+        one = count(shop.raw[table])
+        rows = F.array(
+            *[
+                F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("nulls"))
+                for c in one.columns
+            ]
+        )
+        parts.append(one.select(F.lit(table).alias("table"), F.inline(rows)))
+    return reduce(DataFrame.unionAll, parts)
+
+
 @query(
     "table:s rows:i",
-    """SELECT 'customers' AS "table", count(*) AS "rows" FROM customer UNION ALL
-       SELECT 'orders', count(*) FROM orders UNION ALL
-       SELECT 'order_details', count(*) FROM lineitem UNION ALL
-       SELECT 'products', count(*) FROM part UNION ALL
-       SELECT 'suppliers', count(*) FROM supplier""",
+    " UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS "rows" FROM {v}""" for t, (v, _) in _RAW.items()),
 )
 def profile_counts(shop):
-    names = ("customers", "orders", "order_details", "products", "suppliers")
-    return Q.profile_counts({n: shop.raw[n] for n in names})
+    """Rows of all twelve tables."""
+    return Q.profile_counts({n: shop.raw[n] for n in _RAW})
 
 
-@query(
-    "customerid:i email:i city:i country:i",
-    """SELECT sum(CASE WHEN customerid IS NULL THEN 1 ELSE 0 END) AS customerid,
-              sum(CASE WHEN email IS NULL THEN 1 ELSE 0 END) AS email,
-              sum(CASE WHEN city IS NULL THEN 1 ELSE 0 END) AS city,
-              sum(CASE WHEN country IS NULL THEN 1 ELSE 0 END) AS country FROM m_customers""",
-)
+@query("table:s column:s nulls:i", _per_column("""'{t}' AS "table", '{c}' AS "column", sum(CASE WHEN "{c}" IS NULL THEN 1 ELSE 0 END) AS nulls"""))
 def profile_nulls_sum(shop):
-    return Q.null_sums(shop.raw["customers"])
+    """NULLs of every column of all twelve tables, as sums of flags."""
+    return _long(shop, Q.null_sums)
 
 
-@query(
-    "orderid:i status:i orderdate:i",
-    """SELECT count(CASE WHEN orderid IS NULL THEN 1 END) AS orderid,
-              count(CASE WHEN status = 'P' OR status IS NULL THEN 1 END) AS status,
-              count(CASE WHEN orderdate IS NULL THEN 1 END) AS orderdate FROM m_orders""",
-)
+@query("table:s column:s nulls:i", _per_column("""'{t}' AS "table", '{c}' AS "column", count(CASE WHEN "{c}" IS NULL THEN 1 END) AS nulls"""))
 def profile_nulls_count(shop):
-    holed = shop.raw["orders"].select(
-        "orderid", F.nullif("status", F.lit("P")).alias("status"), "orderdate"
-    )
-    return Q.null_counts(holed)
+    """The same as conditional counts."""
+    return _long(shop, Q.null_counts)
 
 
-@query(
-    "table:s column:s type:s rows:i nulls:i",
-    "SELECT 'customers' AS \"table\", t.c AS \"column\", t.t AS \"type\", n.r AS \"rows\", "
-    "CASE WHEN t.c = 'email' THEN n.e ELSE 0 END AS nulls FROM (VALUES ('customerid','bigint'), "
-    "('firstname','string'), ('lastname','string'), ('full_name','string'), ('email','string'), "
-    "('city','string'), ('country','string'), ('registrationdate','date')) t(c, t) CROSS JOIN "
-    "(SELECT count(*) AS r, count(*) - count(email) AS e FROM m_customers) n",
-)
+@query("table:s column:s type:s rows:i nulls:i", _per_column("""'{t}' AS "table", '{c}' AS "column", '{k}' AS "type", count(*) AS "rows", count(*) - count("{c}") AS nulls"""))
 def profile_schema(shop):
-    """Columns and types with row and NULL counts."""
-    return Q.profile_columns({"customers": shop.raw["customers"]})
+    """Columns and types of all twelve tables with row and NULL counts."""
+    return Q.profile_columns({n: shop.raw[n] for n in _RAW})
 
 
 @query(
@@ -283,45 +363,27 @@ def payment_mismatch(shop):
 
 @query(
     "fk:s rows:i unmatched:i lost_amount:m",
-    """SELECT 'lines->orders' AS fk, count(*) AS "rows", count(*) - count(o.orderid) AS unmatched,
+    f"""SELECT 'lines->orders' AS fk, count(*) AS "rows", count(*) - count(o.orderid) AS unmatched,
               sum(CASE WHEN o.orderid IS NULL THEN total_amount END) AS lost_amount
-       FROM m_lines l LEFT JOIN (SELECT orderid FROM m_orders WHERE status <> 'P') o
-         ON l.orderid = o.orderid
+       FROM m_lines l LEFT JOIN m_orders o ON {_gone("l.orderid")} = o.orderid
        UNION ALL
        SELECT 'lines->products', count(*), count(*) - count(p.productid),
               sum(CASE WHEN p.productid IS NULL THEN total_amount END)
-       FROM m_lines l LEFT JOIN (SELECT productid FROM m_products WHERE stock <= 25) p
-         ON l.productid = p.productid
+       FROM m_lines l LEFT JOIN m_products p ON {_gone("l.productid")} = p.productid
        UNION ALL
        SELECT 'orders->customers', count(*), count(*) - count(c.customerid), NULL
-       FROM m_orders o LEFT JOIN (SELECT customerid FROM m_customers WHERE email IS NOT NULL) c
-         ON o.customerid = c.customerid""",
+       FROM m_orders o LEFT JOIN m_customers c ON {_gone("o.customerid")} = c.customerid""",
 )
 def fk_report(shop):
     raw = shop.raw
-    orders = raw["orders"].filter("status <> 'P'")
-    products = shop.source["part"].filter("p_size <= 25")
-    customers = raw["customers"].filter("email IS NOT NULL")
-    return (
-        Q.fk_report(
-            raw["order_details"], orders, "orderid", "orderid", "total_amount", "lines->orders"
-        )
-        .unionAll(
-            Q.fk_report(
-                raw["order_details"],
-                products,
-                "productid",
-                "p_partkey",
-                "total_amount",
-                "lines->products",
-            )
-        )
-        .unionAll(
-            Q.fk_report(
-                raw["orders"], customers, "customerid", "customerid", name="orders->customers"
-            )
-        )
-    )
+    lines = _astray(raw["order_details"], "orderid", "productid")
+    orders = _astray(raw["orders"], "customerid")
+    reports = [
+        Q.fk_report(lines, raw["orders"], "orderid", "orderid", "total_amount", "lines->orders"),
+        Q.fk_report(lines, raw["products"], "productid", "productid", "total_amount", "lines->products"),
+        Q.fk_report(orders, raw["customers"], "customerid", "customerid", name="orders->customers"),
+    ]
+    return reduce(DataFrame.unionAll, reports)
 
 
 def _fk_sql(name: str, child: str, key: str, parent: str, pkey: str, amount: str) -> str:
@@ -358,17 +420,20 @@ def integrity_report(shop):
 
 @query(
     "shipmentid:s orderid:i shipdate:s",
-    "SELECT shipmentid, orderid, shipdate FROM m_shipments WHERE orderid NOT IN "
-    "(SELECT orderid FROM m_orders WHERE orderdate < DATE '2001-01-01')",
+    f"""SELECT shipmentid, {_gone("orderid")} AS orderid, shipdate FROM m_shipments
+        WHERE {_gone("orderid")} NOT IN (SELECT orderid FROM m_orders)""",
 )
 def shipments_without_order(shop):
-    old = shop.raw["orders"].filter(F.col("orderdate") < _day("2001-01-01"))
-    return J.unmatched(shop.raw["shipments"], old, "orderid")
+    return J.unmatched(_astray(shop.raw["shipments"], "orderid"), shop.raw["orders"], "orderid")
 
 
-@query(ORDERS, "SELECT * FROM m_orders WHERE orderid NOT IN (SELECT orderid FROM m_shipments)")
+@query(
+    ORDERS,
+    f"""SELECT orderid, customerid, orderdate, status FROM m_orders WHERE orderid NOT IN
+        (SELECT {_gone("orderid")} FROM m_shipments)""",
+)
 def orders_without_shipment(shop):
-    return J.unmatched(shop.raw["orders"], shop.raw["shipments"], "orderid")
+    return J.unmatched(shop.raw["orders"], _astray(shop.raw["shipments"], "orderid"), "orderid")
 
 
 @query(
@@ -384,7 +449,9 @@ def orders_without_shipment(shop):
        SELECT orderid, 'shipping_cost', 50, 0 FROM m_events WHERE sent AND shipping_cost = 0""",
 )
 def event_reconcile(shop):
-    return Q.reconcile_events(shop.events["parsed"])
+    """Every fifth document is delivered twice, which is no fault."""
+    events = shop.events["parsed"]
+    return Q.reconcile_events(events.unionAll(events.filter("order.OrderID % 5 = 0")))
 
 
 @query(
@@ -433,7 +500,7 @@ def _damaged_events(shop):
         )
         .when(
             (u == "3-MEDIUM") & (s == "P"),
-            F.regexp_replace(text, '"order_details":\\[', '"order_details":"none","lines":['),
+            F.regexp_replace(text, '"order_details":\\[', '"order_details":"[oops","lines":['),
         )
         .otherwise(text)
     )
@@ -478,16 +545,16 @@ def event_structure(shop):
          (SELECT orderid, count(*) AS items, sum(CASE WHEN quantity > 45 THEN 1 ELSE 0 END) AS big,
                  sum(CASE WHEN discount > 9 THEN 1 ELSE 0 END) AS deep,
                  sum(CASE WHEN productid NOT IN
-                     (SELECT productid FROM m_products WHERE stock <= 40) THEN 1 ELSE 0 END) AS unknown
-          FROM m_lines GROUP BY orderid) l ON o.orderid = l.orderid) WHERE codes <> ''""",
+                     (SELECT productid FROM m_products) THEN 1 ELSE 0 END) AS unknown
+          FROM (SELECT * REPLACE (CASE WHEN productid % 7 = 0 THEN productid + 1000000000000
+                                  ELSE productid END AS productid) FROM m_lines) GROUP BY orderid) l ON o.orderid = l.orderid) WHERE codes <> ''""",
 )
 def request_rules(shop):
     limits = {"customer_max": 1000, "items_max": 7, "quantity_max": 45, "discount_max": 9}
-    products = shop.source["part"].filter("p_size <= 40").select(F.col("p_partkey").alias("productid"))
     found = Q.request_rules(
-        shop.raw["order_details"],
+        _astray(shop.raw["order_details"], "productid"),
         shop.raw["orders"],
-        products,
+        shop.raw["products"],
         shop.raw["payments"],
         limits,
         ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"],
@@ -741,83 +808,71 @@ def ship_days(shop):
 
 @query(
     "orderid:i customerid:i orderdate:s status:s productid:i quantity:i unitprice:m total_amount:m",
-    "SELECT * FROM m_sales WHERE status <> 'P'",
+    f"""SELECT o.orderid, o.customerid, o.orderdate, o.status, l.productid, l.quantity, l.unitprice,
+               l.total_amount FROM m_orders o JOIN m_lines l ON o.orderid = {_gone("l.orderid")}""",
 )
 def orders_lines_inner(shop):
-    return J.orders_lines(shop.raw["orders"].filter("status <> 'P'"), shop.raw["order_details"])
+    """Lines of unknown orders have no match."""
+    return J.orders_lines(shop.raw["orders"], _astray(shop.raw["order_details"], "orderid"))
 
 
 @query(
     "orderid:i customerid:i customer_name:s city:s country:s orderdate:s status:s",
-    """SELECT o.orderid, o.customerid, c.full_name AS customer_name, c.city, c.country,
-              o.orderdate, o.status
-       FROM m_orders o LEFT JOIN (SELECT * FROM m_customers WHERE email IS NOT NULL) c
-         ON o.customerid = c.customerid""",
+    f"""SELECT o.orderid, {_gone("o.customerid")} AS customerid, c.full_name AS customer_name, c.city,
+              c.country, o.orderdate, o.status
+       FROM m_orders o LEFT JOIN m_customers c ON {_gone("o.customerid")} = c.customerid""",
 )
 def orders_customers_left(shop):
-    known = shop.raw["customers"].filter("email IS NOT NULL")
-    return J.orders_customers(shop.raw["orders"], known)
+    return J.orders_customers(_astray(shop.raw["orders"], "customerid"), shop.raw["customers"])
 
 
 @query(
     "productid:i categoryid:i productname:s categoryname:s",
-    """SELECT p.productid, p.categoryid, p.productname, c.categoryname FROM m_products p
-       LEFT JOIN (SELECT * FROM m_categories WHERE categoryname <> 'PROMO') c
-         ON p.categoryid = c.categoryid""",
+    """SELECT p.productid, p.k AS categoryid, p.productname, c.categoryname
+       FROM (SELECT *, CASE WHEN productid % 7 = 0 THEN categoryid + 1000 ELSE categoryid END AS k
+             FROM m_products) p LEFT JOIN m_categories c ON p.k = c.categoryid""",
 )
 def products_categories_left(shop):
-    known = shop.raw["categories"].filter("categoryname <> 'PROMO'")
-    return J.products_categories(shop.raw["products"], known)
+    astray = F.when(F.col("productid") % 7 == 0, F.col("categoryid") + 1000).otherwise(F.col("categoryid"))
+    products = shop.raw["products"].withColumn("categoryid", astray)
+    return J.products_categories(products, shop.raw["categories"])
 
 
 @query(
     "productid:i productname:s supplierid:i suppliername:s country:s",
-    """SELECT p.productid, p.productname, b.supplierid, s.s_name AS suppliername,
+    f"""SELECT p.productid, p.productname, b.supplierid, s.s_name AS suppliername,
               n.n_name AS country FROM m_products p
-       LEFT JOIN (SELECT DISTINCT productid, supplierid FROM m_lines WHERE shipdate >= DATE '2001-09-01') b
-         ON p.productid = b.productid
-       LEFT JOIN supplier s ON b.supplierid = s.s_suppkey AND s.s_acctbal > 0
+       LEFT JOIN (SELECT DISTINCT {_gone("productid")} AS productid, {_gone("supplierid")} AS supplierid
+                  FROM m_lines) b ON p.productid = b.productid
+       LEFT JOIN supplier s ON b.supplierid = s.s_suppkey
        LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""",
 )
 def products_suppliers_left(shop):
-    late = F.col("l_shipdate").cast("date") >= _day("2001-09-01")
-    bridge = C.dedup(
-        shop.source["lineitem"]
-        .filter(late)
-        .select(F.col("l_partkey").alias("productid"), F.col("l_suppkey").alias("supplierid")),
-        ["productid", "supplierid"],
-    )
-    solvent = shop.source["supplier"].filter("s_acctbal > 0").select(F.col("s_suppkey").alias("supplierid"))
-    firms = J.skew_join(shop.raw["suppliers"], solvent, "supplierid", "left_semi")
-    return J.products_suppliers(shop.raw["products"], bridge, firms)
+    keys = ["productid", "supplierid"]
+    bridge = C.dedup(_astray(shop.raw["product_suppliers"], *keys), keys)
+    return J.products_suppliers(shop.raw["products"], bridge, shop.raw["suppliers"])
 
 
 @query(
     "orderid:i customerid:i paymentid:i paymentmethod:s amount:m",
-    """SELECT o.orderid, o.customerid, p.paymentid, p.paymentmethod, p.amount FROM m_orders o
-       LEFT JOIN (SELECT * FROM m_payments WHERE paymentmethod <> '5-LOW') p
-         ON o.orderid = p.orderid""",
+    f"""SELECT o.orderid, o.customerid, p.paymentid, p.paymentmethod, p.amount FROM m_orders o
+       LEFT JOIN m_payments p ON o.orderid = {_gone("p.orderid")}""",
 )
 def orders_payments_left(shop):
-    paid = shop.raw["payments"].filter("paymentmethod <> '5-LOW'")
-    return J.orders_payments(shop.raw["orders"], paid)
+    return J.orders_payments(shop.raw["orders"], _astray(shop.raw["payments"], "orderid"))
 
 
 @query(
     "orderid:i customerid:i shipmentid:s shipdate:s shipperid:i companyname:s",
-    """SELECT o.orderid, o.customerid, h.shipmentid, h.shipdate, h.shipperid, s.s_name AS companyname
-       FROM m_orders o LEFT JOIN (SELECT * FROM m_shipments WHERE shipdate < DATE '1998-01-01') h
-         ON o.orderid = h.orderid
-       LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON h.shipperid = s.s_suppkey""",
+    f"""SELECT o.orderid, o.customerid, h.shipmentid, h.shipdate, h.k AS shipperid, s.s_name AS companyname
+       FROM m_orders o
+       LEFT JOIN (SELECT *, {_gone("shipperid")} AS k FROM m_shipments) h
+         ON o.orderid = {_gone("h.orderid")}
+       LEFT JOIN supplier s ON h.k = s.s_suppkey""",
 )
 def orders_shipments_left(shop):
-    early = shop.raw["shipments"].filter(F.col("shipdate") < _day("1998-01-01"))
-    shippers = (
-        shop.source["supplier"]
-        .filter("s_acctbal > 0")
-        .select(F.col("s_suppkey").alias("shipperid"), F.col("s_name").alias("companyname"))
-    )
-    return J.orders_shipments(shop.raw["orders"], early, shippers)
+    sent = _astray(shop.raw["shipments"], "orderid", "shipperid")
+    return J.orders_shipments(shop.raw["orders"], sent, shop.raw["shippers"])
 
 
 @query(
@@ -830,33 +885,34 @@ def wide_sales(shop):
 
 @query(
     "orderid:i order_status_id:i",
-    """SELECT orderid, order_status_id FROM m_orders
-       LEFT JOIN (SELECT * FROM m_statuses WHERE order_status <> 'O') ON status = order_status""",
+    """SELECT orderid, order_status_id FROM m_orders LEFT JOIN m_statuses
+       ON CASE WHEN orderid % 7 = 0 THEN 'LOST' ELSE status END = order_status""",
 )
 def status_lookup(shop):
-    known = shop.star["dim_order_status"].filter("order_status <> 'O'")
-    named = shop.raw["orders"].select("orderid", F.col("status").alias("order_status"))
-    return J.with_lookup_id(named, known, "order_status", "order_status_id")
+    """An unknown name has no id."""
+    name = F.when(F.col("orderid") % 7 == 0, "LOST").otherwise(F.col("status")).alias("order_status")
+    named = shop.raw["orders"].select("orderid", name)
+    return J.with_lookup_id(named, shop.star["dim_order_status"], "order_status", "order_status_id")
 
 
 @query(
     "customerid:i full_name:s",
-    """SELECT customerid, full_name FROM m_customers WHERE customerid NOT IN
-       (SELECT customerid FROM m_orders WHERE orderdate >= DATE '2001-01-01')""",
+    f"""SELECT customerid, full_name FROM m_customers WHERE customerid NOT IN
+       (SELECT {_gone("customerid")} FROM m_orders)""",
 )
 def customers_never_ordered(shop):
-    recent = shop.raw["orders"].filter(F.col("orderdate") >= _day("2001-01-01"))
-    return J.unmatched(shop.raw["customers"], recent, "customerid")
+    orders = _astray(shop.raw["orders"], "customerid")
+    return J.unmatched(shop.raw["customers"], orders, "customerid")
 
 
 @query(
     "productid:i productname:s",
-    """SELECT productid, productname FROM m_products WHERE productid NOT IN
-       (SELECT productid FROM m_lines WHERE shipdate >= DATE '2001-09-01')""",
+    f"""SELECT productid, productname FROM m_products WHERE productid NOT IN
+       (SELECT {_gone("productid")} FROM m_lines)""",
 )
 def products_never_sold(shop):
-    late = shop.source["lineitem"].filter(F.col("l_shipdate").cast("date") >= _day("2001-09-01"))
-    return J.unmatched(shop.raw["products"], late.select(F.col("l_partkey").alias("productid")), "productid")
+    lines = _astray(shop.raw["order_details"], "productid")
+    return J.unmatched(shop.raw["products"], lines, "productid")
 
 
 # --- aggregates -----------------------------------------------------------------------------
@@ -892,7 +948,7 @@ def avg_price(shop):
     """SELECT (SELECT sum(total_amount) FROM m_lines) AS total_sales,
               (SELECT count(orderid) FROM m_orders) AS total_orders,
               (SELECT sum(quantity) FROM m_lines) AS total_quantity,
-              (SELECT CAST(CAST(sum(order_total_amount) AS DECIMAL(18,2)) AS DOUBLE)
+              (SELECT CAST(CAST(sum(order_total_amount) AS DECIMAL(38,2)) AS DOUBLE)
                       / CAST(count(*) AS DOUBLE) FROM m_summary) AS avg_order_value""",
 )
 def global_totals(shop):
@@ -907,19 +963,27 @@ def _order_sales(shop):
     return A.order_sales(shop.raw["orders"], shop.raw["order_details"])
 
 
-@query("customerid:i total_sales:m", _grouped("customerid"))
+# Lines of unknown products count for no customer, product or category.
+_KNOWN = f"m_sales s JOIN m_products p ON {_gone('s.productid')} = p.productid"
+_BY_CUSTOMER = f"SELECT customerid, sum(total_amount) AS total_sales FROM {_KNOWN} GROUP BY customerid"
+
+
+@query("customerid:i total_sales:m", _BY_CUSTOMER)
 def sales_by_customer(shop):
-    return A.sales_by(_order_sales(shop), ["customerid"])
+    raw = shop.raw
+    lines = _astray(raw["order_details"], "productid")
+    return A.sales_by_customer(lines, raw["orders"], raw["products"])
 
 
 def _product_sales(shop):
     raw = shop.raw
-    return A.sales_by_product(raw["order_details"], raw["orders"], raw["products"])
+    lines = _astray(raw["order_details"], "productid")
+    return A.sales_by_product(lines, raw["orders"], raw["products"])
 
 
 @query(
     "productid:i total_sales:m",
-    "SELECT productid, sum(total_amount) AS total_sales FROM m_wide GROUP BY productid",
+    f"SELECT p.productid, sum(total_amount) AS total_sales FROM {_KNOWN} GROUP BY p.productid",
 )
 def sales_by_product(shop):
     return _product_sales(shop)
@@ -927,22 +991,22 @@ def sales_by_product(shop):
 
 @query(
     "categoryid:i total_sales:m",
-    "SELECT categoryid, sum(total_amount) AS total_sales FROM m_wide GROUP BY categoryid",
+    f"SELECT categoryid, sum(total_amount) AS total_sales FROM {_KNOWN} GROUP BY categoryid",
 )
 def sales_by_category(shop):
     return A.sales_by(_product_sales(shop), ["categoryid"], "total_sales")
 
 
 def _place_sql(place: str) -> str:
-    return f"""SELECT c.{place}, sum(s.total_amount) AS total_sales FROM m_sales s LEFT JOIN
-        (SELECT * FROM m_customers WHERE email IS NOT NULL) c ON s.customerid = c.customerid
-        GROUP BY c.{place}"""
+    return f"""SELECT c.{place}, sum(s.total_amount) AS total_sales FROM m_sales s
+        LEFT JOIN m_customers c ON {_gone("s.customerid")} = c.customerid GROUP BY c.{place}"""
 
 
 def _placed(shop):
     """Customer sales next to the customer's place: one row per customer in the join."""
-    per_customer = A.sales_by(_order_sales(shop), ["customerid"])
-    known = shop.raw["customers"].filter("email IS NOT NULL").select("customerid", "city", "country")
+    orders = _astray(shop.raw["orders"], "customerid")
+    per_customer = A.sales_by(A.order_sales(orders, shop.raw["order_details"]), ["customerid"])
+    known = shop.raw["customers"].select("customerid", "city", "country")
     return per_customer.join(known, "customerid", "left")
 
 
@@ -1084,7 +1148,7 @@ def latest_shipment(shop):
         GROUP BY customerid)""",
 )
 def customer_rank(shop):
-    return W.ranked(customer_total(shop), "total_customer_sales", ["customerid"], "sales_rank")
+    return W.ranked(customer_total(shop), "total_customer_sales", "sales_rank")
 
 
 @query(
@@ -1096,7 +1160,7 @@ def customer_rank_ranged(shop):
     """Global rank with long ties: many orders share a total quantity."""
     sums = A.order_summary(shop.raw["order_details"])
     rows = sums.select("orderid", F.col("order_total_quantity").alias("quantity"))
-    return W.ranked(rows, "quantity", ["orderid"], "position")
+    return W.ranked(rows, "quantity", "position")
 
 
 def _price_sql(n: int) -> str:
@@ -1129,7 +1193,7 @@ def running_sales(shop):
 _GROWTH = """SELECT *, lag({v}) OVER w AS prev_sales, {v} - lag({v}) OVER w AS sales_diff,
        CAST({v} - lag({v}) OVER w AS DOUBLE) / nullif(CAST(lag({v}) OVER w AS DOUBLE), 0.0) * 100
          AS growth_pct
-FROM (SELECT "year", "month", CAST(sum({m}) AS DECIMAL(18,2)) AS {v} FROM {t}
+FROM (SELECT "year", "month", CAST(sum({m}) AS DECIMAL(38,2)) AS {v} FROM {t}
       GROUP BY "year", "month") WINDOW w AS (ORDER BY "year", "month")"""
 
 
@@ -1155,7 +1219,7 @@ def category_top3(shop):
 
 @query(
     "customerid:i total_sales:m",
-    _grouped("customerid") + " ORDER BY total_sales DESC, customerid LIMIT 10",
+    _BY_CUSTOMER + " ORDER BY total_sales DESC, customerid LIMIT 10",
 )
 def top10_customers(shop):
     return A.top_k(sales_by_customer(shop), "total_sales", ["customerid"], 10)
@@ -1163,8 +1227,8 @@ def top10_customers(shop):
 
 @query(
     "productid:i total_sales:m",
-    """SELECT productid, sum(total_amount) AS total_sales FROM m_wide GROUP BY productid
-       ORDER BY total_sales DESC, productid LIMIT 10""",
+    f"""SELECT p.productid, sum(total_amount) AS total_sales FROM {_KNOWN} GROUP BY p.productid
+       ORDER BY total_sales DESC, p.productid LIMIT 10""",
 )
 def top10_products(shop):
     return A.top_k(_product_sales(shop), "total_sales", ["productid"], 10)
@@ -1172,7 +1236,7 @@ def top10_products(shop):
 
 @query(
     "categoryid:i total_sales:m",
-    """SELECT categoryid, sum(total_amount) AS total_sales FROM m_wide GROUP BY categoryid
+    f"""SELECT categoryid, sum(total_amount) AS total_sales FROM {_KNOWN} GROUP BY categoryid
        ORDER BY total_sales DESC, categoryid LIMIT 5""",
 )
 def top5_categories(shop):
@@ -1272,8 +1336,10 @@ def events_orders(shop):
 
 @query(
     "orderid:i orderdetailid:i productid:i quantity:i unitprice:m discount:m",
-    """SELECT orderid, orderid * 8 + linenumber AS orderdetailid, productid, quantity, unitprice,
-              discount FROM m_lines WHERE orderid IN (SELECT orderid FROM m_orders)""",
+    """SELECT orderid, orderid + 100000000000 * row_number() OVER (PARTITION BY orderid
+                ORDER BY linenumber, productid, supplierid, unitprice, quantity, discount) AS orderdetailid,
+              productid, quantity, unitprice, discount
+       FROM m_lines WHERE orderid IN (SELECT orderid FROM m_orders)""",
 )
 def events_lines(shop):
     return E.event_lines(shop.events["parsed"])
@@ -1433,7 +1499,7 @@ _table(
     """SELECT product_id, count(DISTINCT order_id) AS total_orders, sum(quantity) AS units_sold,
               sum(gross_amount) AS gross_sales, sum(discount_amount) AS total_discount,
               sum(net_amount) AS total_sales,
-              CAST(CAST(sum(unit_price) AS DECIMAL(18,2)) AS DOUBLE)
+              CAST(CAST(sum(unit_price) AS DECIMAL(38,2)) AS DOUBLE)
                 / CAST(count(unit_price) AS DOUBLE) AS average_unit_price
        FROM m_facts GROUP BY product_id""",
 )
@@ -1530,7 +1596,7 @@ _REPORT_SQL = {
     ),
     "r06_average_order_value": (
         "average_order_value:d",
-        """SELECT CAST(CAST(sum(net_amount) AS DECIMAL(18,2)) AS DOUBLE)
+        """SELECT CAST(CAST(sum(net_amount) AS DECIMAL(38,2)) AS DOUBLE)
                   / CAST(count(DISTINCT order_id) AS DOUBLE) AS average_order_value FROM m_facts""",
     ),
     "r07_orders_by_status": (
@@ -1542,7 +1608,7 @@ _REPORT_SQL = {
         "payment_method:s num_transactions:i total_amount:m avg_payment_amount:d",
         """SELECT paymentmethod AS payment_method, count(*) AS num_transactions,
                   sum(amount) AS total_amount,
-                  CAST(CAST(sum(amount) AS DECIMAL(18,2)) AS DOUBLE) / CAST(count(amount) AS DOUBLE)
+                  CAST(CAST(sum(amount) AS DECIMAL(38,2)) AS DOUBLE) / CAST(count(amount) AS DOUBLE)
                     AS avg_payment_amount
            FROM m_payments GROUP BY paymentmethod""",
     ),
@@ -1597,7 +1663,7 @@ def r04_top_products_by_id(shop):
 @query(
     "payment_method:s num_transactions:i total_amount:m avg_payment_amount:d",
     """SELECT upper(u) AS payment_method, count(*) AS num_transactions, sum(paid) AS total_amount,
-              CAST(CAST(sum(paid) AS DECIMAL(18,2)) AS DOUBLE) / CAST(count(paid) AS DOUBLE)
+              CAST(CAST(sum(paid) AS DECIMAL(38,2)) AS DOUBLE) / CAST(count(paid) AS DOUBLE)
                 AS avg_payment_amount
        FROM m_events WHERE s <> 'F' GROUP BY u""",
 )
@@ -1616,25 +1682,143 @@ _VALID = """SELECT orderid, customerid FROM m_events WHERE NOT (
     OR (u = '3-MEDIUM' AND s = 'P'))"""
 
 
-@query("orderid:i customerid:i", _VALID)
+# A later version of some orders is delivered as well; it replaces the first.
+_LATEST = f"""SELECT orderid, v.customerid, CASE WHEN u = '2-HIGH' AND s = 'O' THEN 'SHIPPED' ELSE status END
+    AS status FROM ({_VALID}) v JOIN m_events USING (orderid)"""
+
+
+def _versions(texts: DataFrame) -> DataFrame:
+    """Later versions of confirmed orders of high priority."""
+    later = F.regexp_replace("value", "T00:00:00", "T12:00:00")
+    sent = F.regexp_replace(later, '"Status":"Confirmed"', '"Status":"Shipped"')
+    return texts.filter((F.col("o_orderpriority") == "2-HIGH") & (F.col("o_orderstatus") == "O")).select(
+        sent.alias("value")
+    )
+
+
+def _deliveries(shop):
+    """Event texts, every one once, and later versions of some."""
+    who = shop.source["orders"].select(
+        F.col("o_orderkey").alias("source_id"), "o_orderstatus", "o_orderpriority"
+    )
+    texts = _damaged_events(shop).join(who, "source_id")
+    return texts.select("value"), _versions(texts)
+
+
+@query("orderid:i customerid:i status:s", _LATEST)
 def ingest_batch(shop):
-    """Pull everything above the mark twice: the second run finds nothing new."""
+    """Pulls of 100 orders until nothing is left, later versions before the first ones."""
     target, mark = _scratch(shop), _scratch(shop)
     ingest.save_mark(shop.spark, mark, -1)
-    texts = _damaged_events(shop).select("value")
-    ingest.ingest_batch(texts, target, mark, limit=None)
-    ingest.ingest_batch(texts, target, mark, limit=None)
+    texts, later = _deliveries(shop)
+    both = later.unionAll(texts)
+    orders = shop.source["orders"].count()
+    ingest.ingest_batch(both, target, mark, limit=max(100, orders // 4))
+    ingest.ingest_batch(both, target, mark, limit=max(100, orders // 4))
+    ingest.ingest_batch(both, target, mark, limit=None)
     return E.event_orders(ingest.stored_events(shop.spark, target))
 
 
-@query("orderid:i customerid:i", _VALID)
+@query("orderid:i customerid:i status:s", _LATEST)
 def ingest_stream(shop):
-    """Landed JSON lines taken as a stream, then delivered again in new files."""
+    """Landed JSON lines taken as a stream, then delivered again with later versions in new files."""
     landing, target, checkpoint = _scratch(shop), _scratch(shop), _scratch(shop)
-    texts = _damaged_events(shop).select("value")
-    for _ in range(2):
-        texts.write.mode("append").text(landing)
+    texts, later = _deliveries(shop)
+    for delivery in (texts, texts.unionAll(later)):
+        delivery.write.mode("append").text(landing)
         ingest.ingest_stream(
             shop.spark, landing, target, checkpoint, whole_files=False
         ).awaitTermination()
     return E.event_orders(ingest.stored_events(shop.spark, target))
+
+
+@query(
+    "run:i message:s received:i uploaded:i replaced:i skipped:i quarantined:i previous_mark:i new_mark:i",
+    f"""WITH valid AS ({_VALID}), counted AS (
+          SELECT (SELECT count(*) FROM valid) AS n, (SELECT max(orderid) FROM valid) AS top,
+                 (SELECT count(*) FROM m_events) AS total,
+                 (SELECT max(CASE WHEN u = '2-HIGH' AND s = 'P' THEN 1 ELSE 0 END) FROM m_events) AS junk,
+                 (SELECT sum(CASE WHEN u = '2-HIGH' AND s = 'P' THEN 1 ELSE 0 END) FROM m_events) AS copies)
+        SELECT 1 AS run, 'Orders processed' AS message, n AS received, n AS uploaded, 0 AS replaced,
+               0 AS skipped, total - n - copies + junk AS quarantined, -1 AS previous_mark, top AS new_mark
+        FROM counted
+        UNION ALL
+        SELECT 2, 'No new orders', 0, 0, 0, n, 0, top, top FROM counted""",
+)
+def ingest_summary(shop):
+    """What two pulls report: the second finds every order below the mark."""
+    target, mark = _scratch(shop), _scratch(shop)
+    ingest.save_mark(shop.spark, mark, -1)
+    texts, _ = _deliveries(shop)
+    runs = [ingest.ingest_batch(texts, target, mark, limit=None) for _ in range(2)]
+    return reduce(DataFrame.unionAll, [r.withColumn("run", F.lit(i)) for i, r in enumerate(runs, 1)])
+
+
+# --- history and events to a written star ---------------------------------------------------
+
+_HISTORY = "orderid % 2 = 0"  # orders of the history; the others arrive as events, every third order in both
+_ARRIVED = "(orderid % 2 = 1 OR orderid % 3 = 0)"
+
+
+def _history(shop):
+    """The raw history: even orders with their lines, payments and shipments."""
+    lines = shop.event_lines().withColumn("orderdetailid", F.col("orderdetailid").cast("long"))
+    raw = {n: shop.raw[n] for n in _RAW}
+    raw["orders"] = raw["orders"].filter(_HISTORY)
+    raw["order_details"] = curated.gross_lines(lines.filter(_HISTORY))
+    raw["payments"] = raw["payments"].filter(_HISTORY)
+    one = raw["shipments"].groupBy("orderid").agg(
+        *[F.min(c).alias(c) for c in ("shipperid", "shipdate", "deliverydate")]
+    )
+    sent = one.withColumn("shipmentid", F.col("orderid"))
+    raw["shipments"] = sent.select("shipmentid", "orderid", "shipperid", "shipdate", "deliverydate").filter(_HISTORY)
+    return raw
+
+
+def _unified(shop):
+    events = shop.events["parsed"].withColumn("orderid", F.col("order.OrderID")).filter(_ARRIVED)
+    history = _history(shop)
+    return history, events, curated.unify_history(history, events)
+
+
+@query(
+    "table:s before:i incoming:i after:i",
+    f"""SELECT 'orders' AS "table", sum(CASE WHEN {_HISTORY} THEN 1 ELSE 0 END) AS "before",
+               sum(CASE WHEN {_ARRIVED} THEN 1 ELSE 0 END) AS incoming, count(*) AS "after" FROM m_orders
+        UNION ALL
+        SELECT 'order_details', sum(CASE WHEN {_HISTORY} THEN 1 ELSE 0 END),
+               sum(CASE WHEN {_ARRIVED} THEN 1 ELSE 0 END), count(*) FROM m_lines
+        UNION ALL
+        SELECT 'payments', sum(CASE WHEN {_HISTORY} THEN 1 ELSE 0 END),
+               sum(CASE WHEN {_ARRIVED} THEN 1 ELSE 0 END), count(*) FROM m_payments
+        UNION ALL
+        SELECT 'shipments', sum(CASE WHEN {_HISTORY} AND l.k IS NOT NULL THEN 1 ELSE 0 END),
+               sum(CASE WHEN {_ARRIVED} AND sent THEN 1 ELSE 0 END),
+               sum(CASE WHEN ({_HISTORY} AND l.k IS NOT NULL) OR ({_ARRIVED} AND sent) THEN 1 ELSE 0 END)
+        FROM m_events LEFT JOIN (SELECT DISTINCT orderid AS k FROM m_lines) l ON orderid = l.k""",
+)
+def union_counts(shop):
+    """Rows of the history, of the events and of both merged, for each of the four merged tables."""
+    history, events, merged = _unified(shop)
+    return curated.union_counts(history, events, merged)
+
+
+@query(
+    "year:i month:i status:s orders:i sales:m",
+    f"""SELECT "year", "month", CASE WHEN {_ARRIVED} THEN e.status ELSE o.status END AS status,
+               count(DISTINCT order_id) AS orders, sum(net_amount) AS sales
+        FROM m_facts f JOIN m_orders o ON f.order_id = o.orderid JOIN m_events e USING (orderid)
+        GROUP BY ALL""",
+)
+def star_with_events(shop):
+    """The whole job: history and events merged, seventeen tables written, a report over what was written."""
+    root = _scratch(shop)
+    _, _, merged = _unified(shop)
+    names = curated.write_star(shop.spark, merged, root)
+    sinks.register_views(shop.spark, star.read_star(shop.spark, root, names))
+    return shop.spark.sql(
+        """SELECT d.year, d.month, s.order_status AS status, count(DISTINCT o.order_id) AS orders,
+                  sum(l.total_amount) AS sales
+           FROM fact_order_detail l JOIN fact_order o USING (order_id) JOIN dim_date d USING (date_id)
+           JOIN dim_order_status s USING (order_status_id) GROUP BY ALL"""
+    )

@@ -7,21 +7,20 @@ import math
 from pyspark.sql import SparkSession
 
 TARGET_BYTES = 128 * 1024**2
-WAVES = 20
+SCAN_BYTES = 512 * 1024**2
 
 
 def settings(input_bytes: int, cores: int, spread: float = 1.5) -> dict[str, str]:
     """Spark settings for a job over ``input_bytes`` on ``cores`` task slots.
 
-    Shuffle partitions start at about one per 128 MB of input times ``spread`` (rows grow when
-    decompressed), at least one and at most ``WAVES`` per core, so that the driver's bookkeeping
-    of maps times reducers stays bounded; scans read up to 512 MB per task for the same reason.
+    Shuffle partitions are one per 128 MB of input times ``spread`` (rows grow when decompressed), at least
+    one per core, without a ceiling: a partition stays as small at any input. Scans read more per
+    task the more there is, up to 512 MB, which keeps the number of map outputs down.
     Adaptive execution merges what turns out small and splits what turns out skewed, also where
     that costs an extra shuffle.
     """
-    wanted = math.ceil(input_bytes * spread / TARGET_BYTES)
-    partitions = min(max(cores, wanted), WAVES * cores)
-    scan = min(4 * TARGET_BYTES, max(TARGET_BYTES, input_bytes // (WAVES * cores)))
+    partitions = max(cores, math.ceil(input_bytes * spread / TARGET_BYTES))
+    scan = min(SCAN_BYTES, max(TARGET_BYTES, input_bytes // (20 * cores)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(scan),

@@ -61,6 +61,19 @@ def list_inputs(df: DataFrame) -> DataFrame:
     return meta.distinct()
 
 
+def read_events_since(
+    spark: SparkSession, path: str, from_id: int, limit: int, ids_per_folder: int = 1_000_000
+) -> DataFrame:
+    """At most ``limit`` landed events (JSON lines in ``id_bucket`` folders) with id >= ``from_id``.
+
+    Folders of lower ids are pruned before any document is parsed.
+    """
+    texts = spark.read.schema("value string, id_bucket long").text(path)
+    texts = texts.filter(F.col("id_bucket") >= from_id // ids_per_folder)
+    events = parse_events(texts).withColumn("orderid", F.col("order.OrderID"))
+    return read_since(events, from_id, limit).drop("orderid")
+
+
 def read_since(df: DataFrame, from_id: int, limit: int, id_col: str = "orderid") -> DataFrame:
     """At most ``limit`` events with id >= ``from_id``, lowest ids first."""
     if from_id < 1:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shopmill import schemas
 
+IDS_PER_FOLDER = 1_000_000
+
 
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
@@ -33,7 +35,7 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -
         df.createOrReplaceTempView(name)
 
 
-def write_events(events: DataFrame, path: str, ids_per_folder: int = 1_000_000) -> None:
+def write_events(events: DataFrame, path: str, ids_per_folder: int = IDS_PER_FOLDER) -> None:
     """Events as JSON lines in folders of consecutive order ids, so that a pull can prune."""
     fields = schemas.schema("event").fieldNames()
     doc = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

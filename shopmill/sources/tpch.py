@@ -6,20 +6,20 @@ its ship date. Only customers, suppliers and products look something up (nation,
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopmill.functions import events as E
 from shopmill.functions.measures import from_cents, full_name, money, with_date_parts
 from shopmill.operators.joins import with_lookup_id
-from shopmill.operators.scale import checkpoint_root
+from shopmill.operators.scale import scratch
 from shopmill.plans.curated import gross_lines
 from shopmill.plans.star import Tables, dim_lookup, star_schema
 from shopmill.sources.files import parse_events
 from shopmill.sources.sinks import write_events
 
+LINE_STEP = 10**11  # above any order id
+
 TABLES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -188,6 +188,21 @@ class Shop:
     # 2-HIGH ships a day late, 3-MEDIUM has its shipment the wrong way round, 4-NOT SPECIFIED
     # is left pending.
 
+    def event_lines(self) -> DataFrame:
+        """Order lines with a numeric id: the line's place in its order before the order's id."""
+        price = F.rint(F.col("l_extendedprice") * 100).cast("long")
+        place = Window.partitionBy("l_orderkey").orderBy(
+            "l_linenumber", "l_partkey", "l_suppkey", price, "l_quantity", "l_discount"
+        )
+        return self.source["lineitem"].select(
+            (F.row_number().over(place) * F.lit(LINE_STEP) + F.col("l_orderkey")).alias("orderdetailid"),
+            F.col("l_orderkey").alias("orderid"),
+            F.col("l_partkey").alias("productid"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            from_cents(price, 12).alias("unitprice"),
+            F.rint(F.col("l_discount") * 100).cast("int").cast("decimal(12,2)").alias("discount"),
+        )
+
     def _nested(self) -> DataFrame:
         status, urgency = F.col("o_orderstatus"), F.col("o_orderpriority")
         day = F.col("o_orderdate").cast("date")
@@ -208,14 +223,7 @@ class Shop:
             F.date_format(day, "yyyy-MM-dd'T'00:00:00'+00:00'").alias("event_timestamp"),
             F.lit("shop").alias("source"),
         )
-        lines = self.source["lineitem"].select(
-            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("orderdetailid"),
-            F.col("l_orderkey").alias("orderid"),
-            F.col("l_partkey").alias("productid"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            from_cents(F.rint(F.col("l_extendedprice") * 100).cast("long"), 12).alias("unitprice"),
-            F.rint(F.col("l_discount") * 100).cast("int").cast("decimal(12,2)").alias("discount"),
-        )
+        lines = self.event_lines()
         whole = (F.col("quantity") * F.col("unitprice")).cast("decimal(18,2)")
         off = (whole * F.col("discount") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
         sums = lines.groupBy("orderid").agg(
@@ -263,7 +271,7 @@ class Shop:
 
     def _landed(self) -> DataFrame:
         """Event texts as they would arrive: written once as JSON lines, then read as text."""
-        path = f"{checkpoint_root(self.spark)}/{uuid.uuid4().hex}"
+        path = scratch(self.spark)
         write_events(self.events["nested"], path)
         return self.spark.read.schema("value string, id_bucket long").text(path)
 
@@ -284,3 +292,8 @@ def open_shop(spark: SparkSession, folder: str) -> Shop:
     if key not in _SHOPS:
         _SHOPS[key] = Shop(spark, folder)
     return _SHOPS[key]
+
+
+def forget_shop(spark: SparkSession, folder: str) -> None:
+    """Drop the kept shop, so that the next use lands its events and reads its lookups anew."""
+    _SHOPS.pop((spark.sparkContext.applicationId, folder), None)

@@ -9,7 +9,6 @@ from fixtures import EVENTS, event, write_documents
 from shopmill.functions import events as E
 from shopmill.operators import quality as Q
 from shopmill.sources import files, sinks
-from shopmill.streaming import ingest
 
 D = Decimal
 
@@ -81,14 +80,13 @@ def test_status_and_shipment_faults(spark, tmp_path):
     assert rows(Q.status_mismatch(events)) == [(5, "CONFIRMED", "PENDING")]
 
 
-def _nested(events, **kw):
+def _nested(events):
     return E.nest_events(
         E.event_orders(events),
         E.event_lines(events),
         E.event_payments(events),
         E.event_shipments(events),
         E.event_summary(events),
-        **kw,
     )
 
 
@@ -100,23 +98,36 @@ def test_nest_is_the_inverse(events):
     assert rows(E.event_orders(again).select(*columns)) == rows(E.event_orders(events).select(*columns))
 
 
-def test_oversize_order_becomes_several_documents(spark, tmp_path):
-    lines = [(p, 1, 1.0, 0.0) for p in range(60)]
+def test_an_order_is_one_document_at_any_size(spark, tmp_path):
+    lines = [(p, 1, 1.0, 0.0) for p in range(12_000)]
     big = files.read_events(spark, write_documents(tmp_path / "in", [event(1, lines), event(2, lines[:3])]))
-    nested = _nested(big, max_lines=10)
-    sizes = {(r["id"], r["n"]) for r in nested.selectExpr("order.OrderID id", "size(order_details) n").collect()}
-    assert max(n for _, n in sizes) < 60 and nested.count() > 2
+    nested = _nested(big)
+    sizes = rows(nested.selectExpr("order.OrderID id", "size(order_details) n", "metadata.event_type"))
+    assert [(i, n) for i, n, _ in sizes] == [(1, 12_000), (2, 3)]
+    assert {kind for *_, kind in sizes} == {r["event_type"] for r in E.event_orders(big).collect()}
     assert rows(E.event_lines(nested)) == rows(E.event_lines(big))
-    for flatten in (E.event_orders, E.event_payments, E.event_shipments, E.event_summary):
-        assert rows(flatten(nested)) == rows(flatten(big))
-    for check in (Q.reconcile_events, Q.status_mismatch, Q.shipment_rules):
-        assert rows(check(nested)) == []
-    sinks.write_events(nested, str(tmp_path / "out"))
-    texts = spark.read.text(str(tmp_path / "out"))
-    ingest.save_mark(spark, str(tmp_path / "mark"), 0)
-    ingest.ingest_batch(texts, str(tmp_path / "target"), str(tmp_path / "mark"))
-    stored = ingest.stored_events(spark, str(tmp_path / "target"))
-    assert rows(E.event_lines(stored)) == rows(E.event_lines(big))
+
+
+def test_double_delivery_is_no_fault(events):
+    assert rows(Q.reconcile_events(events.unionAll(events))) == []
+
+
+def test_text_that_looks_like_a_list_is_none(spark):
+    texts = [('{"order":{"OrderID":1},"order_details":"[oops"}',), ('{"order":{"OrderID":1},"order_details":[]}',),
+             ('[1]',), ('{"order":{"OrderID":"x"},"order_details":[]}',), ('{"order":"[","order_details":[]}',)]
+    judged = Q.judge_events(spark.createDataFrame(texts, "value string"))
+    assert [r["errors"] for r in judged.collect()] == [
+        ["order_details_not_a_list"], [], ["not_an_object"], ["order_id_not_an_integer"], ["order_not_an_object"]
+    ]
+
+
+def test_pull_of_landed_events_reads_only_later_folders(spark, events, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_events(events, path, ids_per_folder=2)
+    pulled = files.read_events_since(spark, path, 2000003, 10, ids_per_folder=2)
+    assert rows(pulled.select("order.OrderID")) == [(2000003,), (2000004,)]
+    plan = pulled._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(id_bucket" in plan and ">= 1000001)" in plan
 
 
 def test_written_events_read_back(spark, events, tmp_path):

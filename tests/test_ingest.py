@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from fixtures import EVENTS, event, write_documents
 from shopmill.functions import events as E
+from shopmill.operators import scale
 from shopmill.sources import files
 from shopmill.streaming import ingest as I
 
@@ -90,3 +91,56 @@ def test_event_headers_append_once(spark, paths, tmp_path):
     assert I.append_event_orders(events, paths["api"]) == 0
     back = spark.read.parquet(paths["api"])
     assert rows(back.select("orderid", "year", "month"))[0] == (2000001, 2026, 9)
+
+
+def _version(order_id, second, status):
+    later = event(order_id, [(1, 1, 2.0, 0.0)])
+    later["metadata"]["event_timestamp"] = f"2027-01-01T00:00:{second:02}+00:00"
+    later["order"]["Status"] = status
+    return later
+
+
+def _status(spark, target):
+    return dict(rows(E.event_orders(I.stored_events(spark, target)).select("orderid", "status")))
+
+
+def test_limit_takes_whole_orders(spark, paths):
+    """Two documents of one order and a limit of one order: both are stored."""
+    raw = _texts(spark, [_version(5, 1, "Pending"), _version(5, 2, "Shipped"), _version(6, 1, "Pending")])
+    I.save_mark(spark, paths["mark"], 0)
+    first = I.ingest_batch(raw, paths["target"], paths["mark"], limit=1).first()
+    assert (first["uploaded"], first["new_mark"]) == (1, 5)
+    assert spark.read.parquet(paths["target"]).count() == 2
+    I.ingest_batch(raw, paths["target"], paths["mark"], limit=1)
+    assert spark.read.parquet(paths["target"]).count() == 3
+    assert _status(spark, paths["target"]) == {5: "SHIPPED", 6: "PENDING"}
+
+
+def test_latest_version_wins_in_and_across_batches(spark, paths, tmp_path):
+    I.save_mark(spark, paths["mark"], 0)
+    I.ingest_batch(_texts(spark, [_version(5, 9, "Shipped"), _version(5, 1, "Confirmed")]), paths["target"], paths["mark"])
+    assert _status(spark, paths["target"]) == {5: "SHIPPED"}
+    I.save_mark(spark, str(tmp_path / "again"), 0)
+    newer = _texts(spark, [_version(5, 20, "Delivered"), _version(5, 3, "Pending"), _version(5, 9, "Shipped")])
+    row = I.ingest_batch(newer, paths["target"], str(tmp_path / "again")).first()
+    assert (row["uploaded"], row["replaced"]) == (0, 1)
+    assert _status(spark, paths["target"]) == {5: "DELIVERED"}
+    assert spark.read.parquet(paths["target"]).count() == 4  # each version once
+
+
+def test_pull_prunes_folders_below_the_mark(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    texts = [(json.dumps(event(i, [])), i // I.IDS_PER_FOLDER) for i in (5, 3_000_001)]
+    spark.createDataFrame(texts, "value string, id_bucket long").write.partitionBy("id_bucket").text(path)
+    raw = spark.read.schema("value string, id_bucket long").text(path)
+    plan = I.above_mark(raw, 2_500_000)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(id_bucket" in plan and ">= 2)" in plan
+    row = I.ingest_batch(raw, str(tmp_path / "t"), str(tmp_path / "m")).first()
+    assert (row["received"], row["uploaded"], row["skipped"]) == (1, 1, 0)
+
+
+def test_a_pull_leaves_no_intermediates(spark, paths, tmp_path, monkeypatch):
+    root = tmp_path / "shared"
+    monkeypatch.setattr(scale, "checkpoint_root", lambda spark: str(root))
+    I.ingest_batch(_texts(spark, [*EVENTS, "{broken"]), paths["target"], paths["mark"])
+    assert not list(root.rglob("*.parquet"))

@@ -9,6 +9,7 @@ from fixtures import EVENTS, write_documents
 from shopmill import schemas
 from shopmill.operators import aggregates as A
 from shopmill.operators import joins as J
+from shopmill.operators import quality as Q
 from shopmill.operators import windows as W
 from shopmill.operators.scale import durable
 from shopmill.operators.setops import unify
@@ -243,3 +244,51 @@ def test_curated_outputs(spark, clean, tmp_path):
     want = sums["fact_sales"].agg(F.sum("total_amount")).first()[0]
     for mart in ("customer_sales", "product_sales", "category_sales", "monthly_sales"):
         assert sums[mart].agg(F.sum("total_sales")).first()[0] == want
+
+
+def test_totals_above_10_17_are_exact(spark):
+    """Reports and aggregates over amounts whose sums leave 18 digits behind."""
+    n, amount = 200_000, D("999999999999.99")
+    whole = n * amount
+    money = F.lit(amount).cast("decimal(14,2)")
+    amounts = {c: money for c in ("unit_price", "gross_amount", "discount_amount", "total_amount")}
+    lines = spark.range(n).select(
+        F.col("id").alias("order_detail_id"),
+        (F.col("id") % 1000).alias("order_id"),
+        (F.col("id") % 10).alias("product_id"),
+        F.lit(1).alias("quantity"),
+        *[a.alias(c) for c, a in amounts.items()],
+    )
+    orders = spark.range(1000).selectExpr(
+        "id AS order_id", "id % 5 AS customer_id", "20240100 + cast(id % 2 * 100 AS int) + 1 AS date_id",
+        "date_add(date'2024-01-01', cast(id % 2 * 31 AS int)) AS order_date", "1 AS order_status_id",
+    )
+    tables = {
+        "fact_order_detail": lines,
+        "fact_order": orders,
+        "fact_customer_sales": A.customer_mart(lines, orders),
+        "dim_product": spark.range(10).selectExpr(
+            "id AS product_id", "concat('p', id) AS product_name", "id % 2 AS category_id"
+        ),
+        "dim_category": spark.range(2).selectExpr("id AS category_id", "concat('c', id) AS category_name"),
+        "dim_customer": spark.range(5).selectExpr("id AS customer_id", "'a' AS first_name", "'b' AS last_name"),
+        "dim_date": spark.createDataFrame([(20240101, 2024, 1), (20240201, 2024, 2)], "date_id int, year int, month int"),
+        "fact_payment": lines.selectExpr("order_detail_id AS payment_id", "1 AS payment_method_id", "total_amount AS amount"),
+        "dim_payment_method": spark.createDataFrame([(1, "CASH")], "payment_method_id int, payment_method string"),
+    }
+    assert reports.totals(tables).first()["total_sales"] == whole
+    for report, column in (
+        ("monthly_sales", "monthly_sales"), ("sales_by_category", "total_sales"), ("top_products", "total_sales"),
+        ("top_products_by_id", "total_sales"), ("top_customers", "total_spending"),
+        ("top_products_per_category", "sales"), ("customer_ranking", "total_spending"),
+        ("monthly_growth", "current_sales"), ("running_sales", "daily_sales"), ("payments_by_method", "total_amount"),
+    ):
+        found = [r[column] for r in getattr(reports, report)(tables).collect()]
+        assert sum(found) == (whole if report != "top_products_per_category" else whole * len(found) / 10), report
+    assert reports.running_sales(tables).collect()[-1]["running_total_sales"] == whole
+    assert reports.average_order_value(tables).first()[0] == pytest.approx(float(whole) / 1000)
+    raw = lines.withColumnRenamed("order_id", "orderid").withColumnRenamed("product_id", "productid")
+    assert A.global_totals(orders.withColumnRenamed("order_id", "orderid"), raw).first()["total_sales"] == whole
+    assert A.product_mart(lines).agg(F.sum("total_sales")).first()[0] == whole
+    fk = Q.fk_report(raw, orders.limit(0), "orderid", "order_id", "total_amount").first()
+    assert fk["lost_amount"] == whole and fk["unmatched"] == n
