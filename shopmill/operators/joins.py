@@ -64,9 +64,9 @@ def with_lookup_id(df: DataFrame, dim: DataFrame, name_col: str, id_col: str) ->
     return df.join(ids, name_col, "left").drop(name_col)
 
 
-def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+def unmatched(left: DataFrame, right: DataFrame, key: str, unique: str | None = None) -> DataFrame:
     """Rows of ``left`` whose key does not occur in ``right`` (NULL keys included)."""
-    return skew_join(left, right, key, "left_anti")
+    return skew_join(left, right, key, "left_anti", unique)
 
 
 def payment_mismatch(order_summary: DataFrame, payments: DataFrame) -> DataFrame:

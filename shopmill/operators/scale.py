@@ -81,7 +81,9 @@ def skew_join(
     ``how``: inner, left, left_semi or left_anti. Adaptive execution splits hot keys of the left
     side in each of these, and of the right side in an inner join. It can not split the right side of
     an outer join, so unless the right side has one row per key (``unique="right"``), a left join is
-    an inner join and the unmatched rest, which see the right side's distinct keys only.
+    an inner join and the unmatched rest. A semi or anti join needs the right side's keys only: where they are
+    not unique they are made so first, map side before the shuffle, which folds a hot key there; where they
+    are, the join meets the bare shuffle and hot keys of the left side can be split.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")

@@ -424,7 +424,7 @@ def integrity_report(shop):
         WHERE {_gone("orderid")} NOT IN (SELECT orderid FROM m_orders)""",
 )
 def shipments_without_order(shop):
-    return J.unmatched(_astray(shop.raw["shipments"], "orderid"), shop.raw["orders"], "orderid")
+    return J.unmatched(_astray(shop.raw["shipments"], "orderid"), shop.raw["orders"], "orderid", "right")
 
 
 @query(
