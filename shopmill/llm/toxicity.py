@@ -11,7 +11,7 @@ sentences that hold it come from toxic documents (lower Wilson bound at least on
 of one document must not turn its plain words toxic. Counting is distributed over all labelled sentences; at most
 ``positives`` toxic and ``negatives`` clean strings are fetched to fit the machine.
 
-Scoring looks at every distinct token of the corpus once, then joins the scores back to the documents; tokens that no
+Scoring looks at every distinct string of the corpus once, then joins the scores back to the documents; tokens that no
 landmark resembles are left out of that join, and a document without others gets the floor score.
 
 Defined cases: a NULL, empty or wordless text has the floor score; without toxic strings in training so
@@ -33,28 +33,32 @@ from shopmill.llm.common import SPACE, text_of
 from shopmill.operators.scale import durable
 
 LENGTH, DECAY = 3, 0.6  # letters of a subsequence, discount per letter spanned
-POSITIVES, NEGATIVES, LANDMARKS = 300, 4000, 64
+POSITIVES, NEGATIVES, LANDMARKS = 300, 4000, 48
 WINDOW = 24  # longer strings are cut into windows of so many letters that overlap by half
 FLOOR = -1.5  # decision of a document without any suspicious token
 SUSPICIOUS = -0.5  # tokens above this decision are joined back
 SHARPNESS = 3.0
 Z = 2.58
 
-#: A run of at least four single letters with one to three other characters between them.
-SPACED = r"(?<!\p{L})(?:\p{L}[^\p{L}\n]{1,3}){3,}\p{L}(?!\p{L})"
+#: A run of at least four single letters with one to three blanks or signs between them.
+SPACED = r"(?<!\p{L})(?:\p{L}[\s\p{Punct}&&[^\n]]{1,3}){3,}\p{L}(?!\p{L})"
+#: A cheap test that a text can hold such a run at all.
+MAYBE_SPACED = r"(?:^|[\s\p{Punct}])\S[\s\p{Punct}]{1,3}\S[\s\p{Punct}]{1,3}\S[\s\p{Punct}]{1,3}\S"
 IMITATED = str.maketrans("0134578@$!", "oieastbasi")
+SIGNS = "!.,;:?\"'()[]{}#*$%&-_/\\|<> \t"
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def tokens_of(text: Column) -> Column:
-    """Distinct tokens of a text: stretches without white space, and runs of single letters."""
-    plain = F.array_remove(F.split(text, f"{SPACE}+"), "")
-    return F.array_distinct(F.concat(plain, F.regexp_extract_all(text, F.lit(SPACED), F.lit(0))))
+    """Tokens of a text: stretches without white space, empty ones perhaps, and runs of single letters."""
+    plain = F.split(text, f"{SPACE}+")
+    spaced = F.regexp_extract_all(text, F.lit(SPACED), F.lit(0))
+    return F.when(F.rlike(text, F.lit(MAYBE_SPACED)), F.concat(plain, spaced)).otherwise(plain)
 
 
 def letters(token: str) -> str:
     """The letters of a token in lower case; digits and signs inside read as the letters they imitate."""
-    token = token.lower().strip("!.,;:?\"'()[]{}#*$%&-_/\\|<> \t")
+    token = token.lower().strip(SIGNS)
     if not any(c.isalpha() for c in token):
         return ""
     return "".join(LETTERS.findall(token.translate(IMITATED)))
@@ -103,7 +107,7 @@ def _raw_kernel(a: np.ndarray, b: np.ndarray, n: int, decay: float) -> np.ndarra
     return total
 
 
-def kernel(strings: list[str], others: list[str], n: int = LENGTH, decay: float = DECAY, block: int = 2048) -> np.ndarray:
+def kernel(strings: list[str], others: list[str], n: int = LENGTH, decay: float = DECAY, block: int = 256) -> np.ndarray:
     """Normalised subsequence kernel, 0 to 1; 0 for strings of fewer than ``n`` letters."""
     out = np.zeros((len(strings), len(others)), dtype=np.float32)
     if not strings or not others:
@@ -176,8 +180,8 @@ def labelled_strings(
     pairs = F.transform(
         "_w", lambda w, i: F.struct(F.lower(w).alias("w"), F.coalesce(F.get("_w", i - 1), F.lit("")).alias("before"))
     )
-    words = words.select("_y", "_h", F.explode(F.array_distinct(pairs)).alias("p")).select("_y", "_h", "p.*")
-    word = F.regexp_replace("w", r"^[^\p{L}]+|[^\p{L}]+$", "")
+    words = words.select("_y", "_h", F.explode(pairs).alias("p")).select("_y", "_h", "p.*")
+    word = F.btrim("w", F.lit(SIGNS))
     counts = (
         words.select("_y", "_h", word.alias("w"), "before")
         .filter("w <> ''")
@@ -217,22 +221,24 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     """``key, score`` (0 to 1) for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # landmarks and weights, a fixed number
 
+    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(string=[letters(t) for t in batch["token"]])
+
     def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
         for batch in batches:
-            strings = [letters(t) for t in batch["token"]]
-            distinct = list(dict.fromkeys(strings))
-            values = dict(zip(distinct, model.decide(distinct)))
-            values = np.array([values[s] for s in strings], dtype=np.float64)
+            values = shared.value.decide(batch["string"].tolist())
             kept = values > SUSPICIOUS
-            yield pd.DataFrame({"token": batch["token"][kept], "value": values[kept]})
+            yield pd.DataFrame({"string": batch["string"][kept], "value": values[kept].astype(np.float64)})
 
     row = {"_a": F.xxhash64(F.col(key), text_of(text)), "_b": F.xxhash64(text_of(text), F.col(key))}
     rows = docs.select(F.col(key), *[c.alias(n) for n, c in row.items()], text_of(text).alias("_text"))
     tokens = rows.select("_a", "_b", F.explode(tokens_of(F.col("_text"))).alias("token"))
-    distinct = tokens.select("token").distinct()
     if model.landmarks:
-        suspicious = durable(distinct.mapInPandas(decide, "token string, value double"))
+        spelled = durable(tokens.select("token").distinct().mapInPandas(spell, "token string, string string"))
+        strings = spelled.select("string").filter(F.length("string") >= LENGTH).distinct()
+        bad = durable(strings.mapInPandas(decide, "string string, value double"))
+        suspicious = durable(spelled.join(bad, "string").select("token", "value"))
     else:
         suspicious = docs.sparkSession.createDataFrame([], "token string, value double")
     # Written above, so its size is known: broadcast only if the session's threshold allows.
