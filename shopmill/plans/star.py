@@ -88,14 +88,17 @@ def dim_date(orders: DataFrame) -> DataFrame:
     )
 
 
+FEW_NAMES = 100_000
+
+
 def dim_lookup(
     names: DataFrame, id_col: str, existing: DataFrame | None = None, few: bool = True
 ) -> DataFrame:
     """Surrogate ids 1..n over the distinct names in order.
 
     With ``existing`` (the stored lookup) known names keep their ids and new ones continue after
-    the highest, where a rebuild would re-number. ``few=False`` numbers without one ordered pass,
-    for name lists that grow with the data.
+    the highest, where a rebuild would re-number. One ordered pass numbers at most ``FEW_NAMES`` names and
+    refuses more; ``few=False`` numbers without it, for name lists that grow with the data.
     """
     name_col = names.columns[0]
     fresh = names.filter(F.col(name_col).isNotNull()).distinct()
@@ -105,7 +108,9 @@ def dim_lookup(
         top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).first()["top"]
         offset = F.lit(top)
     if few:
-        numbered = fresh.withColumn("_n", F.row_number().over(Window.orderBy(name_col)))
+        place = F.row_number().over(Window.orderBy(name_col))
+        refused = F.raise_error(F.lit(f"over {FEW_NAMES} names: number them with few=False"))
+        numbered = fresh.withColumn("_n", F.when(place <= FEW_NAMES, place).otherwise(refused.cast("int")))
     else:
         total = fresh.count()
         numbered = ranked(fresh, name_col, "_n").withColumn("_n", F.lit(total + 1) - F.col("_n"))

@@ -192,6 +192,14 @@ def test_lookup_ids_stay_stable(frame):
     assert {r["n"]: r["id"] for r in many.collect()} == {f"n{i:03}": i + 1 for i in range(50)}
 
 
+def test_too_many_names_for_one_pass_are_refused(frame, monkeypatch):
+    monkeypatch.setattr(star, "FEW_NAMES", 2)
+    names = frame([("a",), ("b",), ("c",)], "n string")
+    with pytest.raises(Exception, match="few=False"):
+        star.dim_lookup(names, "id").collect()
+    assert rows(star.dim_lookup(names, "id", few=False)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
 def test_empty_orders_give_no_dates(frame):
     empty = frame([], "orderid long, orderdate date")
     assert star.dim_date(empty).count() == 0
