@@ -50,10 +50,13 @@ def pieces(words: list[str], k: int) -> list[tuple[int, str]]:
     return [(a, f" {' '.join(words[a:b])} ") for a, b in zip(cuts, cuts[1:])]
 
 
-def myers(masks: dict[str, int], length: int, window: list[str]) -> tuple[int, int]:
+def myers(
+    masks: dict[str, int], length: int, window: list[str], anchored: bool = False
+) -> tuple[int, int]:
     """Least edits that turn the pattern into some stretch of ``window``, and where that stretch ends.
 
-    ``masks`` has bit i set for the word at place i of the pattern. Ties go to the first end.
+    ``masks`` has bit i set for the word at place i of the pattern. Ties go to the first end. An
+    ``anchored`` stretch begins where the window does.
     """
     full, high = (1 << length) - 1, 1 << (length - 1)
     plus, minus, score = full, 0, length
@@ -67,7 +70,7 @@ def myers(masks: dict[str, int], length: int, window: list[str]) -> tuple[int, i
             score += 1
         elif down & high:
             score -= 1
-        up, down = (up << 1) & full, (down << 1) & full
+        up, down = (up << 1 | anchored) & full, (down << 1) & full
         plus = down | (~((eq | minus) | up) & full)
         minus = up & (eq | minus)
         if score < best:
@@ -84,9 +87,10 @@ class Matcher:
         for number, text in items:
             words = text.split()
             k = budget(len(words), error_rate)
-            masks: dict[str, int] = {}
+            masks: tuple[dict[str, int], dict[str, int]] = {}, {}  # forwards and backwards
             for i, w in enumerate(words):
-                masks[w] = masks.get(w, 0) | 1 << i
+                masks[0][w] = masks[0].get(w, 0) | 1 << i
+                masks[1][w] = masks[1].get(w, 0) | 1 << len(words) - 1 - i
             self.items.append((number, len(words), k, masks))
             for offset, piece in pieces(words, k):
                 found.setdefault(piece, []).append((len(self.items) - 1, offset))
@@ -115,9 +119,11 @@ class Matcher:
         for item, start in sorted(places):
             number, length, k, masks = self.items[item]
             low = max(0, start - k)
-            edits, end = myers(masks, length, words[low : start + length + k])
+            window = words[low : max(start + length + k, 0)]
+            edits, end = myers(masks[0], length, window)
             if edits <= k and (number not in best or edits < best[number][0]):
-                best[number] = (edits, max(start, 0), low + end - max(start, 0))
+                _, n = myers(masks[1], length, window[:end][::-1], anchored=True)
+                best[number] = (edits, low + end - n, n)
         return [(number, *b) for number, b in sorted(best.items())]
 
 

@@ -27,7 +27,7 @@ from shopmill.llm.common import let, text_of
 from shopmill.operators.scale import durable
 
 KINDS = ("email", "ip", "card", "phone")
-STEPS = 12
+STEPS = 8
 ACCEPT = 0.9
 PRIOR_VOTES = 20.0  # pseudo-votes that anchor each labeler at ``PRIOR_TRUST``
 PRIOR_TRUST = 0.85

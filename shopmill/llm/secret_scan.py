@@ -177,6 +177,9 @@ def mask(text: str, found: str, sign: str = "[SECRET]") -> Column:
     def replace(texts: pd.Series, spans: pd.Series) -> pd.Series:
         masked = []
         for t, found in zip(texts, spans):
+            if t is None:  # nothing to mask; these rows come here all the same
+                masked.append(None)
+                continue
             parts, at, last = [], 0, None
             for s in sorted(found, key=lambda s: (s["start"], s["end"])):
                 if last is None or s["start"] >= last:
@@ -185,4 +188,5 @@ def mask(text: str, found: str, sign: str = "[SECRET]") -> Column:
             masked.append("".join([*parts, t[at:]]))
         return pd.Series(masked)
 
-    return F.when(F.size(found) > 0, replace(F.col(text), F.col(found))).otherwise(F.col(text))
+    some = F.size(found) > 0
+    return F.when(some, replace(F.when(some, F.col(text)), F.col(found))).otherwise(F.col(text))

@@ -103,7 +103,7 @@ def test_odd_rows(spark, talks):
 
 
 def test_query_recovers_held_out_roles(spark):
-    folder = "/root/testdata/sf0.001"
+    folder = "/root/testdata/sf0.01"
     talks = spark.read.parquet(f"{folder}/conversations.parquet")
     rows = queries.QUERIES["op4_chat"](spark, folder)
     odd = F.pmod(F.crc32(F.encode(F.col("conv_id").cast("string"), "utf-8")), F.lit(2)) == 1

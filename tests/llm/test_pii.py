@@ -63,7 +63,7 @@ def test_native_and_empty(spark, odd, empty, tmp_path):
     model = P.fit(empty)
     assert P.mark(empty, model).count() == 0
     plan = P.mark(odd, model)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Exchange" not in plan
+    assert "Python" not in plan and "Exchange hashpartitioning" not in plan
     spark.createDataFrame([(1, "x a@b.cc 1.2.3.4")], "doc_id long, text string").write.parquet(
         str(tmp_path / "documents.parquet")
     )
