@@ -1,6 +1,6 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Spark splits each text into words whose ids do not depend on their neighbours, counts the distinct words
+Tasks split each text into words whose ids do not depend on their neighbours; Spark counts the distinct words
 and encodes each of them once, by the tokenizers library. The ids then go back to the places of the words:
 
 * the ``head`` most frequent words (a fixed number of short words, so of bounded size) travel to the tasks
@@ -25,34 +25,41 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Iterator
+import re
+import uuid
+from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopmill.llm.common import SPACE, text_of
 from shopmill.operators.scale import durable
 
-HEAD = 1 << 18
+HEAD = 1 << 19
 HEAD_CHARS = 64
-RARE = HEAD  # place that stands for a word outside the head
+RARE = (1 << 24) - 1  # place that stands for a word outside the head
+FLUSH = 1_000_000  # distinct words that a task holds before it passes their counts on
 
-#: The tokenizer file's splitting rule (fixed value), here over lower-cased Latin text.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The tokenizer file's splitting rule (fixed value) for lower-cased Latin text: runs of letters, single digits,
+#: contractions, runs of other signs. Letters and digits are listed, as the texts it is used on have no others.
+_L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+SPLIT = re.compile(rf"[{_L}]+|[{_N}]|'(?:[stmd]|re|ve|ll)|[^\s{_L}{_N}]+")
 #: Anything but ASCII, and letters and signs up to U+024F that composition and lower-casing keep one for one.
-UNUSUAL = r"[^\x09-\x0D\x20-\x7E¡-įı-ɏ]"
+UNUSUAL = re.compile(r"[^\x09-\x0D\x20-\x7E¡-įı-ɏ]")
+BLANK = re.compile(SPACE + "+")
 
 
-def words_of(text: Column) -> Column:
+def words_of(text: str) -> list[str]:
     """The words of a text in order; encoding them one by one gives the text's ids."""
-    plain = ~F.rlike(text, F.lit(UNUSUAL)) & ~F.contains(text, F.lit("<|"))
-    return F.when(plain, F.regexp_extract_all(F.lower(text), F.lit(SPLIT), F.lit(0))).otherwise(
-        F.array_remove(F.split(text, f"{SPACE}+"), "")
-    )
+    if "<|" in text or UNUSUAL.search(text):
+        return [w for w in BLANK.split(text) if w]
+    return SPLIT.findall(text.lower())
 
 
 def vocabulary(name: str) -> str:
@@ -65,6 +72,18 @@ def vocabulary(name: str) -> str:
 _TOKENIZERS: dict[str, object] = {}
 
 
+_KEPT: dict[str, object] = {}
+
+
+def _once(name: str, build: Callable[[], object]):
+    """``build()`` of a name, kept for the later tasks of a Python worker; one of a kind at a time."""
+    if name not in _KEPT:
+        for other in [k for k in _KEPT if k.split()[0] == name.split()[0]]:
+            del _KEPT[other]
+        _KEPT[name] = build()
+    return _KEPT[name]
+
+
 def _tokenizer(path: str):
     """The library's tokenizer of a vocabulary file, without truncation and padding."""
     if path not in _TOKENIZERS:
@@ -78,9 +97,29 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+    for batch in batches:
+        yield batch, [words_of(t) for t in batch.column("_text").to_pylist()]
+
+
 def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``word, n, ids``: every distinct word of the texts, how often it occurs, its ids. Written once."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+
+        def rows() -> pa.RecordBatch:
+            counted = [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())]
+            return pa.RecordBatch.from_arrays(counted, names=["word", "n"])
+
+        for _, texts in _texts(batches):
+            for words in texts:
+                seen.update(words)
+            if len(seen) > FLUSH:
+                yield rows()
+                seen.clear()
+        yield rows()
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
         for batch in batches:
@@ -91,8 +130,8 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 names=["word", "n", "ids"],
             )
 
-    counted = docs.select(F.explode(words_of(text_of(text))).alias("word"))
-    counted = counted.groupBy("word").agg(F.count("*").alias("n"))
+    counted = docs.select(text_of(text).alias("_text")).mapInArrow(count, "word string, n long")
+    counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
     return durable(counted.mapInArrow(encode, "word string, n long, ids array<int>"))
 
 
@@ -126,68 +165,73 @@ def encode(
     context = docs.sparkSession.sparkContext
     table = word_table(docs, path, text)
     frequent = _head(table, head)
-    shared = context.broadcast(frequent)
+    shared, name = context.broadcast(frequent), uuid.uuid4().hex
     # A document is known by its key and text; equal rows share one set of rare words.
     marks = {"_a": F.xxhash64(F.col(key), text_of(text)), "_b": F.xxhash64(text_of(text), F.col(key))}
-    rows = docs.select(F.col(key).alias("_key"), words_of(text_of(text)).alias("_words"), *[c.alias(n) for n, c in marks.items()])
+    marks = [c.alias(n) for n, c in marks.items()]
+    rows = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text"), *marks)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list, list]]:
+        """Each batch with its words and their places among the frequent words."""
+        words = lambda: dict(zip(shared.value.column("word").to_pylist(), range(RARE)))
+        place = _once(f"places {name}", words)
+        for batch, texts in _texts(batches):
+            found = [
+                np.fromiter(map(place.get, words, repeat(RARE)), np.int32, len(words)) for words in texts
+            ]
+            yield batch, texts, found
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pc.SetLookupOptions(shared.value.column("word").combine_chunks())
-        for batch in batches:
-            words = batch.column("_words")
-            ends = np.cumsum(pc.list_value_length(words).fill_null(0).to_numpy(zero_copy_only=False))
-            places = pc.index_in(words.flatten(), options=known).fill_null(RARE).to_numpy(zero_copy_only=False)
-            packed = [_pack(places[a:b]) for a, b in zip(np.concatenate([[0], ends[:-1]]), ends)]
-            sizes = np.diff(ends, prepend=0)
-            columns = [batch.column("_key"), batch.column("_a"), batch.column("_b")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())],
-                names=["_key", "_a", "_b", "_n", "_places"],
-            )
+        for batch, _, places in placed(batches):
+            sizes = pa.array([len(p) for p in places], pa.int32())
+            packed = pa.array([_pack(p) for p in places], pa.binary())
+            columns = [batch.column("_key"), batch.column("_a"), batch.column("_b"), sizes, packed]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_a", "_b", "_n", "_places"])
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts, places in placed(batches):
+            at = [np.flatnonzero(p == RARE) for p in places]
+            row = np.repeat(np.arange(len(at)), [len(i) for i in at])
+            numbers = pa.array(np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int32))
+            words = pa.array([words[k] for words, i in zip(texts, at) for k in i], pa.string())
+            columns = [batch.column(c).take(pa.array(row)) for c in ("_a", "_b")]
+            yield pa.RecordBatch.from_arrays([*columns, numbers, words], names=["_a", "_b", "_at", "word"])
 
     key_type = docs.schema[key].dataType.simpleString()
     packed = rows.mapInArrow(pack, f"_key {key_type}, _a long, _b long, _n int, _places binary")
-
-    heads = docs.sparkSession.createDataFrame(frequent.select(["word"]).to_pandas(), "word string")
-    spread = rows.select("_a", "_b", F.posexplode("_words").alias("_at", "word"))
-    rare = spread.join(F.broadcast(heads), "word", "left_anti")  # at most ``head`` short words
-    found = rare.join(table.select("word", "ids"), "word")
+    spread = rows.select("_text", "_a", "_b").mapInArrow(rare, "_a long, _b long, _at int, word string")
+    found = spread.join(table.select("word", "ids"), "word")
     gaps = found.groupBy("_a", "_b").agg(
         F.transform(F.array_sort(F.collect_set(F.struct("_at", "ids"))), lambda g: g["ids"]).alias("_gaps")
     )
     joined = packed.join(gaps, ["_a", "_b"], "left").select("_key", "_n", "_places", "_gaps")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
-        numbers = pa.array([str(i) for i in range(tokenizer.get_vocab_size())])
-        pieces = pa.array([tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())])
-        ids = shared.value.column("ids").combine_chunks()
-        starts, values = ids.offsets.to_numpy(), ids.values.to_numpy()
-        starts = starts - ids.offset if len(ids) else np.zeros(1, dtype=np.int32)
-        lengths = np.append(np.diff(starts), 0)
+        pieces = _once(f"pieces {path}", lambda: _pieces(path))
+
+        def spell() -> tuple[list[str], list[str], np.ndarray]:
+            known = shared.value.column("ids").to_pylist() + [[]]
+            spelled = [_spelled(ids, pieces) for ids in known]
+            return [s[0] for s in spelled], [s[1] for s in spelled], np.array([len(i) for i in known])
+
+        as_ids, as_text, lengths = _once(f"spelled {name}", spell)
         for batch in batches:
             counts, first, second = [], [], []
-            gaps = batch.column("_gaps")
-            for i, (n, packed) in enumerate(zip(batch.column("_n").to_pylist(), batch.column("_places").to_pylist())):
+            columns = [batch.column(c).to_pylist() for c in ("_n", "_places", "_gaps")]
+            for n, packed, gaps in zip(*columns):
                 places = _unpack(packed, n)
-                size, begin = lengths[places], np.append(starts[:-1], 0)[places]
-                source, missing = values, places == RARE
-                if missing.any():
-                    own = gaps[i].values
-                    own_starts, own_values = own.offsets.to_numpy(), own.values.to_numpy()
-                    size[missing] = np.diff(own_starts)
-                    begin[missing] = own_starts[:-1] + len(values)
-                    source = np.concatenate([values, own_values])
-                shift = begin - (np.cumsum(size) - size)
-                text_ids = source[np.repeat(shift, size) + np.arange(int(size.sum()))]
-                counts.append(len(text_ids))
-                decoded = _spell(text_ids, pieces)
-                if digest:
-                    first.append(_sha256(_spell(text_ids, numbers)))
-                    second.append(_sha256(decoded))
-                else:
-                    first.append(text_ids)
-                    second.append(decoded)
+                missing = np.flatnonzero(places == RARE)
+                places[missing] = len(lengths) - 1
+                count, order = int(lengths[places].sum()), places.tolist()
+                ids, text = [as_ids[p] for p in order], [as_text[p] for p in order]
+                for i, own in zip(missing.tolist(), gaps or ()):
+                    ids[i], text[i] = _spelled(own, pieces)
+                    count += len(own)
+                # A word without ids (white space that only the library knows) adds nothing.
+                ids, text = " ".join(filter(None, ids)), " ".join(filter(None, text))
+                counts.append(count)
+                first.append(_sha256(ids) if digest else np.fromstring(ids, dtype=np.int32, sep=" "))
+                second.append(_sha256(text) if digest else text)
             columns = [pa.array(counts, pa.int64()), pa.array(first, first_type), pa.array(second, pa.string())]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], names=names)
 
@@ -200,11 +244,15 @@ def encode(
     return joined.mapInArrow(fill, f"`{key}` {key_type}, n_tokens long, {rest}")
 
 
-def _spell(ids: np.ndarray, table: pa.Array) -> str:
-    """The entries of ``table`` for the ids, joined by spaces: the id-to-piece join."""
-    entries = table.take(pa.array(ids))
-    lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), entries)
-    return pc.binary_join(lists, " ")[0].as_py()
+def _pieces(path: str) -> list[str]:
+    """The vocabulary's id-to-piece table."""
+    tokenizer = _tokenizer(path)
+    return [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
+
+
+def _spelled(ids: list[int], pieces: list[str]) -> tuple[str, str]:
+    """A word's ids and their pieces, each joined by spaces."""
+    return " ".join(map(str, ids)), " ".join([pieces[i] for i in ids])
 
 
 def _sha256(text: str) -> str:
