@@ -53,9 +53,11 @@ def test_stages_equal_brute_force(spark):
 def test_run_takes_odd_rows(spark, odd, tmp_path):
     docs = odd.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "1L AS n_chars")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    trusted = [(1, 1, 0), (6, 1, 0), (7, 1, 0), (None, 1, None)]
+    spark.createDataFrame(trusted, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    assert P.run(spark, str(tmp_path)).count() >= 1
+    kept = [r["doc_id"] for r in P.run(spark, str(tmp_path)).collect()]
+    assert 1 in kept and 6 not in kept and len(kept) == len(set(kept))
 
 
 def test_run_of_an_empty_table(spark, tmp_path):
