@@ -4,7 +4,10 @@ A text is lexed into statements ``name <operator> expression``; expressions are
 literals, references to other names, or sums of these. Names bound to literals are constants, and a
 reference to a constant carries its literals to the name it is assigned to. Each literal is scored by the most
 sensitive name it reaches times how much it looks like a credential; from ``threshold`` on it is reported.
-Three fixed patterns (credential assignments, access key ids, long hex runs) are always reported.
+Three fixed patterns (credential assignments, access key ids, long hex runs) are always reported. A credential
+assignment that stops inside its value is reported as a literal of the whole value as well: up to the closing quote, or,
+unquoted, up to white space, a quote, a bracket, a comma or a semicolon. Any other literal is left out only where one of
+these spans holds all of it, so it may overlap them.
 
 Spans count code points, end exclusive. Texts are scanned whole. Defined cases: a NULL text is
 empty; an empty text has no span; equal rows give equal spans; a name assigned twice keeps both values; cyclic references end.
@@ -15,7 +18,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,6 +37,8 @@ ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     re.IGNORECASE | re.ASCII,
 )
+QUOTED_REST = {q: re.compile(rf"(?:[^{q}\\\n]|\\.)*+(?={q})") for q in "\"'"}
+BARE_REST = re.compile(r"""[^\s"'`,;()\[\]{}<>]*+""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # every run of hex digits of at least 24
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -131,24 +138,45 @@ def propagate(statements: list[Statement]) -> dict[tuple[int, int, str], tuple[s
     return best
 
 
+def values(text: str, assigned: list[re.Match]) -> dict[tuple[int, int], str]:
+    """The whole values (start, end) that credential assignments stop inside of, with their names."""
+    found, run = {}, 0
+    for m in assigned:
+        quote = QUOTED_REST.get(text[m.start(2) - 1])
+        rest = quote.match(text, m.end()) if quote else None
+        if rest:
+            end = rest.end()
+        else:
+            if run < m.end():  # values of one run end together
+                run = BARE_REST.match(text, m.end()).end()
+            end = run
+        if end > m.end():
+            found[m.start(2), end] = m[1]
+    return found
+
+
 def spans(text: str, threshold: float = THRESHOLD) -> list[tuple]:
     """(kind, start, end, base, name, score) by start, then kind as in KINDS."""
-    found = []
+    found, whole = [], {}
     lower = text.lower()
     if any(w in lower for w in ASSIGN_WORDS):
-        for m in ASSIGN.finditer(text):
-            if len(m[2]) >= 6:
-                found.append(("assign", m.start(), m.end(), True, m[1], 1.0))
+        assigned = [m for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+        found = [("assign", m.start(), m.end(), True, m[1], 1.0) for m in assigned]
+        whole = values(text, assigned)
     if "AKIA" in text:
         for m in ACCESS.finditer(text):
             if m.end() - m.start() >= 20:
                 found.append(("access", m.start(), m.end(), True, "", 1.0))
     found += [("hex", m.start(), m.end(), True, "", 1.0) for m in HEX.finditer(text)]
+    found += [("literal", start, end, False, name, 1.0) for (start, end), name in whole.items()]
     if ("=" in text or ":" in text) and any(s in lower for s in STEMS):
         taken = sorted((s, e) for _, s, e, *_ in found)
+        starts, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
         for (start, end, value), (name, weight) in propagate(lex(text)).items():
             score = weight * credibility(value)
-            if score >= threshold and not any(s < end and start < e for s, e in taken):
+            before = bisect_right(starts, start)
+            held = before and end <= reach[before - 1]  # by the span that reaches farthest
+            if score >= threshold and not held:
                 found.append(("literal", start, end, False, name, round(score, 6)))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

@@ -60,6 +60,17 @@ def test_run_takes_odd_rows(spark, odd, tmp_path):
     assert 1 in kept and 6 not in kept and len(kept) == len(set(kept))
 
 
+def test_planted_secrets_with_punctuation_are_masked_whole(spark):
+    values = ["hunter22!x#y9", "Zk8!qP2v,Lm(9)w;", f"{'0123456789abcdef' * 2}.Zk8!qP"]
+    names = ["password", "api_key", "signing_key"]
+    rows = [(i, f'a line\n{n} = "{v}"\nanother', "en", "s", 1) for i, (n, v) in enumerate(zip(names, values))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in P.secret_free(spark, docs, FOLDER).collect()}
+    for i, name in enumerate(names):
+        kept = "" if name == "password" else f'{name} = "'  # a base span takes the name along
+        assert got[i]["text"] == f'a line\n{kept}[SECRET]"\nanother' and got[i]["n_chars"] == len(got[i]["text"])
+
+
 def test_run_of_an_empty_table(spark, tmp_path):
     kinds = {"documents": "doc_id long, text string, lang string, source string, n_chars long",
              "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}

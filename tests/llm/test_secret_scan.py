@@ -54,6 +54,29 @@ def test_masking(spark):
     assert got == ["a [SECRET] b\nuser_pwd = '[SECRET]'", "plain", None]
 
 
+HEX32 = "0123456789abcdef" * 2
+
+
+@pytest.mark.parametrize(
+    "text, masked",
+    [
+        ('password = "hunter22!x#y9"', '[SECRET]"'),
+        (f'signing_key = "{HEX32}.Zk8!qP2v"', 'signing_key = "[SECRET]"'),
+        (f'auth_key = "Zk8!qP2v:{HEX32}"', 'auth_key = "[SECRET]"'),
+        ("password: hunter22!x#y9\n", "[SECRET]\n"),
+        ("see ?a=1&token=abcdef99!x~z|q end", "see ?a=1&[SECRET] end"),
+        ('the password = "correct horse, battery!" works', 'the [SECRET]" works'),
+        ('secret = "abcdef\\"tail!", next', '[SECRET]", next'),
+        ("secret = 'abcdef!unclosed\nmore", "[SECRET]\nmore"),
+        ("f(token=abcdef99, x)", "f([SECRET], x)"),
+        (f'title = "{HEX32}.part"', 'title = "[SECRET].part"'),
+    ],
+)
+def test_no_character_of_a_value_survives(spark, text, masked):
+    df = S.scan(spark.createDataFrame([(text,)], "text string"))
+    assert df.select(S.mask("text", "secrets")).first()[0] == masked
+
+
 def test_query_digest(spark, tmp_path):
     docs = [(1, "token = abcdef99"), (2, None)]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
