@@ -52,15 +52,17 @@ SENSITIVE = {
     "connectionstring": 0.7, "pass": 0.7, "auth": 0.6, "salt": 0.6, "key": 0.5,
 }
 STEMS = tuple(sorted({s for s in SENSITIVE if len(s) < 8} | {"credential", "phrase", "private", "connection"}))
-DUMMY = re.compile(r"x{4,}|\*{3,}|\.{3,}|<.*>|\$\{.*\}|\{\{.*\}\}|change.?me|example|your|dummy|null|none|true|false|todo", re.I)
-
-_NAME = r"[A-Za-z_][A-Za-z0-9_]{0,63}(?:[.\-][A-Za-z0-9_]{1,64}){0,8}"
-_STRING = r'"(?:[^"\\\n]|\\.){0,4096}"|' + r"'(?:[^'\\\n]|\\.){0,4096}'"
-_BARE = r"[A-Za-z0-9+/_.=$@!%^&*~{}-]{1,4096}"
-STATEMENT = re.compile(rf"""(?<![A-Za-z0-9_.\-])["']?({_NAME})["']?[ \t]{{0,8}}(=>|:=|=(?!=)|:)[ \t]{{0,8}}(?={_STRING}|{_BARE})""")
-TERM = re.compile(rf"(?P<quoted>{_STRING})|(?P<bare>{_BARE})")
-JOINED = re.compile(r"[ \t]{0,8}\+[ \t]{0,8}")
-LINE_START = re.compile(r"[ \t]{0,64}(?:(?:export|set|const|let|var|final|static|public|private|val|def|-)[ \t]{1,8}){0,4}$")
+DUMMY = re.compile(r"x{4,}|\*{3,}|\.{3,}|change.?me|example|your|dummy|null|none|true|false|todo", re.I)
+HOLES = (("<", ">"), ("${", "}"), ("{{", "}}"))  # a placeholder between two signs
+
+# Possessive throughout: a text of any length is lexed in linear time without a cap.
+_NAME = r"[A-Za-z_][A-Za-z0-9_]*+(?:[.\-][A-Za-z0-9_]++)*+"
+_STRING = r'"(?:[^"\\\n]|\\.)*+"|' + r"'(?:[^'\\\n]|\\.)*+'"
+_BARE = r"[A-Za-z0-9+/_.=$@!%^&*~{}-]"
+STATEMENT = re.compile(rf"""(?<![A-Za-z0-9_.\-])["']?({_NAME})["']?[ \t]*+(=>|:=|=(?!=)|:)[ \t]*+(?={_STRING}|{_BARE})""")
+NAME, QUOTED, BARE = re.compile(_NAME), re.compile(_STRING), re.compile(_BARE + "++")
+JOINED = re.compile(r"[ \t]*+\+[ \t]*+")
+LINE_START = re.compile(r"[ \t]*+(?:(?:export|set|const|let|var|final|static|public|private|val|def|-)[ \t]++)*+")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
@@ -74,6 +76,8 @@ def credibility(value: str) -> float:
     """How much a literal looks like a credential: length, spread of its characters, no placeholder."""
     if len(value) < 6 or any(c.isspace() for c in value) or DUMMY.search(value):
         return 0.0
+    if any(a in value and value.index(a) + len(a) <= value.rfind(b) for a, b in HOLES):
+        return 0.0
     counts = Counter(value)
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in counts.values())
     kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit))
@@ -88,22 +92,28 @@ class Statement:
 
 def lex(text: str) -> list[Statement]:
     """Name-literal statements; a literal is (start, end, value), its quotes left out."""
-    found = []
+    found, line, head, seen, run = [], 0, -1, 0, 0
     for m in STATEMENT.finditer(text):
-        line = text.rfind("\n", max(0, m.start() - 256), m.start()) + 1
-        opens_line = bool(LINE_START.match(text[line or max(0, m.start() - 256) : m.start()]))
+        line, seen = max(line, text.rfind("\n", seen, m.start()) + 1), m.start()
+        if head < line:  # the first statement of its line: where the words that may open it end
+            head = LINE_START.match(text, line).end()
+        opens_line = m.start() <= head and bool(LINE_START.fullmatch(text, line, m.start()))
         literals, references, at = [], [], m.end()
-        while term := TERM.match(text, at):
-            if quoted := term["quoted"]:
-                literals.append((term.start() + 1, term.end() - 1, quoted[1:-1]))
-            elif re.fullmatch(_NAME, term["bare"]):
-                references.append(term["bare"])
+        while True:
+            if quoted := QUOTED.match(text, at):
+                end = quoted.end()
+                literals.append((at + 1, end - 1, text[at + 1 : end - 1]))
+            elif BARE.match(text, at, at + 1):
+                if run <= at:  # terms of one run end together
+                    run = BARE.match(text, at).end()
+                end = run
+                if NAME.fullmatch(text, at, end):
+                    references.append(text[at:end])
                 if opens_line:  # a bare word may be a value as well, as in key: value files
-                    literals.append((term.start(), term.end(), term["bare"]))
-            elif opens_line:
-                literals.append((term.start(), term.end(), term["bare"]))
-            at = term.end()
-            plus = JOINED.match(text, at)
+                    literals.append((at, end, text[at:end]))
+            else:
+                break
+            plus = JOINED.match(text, end)
             if not plus:
                 break
             at = plus.end()

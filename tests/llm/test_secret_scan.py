@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,6 +79,36 @@ def test_no_character_of_a_value_survives(spark, text, masked):
     assert df.select(S.mask("text", "secrets")).first()[0] == masked
 
 
+LONG = "Zk8!qP2vLm" * 500  # 5,000 characters
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [
+        (f'signing_key = "{LONG}"', LONG),
+        (f"signing_key: {LONG}\n", LONG),
+        ('signing_key          =          "Zk8!qP2vLm"', "Zk8!qP2vLm"),
+        (f"{' ' * 300}signing_key: Zk8!qP2vLm", "Zk8!qP2vLm"),
+        (f"{'export   ' * 6}SIGNING_KEY=Zk8!qP2vLm", "Zk8!qP2vLm"),
+        (f"export {' ' * 20}SIGNING_KEY=Zk8!qP2vLm", "Zk8!qP2vLm"),
+        (f'{"part." * 20}{"long_" * 30}signing_key = "Zk8!qP2vLm"', "Zk8!qP2vLm"),
+        (f'a = "Zk8!qP2vLm"\nauth_key = ""{" " * 20}+{" " * 20}a', "Zk8!qP2vLm"),
+    ],
+)
+def test_nothing_is_too_long_for_the_lexer(text, value):
+    assert [text[s:e] for kind, s, e, *_ in S.spans(text) if kind == "literal"] == [value]
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["key=", "key = ", "key='a\" ", 'key="<', "key", "key.", "key" + " " * 50, '"key', "- ", "\\", "{{", "token=abcdef!"],
+)
+def test_long_texts_are_lexed_in_linear_time(unit):
+    started = time.process_time()
+    S.spans("key: " + unit * (400_000 // len(unit)))
+    assert time.process_time() - started < 20
+
+
 def test_query_digest(spark, tmp_path):
     docs = [(1, "token = abcdef99"), (2, None)]
     spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
