@@ -3,7 +3,8 @@
 Strings are the letters of a token (or of a run of single letters, as in ``a b c d``); signs and white space
 between them are dropped and digits read as the letters they imitate. The kernel counts common subsequences of
 three letters, each discounted by the stretch it spans, so gaps and inserted characters lower the similarity only
-gradually. Landmarks are strings typical of toxic sentences and clean look-alikes; a linear machine with hinge loss is
+gradually. Landmarks are toxic strings, chosen by pivoted Cholesky until every toxic string lies within ``RESIDUAL`` of their
+span (at least ``landmarks`` of them, if there are so many), and clean look-alikes; a linear machine with hinge loss is
 trained on kernel features. A document's score follows its most toxic string.
 
 Training sentences inherit the label of their document. A string is taken for toxic when nearly all distinct
@@ -33,7 +34,8 @@ from shopmill.llm.common import SPACE, text_of
 from shopmill.operators.scale import durable
 
 LENGTH, DECAY = 3, 0.6  # letters of a subsequence, discount per letter spanned
-POSITIVES, NEGATIVES, LANDMARKS = 300, 4000, 48
+POSITIVES, NEGATIVES, LANDMARKS = 300, 4000, 64
+RESIDUAL = 0.1  # squared distance, of 1, that a toxic string may keep from the landmarks' span
 WINDOW = 24  # longer strings are cut into windows of so many letters that overlap by half
 FLOOR = -1.5  # decision of a document without any suspicious token
 SUSPICIOUS = -0.5  # tokens above this decision are joined back
@@ -107,8 +109,9 @@ def _raw_kernel(a: np.ndarray, b: np.ndarray, n: int, decay: float) -> np.ndarra
     return total
 
 
-def kernel(strings: list[str], others: list[str], n: int = LENGTH, decay: float = DECAY, block: int = 256) -> np.ndarray:
+def kernel(strings: list[str], others: list[str], n: int = LENGTH, decay: float = DECAY, block: int | None = None) -> np.ndarray:
     """Normalised subsequence kernel, 0 to 1; 0 for strings of fewer than ``n`` letters."""
+    block = block or max(1, 16_384 // max(1, len(others)))  # a fixed number of pairs at a time
     out = np.zeros((len(strings), len(others)), dtype=np.float32)
     if not strings or not others:
         return out
@@ -141,6 +144,22 @@ class Model(NamedTuple):
         return np.maximum.reduceat(values, np.concatenate([[0], ends[:-1]])) if len(parts) else values
 
 
+def cover(strings: list[str], least: int, residual: float = RESIDUAL) -> list[str]:
+    """The strings, by pivoted Cholesky, whose span leaves at most ``residual`` of any; ties go to the first."""
+    gram = kernel(strings, strings).astype(np.float64)
+    left, factors, chosen = gram.diagonal().copy(), np.zeros(gram.shape), []
+    while len(chosen) < len(strings):
+        pivot = int(np.argmax(left))
+        if left[pivot] <= (1e-6 if len(chosen) < least else residual):
+            break
+        k = len(chosen)
+        factors[:, k] = (gram[:, pivot] - factors[:, :k] @ factors[pivot, :k]) / np.sqrt(left[pivot])
+        left -= factors[:, k] ** 2
+        left[pivot] = 0.0
+        chosen.append(pivot)
+    return [strings[i] for i in sorted(chosen)]
+
+
 def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, steps: int = 3000) -> Model:
     """Fit the machine to toxic strings (most telling first) and clean ones."""
     toxic = [s for s in dict.fromkeys(w for t in toxic for w in windows(t)) if len(s) >= LENGTH]
@@ -148,14 +167,16 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, steps:
     clean = [s for s in dict.fromkeys(w for c in clean for w in windows(c)) if len(s) >= LENGTH and s not in known]
     if not toxic:
         return Model([], np.zeros(0, dtype=np.float32), FLOOR)
-    marks = toxic[:landmarks]
-    near = kernel(clean, marks)  # of the clean strings, the look-alikes come as landmarks too
-    alike = np.argsort(-near.max(axis=1), kind="stable")[: landmarks // 4] if len(clean) else []
-    marks = marks + [clean[i] for i in alike]
+    covering = cover(toxic, landmarks)
+    near = kernel(clean, covering)  # of the clean strings, the look-alikes come as landmarks too
+    most = max(landmarks, len(covering)) // 4
+    alike = [clean[i] for i in np.argsort(-near.max(axis=1), kind="stable")[:most]] if len(clean) else []
+    marks = covering + alike
     gram = kernel(marks, marks).astype(np.float64)
     values, vectors = np.linalg.eigh(gram)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-    x = np.concatenate([kernel(toxic, marks), kernel(clean, marks)]).astype(np.float64) @ root
+    near = np.concatenate([near, kernel(clean, alike)], axis=1)
+    x = np.concatenate([kernel(toxic, marks), near]).astype(np.float64) @ root
     y = np.concatenate([np.ones(len(toxic)), -np.ones(len(clean))])
     cost = np.where(y > 0, 0.5 / len(toxic), 0.5 / max(len(clean), 1))
     w, b = np.zeros(x.shape[1]), 0.0

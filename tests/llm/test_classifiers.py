@@ -87,6 +87,21 @@ def test_kernel_equals_its_definition():
             assert got[i, j] == pytest.approx(want, abs=1e-4)
 
 
+def test_every_insult_of_a_large_vocabulary_is_learnt():
+    """The most frequent insults are Latin, the others and the clean strings Greek, Cyrillic and Armenian as well."""
+    r = random.Random(5)
+    scripts = [[chr(first + i) for i in range(24)] for first in (0x61, 0x3B1, 0x430, 0x561)]
+    word = lambda letters: "".join(r.choices(letters, k=r.randrange(6, 12)))
+    insults = [word(scripts[0]) for _ in range(50)] + [word(scripts[1 + i % 3]) for i in range(100)]
+    clean = [word(scripts[i % 4]) for i in range(1200)]
+    model = T.train(insults, clean)
+    assert (model.decide(insults) > 0).all()
+    changed = [s[: len(s) // 2] + "q" + s[len(s) // 2 :] for s in insults]
+    assert (model.decide(changed) > 0).mean() > 0.9
+    assert (model.decide([word(scripts[i % 4]) for i in range(400)]) > 0).mean() < 0.02
+    assert len(T.cover(insults, 10)) == len(T.cover(insults * 2, 10)) > 100
+
+
 INSULTS = ["idiot", "worthless", "pathetic", "stupid", "moron"]
 
 
