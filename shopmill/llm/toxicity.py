@@ -9,7 +9,8 @@ trained on kernel features. A document's score follows its most toxic string.
 
 Training sentences inherit the label of their document. A string is taken for toxic when nearly all distinct
 sentences that hold it come from toxic documents (lower Wilson bound at least one half), after many different words: copies
-of one document must not turn its plain words toxic. Counting is distributed over all labelled sentences; at most
+of one document must neither turn its plain words toxic nor an insult it quotes clean. A sentence found under both labels
+counts once under each. Counts are exact and distributed over all distinct labelled sentences; at most
 ``positives`` toxic and ``negatives`` clean strings are fetched to fit the machine.
 
 Scoring looks at every distinct string of the corpus once, then joins the scores back to the documents; tokens that no
@@ -30,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmill.llm.common import SPACE, text_of
+from shopmill.llm.common import BLANKS, SPACE, text_of
 from shopmill.operators.scale import durable
 
 LENGTH, DECAY = 3, 0.6  # letters of a subsequence, discount per letter spanned
@@ -195,23 +196,35 @@ def labelled_strings(
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).select(key, F.col(label).alias("_y"))
     known = known.groupBy(key).agg(F.max("_y").alias("_y"))  # contradicting labels: toxic
     texts = docs.select(key, text_of(text).alias("_text")).join(known.hint("shuffle_hash"), key)
-    sentence = F.explode(F.split("_text", r"[.!?\n]+"))
-    plain = F.array_remove(F.split("_s", f"{SPACE}+"), "")
-    words = texts.select("_y", sentence.alias("_s")).select("_y", F.xxhash64("_s").alias("_h"), plain.alias("_w"))
+    texts = texts.select("_y", F.explode(F.split("_text", r"[.!?\n]+")).alias("_s"))
+    sentences = texts.select("_y", F.btrim("_s", F.lit(BLANKS)).alias("_s")).filter("_s <> ''").distinct()
+    words = sentences.select("_y", F.split("_s", f"{SPACE}+").alias("_w"))
     pairs = F.transform(
-        "_w", lambda w, i: F.struct(F.lower(w).alias("w"), F.coalesce(F.get("_w", i - 1), F.lit("")).alias("before"))
+        "_w",
+        lambda w, i: F.struct(
+            F.btrim(F.lower(w), F.lit(SIGNS)).alias("w"), F.coalesce(F.get("_w", i - 1), F.lit("")).alias("before")
+        ),
     )
-    words = words.select("_y", "_h", F.explode(pairs).alias("p")).select("_y", "_h", "p.*")
-    word = F.btrim("w", F.lit(SIGNS))
+    words = words.select("_y", pairs.alias("_p"))
+    # Each word of a sentence once, without the word before; of toxic sentences also each pair, which counts no sentence.
+    once = F.transform(
+        F.array_distinct(F.col("_p")["w"]),
+        lambda w: F.struct(w.alias("w"), F.lit(None).cast("string").alias("before")),
+    )
+    words = words.select(
+        "_y", F.explode(F.when(F.col("_y") == 1, F.concat(once, F.array_distinct("_p"))).otherwise(once)).alias("p")
+    )
+    held = F.col("before").isNull()
     counts = (
-        words.select("_y", "_h", word.alias("w"), "before")
+        words.select("_y", "p.*")
         .filter("w <> ''")
-        .groupBy("w")
+        .groupBy("w", "before")
         .agg(
-            F.approx_count_distinct(F.when(F.col("_y") == 1, F.col("_h")), 0.02).alias("t"),
-            F.sum(F.when(F.col("_y") == 0, 1).otherwise(0)).alias("c"),
-            F.approx_count_distinct(F.when(F.col("_y") == 1, F.col("before"))).alias("varied"),
+            F.sum(F.when(held & (F.col("_y") == 1), 1).otherwise(0)).alias("t"),
+            F.sum(F.when(held & (F.col("_y") == 0), 1).otherwise(0)).alias("c"),
         )
+        .groupBy("w")
+        .agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count("before").alias("varied"))
     )
     counts = durable(counts)
     n, p = F.col("t") + F.col("c"), F.col("t") / (F.col("t") + F.col("c"))

@@ -105,8 +105,7 @@ def test_every_insult_of_a_large_vocabulary_is_learnt():
 INSULTS = ["idiot", "worthless", "pathetic", "stupid", "moron"]
 
 
-@pytest.fixture(scope="module")
-def toxic_model(spark):
+def _insulted():
     docs, labels = [], []
     for i in range(200):
         r = random.Random(i)
@@ -116,10 +115,29 @@ def toxic_model(spark):
                 words.insert(r.randrange(len(words)), r.choice(INSULTS))
         docs.append((i, " ".join(w + ("." if k % 9 == 8 else "") for k, w in enumerate(words))))
         labels.append((i, int(i % 4 == 0)))
+    return docs, labels
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
+    docs, labels = _insulted()
     docs = spark.createDataFrame(docs, "doc_id long, text string")
     return T.fit(docs, spark.createDataFrame(labels + [(None, 1), (5, None)], "doc_id long, toxic int"))
 
 
+def test_copies_of_a_clean_quotation_count_once(spark):
+    docs, labels = _insulted()
+    quote = "They called it worthless, quite worthless. Nobody agreed"
+    docs += [(1000 + i, quote) for i in range(3000)]
+    labels += [(1000 + i, 0) for i in range(3000)]
+    toxic, clean = T.labelled_strings(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+        "doc_id", "text", "toxic", T.POSITIVES, T.NEGATIVES,
+    )
+    assert set(INSULTS) <= set(toxic) and not set(INSULTS) & set(clean)
+
+
 def test_altered_insults_are_found_and_prose_is_not(spark, toxic_model):
     texts = ["you Idiot!", "what an id-iot", "i d i o t", "1d10t", "wor.th.less stuff", "stupixd", "path***etic", "m_o_r_o_n"]
     clean = [prose(i + 700, 40) for i in range(20)] + ["", None, "a b c d e f", "12 34"]
