@@ -12,6 +12,9 @@ from shopmill.llm.common import show_package, table
 from shopmill.operators.scale import checkpoint_root
 
 
+EVIDENCE = 5  # words of a benchmark item from which its occurrence is taken for contamination
+
+
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the quality rules keep."""
     trusted = table(spark, folder, "labels").filter("quality = 1")
@@ -26,8 +29,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no benchmark item within its error budget."""
-    marked = decontamination.contamination(docs, table(spark, folder, "benchmark"), out="_matches")
+    """Documents that hold no benchmark item of at least ``EVIDENCE`` words within its error budget."""
+    items = table(spark, folder, "benchmark")
+    marked = decontamination.contamination(docs, items, min_words=EVIDENCE, out="_matches")
     return marked.filter(F.size("_matches") == 0).drop("_matches")
 
 

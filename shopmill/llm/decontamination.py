@@ -1,6 +1,7 @@
 """Benchmark decontamination: pigeonhole edit matching of test items in whole documents.
 
-Texts become lower-case words of letters and digits. An item of ``w`` words may differ by
+Texts become lower-case words of letters and digits; in scripts written without spaces (Han, kana, Thai, Lao, Khmer,
+Myanmar) each character, vowel signs included, is a word of its own. An item of ``w`` words may differ by
 ``k = floor(error_rate * w)`` word edits (insert, delete, replace). Cut into ``k + 1`` pieces, at least one
 piece must then occur unchanged, so every exact piece hit (one automaton pass over the whole text) is a
 candidate, and no match within the budget is missed. Around each hit Myers' bit-parallel algorithm gives the
@@ -9,8 +10,8 @@ edit distance of the item to the best stretch of the document; words are its sym
 The items are the stated query set. They come to the tasks in blocks of at most ``block_chars`` characters, one pass over
 the documents each, so neither a broadcast nor the driver grows with the item table.
 
-Defined cases: a NULL text is empty and matches nothing; an item of fewer than ``min_words`` words is no
-evidence and is not searched (set ``min_words=1`` to search all); items with equal words are each
+Defined cases: a NULL text is empty and matches nothing; every item with a word is searched, short ones
+without edits as their budget is 0 (a caller that takes short matches for no evidence sets ``min_words``); items with equal words are each
 reported; an item found several times in a document is reported once, at its least distance, then
 first place; repeated rows are judged alike; empty tables give no match. Other columns are kept as they are.
 """
@@ -30,13 +31,27 @@ from pyspark.sql import types as T
 from shopmill.llm.common import text_of
 
 ERROR_RATE = 0.15
-MIN_WORDS = 8
+MIN_WORDS = 1
 BLOCK_CHARS = 8_000_000
 
 
+#: Scripts written without spaces, as members of a character class; those with vowel signs apart.
+SIGNED = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+UNSPACED = rf"[\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}{SIGNED}]"
+
+#: A cheap test that a text can hold a character of these at all.
+HIGH = r"[\x{E00}-\x{10FFFF}]"
+
+
 def normal(text: Column) -> Column:
-    """Lower-case runs of letters and digits, one space before, between and after them."""
-    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")
+    """Lower-case runs of letters and digits, single characters in unspaced scripts, one space around each."""
+    lower = F.lower(text)
+    plain = F.regexp_replace(lower, r"[^\p{L}\p{N}]+", " ")
+    kept = F.regexp_replace(lower, r"[^\p{L}\p{N}\p{M}]+", " ")
+    kept = F.regexp_replace(kept, rf"[^\p{{L}}\p{{N}}{SIGNED}]+", " ")
+    single = F.regexp_replace(F.regexp_replace(kept, UNSPACED, " $0 "), " +", " ")
+    may = F.rlike(text, F.lit(HIGH)) & F.rlike(text, F.lit(UNSPACED))
+    plain = F.when(may, single).otherwise(plain)
     return F.concat(F.lit(" "), F.btrim(plain), F.lit(" "))
 
 

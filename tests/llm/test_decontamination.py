@@ -60,6 +60,23 @@ def test_matches_equal_the_plain_table(spark):
     assert any(d > 0 for d in want.values())
 
 
+def test_short_items_and_scripts_without_spaces_are_searched(spark):
+    items = [
+        (1, "Who wrote Faust?"), (2, "日本の首都はどこですか、教えてください"), (3, "ไทยมีเมืองหลวงชื่ออะไรบ้าง"), (4, "กี"), (5, "x"),
+        (6, "..."),
+    ]
+    docs = [
+        (1, "asked: who WROTE faust, again"), (2, "who really wrote faust"), (3, "さて、日本の首都はどこですか教えて下さい。次"),
+        (4, "และไทยมีเมืองหลวงชื่ออะไรบ้างครับ"), (5, "กา"), (6, "a x b"), (7, "日本の川"),
+    ]
+    marked = D.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    rows = marked.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.*").collect()
+    assert {(r["doc_id"], r["item"]): r["edits"] for r in rows} == {(1, 1): 0, (3, 2): 2, (4, 3): 0, (6, 5): 0}
+    assert [(r["first_word"], r["words"]) for r in rows if r["doc_id"] == 1] == [(1, 3)]
+
+
 def test_odd_rows_and_empty_tables(spark, odd, empty):
     none = spark.createDataFrame([], "item_id int, text string")
     assert D.contamination(odd, none).filter("size(matches) > 0").count() == 0

@@ -71,6 +71,15 @@ def test_planted_secrets_with_punctuation_are_masked_whole(spark):
         assert got[i]["text"] == f'a line\n{kept}[SECRET]"\nanother' and got[i]["n_chars"] == len(got[i]["text"])
 
 
+def test_verbatim_short_items_are_evidence(spark, tmp_path):
+    items = [(1, "Who wrote the play Faust?"), (2, "the end")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = [(1, "asked who wrote the play Faust again"), (2, "this is the end"), (3, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = P.benchmark_free(spark, df, str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3] and kept.columns == df.columns
+
+
 def test_run_of_an_empty_table(spark, tmp_path):
     kinds = {"documents": "doc_id long, text string, lang string, source string, n_chars long",
              "labels": "doc_id long, quality int, toxic int", "benchmark": "item_id long, text string"}
