@@ -256,8 +256,12 @@ def components(
     rows: int = ROWS,
     rounds: int = ROUNDS,
     block: int = BLOCK,
+    label: str | None = None,
 ) -> DataFrame:
-    """``key, n_shingles, component_id`` (least key of the component) and ``text_hash`` for every row."""
+    """``key, n_shingles, component_id`` (least key of the component) and ``text_hash`` for every row.
+
+    ``label`` names a further column, the component's internal number: NULL keys have one as well, blank texts none.
+    """
     marked = durable(nodes_of(docs, key, text, width, bands, rows))
     nodes = marked.filter("_node is not null").groupBy("_node")
     nodes = nodes.agg(
@@ -307,20 +311,25 @@ def components(
     comps = nodes.select("_node", "node", "least").join(labels, "node", "left")
     comps = comps.select("_node", "least", F.coalesce("comp", "node").alias("comp"))
     least = comps.groupBy("comp").agg(F.min("least").alias("component_id"))
-    known = durable(comps.join(least, "comp").select("_node", "component_id"))
+    number = [F.col("comp").alias(label)] if label else []
+    known = durable(comps.join(least, "comp").select("_node", "component_id", *number))
     return marked.join(known, "_node", "left").select(
         F.col("_key").alias(key),
         F.col("_n").alias("n_shingles"),
         F.when(F.col("_node").isNull(), F.col("_key")).otherwise(F.col("component_id")).alias("component_id"),
         F.col("_t").alias("text_hash"),
+        *([label] if label else []),
     )
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the least key. Blank texts all stay."""
-    found = components(docs, key, text, **options)
-    first = found.filter((F.col(key) == F.col("component_id")) | (F.col("n_shingles") == 0) | F.col("component_id").isNull())
-    first = first.select(F.col(key).alias("_k"), F.col("text_hash").alias("_h"), (F.col("n_shingles") == 0).alias("_blank")).distinct()
+    """``docs`` with one row of each group of near copies: that of the least key, NULL last, then of the
+    least text hash. Blank texts all stay."""
+    found = components(docs, key, text, label="_comp", **options)
+    blank = F.col("_comp").isNull()
+    place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("_k"), F.col("text_hash").alias("_h"))
+    first = found.groupBy("_comp", F.when(blank, place).alias("_own")).agg(F.min(place).alias("_first"))
+    first = first.select("_first._k", "_first._h", blank.alias("_blank"))
     hashed = docs.withColumn("_t", F.xxhash64(text_of(text)))
     on = F.col("_t").eqNullSafe(F.col("_h")) & F.col(key).eqNullSafe(F.col("_k"))
     kept = hashed.join(first, on)

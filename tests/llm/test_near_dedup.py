@@ -57,6 +57,16 @@ def test_keep_one(odd, empty, spark):
     assert again.count() == 1
 
 
+def test_keep_one_of_near_copies_with_equal_or_no_keys(spark):
+    words = [f"w{i}" for i in range(200)]
+    copies = [" ".join([*words, f"end{i}"]) for i in range(3)]
+    other = [" ".join([*(f"v{i}" for i in range(200)), f"end{i}"]) for i in range(3)]
+    rows = [(None, t) for t in copies + copies] + [(4, t) for t in other] + [(None, other[0]), (None, ""), (None, "")]
+    kept = [tuple(r) for r in N.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert len(kept) == 4 and kept.count((None, "")) == 2
+    assert [k for k, t in kept if t in other] == [4] and [k for k, t in kept if t in copies] == [None]
+
+
 def test_signatures_are_circulant_and_estimate_similarity():
     r = np.random.default_rng(3)
     shared = r.integers(0, 2**63, 800, dtype=np.uint64)
