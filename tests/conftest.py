@@ -28,8 +28,3 @@ def spark():
 def frame(spark):
     """frame([(1, 'a')], 'id long, name string')"""
     return spark.createDataFrame
-
-
-def rows(df, *order):
-    """Rows as plain tuples, sorted for comparison."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from shopmill.functions import cleaning as C
 
 

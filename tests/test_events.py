@@ -4,8 +4,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows
-from fixtures import EVENTS, event, write_documents
+from fixtures import EVENTS, event, write_documents, rows
 from shopmill.functions import events as E
 from shopmill.operators import quality as Q
 from shopmill.sources import files, sinks

@@ -2,8 +2,7 @@ import json
 
 import pytest
 
-from conftest import rows
-from fixtures import EVENTS, event, write_documents
+from fixtures import EVENTS, event, write_documents, rows
 from shopmill.functions import events as E
 from shopmill.operators import scale
 from shopmill.sources import files

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from shopmill.functions import measures as M
 
 D = Decimal

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from shopmill.operators import quality as Q
 
 D = Decimal

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from fixtures import rows
 from shopmill.operators import scale as S
 from shopmill.operators.windows import rank_in_group
 

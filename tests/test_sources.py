@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows
+from fixtures import rows
 from shopmill import schemas
 from shopmill.sources import files, sinks
 

@@ -4,8 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
-from fixtures import EVENTS, write_documents
+from fixtures import EVENTS, write_documents, rows
 from shopmill import schemas
 from shopmill.operators import aggregates as A
 from shopmill.operators import joins as J
