@@ -12,6 +12,7 @@ from shopmill.llm import (
     chat,
     decontamination,
     near_dedup,
+    periodic_runs,
     pii,
     pu_quality,
     quality_rules,
@@ -19,7 +20,7 @@ from shopmill.llm import (
     sharding,
     toxicity,
 )
-from shopmill.llm.common import show_package, table
+from shopmill.llm.common import let, show_package, table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -185,3 +186,55 @@ def op10_decontamination(spark, folder):
     return marked.select("doc_id", F.explode("matches").alias("m")).select(
         "doc_id", F.col("m.item").alias("item_id"), "m.edits", "m.first_word", "m.words"
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in about every tenth document (by checksum of the id) a periodic end replaces the words."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(words):
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))).cast("long")
+        source = F.struct(words.alias("w"), a.alias("a"), p.alias("p"))
+        return let(
+            source,
+            lambda s: F.transform(
+                s["w"],
+                lambda w, i: F.when(i < s["a"], w).otherwise(
+                    F.get(s["w"], (s["a"] + F.pmod(i - s["a"], s["p"])).cast("int"))
+                ),
+            ),
+        )
+
+    changed = let(words_of(F.col("text")), lambda w: F.when(F.size(w) > 0, F.array_join(planted(w), " ")).otherwise(""))
+    text = F.when((F.pmod(h, F.lit(10)) == 0) & F.col("text").isNotNull(), changed).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    """Runs of periodic words of each document, the one of most periods, and what is left when repeats go."""
+    docs = with_planted_runs(table(spark, folder, "documents"))
+    found = periodic_runs.find_runs(docs).select("doc_id", "periodic.*")
+    more = lambda a, b: b["length"] * a["period"] > a["length"] * b["period"]
+    rest = F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0)))
+    first = F.get("runs", F.lit(0))
+    best = F.aggregate(rest, first, lambda a, b: F.when(more(a, b), b).otherwise(a))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    listed = F.array_join(F.transform("runs", line), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("_best"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id",
+        "n_runs",
+        "_best.*",
+        F.floor(F.col("_best.length") * 1000 / F.col("_best.period")).cast("long").alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
