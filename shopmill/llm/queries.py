@@ -18,6 +18,7 @@ from shopmill.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    substring_dedup,
     toxicity,
 )
 from shopmill.llm.common import let, show_package, table, words_of
@@ -238,3 +239,31 @@ def op11_periodic_runs(spark, folder):
         "runs_sha256",
         "collapsed_sha256",
     )
+
+
+@query
+def op13_substring_dedup(spark, folder):
+    """What is left of each document without windows of 50 words that also start in a document of smaller id."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    left = substring_dedup.strip_repeats(docs)
+    return left.select(
+        "doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256")
+    )
+
+
+ORACLE_SQL["op13_substring_dedup"] = r"""
+with w as (select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from documents),
+spots as (select doc_id, words, unnest(range(1, len(words) - 48)) as i from w where len(words) >= 50),
+windows as (select doc_id, i, array_to_string(words[i:i + 49], ' ') as win from spots),
+least as (select win, min(doc_id) as low from windows group by win having min(doc_id) < max(doc_id)),
+repeated as (select doc_id, i from windows join least using (win) where low < doc_id),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as at from repeated),
+dropped as (select doc_id, list(at) as ats from gone group by doc_id),
+marked as (select w.doc_id, words, coalesce(ats, []) as ats from w left join dropped using (doc_id)),
+split as (select doc_id, words, ats, unnest(range(1, len(words) + 1)) as at from marked where len(ats) > 0),
+rest as (select s.doc_id, string_agg(s.words[s.at], ' ' order by s.at) as kept
+  from split s anti join gone g on s.doc_id = g.doc_id and s.at = g.at group by s.doc_id)
+select m.doc_id, len(words)::bigint as n_words, len(ats)::bigint as n_removed,
+  sha256(case when len(ats) = 0 then array_to_string(words, ' ') else coalesce(kept, '') end) as kept_sha256
+from marked m left join rest using (doc_id)
+"""

@@ -238,6 +238,8 @@ def strip_repeats(
 ) -> DataFrame:
     """``docs`` with a struct column: ``n_words``, ``n_removed`` and ``kept``, the words joined by one space that
     no window covers which also starts in a row of smaller ``key`` (an integer)."""
+    if window < 2:
+        raise ValueError("a window has at least two words")
     kept = [f for f in docs.schema.fields if f.name != out]
     names = [f.name for f in kept]
     marks = [F.xxhash64(F.col(key), text_of(text)).alias("_a"), F.xxhash64(text_of(text), F.col(key)).alias("_b")]
@@ -251,9 +253,9 @@ def strip_repeats(
             for part in chunks(batch, "_text"):
                 words = cut(part.column("_text"))
                 starts = part.column("starts")
-                text = np.repeat(np.arange(len(starts)), starts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                sizes = starts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
                 covered = np.zeros(len(words) + 1, dtype=np.int64)
-                begin = words.first[text] + starts.flatten().to_numpy(zero_copy_only=False)
+                begin = np.repeat(words.first[:-1], sizes) + starts.flatten().to_numpy(zero_copy_only=False)
                 np.add.at(covered, begin, 1)
                 np.add.at(covered, begin + window, -1)
                 keep = np.cumsum(covered)[:-1] == 0
