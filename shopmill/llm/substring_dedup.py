@@ -6,11 +6,13 @@ window's first to the last window's last) to the minimiser's bucket, where equal
 windows again and sorting brings equal windows together. So each window's least document id is known exactly, and
 a window of a document with a larger id is a repeat.
 
-* A bucket is read by one task, in the order of a sort, so no bucket is gathered whole but its distinct strings.
-* Buckets of more than ``hot`` strings, copies counted (those of a passage that very many documents share), are not
-  compared in one task: their distinct strings are cut into windows, named by 128-bit hashes, which Spark groups.
-* What a bucket says of a string goes back to all its occurrences by the string's 128-bit hash; one row a string, so
-  a hot string's occurrences can be split. Strings without a repeat say nothing.
+* A stretch whose minimiser stands in the rows of one id only cannot hold a repeat. Spark counts minimisers first, on short rows
+  without text, so only the stretches that may repeat are packed and sent.
+* A bucket is read by one task, in the order of a sort, and holds at most ``hot`` stretches, copies counted.
+* Larger buckets (copies and passages of very many documents) are not compared in one task: equal strings fold before
+  the shuffle, distinct ones are cut into windows, named by 128-bit hashes, which Spark groups; what is found of a string goes
+  back to its occurrences by the string's hash, one row a string, so a hot string's occurrences can be split.
+* Texts move once: both joins of the texts use one exchange.
 
 Defined cases: a NULL, empty or blank text, and one of fewer words than a window, loses nothing; windows are judged on the
 input, overlaps are removed once; rows of one id never remove from each other, also when their texts differ; a row
@@ -32,7 +34,6 @@ from pyspark.sql import types as T
 
 from shopmill.llm.common import text_of
 from shopmill.llm.wordtable import Words, chunks, cut
-from shopmill.operators.scale import durable
 
 WINDOW = 50
 M = 5  # words of a piece
@@ -106,22 +107,27 @@ def _windows(string: bytes, window: int) -> list[bytes]:
     return [string[a + 1 : b] for a, b in zip(edges, edges[window:])]
 
 
-def _bucket(strings: dict[bytes, tuple[int, int]], window: int) -> Iterator[tuple[bytes, list[int]]]:
-    """Least ids of the windows of each distinct string of a bucket, for strings in which one is a repeat."""
-    if len(strings) == 1:
-        ((string, (low, high)),) = strings.items()
-        if low < high:
-            yield string, [low] * (string.count(b" ") + 2 - window)
-        return
-    if min(low for low, _ in strings.values()) == max(high for _, high in strings.values()):
-        return
+def _least(strings: dict[bytes, int], window: int) -> dict[bytes, list[int]]:
+    """Least ids of the windows of each distinct string of a bucket, from the least id of each string."""
     cut_up = {s: _windows(s, window) for s in strings}
-    listed = sorted((w, strings[s][0]) for s, ws in cut_up.items() for w in ws)
+    listed = sorted((w, strings[s]) for s, ws in cut_up.items() for w in ws)
     least = {w: next(same)[1] for w, same in groupby(listed, key=lambda x: x[0])}
-    for string, (_, high) in strings.items():
-        lows = [least[w] for w in cut_up[string]]
-        if min(lows) < high:
-            yield string, lows
+    return {s: [least[w] for w in ws] for s, ws in cut_up.items()}
+
+
+def _bucket(rows: list[tuple], window: int) -> Iterator[tuple[int, int, list[int]]]:
+    """``_a, _b, starts`` of the repeats among a bucket's stretches (packed string, _a, _b, id, first word)."""
+    strings: dict[bytes, int] = {}
+    for string, _, _, i, _ in rows:
+        strings[string] = min(i, strings.get(string, i))
+    if len(strings) == 1:
+        lows = {s: [low] * (s.count(b" ") + 2 - window) for s, low in strings.items()}
+    else:
+        lows = _least(strings, window)
+    for string, a, b, i, start in rows:
+        starts = [start + k for k, low in enumerate(lows[string]) if low < i]
+        if starts:
+            yield a, b, starts
 
 
 def _rows(names: list[str], types: list[pa.DataType], columns: list) -> pa.RecordBatch:
@@ -129,73 +135,77 @@ def _rows(names: list[str], types: list[pa.DataType], columns: list) -> pa.Recor
     return pa.RecordBatch.from_arrays(arrays, names=names)
 
 
-def _folded(strings: list[bytes], ids: list[int], keys: list) -> dict[bytes, list]:
-    """Equal strings of a chunk as one: key, least and greatest id."""
-    found: dict[bytes, list] = {}
-    for string, i, key in zip(strings, ids, keys):
-        own = found.get(string)
-        if own is None:
-            found[string] = [key, i, i]
-        elif i < own[1]:
-            own[1] = i
-        elif i > own[2]:
-            own[2] = i
-    return found
+SPOTS = "array<struct<start:int,windows:int,bucket:bigint,crowded:boolean>>"
 
 
-def repeats(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
-    """``_a, _b, starts``: for each row (``_a, _b, _id, _text``) with a repeat, the first words of its windows that
-    also begin in a row of smaller ``_id``."""
+def repeats(texts: DataFrame, key: str, text: str, window: int = WINDOW, hot: int = HOT) -> DataFrame:
+    """``_a, _b, starts``: for each row (``_a, _b, _row``) with a repeat, the first words of its windows that
+    also begin in a row of smaller ``key``."""
+    rows = texts.select("_a", "_b", F.col("_row")[key].cast("long").alias("_id"), text_of_row(text).alias("_text"))
     rows = rows.filter(F.col("_id").isNotNull())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "_text"):
-                bucket, n = np.unique(superkmers(cut(part.column("_text")), window)[2].view(np.int64), return_counts=True)
-                yield _rows(["bucket", "n"], [pa.int64()] * 2, [bucket, n])
-
-    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray, list, list]]:
+    def spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "_text"):
                 words = cut(part.column("_text"))
                 first, windows, bucket = superkmers(words, window)
                 text = np.searchsorted(words.first, first, side="right") - 1
-                strings = packed(words, first, windows, window)
-                yield part, words, first, text, bucket.view(np.int64).tolist(), strings
+                own = [part.column(c).take(pa.array(text)) for c in ("_a", "_b", "_id")]
+                start = (first - words.first[text]).astype(np.int32)
+                types = [*[pa.int64()] * 4, pa.int32(), pa.int32()]
+                columns = [*own, bucket.view(np.int64), start, windows.astype(np.int32)]
+                yield _rows(["_a", "_b", "_id", "bucket", "start", "windows"], types, columns)
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, ...]]:
+        """Columns of the packed stretches of some texts: bucket, crowded, string, _a, _b, id, first word."""
+        for batch in batches:
+            for part in chunks(batch, "_text"):
+                words = cut(part.column("_text"))
+                listed = part.column("spots")
+                row = np.repeat(np.arange(len(listed)), listed.value_lengths().to_numpy(zero_copy_only=False))
+                flat = listed.flatten()
+                start, windows = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "windows"))
+                strings = packed(words, words.first[row] + start, windows, window)
+                own = [part.column(c).take(pa.array(row)).to_pylist() for c in ("_a", "_b", "_id")]
+                yield flat.field("bucket").to_pylist(), strings, *own, start.tolist()
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, _, text, bucket, strings in stretches(batches):
-            found = _folded(strings, part.column("_id").take(pa.array(text)).to_pylist(), bucket)
-            columns = zip(*[(key, string, low, high) for string, (key, low, high) in found.items()])
-            types = [pa.int64(), pa.binary(), pa.int64(), pa.int64()]
-            yield _rows(["bucket", "packed", "low", "high"], types, list(columns) or [[]] * 4)
+        types = [pa.int64(), pa.binary(), *[pa.int64()] * 3, pa.int32()]
+        for columns in stretches(batches):
+            yield _rows(["bucket", "packed", "_a", "_b", "_id", "start"], types, list(columns))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Equal strings of a chunk as one, with the least and greatest id."""
+        for _, strings, _, _, ids, _ in stretches(batches):
+            found: dict[bytes, tuple[int, int]] = {}
+            for string, i in zip(strings, ids):
+                low, high = found.get(string, (i, i))
+                found[string] = min(i, low), max(i, high)
+            columns = [list(found), [x[0] for x in found.values()], [x[1] for x in found.values()]]
+            yield _rows(["packed", "low", "high"], [pa.binary(), pa.int64(), pa.int64()], columns)
 
     def occur(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, words, first, text, _, strings in stretches(batches):
-            own = [part.column(c).take(pa.array(text)) for c in ("_a", "_b", "_id")]
-            start = (first - words.first[text]).astype(np.int32)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            yield _rows(["_a", "_b", "_id", "start", "name"], types, [*own, start, [_name(s) for s in strings]])
+        types = [pa.binary(), *[pa.int64()] * 3, pa.int32()]
+        for _, strings, a, b, ids, start in stretches(batches):
+            yield _rows(["name", "_a", "_b", "_id", "start"], types, [[_name(s) for s in strings], a, b, ids, start])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by bucket; the last bucket of a batch may go on in the next one."""
-        current, strings = None, {}
 
-        def answers(found: list[tuple[bytes, list[int]]]) -> pa.RecordBatch:
-            names, lows = [_name(s) for s, _ in found], [x for _, x in found]
-            return _rows(["name", "lows"], [pa.binary(), pa.list_(pa.int64())], [names, lows])
+        def answers(found: list[tuple]) -> pa.RecordBatch:
+            columns = [[x[i] for x in found] for i in range(3)]
+            return _rows(["_a", "_b", "starts"], [pa.int64(), pa.int64(), pa.list_(pa.int32())], columns)
 
+        current, held = None, []
         for batch in batches:
-            done: list[tuple[bytes, list[int]]] = []
-            for bucket, string, low, high in zip(*[c.to_pylist() for c in batch.columns]):
+            done: list[tuple] = []
+            for bucket, *row in zip(*[c.to_pylist() for c in batch.columns]):
                 if bucket != current:
-                    done.extend(_bucket(strings, window) if strings else ())
-                    current, strings = bucket, {string: (low, high)}
-                    continue
-                old = strings.get(string)
-                strings[string] = (low, high) if old is None else (min(low, old[0]), max(high, old[1]))
+                    done.extend(_bucket(held, window))
+                    current, held = bucket, []
+                held.append(row)
             yield answers(done)
-        yield answers(list(_bucket(strings, window)) if strings else [])
+        yield answers(list(_bucket(held, window)))
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,31 +216,38 @@ def repeats(rows: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
                 columns = [names, [_name(string)] * n, np.arange(n, dtype=np.int32), [low] * n, [high] * n]
                 yield _rows(["w", "name", "at", "low", "high"], types, columns)
 
-    counts = rows.select("_text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    crowded = durable(counts.filter(F.col("n") > hot).select("bucket"))
-    sent = rows.select("_id", "_text").mapInArrow(send, "bucket long, packed binary, low long, high long")
-    calm = sent.join(crowded, "bucket", "left_anti").repartition("bucket").sortWithinPartitions("bucket")
-    told = calm.mapInArrow(compare, "name binary, lows array<long>")
-
-    shared = sent.join(crowded, "bucket", "left_semi").groupBy("packed")
-    shared = shared.agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    pieces = durable(shared.mapInArrow(cut_up, "w binary, name binary, at int, low long, high long"))
+    found = rows.mapInArrow(spots, "_a long, _b long, _id long, bucket long, start int, windows int")
+    counts = found.groupBy("bucket").agg(F.min("_id").alias("low"), F.max("_id").alias("high"), F.count("*").alias("n"))
+    counts = counts.filter("low < high").select("bucket", (F.col("n") > hot).alias("crowded"))
+    shared = found.join(counts, "bucket").groupBy("_a", "_b")
+    shared = shared.agg(F.collect_set(F.struct("start", "windows", "bucket", "crowded")).alias("spots"))
+
+    def of(crowded: bool) -> DataFrame:
+        """Texts with their stretches in crowded buckets, or in the others."""
+        own = F.filter("spots", lambda s: s["crowded"] == crowded).cast(SPOTS)
+        met = texts.join(shared, ["_a", "_b"])
+        met = met.select("_a", "_b", F.col("_row")[key].cast("long").alias("_id"), text_of_row(text).alias("_text"), own.alias("spots"))
+        return met.filter(F.size("spots") > 0)
+
+    sent = of(False).mapInArrow(send, "bucket long, packed binary, _a long, _b long, _id long, start int")
+    calm = sent.repartition("bucket").sortWithinPartitions("bucket")
+    calm = calm.mapInArrow(compare, "_a long, _b long, starts array<int>")
+
+    strings = of(True).mapInArrow(fold, "packed binary, low long, high long").groupBy("packed")
+    strings = strings.agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    pieces = strings.mapInArrow(cut_up, "w binary, name binary, at int, low long, high long")
     least = pieces.groupBy("w").agg(F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most")
-    split = pieces.select("w", "name", "at").join(least.select("w", "least"), "w")
-    split = split.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("at", "least"))).alias("_least"))
-    split = split.select(
-        "name",
-        F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("_least"))), lambda i: F.col("_least")[i]).alias("lows"),
-    )
-
-    found = rows.select("_a", "_b", "_id", "_text").mapInArrow(
-        occur, "_a long, _b long, _id long, start int, name binary"
-    )
-    found = found.join(told.unionByName(split), "name")
-    smaller = F.transform("lows", lambda low, i: F.when(low < F.col("_id"), F.col("start") + i))
-    starts = F.filter(smaller, lambda i: i.isNotNull())
-    found = found.select("_a", "_b", starts.alias("starts")).filter(F.size("starts") > 0)
-    return found.groupBy("_a", "_b").agg(F.flatten(F.collect_set("starts")).alias("starts"))
+    told = pieces.select("w", "name", "at").join(least.select("w", "least"), "w")
+    told = told.groupBy("name").agg(F.collect_list(F.struct("at", "least")).alias("lows"))
+    crowd = of(True).mapInArrow(occur, "name binary, _a long, _b long, _id long, start int").join(told, "name")
+    smaller = F.filter("lows", lambda w: w["least"] < F.col("_id"))
+    starts = F.transform(smaller, lambda w: F.col("start") + w["at"])
+    crowd = crowd.select("_a", "_b", starts.alias("starts")).filter(F.size("starts") > 0)
+    return calm.unionByName(crowd).groupBy("_a", "_b").agg(F.flatten(F.collect_set("starts")).alias("starts"))
+
+
+def text_of_row(text: str):
+    return F.coalesce(F.col("_row")[text].cast("string"), F.lit(""))
 
 
 def strip_repeats(
@@ -241,16 +258,16 @@ def strip_repeats(
     if window < 2:
         raise ValueError("a window has at least two words")
     kept = [f for f in docs.schema.fields if f.name != out]
-    names = [f.name for f in kept]
+    # A row is known by its key and text; equal rows share one result.
     marks = [F.xxhash64(F.col(key), text_of(text)).alias("_a"), F.xxhash64(text_of(text), F.col(key)).alias("_b")]
-    rows = docs.select(*marks, F.col(key).cast("long").alias("_id"), text_of(text).alias("_text"))
-    whole = docs.select(F.struct(*[F.col(n) for n in names]).alias("_row"), *marks, text_of(text).alias("_text"))
-    joined = whole.join(repeats(rows, window, hot), ["_a", "_b"], "left").select("_row", "_text", "starts")
+    texts = docs.select(*marks, F.struct(*[F.col(f.name) for f in kept]).alias("_row"))
+    joined = texts.join(repeats(texts, key, text, window, hot), ["_a", "_b"], "left").select("_row", "starts")
     row_type = T.StructType(kept)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "_text"):
+            flat = pa.RecordBatch.from_arrays([*batch.columns, batch.column("_row").field(text)], names=["_row", "starts", "_text"])
+            for part in chunks(flat, "_text"):
                 words = cut(part.column("_text"))
                 starts = part.column("starts")
                 sizes = starts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
