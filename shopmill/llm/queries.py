@@ -11,6 +11,7 @@ from shopmill.llm import (
     bpe,
     chat,
     decontamination,
+    filter_audit,
     near_dedup,
     periodic_runs,
     pii,
@@ -257,13 +258,53 @@ spots as (select doc_id, words, unnest(range(1, len(words) - 48)) as i from w wh
 windows as (select doc_id, i, array_to_string(words[i:i + 49], ' ') as win from spots),
 least as (select win, min(doc_id) as low from windows group by win having min(doc_id) < max(doc_id)),
 repeated as (select doc_id, i from windows join least using (win) where low < doc_id),
-gone as (select distinct doc_id, unnest(range(i, i + 50)) as at from repeated),
-dropped as (select doc_id, list(at) as ats from gone group by doc_id),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) as spot from repeated),
+dropped as (select doc_id, list(spot) as ats from gone group by doc_id),
 marked as (select w.doc_id, words, coalesce(ats, []) as ats from w left join dropped using (doc_id)),
-split as (select doc_id, words, ats, unnest(range(1, len(words) + 1)) as at from marked where len(ats) > 0),
-rest as (select s.doc_id, string_agg(s.words[s.at], ' ' order by s.at) as kept
-  from split s anti join gone g on s.doc_id = g.doc_id and s.at = g.at group by s.doc_id)
+split as (select doc_id, words, unnest(range(1, len(words) + 1)) as spot from marked where len(ats) > 0),
+rest as (select s.doc_id, string_agg(s.words[s.spot], ' ' order by s.spot) as kept
+  from split s anti join gone g on s.doc_id = g.doc_id and s.spot = g.spot group by s.doc_id)
 select m.doc_id, len(words)::bigint as n_words, len(ats)::bigint as n_removed,
   sha256(case when len(ats) = 0 then array_to_string(words, ' ') else coalesce(kept, '') end) as kept_sha256
 from marked m left join rest using (doc_id)
 """
+
+
+@query
+def op12_filter_audit(spark, folder):
+    """What each of five filters removes of each source, at every step of every order of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    return filter_audit.audit(filter_audit.mask_counts(docs, table(spark, folder, "labels")))
+
+
+ORACLE_SQL["op12_filter_audit"] = r"""
+with d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+firsts as (select text, min(doc_id) as low from d group by text),
+good as (select distinct doc_id from labels where quality = 1),
+bad as (select distinct doc_id from labels where toxic = 1),
+masks as (select part,
+    (case when len(words) < 200 then 1 else 0 end)
+    + (case when 100 * len(list_distinct(words)) < 50 * len(words) then 2 else 0 end)
+    + (case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) then 4 else 0 end)
+    + (case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end)
+    + (case when low < d.doc_id then 16 else 0 end) as mask,
+    g.doc_id is not null as good, b.doc_id is not null as bad
+  from d join firsts using (text) left join good g on g.doc_id = d.doc_id left join bad b on b.doc_id = d.doc_id),
+counts as (select part, mask, count(*) as n, count_if(good) as n_good, count_if(bad) as n_toxic from masks group by part, mask),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as c, unnest([1, 2, 4, 8, 16]) as b),
+orders as (select p.c || q.c || r.c || s.c || t.c as filter_order, [p.b, q.b, r.b, s.b, t.b] as bits
+  from letters p join letters q on q.c <> p.c join letters r on r.c not in (p.c, q.c)
+  join letters s on s.c not in (p.c, q.c, r.c) join letters t on t.c not in (p.c, q.c, r.c, s.c)),
+steps as (select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1:step - 1]), 0)::bigint as earlier
+  from orders, (select unnest([1, 2, 3, 4, 5]) as step))
+select part, filter_order, step::int as step,
+  sum(case when mask & (bit | earlier) = 0 then n else 0 end)::bigint as kept,
+  sum(case when mask & bit <> 0 and mask & earlier = 0 then n else 0 end)::bigint as removed,
+  sum(case when mask & bit <> 0 and mask & earlier <> 0 then n else 0 end)::bigint as redundant,
+  sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+  sum(case when mask & bit <> 0 and mask & earlier = 0 then n_good else 0 end)::bigint as good_lost,
+  sum(case when mask & bit <> 0 and mask & earlier = 0 then n_toxic else 0 end)::bigint as toxic_lost,
+  sum(case when mask & bit <> 0 then n * 120 // bit_count(mask) else 0 end)::bigint as shapley
+from counts, steps group by part, filter_order, step, bit, earlier
+"""
