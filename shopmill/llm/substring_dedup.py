@@ -39,6 +39,7 @@ WINDOW = 50
 M = 5  # words of a piece
 LONGEST = 64  # windows in one packed string; longer stretches of one minimiser are cut
 HOT = 4096
+SALTS = 16
 
 RESULT = T.StructType().add("n_words", "long").add("n_removed", "long").add("kept", "string")
 
@@ -237,7 +238,10 @@ def repeats(texts: DataFrame, key: str, text: str, window: int = WINDOW, hot: in
     strings = strings.agg(F.min("low").alias("low"), F.max("high").alias("high"))
     pieces = strings.mapInArrow(cut_up, "w binary, name binary, at int, low long, high long")
     least = pieces.groupBy("w").agg(F.min("low").alias("least"), F.max("high").alias("most")).filter("least < most")
-    told = pieces.select("w", "name", "at").join(least.select("w", "least"), "w")
+    # A window inside a common passage stands in very many strings: salted, it is many keys of the join.
+    salt = F.pmod(F.xxhash64("name"), F.lit(SALTS)).alias("salt")
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
+    told = pieces.select("w", salt, "name", "at").join(least.select("w", salts, "least"), ["w", "salt"])
     told = told.groupBy("name").agg(F.collect_list(F.struct("at", "least")).alias("lows"))
     crowd = of(True).mapInArrow(occur, "name binary, _a long, _b long, _id long, start int").join(told, "name")
     smaller = F.filter("lows", lambda w: w["least"] < F.col("_id"))
