@@ -28,7 +28,7 @@ import os
 import re
 import uuid
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -45,6 +45,7 @@ HEAD = 1 << 19
 HEAD_CHARS = 64
 RARE = (1 << 24) - 1  # place that stands for a word outside the head
 FLUSH = 1_000_000  # distinct words that a task holds before it passes their counts on
+ROWS = 1024  # rows that are spelled out at once
 
 #: The tokenizer file's splitting rule (fixed value) for lower-cased Latin text: runs of letters, single digits,
 #: contractions, runs of other signs. Letters and digits are listed, as the texts it is used on have no others.
@@ -97,11 +98,6 @@ def _tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
-    for batch in batches:
-        yield batch, [words_of(t) for t in batch.column("_text").to_pylist()]
-
-
 def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``word, n, ids``: every distinct word of the texts, how often it occurs, its ids. Written once."""
 
@@ -112,12 +108,12 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
             counted = [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())]
             return pa.RecordBatch.from_arrays(counted, names=["word", "n"])
 
-        for _, texts in _texts(batches):
-            for words in texts:
-                seen.update(words)
-            if len(seen) > FLUSH:
-                yield rows()
-                seen.clear()
+        for batch in batches:
+            for text in batch.column("_text"):  # one text at a time is split into strings
+                seen.update(words_of(text.as_py()))
+                if len(seen) > FLUSH:
+                    yield rows()
+                    seen.clear()
         yield rows()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,10 +131,32 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return durable(counted.mapInArrow(encode, "word string, n long, ids array<int>"))
 
 
+def frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The rows of greatest count ``n``, at most about ``most``, without sorting them in one task.
+
+    Counts are put into classes of an eighth of a power of two; the sizes of the classes (a few hundred numbers) say which
+    fit in whole, and of the first that does not, words of least hash fill what is left.
+    """
+    level = F.floor(F.log2("n") * 8).cast("int")
+    sizes = counted.groupBy(level.alias("level")).agg(F.count("*").alias("size"))
+    room, least, share = most, 0, 0.0
+    for row in sizes.orderBy(F.desc("level")).collect():
+        least = row["level"]
+        if row["size"] > room:
+            share = room / row["size"]
+            break
+        room -= row["size"]
+    else:
+        return counted
+    part = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))
+    return counted.filter((level > least) | ((level == least) & part))
+
+
 def _head(table: DataFrame, head: int) -> pa.Table:
-    """The most frequent words with their ids, at most ``head`` words of ``HEAD_CHARS`` characters."""
-    short = table.filter(F.char_length("word") <= HEAD_CHARS)
-    return short.orderBy(F.desc("n"), "word").limit(head).select("word", "ids").toArrow()
+    """The most frequent words with their ids, at most ``head`` words of ``HEAD_CHARS`` characters, by count."""
+    short = table.filter(F.char_length("word") <= HEAD_CHARS).select("word", "n", "ids")
+    found = frequent(short, head).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    return found.slice(0, head).select(["word", "ids"]).combine_chunks()
 
 
 def _pack(places: np.ndarray) -> bytes:
@@ -155,10 +173,15 @@ def _unpack(packed: bytes, n: int) -> np.ndarray:
 
 
 def encode(
-    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", head: int = HEAD, digest: bool = False
+    docs: DataFrame,
+    path: str,
+    key: str = "doc_id",
+    text: str = "text",
+    head: int = HEAD,
+    outputs: Sequence[str] = ("ids", "decoded"),
 ) -> DataFrame:
-    """``key, n_tokens, ids, decoded`` for every row; with ``digest`` the SHA-256 of the decimal ids joined
-    by spaces and of the decoded text in place of the two (``ids_sha256, decoded_sha256``).
+    """``key, n_tokens`` and the ``outputs`` for every row: ``ids``, ``decoded`` (the text), and the SHA-256 of the
+    decimal ids joined by spaces and of the decoded text (``ids_sha256, decoded_sha256``).
 
     ``path`` is a vocabulary file that every executor can read at that place.
     """
@@ -171,29 +194,30 @@ def encode(
     marks = [c.alias(n) for n, c in marks.items()]
     rows = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text"), *marks)
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list, list]]:
-        """Each batch with its words and their places among the frequent words."""
+    def placed(texts: pa.Array) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Each text's words and their places among the frequent words; one text at a time is split into strings."""
         words = lambda: dict(zip(shared.value.column("word").to_pylist(), range(RARE)))
         place = _once(f"places {name}", words)
-        for batch, texts in _texts(batches):
-            found = [
-                np.fromiter(map(place.get, words, repeat(RARE)), np.int32, len(words)) for words in texts
-            ]
-            yield batch, texts, found
+        for text in texts:
+            words = words_of(text.as_py())
+            yield words, np.fromiter(map(place.get, words, repeat(RARE)), np.int32, len(words))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, places in placed(batches):
-            sizes = pa.array([len(p) for p in places], pa.int32())
-            packed = pa.array([_pack(p) for p in places], pa.binary())
+        for batch in batches:
+            done = [(len(p), _pack(p)) for _, p in placed(batch.column("_text"))]
+            sizes, packed = pa.array([n for n, _ in done], pa.int32()), pa.array([p for _, p in done], pa.binary())
             columns = [batch.column("_key"), batch.column("_a"), batch.column("_b"), sizes, packed]
             yield pa.RecordBatch.from_arrays(columns, names=["_key", "_a", "_b", "_n", "_places"])
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts, places in placed(batches):
-            at = [np.flatnonzero(p == RARE) for p in places]
-            row = np.repeat(np.arange(len(at)), [len(i) for i in at])
-            numbers = pa.array(np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int32))
-            words = pa.array([words[k] for words, i in zip(texts, at) for k in i], pa.string())
+        for batch in batches:
+            found = []
+            for words, places in placed(batch.column("_text")):
+                at = np.flatnonzero(places == RARE)
+                found.append((at, [words[k] for k in at]))
+            row = np.repeat(np.arange(len(found)), [len(i) for i, _ in found])
+            numbers = pa.array(np.concatenate([np.zeros(0, np.int64), *[i for i, _ in found]]).astype(np.int32))
+            words = pa.array([w for _, own in found for w in own], pa.string())
             columns = [batch.column(c).take(pa.array(row)) for c in ("_a", "_b")]
             yield pa.RecordBatch.from_arrays([*columns, numbers, words], names=["_a", "_b", "_at", "word"])
 
@@ -210,37 +234,41 @@ def encode(
         pieces = _once(f"pieces {path}", lambda: _pieces(path))
 
         def spell() -> tuple[list[str], list[str], np.ndarray]:
-            known = shared.value.column("ids").to_pylist() + [[]]
-            spelled = [_spelled(ids, pieces) for ids in known]
-            return [s[0] for s in spelled], [s[1] for s in spelled], np.array([len(i) for i in known])
+            as_ids, as_text, column = [], [], shared.value.column("ids")
+            for part in (column.slice(i, ROWS) for i in range(0, len(column), ROWS)):
+                for ids in part.to_pylist():
+                    first, second = _spelled(ids, pieces)
+                    as_ids.append(first)
+                    as_text.append(second)
+            lengths = pc.list_value_length(column).to_numpy()
+            return [*as_ids, ""], [*as_text, ""], np.append(lengths, 0)
 
         as_ids, as_text, lengths = _once(f"spelled {name}", spell)
         for batch in batches:
-            counts, first, second = [], [], []
-            columns = [batch.column(c).to_pylist() for c in ("_n", "_places", "_gaps")]
-            for n, packed, gaps in zip(*columns):
-                places = _unpack(packed, n)
-                missing = np.flatnonzero(places == RARE)
-                places[missing] = len(lengths) - 1
-                count, order = int(lengths[places].sum()), places.tolist()
-                ids, text = [as_ids[p] for p in order], [as_text[p] for p in order]
-                for i, own in zip(missing.tolist(), gaps or ()):
-                    ids[i], text[i] = _spelled(own, pieces)
-                    count += len(own)
-                # A word without ids (white space that only the library knows) adds nothing.
-                ids, text = " ".join(filter(None, ids)), " ".join(filter(None, text))
-                counts.append(count)
-                first.append(_sha256(ids) if digest else np.fromstring(ids, dtype=np.int32, sep=" "))
-                second.append(_sha256(text) if digest else text)
-            columns = [pa.array(counts, pa.int64()), pa.array(first, first_type), pa.array(second, pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), *columns], names=names)
-
-    if digest:
-        names, rest = [key, "n_tokens", "ids_sha256", "decoded_sha256"], "ids_sha256 string, decoded_sha256 string"
-        first_type = pa.string()
-    else:
-        names, rest = [key, "n_tokens", "ids", "decoded"], "ids array<int>, decoded string"
-        first_type = pa.list_(pa.int32())
+            for start in range(0, batch.num_rows, ROWS):
+                yield spelled_out(batch.slice(start, ROWS), as_ids, as_text, lengths, pieces)
+
+    def spelled_out(batch: pa.RecordBatch, as_ids: list, as_text: list, lengths: np.ndarray, pieces: list) -> pa.RecordBatch:
+        made: dict[str, list] = {c: [] for c in outputs}
+        counts = []
+        for n, packed, gaps in zip(*[batch.column(c) for c in ("_n", "_places", "_gaps")]):
+            places = _unpack(packed.as_py(), n.as_py())
+            missing = np.flatnonzero(places == RARE)
+            places[missing] = len(lengths) - 1
+            count, order = int(lengths[places].sum()), places.tolist()
+            ids, text = [as_ids[p] for p in order], [as_text[p] for p in order]
+            for i, own in zip(missing.tolist(), gaps.as_py() or ()):
+                ids[i], text[i] = _spelled(own, pieces)
+                count += len(own)
+            # A word without ids (white space that only the library knows) adds nothing.
+            ids, text = " ".join(filter(None, ids)), " ".join(filter(None, text))
+            counts.append(count)
+            for name, column in made.items():
+                column.append(MAKE[name](ids if name.startswith("ids") else text))
+        columns = [pa.array(counts, pa.int64()), *[pa.array(c, ARROW[n]) for n, c in made.items()]]
+        return pa.RecordBatch.from_arrays([batch.column("_key"), *columns], names=[key, "n_tokens", *made])
+
+    rest = ", ".join(f"{c} {SQL[c]}" for c in outputs)
     return joined.mapInArrow(fill, f"`{key}` {key_type}, n_tokens long, {rest}")
 
 
@@ -257,3 +285,14 @@ def _spelled(ids: list[int], pieces: list[str]) -> tuple[str, str]:
 
 def _sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+#: How each output is made of the decimal ids or of the decoded text, and its type.
+MAKE = {
+    "ids": lambda ids: np.fromstring(ids, dtype=np.int32, sep=" "),
+    "ids_sha256": _sha256,
+    "decoded": lambda text: text,
+    "decoded_sha256": _sha256,
+}
+ARROW = {"ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.string(), "decoded_sha256": pa.string()}
+SQL = {"ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}

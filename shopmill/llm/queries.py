@@ -170,7 +170,7 @@ def op5_secret_scan(spark, folder):
 def op7_bpe(spark, folder):
     """Token counts and digests of the ids and of the decoded text of each document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.encode(docs, bpe.vocabulary("word_bpe_49k.json"), digest=True)
+    return bpe.encode(docs, bpe.vocabulary("word_bpe_49k.json"), outputs=("ids_sha256", "decoded_sha256"))
 
 
 @query

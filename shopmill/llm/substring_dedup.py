@@ -34,6 +34,7 @@ from pyspark.sql import types as T
 
 from shopmill.llm.common import text_of
 from shopmill.llm.wordtable import Words, chunks, cut
+from shopmill.operators.scale import durable
 
 WINDOW = 50
 M = 5  # words of a piece
@@ -219,7 +220,8 @@ def repeats(texts: DataFrame, key: str, text: str, window: int = WINDOW, hot: in
 
     found = rows.mapInArrow(spots, "_a long, _b long, _id long, bucket long, start int, windows int")
     counts = found.groupBy("bucket").agg(F.min("_id").alias("low"), F.max("_id").alias("high"), F.count("*").alias("n"))
-    counts = counts.filter("low < high").select("bucket", (F.col("n") > hot).alias("crowded"))
+    # Written, so that the join meets a plain shuffle on both sides and a hot minimiser's rows can be split.
+    counts = durable(counts.filter("low < high").select("bucket", (F.col("n") > hot).alias("crowded")))
     shared = found.join(counts, "bucket").groupBy("_a", "_b")
     shared = shared.agg(F.collect_set(F.struct("start", "windows", "bucket", "crowded")).alias("spots"))
 

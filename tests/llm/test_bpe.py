@@ -25,7 +25,7 @@ def test_ids_and_text_equal_the_library(spark, head):
         want.append((key, len(ids), tuple(ids), tokenizer.decode(ids, skip_special_tokens=False)))
     rows = bpe.encode(df, PATH, head=head).collect()
     assert sorted([(r[0], r[1], tuple(r[2]), r[3]) for r in rows], key=repr) == sorted(want, key=repr)
-    digests = bpe.encode(df, PATH, head=head, digest=True).collect()
+    digests = bpe.encode(df, PATH, head=head, outputs=("ids_sha256", "decoded_sha256")).collect()
     hashed = [(k, n, sha(" ".join(map(str, ids))), sha(text)) for k, n, ids, text in want]
     assert sorted(map(tuple, digests), key=repr) == sorted(hashed, key=repr)
 
@@ -36,3 +36,15 @@ def test_each_distinct_word_once(spark, odd, empty):
     assert bpe.encode(empty, PATH).count() == 0
     clash = odd.withColumns({c: F.lit(1) for c in ("n_tokens", "word", "ids", "_a", "_key")})
     assert bpe.encode(clash, PATH).columns == ["doc_id", "n_tokens", "ids", "decoded"]
+
+
+def test_most_frequent_words_without_a_sort_in_one_task(spark):
+    counts = [(f"w{i}", 1 + 5000 // (i + 1)) for i in range(3000)]
+    df = spark.createDataFrame(counts, "word string, n long").repartition(4)
+    for most in (0, 10, 100, 1000, 5000):
+        kept = bpe.frequent(df, most).collect()
+        assert len(kept) <= most * 1.2 + 5 and len(kept) >= min(most, 3000) * 0.8 - 5
+        least = min((r["n"] for r in kept), default=0)
+        left = {w for w, _ in counts} - {r["word"] for r in kept}
+        assert all(n <= least * 2 ** (1 / 8) + 1 for w, n in counts if w in left or not kept) or most == 0
+    assert "TakeOrdered" not in bpe.frequent(df, 100)._jdf.queryExecution().executedPlan().toString()
