@@ -45,14 +45,7 @@ def secret_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Token ids of each remaining document, its length in tokens and the digest of its decoded text."""
     path = bpe.vocabulary("word_bpe_49k.json")
-    tokens = bpe.encode(docs, path)
-    return tokens.select(
-        "doc_id",
-        "n_tokens",
-        F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        "ids",
-    )
+    return bpe.encode(docs, path, outputs=("ids_sha256", "decoded_sha256", "ids"))
 
 
 STAGES = [
