@@ -34,6 +34,16 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([r["score"] for r in rows if r["y"]]) > 4 * np.mean([r["score"] for r in clean])
 
 
+def test_toxicity_on_many_held_out_rows(spark):
+    """Some toxic labels of the table belong to texts without any insult; nine in ten must be found all the same."""
+    folder = FOLDER.replace("0.01", "0.1")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("toxic").alias("y"))
+    rows = queries.QUERIES["op8_toxicity"](spark, folder).filter("held_out").join(labels, "doc_id").collect()
+    clean, toxic = [[r["predicted"] for r in rows if r["y"] == y] for y in (0, 1)]
+    assert sum(clean) <= 0.02 * len(clean) and sum(toxic) >= 0.9 * len(toxic)
+    assert len({r["score"] for r in rows}) > 100  # scores are not flattened
+
+
 def test_prior_and_risk(spark):
     r = np.random.default_rng(1)
     good, bad = (lambda n: r.normal(2, 1, (n, 3))), (lambda n: r.normal(-2, 1, (n, 3)))
@@ -130,11 +140,10 @@ def test_copies_of_a_clean_quotation_count_once(spark):
     quote = "They called it worthless, quite worthless. Nobody agreed"
     docs += [(1000 + i, quote) for i in range(3000)]
     labels += [(1000 + i, 0) for i in range(3000)]
-    toxic, clean = T.labelled_strings(
-        spark.createDataFrame(docs, "doc_id long, text string"),
-        spark.createDataFrame(labels, "doc_id long, toxic int"),
-        "doc_id", "text", "toxic", T.POSITIVES, T.NEGATIVES,
-    )
+    known = T._known(spark.createDataFrame(labels, "doc_id long, toxic int"), "doc_id", "toxic")
+    counts = T.string_counts(spark.createDataFrame(docs, "doc_id long, text string"), known, "doc_id", "text")
+    toxic = T.telling_strings(counts, T.POSITIVES)
+    clean = {r["w"] for r in T.clean_strings(counts).collect()}
     assert set(INSULTS) <= set(toxic) and not set(INSULTS) & set(clean)
 
 
@@ -154,3 +163,35 @@ def test_toxicity_of_odd_rows(spark, odd, empty, toxic_model):
     none = T.fit(odd, spark.createDataFrame([], "doc_id long, toxic int"))
     assert len({r["score"] for r in T.score(odd, none).collect()}) == 1
     assert T.windows("a" * 100)[0] == "a" * T.WINDOW and "".join(T.windows("abc")) == "abc"
+
+
+def test_a_long_string_keeps_every_stretch_whole():
+    string = "".join(chr(0x4E00 + i) for i in range(200))
+    for longest in (3, 12, 24):
+        parts = T.windows(string, longest)
+        assert all(any(string[i : i + longest] in p for p in parts) for i in range(len(string) - longest + 1))
+
+
+def test_decisions_equal_the_kernel_expansion():
+    r = random.Random(3)
+    word = lambda n: "".join(r.choices("abcdeàж^$", k=n))
+    marks = [word(r.randint(3, 12)) for _ in range(20)]
+    model = T.Model(marks, np.array([r.uniform(-1, 1) for _ in marks]), -0.25)
+    strings = [word(r.randint(0, 22)) for _ in range(300)] + ["", "ab", "zzzz", "日本語"]
+    want = T.kernel([T.ended(s) for s in strings], marks).astype(float) @ model.weights - 0.25
+    assert np.allclose(model.decide(strings), want, atol=1e-4)
+    alphabet, keys, weights = model.table()
+    wide = np.unique(np.concatenate([alphabet, np.arange(0x1000, 0x1100, dtype=np.uint32)]))  # too many letters for a dense table
+    number = {int(c): i + 1 for i, c in enumerate(wide)}
+    own = [0, *[number[int(c)] for c in alphabet]]
+    size, new = len(alphabet) + 1, len(wide) + 1
+    moved = np.array([(own[k // size // size] * new + own[k // size % size]) * new + own[k % size] for k in keys.tolist()])
+    order = np.argsort(moved)
+    longest = max(map(len, marks))
+    assert np.allclose(T.decisions(strings, (wide, moved[order], weights[order]), longest, -0.25), want, atol=1e-4)
+
+
+def test_a_documents_decision_is_that_of_its_most_toxic_string(spark, odd, toxic_model):
+    for row in T.decided(odd, toxic_model).collect():
+        strings = {T.letters(w) for w in (row["text"] or "").split()} | {""}
+        assert row["_decision"] == pytest.approx(float(toxic_model.decide(sorted(strings)).max()), abs=1e-5)
