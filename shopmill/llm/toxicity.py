@@ -43,6 +43,7 @@ from shopmill.operators.scale import durable
 
 LENGTH, DECAY = 3, 0.6  # letters of a subsequence, discount per letter spanned
 POSITIVES, NEGATIVES, LANDMARKS = 300, 4000, 64
+LABELLED = 1_000_000  # labelled documents that the machine is fitted on, so many ids and labels travel to the tasks
 RESIDUAL = 0.1  # squared distance, of 1, that a toxic string may keep from the landmarks' span
 WINDOW = 24  # longer strings are judged by windows of so many letters, at every place that a landmark can take
 ROUNDS, HARDEST = 3, 1500  # rounds of looking for misjudged clean strings, and how many join in each
@@ -164,7 +165,8 @@ def _numbered(strings: list[str], alphabet: np.ndarray) -> np.ndarray:
 def _keys(letters: np.ndarray, size: int) -> np.ndarray:
     """A number per subsequence of each row."""
     places, _ = _places(letters.shape[1])
-    key = letters[:, places[:, 0]].astype(np.int64)
+    letters = letters.astype(np.int32 if size**LENGTH < 1 << 31 else np.int64)
+    key = letters[:, places[:, 0]]
     for i in range(1, LENGTH):
         key = key * size + letters[:, places[:, i]]
     return key
@@ -200,8 +202,9 @@ def decisions(strings: list[str], table: tuple, longest: int, bias: float) -> np
         return values
     size = len(alphabet) + 1
     dense = None
+    weights = weights.astype(np.float32)
     if size**LENGTH <= 1 << 22:  # the same numbers, looked up by place and not by search
-        dense = np.zeros(size**LENGTH)
+        dense = np.zeros(size**LENGTH, dtype=np.float32)
         dense[known] = weights
     by_length: dict[int, list[tuple[int, str]]] = {}
     for i, s in enumerate(strings):
@@ -223,7 +226,7 @@ def decisions(strings: list[str], table: tuple, longest: int, bias: float) -> np
                 found = dense[key]
             points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.int32).reshape(len(texts), -1)
             norm = np.sqrt(_raw_kernel(points, points, LENGTH, DECAY))
-            value = (found * discount).sum(axis=1) / np.maximum(norm, 1e-12) + bias
+            value = found @ discount / np.maximum(norm, 1e-12) + bias
             np.maximum.at(best, [i for i, _ in part], value)
     return np.where(np.isfinite(best), best, values)
 
@@ -297,10 +300,15 @@ def train(
     return Model(marks, root @ w, b)
 
 
-def _known(labels: DataFrame, key: str, label: str) -> DataFrame:
-    """``key, _y``: one label for each id; contradicting ones are toxic."""
+def _known(labels: DataFrame, key: str, label: str, most: int = LABELLED) -> DataFrame:
+    """``key, _y``: one label for each id; contradicting ones are toxic. Of more than ``most`` ids, those of least
+    hash, so that the table may travel to every task. Written once."""
     known = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).select(key, F.col(label).alias("_y"))
-    return known.groupBy(key).agg(F.max("_y").alias("_y"))
+    known = durable(known.groupBy(key).agg(F.max("_y").alias("_y")))
+    share = 0.95 * most / max(known.count(), 1)
+    if share >= 0.95:
+        return known
+    return known.filter(F.pmod(F.xxhash64(F.lit("known"), key), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
 def _apart(key: str) -> Column:
@@ -311,7 +319,7 @@ def _apart(key: str) -> Column:
 def string_counts(docs: DataFrame, known: DataFrame, key: str, text: str) -> DataFrame:
     """``w, t, c, varied``: toxic and clean sentences that hold each word, and the different words before it
     in toxic ones. Written once."""
-    texts = docs.select(key, text_of(text).alias("_text")).join(known.hint("shuffle_hash"), key)
+    texts = docs.select(key, text_of(text).alias("_text")).join(F.broadcast(known), key)
     texts = texts.select("_y", F.explode(F.split("_text", r"[.!?\n]+")).alias("_s"))
     sentences = texts.select("_y", F.btrim("_s", F.lit(BLANKS)).alias("_s")).filter("_s <> ''").distinct()
     words = sentences.select("_y", F.split("_s", f"{SPACE}+").alias("_w"))
@@ -380,9 +388,10 @@ def fit(
     label: str = "toxic",
     positives: int = POSITIVES,
     negatives: int = NEGATIVES,
+    labelled: int = LABELLED,
 ) -> Model:
-    """The machine learnt from labelled documents, its bias set on a fifth of them that gave no string."""
-    known = durable(_known(labels, key, label))
+    """The machine learnt from at most ``labelled`` labelled documents, its bias set on a fifth of them that gave no string."""
+    known = _known(labels, key, label, labelled)
     counts = string_counts(docs.filter(~_apart(key)), known, key, text)
     toxic = telling_strings(counts, positives)
     plain = clean_strings(counts)
@@ -412,7 +421,7 @@ def calibrated(model: Model, docs: DataFrame, known: DataFrame, key: str, text:
     if not model.landmarks:
         return model
     level = F.floor(F.col("_decision") * 100).cast("int").alias("level")
-    judged = decided(docs.select(key, text), model, text).join(known, key).groupBy(level)
+    judged = decided(docs.select(key, text), model, text).join(F.broadcast(known), key).groupBy(level)
     levels = judged.agg(F.count_if(F.col("_y") == 1).alias("bad"), F.count_if(F.col("_y") == 0).alias("good"))
     rows = sorted(tuple(r) for r in levels.collect())  # decisions are bounded: a few hundred levels
     bad, good = sum(r[1] for r in rows), sum(r[2] for r in rows)

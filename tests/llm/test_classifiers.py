@@ -165,6 +165,13 @@ def test_toxicity_of_odd_rows(spark, odd, empty, toxic_model):
     assert T.windows("a" * 100)[0] == "a" * T.WINDOW and "".join(T.windows("abc")) == "abc"
 
 
+def test_more_labels_than_the_bound_are_sampled_alike(spark):
+    labels = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"))
+    few = {r["k"] for r in T._known(labels, "k", "y", 1000).collect()}
+    assert 800 < len(few) <= 1000 and few == {r["k"] for r in T._known(labels.repartition(3), "k", "y", 1000).collect()}
+    assert T._known(labels, "k", "y", 5000).count() == 5000
+
+
 def test_a_long_string_keeps_every_stretch_whole():
     string = "".join(chr(0x4E00 + i) for i in range(200))
     for longest in (3, 12, 24):
