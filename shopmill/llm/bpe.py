@@ -26,10 +26,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import uuid
-from collections import Counter
-from collections.abc import Callable, Iterator, Sequence
-from itertools import repeat
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +42,9 @@ HEAD = 1 << 19
 HEAD_CHARS = 64
 RARE = (1 << 24) - 1  # place that stands for a word outside the head
 FLUSH = 1_000_000  # distinct words that a task holds before it passes their counts on
-ROWS = 1024  # rows that are spelled out at once
+WORDS = 1 << 18  # words that a task works on at once
+#: Outputs of ``encode`` and their types.
+SQL = {"ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 
 #: The tokenizer file's splitting rule (fixed value) for lower-cased Latin text: runs of letters, single digits,
 #: contractions, runs of other signs. Letters and digits are listed, as the texts it is used on have no others.
@@ -70,51 +69,53 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-_TOKENIZERS: dict[str, object] = {}
+def _tokenizer(path: str):
+    """The library's tokenizer of a vocabulary file, without truncation and padding."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    from tokenizers import Tokenizer
 
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
 
-_KEPT: dict[str, object] = {}
 
+def _word_lists(texts: pa.Array) -> Iterator[tuple[list[str], list[int]]]:
+    """Words of some texts after the other and the number of each text's. About ``WORDS`` words are strings
+    at a time; a longer text is taken whole."""
+    words, sizes = [], []
+    for text in texts:
+        own = words_of(text.as_py())
+        words += own
+        sizes.append(len(own))
+        if len(words) >= WORDS:
+            yield words, sizes
+            words, sizes = [], []
+    yield words, sizes
 
-def _once(name: str, build: Callable[[], object]):
-    """``build()`` of a name, kept for the later tasks of a Python worker; one of a kind at a time."""
-    if name not in _KEPT:
-        for other in [k for k in _KEPT if k.split()[0] == name.split()[0]]:
-            del _KEPT[other]
-        _KEPT[name] = build()
-    return _KEPT[name]
 
-
-def _tokenizer(path: str):
-    """The library's tokenizer of a vocabulary file, without truncation and padding."""
-    if path not in _TOKENIZERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-        _TOKENIZERS[path] = tokenizer
-    return _TOKENIZERS[path]
+def _lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; then a worker that waits for its next task gives back what Arrow holds for it."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
 
 
 def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``word, n, ids``: every distinct word of the texts, how often it occurs, its ids. Written once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-
-        def rows() -> pa.RecordBatch:
-            counted = [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())]
-            return pa.RecordBatch.from_arrays(counted, names=["word", "n"])
-
+        held: pa.Table | None = None
         for batch in batches:
-            for text in batch.column("_text"):  # one text at a time is split into strings
-                seen.update(words_of(text.as_py()))
-                if len(seen) > FLUSH:
-                    yield rows()
-                    seen.clear()
-        yield rows()
+            for words, _ in _word_lists(batch.column("_text")):
+                seen = pa.array(words, pa.string()).value_counts()
+                own = pa.table({"word": seen.field("values"), "n": seen.field("counts")})
+                held = own if held is None else pa.concat_tables([held, own])
+                held = held.group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+                if len(held) > FLUSH:
+                    yield from held.select(["word", "n"]).to_batches()
+                    held = None
+        if held is not None:
+            yield from held.select(["word", "n"]).to_batches()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
@@ -126,9 +127,9 @@ def word_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 names=["word", "n", "ids"],
             )
 
-    counted = docs.select(text_of(text).alias("_text")).mapInArrow(count, "word string, n long")
+    counted = docs.select(text_of(text).alias("_text")).mapInArrow(lambda b: _lean(count(b)), "word string, n long")
     counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    return durable(counted.mapInArrow(encode, "word string, n long, ids array<int>"))
+    return durable(counted.mapInArrow(lambda b: _lean(encode(b)), "word string, n long, ids array<int>"))
 
 
 def frequent(counted: DataFrame, most: int) -> DataFrame:
@@ -159,6 +160,13 @@ def _head(table: DataFrame, head: int) -> pa.Table:
     return found.slice(0, head).select(["word", "ids"]).combine_chunks()
 
 
+def _found(words: list[str], sizes: list[int], head: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words as an array, words of each text, and places in the head (``RARE``: not there)."""
+    listed = pa.array(words, pa.string())
+    place = pc.index_in(listed, value_set=head.column("word").combine_chunks()).fill_null(RARE)
+    return listed, np.array(sizes, dtype=np.int64), place.to_numpy(zero_copy_only=False)
+
+
 def _pack(places: np.ndarray) -> bytes:
     """Places below 2**24 by byte planes, compressed."""
     planes = places.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
@@ -188,42 +196,45 @@ def encode(
     context = docs.sparkSession.sparkContext
     table = word_table(docs, path, text)
     frequent = _head(table, head)
-    shared, name = context.broadcast(frequent), uuid.uuid4().hex
+    shared, pieces = context.broadcast(frequent), context.broadcast(pa.array(_pieces(path)))
     # A document is known by its key and text; equal rows share one set of rare words.
     marks = {"_a": F.xxhash64(F.col(key), text_of(text)), "_b": F.xxhash64(text_of(text), F.col(key))}
     marks = [c.alias(n) for n, c in marks.items()]
     rows = docs.select(F.col(key).alias("_key"), text_of(text).alias("_text"), *marks)
 
-    def placed(texts: pa.Array) -> Iterator[tuple[list[str], np.ndarray]]:
-        """Each text's words and their places among the frequent words; one text at a time is split into strings."""
-        words = lambda: dict(zip(shared.value.column("word").to_pylist(), range(RARE)))
-        place = _once(f"places {name}", words)
-        for text in texts:
-            words = words_of(text.as_py())
-            yield words, np.fromiter(map(place.get, words, repeat(RARE)), np.int32, len(words))
+    def placed(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        """Words of some texts after the other, the number of words of each, and their places among the frequent
+        words."""
+        for words, sizes in _word_lists(texts):
+            yield _found(words, sizes, shared.value)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [(len(p), _pack(p)) for _, p in placed(batch.column("_text"))]
-            sizes, packed = pa.array([n for n, _ in done], pa.int32()), pa.array([p for _, p in done], pa.binary())
-            columns = [batch.column("_key"), batch.column("_a"), batch.column("_b"), sizes, packed]
+            sizes, packed = [], []
+            for _, own, places in placed(batch.column("_text")):
+                for part in np.split(places, np.cumsum(own)[:-1]) if len(own) else []:
+                    sizes.append(len(part))
+                    packed.append(_pack(part))
+            columns = [batch.column("_key"), batch.column("_a"), batch.column("_b")]
+            columns += [pa.array(sizes, pa.int32()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["_key", "_a", "_b", "_n", "_places"])
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for words, places in placed(batch.column("_text")):
+            row = 0
+            for words, sizes, places in placed(batch.column("_text")):
                 at = np.flatnonzero(places == RARE)
-                found.append((at, [words[k] for k in at]))
-            row = np.repeat(np.arange(len(found)), [len(i) for i, _ in found])
-            numbers = pa.array(np.concatenate([np.zeros(0, np.int64), *[i for i, _ in found]]).astype(np.int32))
-            words = pa.array([w for _, own in found for w in own], pa.string())
-            columns = [batch.column(c).take(pa.array(row)) for c in ("_a", "_b")]
-            yield pa.RecordBatch.from_arrays([*columns, numbers, words], names=["_a", "_b", "_at", "word"])
+                first = np.cumsum(sizes) - sizes
+                of = np.searchsorted(first, at, side="right") - 1
+                numbers = pa.array((at - first[of]).astype(np.int32))
+                columns = [batch.column(c).take(pa.array(row + of)) for c in ("_a", "_b")]
+                row += len(sizes)
+                columns += [numbers, words.take(pa.array(at))]
+                yield pa.RecordBatch.from_arrays(columns, names=["_a", "_b", "_at", "word"])
 
     key_type = docs.schema[key].dataType.simpleString()
-    packed = rows.mapInArrow(pack, f"_key {key_type}, _a long, _b long, _n int, _places binary")
-    spread = rows.select("_text", "_a", "_b").mapInArrow(rare, "_a long, _b long, _at int, word string")
+    packed = rows.mapInArrow(lambda b: _lean(pack(b)), f"_key {key_type}, _a long, _b long, _n int, _places binary")
+    spread = rows.select("_text", "_a", "_b").mapInArrow(lambda b: _lean(rare(b)), "_a long, _b long, _at int, word string")
     found = spread.join(table.select("word", "ids"), "word")
     gaps = found.groupBy("_a", "_b").agg(
         F.transform(F.array_sort(F.collect_set(F.struct("_at", "ids"))), lambda g: g["ids"]).alias("_gaps")
@@ -231,45 +242,47 @@ def encode(
     joined = packed.join(gaps, ["_a", "_b"], "left").select("_key", "_n", "_places", "_gaps")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _once(f"pieces {path}", lambda: _pieces(path))
-
-        def spell() -> tuple[list[str], list[str], np.ndarray]:
-            as_ids, as_text, column = [], [], shared.value.column("ids")
-            for part in (column.slice(i, ROWS) for i in range(0, len(column), ROWS)):
-                for ids in part.to_pylist():
-                    first, second = _spelled(ids, pieces)
-                    as_ids.append(first)
-                    as_text.append(second)
-            lengths = pc.list_value_length(column).to_numpy()
-            return [*as_ids, ""], [*as_text, ""], np.append(lengths, 0)
-
-        as_ids, as_text, lengths = _once(f"spelled {name}", spell)
+        known = shared.value.column("ids").combine_chunks()
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                yield spelled_out(batch.slice(start, ROWS), as_ids, as_text, lengths, pieces)
-
-    def spelled_out(batch: pa.RecordBatch, as_ids: list, as_text: list, lengths: np.ndarray, pieces: list) -> pa.RecordBatch:
-        made: dict[str, list] = {c: [] for c in outputs}
-        counts = []
-        for n, packed, gaps in zip(*[batch.column(c) for c in ("_n", "_places", "_gaps")]):
-            places = _unpack(packed.as_py(), n.as_py())
-            missing = np.flatnonzero(places == RARE)
-            places[missing] = len(lengths) - 1
-            count, order = int(lengths[places].sum()), places.tolist()
-            ids, text = [as_ids[p] for p in order], [as_text[p] for p in order]
-            for i, own in zip(missing.tolist(), gaps.as_py() or ()):
-                ids[i], text[i] = _spelled(own, pieces)
-                count += len(own)
-            # A word without ids (white space that only the library knows) adds nothing.
-            ids, text = " ".join(filter(None, ids)), " ".join(filter(None, text))
-            counts.append(count)
-            for name, column in made.items():
-                column.append(MAKE[name](ids if name.startswith("ids") else text))
-        columns = [pa.array(counts, pa.int64()), *[pa.array(c, ARROW[n]) for n, c in made.items()]]
-        return pa.RecordBatch.from_arrays([batch.column("_key"), *columns], names=[key, "n_tokens", *made])
-
+            ends = np.cumsum(batch.column("_n").to_numpy(zero_copy_only=False))
+            part = (ends - 1) // WORDS
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+            for low, high in zip(edges, edges[1:]):
+                yield spelled(batch.slice(low, high - low), known, pieces.value)
+
+    def spelled(batch: pa.RecordBatch, known: pa.ListArray, pieces: pa.Array) -> pa.RecordBatch:
+        """Some rows spelled out by array operations over all their words."""
+        sizes = batch.column("_n").to_numpy(zero_copy_only=False)
+        columns = [batch.column("_places"), sizes.tolist()]
+        places = [_unpack(p.as_py(), n) for p, n in zip(*columns)]
+        places = np.concatenate([np.zeros(0, np.uint32), *places]).astype(np.int64)
+        missing = np.flatnonzero(places == RARE)
+        places[missing] = len(known) + np.arange(len(missing))
+        own = batch.column("_gaps").flatten().cast(known.type)
+        ids = pa.concat_arrays([known, own]).take(pa.array(places))
+        # A word without ids (white space that only the library knows) adds nothing.
+        lengths = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
+        flat = ids.flatten()
+        offsets = pa.array(ends, pa.int64())
+        made = {}
+        if "ids" in outputs:
+            made["ids"] = pa.LargeListArray.from_arrays(offsets, flat).cast(pa.list_(pa.int32()))
+        for name, source in (("ids_sha256", flat), ("decoded", flat), ("decoded_sha256", flat)):
+            if name in outputs:
+                texts = source.cast(pa.string()) if name.startswith("ids") else pieces.take(source)
+                joined = pc.binary_join(pa.LargeListArray.from_arrays(offsets, texts), " ")
+                digest = [_sha256(t.as_py()) for t in joined] if name.endswith("sha256") else joined
+                made[name] = pa.array(digest, pa.string())
+        counts = pa.array(np.diff(ends), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_key"), counts, *[made[c] for c in outputs]], names=[key, "n_tokens", *outputs]
+        )
+
+    if set(outputs) - set(SQL):
+        raise ValueError(f"outputs are among {', '.join(SQL)}")
     rest = ", ".join(f"{c} {SQL[c]}" for c in outputs)
-    return joined.mapInArrow(fill, f"`{key}` {key_type}, n_tokens long, {rest}")
+    return joined.mapInArrow(lambda b: _lean(fill(b)), f"`{key}` {key_type}, n_tokens long, {rest}")
 
 
 def _pieces(path: str) -> list[str]:
@@ -278,21 +291,5 @@ def _pieces(path: str) -> list[str]:
     return [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
 
 
-def _spelled(ids: list[int], pieces: list[str]) -> tuple[str, str]:
-    """A word's ids and their pieces, each joined by spaces."""
-    return " ".join(map(str, ids)), " ".join([pieces[i] for i in ids])
-
-
 def _sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
-
-
-#: How each output is made of the decimal ids or of the decoded text, and its type.
-MAKE = {
-    "ids": lambda ids: np.fromstring(ids, dtype=np.int32, sep=" "),
-    "ids_sha256": _sha256,
-    "decoded": lambda text: text,
-    "decoded_sha256": _sha256,
-}
-ARROW = {"ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.string(), "decoded_sha256": pa.string()}
-SQL = {"ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
