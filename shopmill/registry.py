@@ -26,7 +26,7 @@ from shopmill.operators.scale import scratch
 from shopmill.operators.setops import unify
 from shopmill.oracle import typed
 from shopmill.plans import curated, reports, star
-from shopmill.sources import files, sinks
+from shopmill.sources import files, landing, sinks
 from shopmill.sources.tpch import Shop, open_shop
 from shopmill.streaming import ingest
 
@@ -1707,7 +1707,7 @@ def _deliveries(shop):
 
 @query("orderid:i customerid:i status:s", _LATEST)
 def ingest_batch(shop):
-    """Pulls of 100 orders until nothing is left, later versions before the first ones."""
+    """Two pulls of a quarter of the orders and one of the rest, later versions before the first ones."""
     target, mark = _scratch(shop), _scratch(shop)
     ingest.save_mark(shop.spark, mark, -1)
     texts, later = _deliveries(shop)
@@ -1719,6 +1719,50 @@ def ingest_batch(shop):
     return E.event_orders(ingest.stored_events(shop.spark, target))
 
 
+def _landed(shop) -> str:
+    """All deliveries landed in two batches, the first version of an order after the later one."""
+    root = _scratch(shop)
+    texts, later = _deliveries(shop)
+    landing.land(later, root, "later", ids_per_folder=IDS_PER_FOLDER)
+    landing.land(texts, root, "first", ids_per_folder=IDS_PER_FOLDER)
+    return root
+
+
+@query(
+    "orderid:i documents:i",
+    f"""SELECT orderid, CASE WHEN u = '2-HIGH' AND s = 'O' THEN 2 ELSE 1 END AS documents
+        FROM ({_VALID}) v JOIN m_events USING (orderid) WHERE orderid >= 100 ORDER BY orderid LIMIT 1000""",
+)
+def pull_landed(shop):
+    """A pull of 1,000 whole orders from a landing of two batches, by its manifest."""
+    pulled = landing.pull(shop.spark, _landed(shop), 100, 1000)
+    return pulled.documents.groupBy("orderid").agg(F.count("*").alias("documents"))
+
+
+@query("orderid:i customerid:i status:s", _LATEST)
+def ingest_landed(shop):
+    """Two pulls from a landing, then, as one batch, what the pulls have not come to."""
+    root, target, mark = _landed(shop), _scratch(shop), _scratch(shop)
+    ingest.save_mark(shop.spark, mark, -1)
+    for _ in range(2):
+        ingest.ingest_landed(shop.spark, root, target, mark)
+    rest = shop.spark.read.schema(f"{landing.LANDED}, batch string, id_bucket long").parquet(f"{root}/data")
+    ingest.ingest_batch(rest, target, mark, limit=None)
+    return E.event_orders(ingest.stored_events(shop.spark, target))
+
+
+@query("orderid:i customerid:i status:s", _LATEST)
+def ingest_compacted(shop):
+    """First versions ingested and compacted, later ones of some orders delivered, and compacted again."""
+    target, marks = _scratch(shop), _scratch(shop)
+    texts, later = _deliveries(shop)
+    for number, delivery in enumerate((texts, later)):
+        ingest.save_mark(shop.spark, f"{marks}/{number}", -1)
+        ingest.ingest_batch(delivery, target, f"{marks}/{number}", limit=None)
+        ingest.compact(shop.spark, target)
+    return E.event_orders(ingest.stored_events(shop.spark, target))
+
+
 @query("orderid:i customerid:i status:s", _LATEST)
 def ingest_stream(shop):
     """Landed JSON lines taken as a stream, then delivered again with later versions in new files."""

@@ -64,7 +64,7 @@ def list_inputs(df: DataFrame) -> DataFrame:
 def read_events_since(
     spark: SparkSession, path: str, from_id: int, limit: int, ids_per_folder: int = 1_000_000
 ) -> DataFrame:
-    """At most ``limit`` landed events (JSON lines in ``id_bucket`` folders) with id >= ``from_id``.
+    """Landed events (JSON lines in ``id_bucket`` folders) of the ``limit`` lowest ids >= ``from_id``.
 
     Folders of lower ids are pruned before any document is parsed.
     """
@@ -75,12 +75,18 @@ def read_events_since(
 
 
 def read_since(df: DataFrame, from_id: int, limit: int, id_col: str = "orderid") -> DataFrame:
-    """At most ``limit`` events with id >= ``from_id``, lowest ids first."""
+    """All events of the ``limit`` lowest ids >= ``from_id``, lowest ids first.
+
+    An id is taken with every event it has, so a pull may hold more than ``limit`` rows and the next one, from the last id
+    plus one, misses none. Rows of one id come in no certain order.
+    """
     if from_id < 1:
         raise ValueError("from_id must be greater than 0")
     if not 1 <= limit <= MAX_PULL:
         raise ValueError(f"limit must be between 1 and {MAX_PULL}")
-    return df.filter(F.col(id_col) >= from_id).orderBy(id_col).limit(limit)
+    wanted = df.filter(F.col(id_col) >= from_id)
+    ids = wanted.select(id_col).distinct().orderBy(id_col).limit(limit)  # at most MAX_PULL numbers
+    return wanted.join(F.broadcast(ids), id_col, "left_semi").orderBy(id_col)
 
 
 def next_id(batch: DataFrame, from_id: int, id_col: str = "orderid") -> DataFrame:
