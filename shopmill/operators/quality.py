@@ -253,12 +253,29 @@ def shipment_rules(events: DataFrame) -> DataFrame:
 _EVENT_PARTS = {f"_{p}": p for p in ("order", "order_details", "payment", "shipment", "summary")}
 
 
+_LAST_KEY = "spark.sql.variant.allowDuplicateKeys"
+
+
+def _parsed(raw: DataFrame, column: str) -> DataFrame:
+    """``raw`` with its text as a variant; of a key repeated in an object the last counts, as when events are typed.
+
+    The setting is read when the expression is resolved, here; the session keeps its own for everything else.
+    """
+    conf = raw.sparkSession.conf
+    own = conf.get(_LAST_KEY, None)
+    conf.set(_LAST_KEY, "true")
+    try:
+        return raw.withColumn("_v", F.try_parse_json(column))
+    finally:
+        conf.unset(_LAST_KEY) if own is None else conf.set(_LAST_KEY, own)
+
+
 def judge_events(raw: DataFrame, column: str = "value") -> DataFrame:
     """Raw event text with its order id and the codes of broken and doubtful structure.
 
     Each text is parsed once, to a variant; types are those of JSON, so a text that looks like a list is none.
     """
-    parsed = raw.withColumn("_v", F.try_parse_json(column))
+    parsed = _parsed(raw, column)
     parts = parsed.withColumns(
         {c: F.try_variant_get("_v", f"$.{p}", "variant") for c, p in _EVENT_PARTS.items()}
     )

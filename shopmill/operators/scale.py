@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 BOUNDARIES = 1024  # ranges that a global rank is cut into
 COARSE = 32
+HOT_KEYS, HOT_SHARE, SALTS = 64, 0.002, 32  # keys looked for, rows that make one hot, parts it is dealt to
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -80,8 +81,8 @@ def skew_join(
 
     ``how``: inner, left, left_semi or left_anti. Adaptive execution splits hot keys of the left
     side in each of these, and of the right side in an inner join. It can not split the right side of
-    an outer join, so unless the right side has one row per key (``unique="right"``), a left join is
-    an inner join and the unmatched rest. A semi or anti join needs the right side's keys only: where they are
+    an outer join, so unless the right side has one row per key (``unique="right"``), a left join splits
+    its hot keys itself (``_left_join``). A semi or anti join needs the right side's keys only: where they are
     not unique they are made so first, map side before the shuffle, which folds a hot key there; where they
     are, the join meets the bare shuffle and hot keys of the left side can be split.
     """
@@ -92,9 +93,37 @@ def skew_join(
         return left.join(keys if unique == "right" else keys.distinct(), key, how)
     if how == "inner" or unique == "right":
         return left.join(right, key, how)
-    matched = left.join(right, key)
-    rest = left.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(rest, allowMissingColumns=True)
+    return _left_join(left, right, key)
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> Column:
+    """The keys that hold at least ``share`` of the rows, as an array: a scalar subquery over the key column.
+
+    A frequency sketch of fixed size counts them; it may miss a key near the bound or name one below, never one
+    that the rows do not have.
+    """
+    top = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {HOT_KEYS * 16})")
+    found = df.filter(F.col(key).isNotNull()).agg(top.alias("top"), F.count("*").alias("n"))
+    often = F.filter("top", lambda x: x["count"] >= F.col("n") * share)
+    return found.select(F.transform(often, lambda x: x["item"])).scalar()
+
+
+def _left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join in one pass over the left side, hot keys of the right side dealt out.
+
+    Right rows of a hot key get one of ``SALTS`` numbers by a hash of the row, left rows of it come once for each
+    number. A hot key does occur on the right, so a left row that misses one number meets another: such misses go, and every
+    other left row without a match stays. Building the join runs no job.
+    """
+    hot = hot_keys(right, key)
+    is_hot = F.coalesce(F.array_contains(hot, F.col(key)), F.lit(False))
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    ours = left.withColumn("__hot", is_hot)
+    ours = ours.withColumn("__salt", F.explode(F.when(F.col("__hot"), every).otherwise(F.array(F.lit(0)))))
+    salt = F.pmod(F.xxhash64(*right.columns), F.lit(SALTS)).cast("int")
+    theirs = right.withColumns({"__salt": F.when(is_hot, salt).otherwise(0), "__met": F.lit(True)})
+    joined = ours.join(theirs, [key, "__salt"], "left")
+    return joined.filter(F.col("__met").isNotNull() | ~F.col("__hot")).drop("__hot", "__salt", "__met")
 
 
 def same(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -119,8 +148,9 @@ def global_rank(df: DataFrame, score: str, out: str = "rank", ranges: int = BOUN
     Only distinct scores with their counts are ranked: a sample of them (those of least hash, at
     most ``ranges``) cuts the score's domain into ranges of about equal numbers, each range is summed on
     its own, one row per range supplies what precedes it, and ranks join back to the rows by score.
-    The sample is fetched while the plan is built; nothing is written.
+    ``df`` is written once while the plan is built, so what lies behind it runs one time; sample and ranks read that.
     """
+    df = durable(df)
     counts = df.groupBy(score).agg(F.count("*").alias("_c"))
     known = counts.filter(F.col(score).isNotNull()).select(score)
     sample = known.orderBy(F.xxhash64(score), score).limit(ranges - 1).collect()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopmill import schemas
+from shopmill.operators.scale import durable
 
 MAX_PULL = 1000
 
@@ -43,9 +44,50 @@ def read_events(spark: SparkSession, path: str, multiline: bool = True) -> DataF
     return spark.read.schema(schemas.schema("event")).option("multiLine", multiline).json(path)
 
 
+REJECTED = "_corrupt"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType | str, multiline: bool = False) -> DataFrame:
+    """``read_csv`` with two more columns: ``_file``, and ``_corrupt``, the raw record where it has too few or
+    too many fields or one that does not parse, else NULL."""
+    columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    rows = (
+        spark.read.schema(T.StructType([*columns.fields, T.StructField(REJECTED, T.StringType())]))
+        .option("header", True)
+        .option("multiLine", multiline)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", REJECTED)
+        .csv(path)
+    )
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"))
+
+
+def read_events_checked(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """Typed events with ``_file``, and ``_corrupt``, the raw text where it is no JSON object of the event's
+    types (a blank one as well; Spark lists no file of zero bytes). One document per file, or JSON lines with ``whole_files=False``."""
+    texts = spark.read.text(path, wholetext=whole_files)
+    texts = texts.select("value", F.col("_metadata.file_path").alias("_file"))
+    fields = T.StructType([*schemas.schema("event").fields, T.StructField(REJECTED, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED}
+    parsed = texts.select("value", "_file", F.from_json("value", fields, options).alias("e"))
+    blank = F.trim("value") == ""
+    array = F.ltrim("value").startswith("[")
+    bad = F.col("e").isNull() | F.col(f"e.{REJECTED}").isNotNull() | blank | array
+    names = schemas.schema("event").fieldNames()
+    return parsed.select(*[F.col(f"e.{n}").alias(n) for n in names], F.when(bad, F.col("value")).alias(REJECTED), "_file")
+
+
+def split_rejects(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sound rows, rejects ``file, record``) of a checked read, which is written once so that it is parsed once."""
+    rows = durable(checked)
+    bad = F.col(REJECTED).isNotNull()
+    rejects = rows.filter(bad).select(F.col("_file").alias("file"), F.col(REJECTED).alias("record"))
+    return rows.filter(~bad).drop(REJECTED, "_file"), rejects
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Each file's whole text in ``value``, unparsed, for validation before typing."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def parse_events(documents: DataFrame, column: str = "value") -> DataFrame:

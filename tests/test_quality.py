@@ -136,3 +136,12 @@ def test_rules_stay_in_generated_code(frame):
     df = frame([(1,)], "k int").withColumn("v", F.lit("{}"))
     plan = Q.judge_events(df, "v")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_a_repeated_key_counts_by_its_last_value(spark):
+    text = '{"order": {"OrderID": 1, "OrderID": 7}, "order_details": 3, "order_details": []}'
+    raw = spark.createDataFrame([(text,)], "value string")
+    before = spark.conf.get("spark.sql.variant.allowDuplicateKeys", None)
+    row = Q.judge_events(raw).first()
+    assert (row["orderid"], row["errors"]) == (7, [])
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys", None) == before

@@ -31,11 +31,39 @@ def test_skew_join_with_unique_side(sides):
     assert rows(S.skew_join(left, one, "k", "left", "right")) == rows(left.join(one, "k", "left"))
 
 
-def test_outer_join_never_has_a_hot_key_on_its_right(sides):
-    """Spark cannot split the right side of a left join, so there is none unless keys are unique."""
-    left, right = sides
-    plan = S.skew_join(left, right, "k", "left")._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftOuter" not in plan and "Inner" in plan and "LeftAnti" in plan
+def test_a_left_join_deals_out_hot_keys_and_reads_its_left_side_once(spark, tmp_path, monkeypatch):
+    """Half of the right rows have one key; the join meets them in many parts, and scans the left side once."""
+    left, right = str(tmp_path / "left"), str(tmp_path / "right")
+    spark.range(200).selectExpr("id AS k", "id AS a").write.parquet(left)
+    many = spark.range(4000).selectExpr("CASE WHEN id % 2 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id % 90 END AS k", "id AS b")
+    many.write.parquet(right)
+    one, two = spark.read.parquet(left), spark.read.parquet(right)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = S.skew_join(one, two, "k", "left")
+        assert rows(joined) == rows(one.join(two, "k", "left"))
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LeftOuter") == 1 and "__salt" in plan
+        scans = [s for s in joined._jdf.queryExecution().executedPlan().toString().splitlines() if f"{left}" in s and "Scan" in s]
+        assert len(scans) <= 2  # the final and the initial plan of adaptive execution name it once each
+        assert two.select(S.hot_keys(two, "k").alias("hot")).first()["hot"][0] == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = two.filter("k = 7").select((F.pmod(F.xxhash64("k", "b"), F.lit(S.SALTS))).alias("s")).distinct()
+    assert dealt.count() == S.SALTS
+
+
+@pytest.mark.parametrize("case", ["no right rows", "no left rows", "one key", "nulls", "repeated rows", "columns that clash"])
+def test_left_join_of_odd_sides(spark, case):
+    left = [(i % 7 if i % 5 else None, i) for i in range(60)]
+    right = [(3, i) for i in range(300)] + [(i % 11, i) for i in range(50)] + [(None, 1)] * 20
+    left = [] if case == "no left rows" else [(3, i) for i in range(9)] if case == "one key" else left
+    right = [] if case == "no right rows" else [(None, 1)] * 9 if case == "nulls" else right
+    right = [(3, 1)] * 500 if case == "repeated rows" else right
+    one, two = spark.createDataFrame(left, "k long, a long"), spark.createDataFrame(right, "k long, b long")
+    if case == "columns that clash":
+        one, two = one.withColumn("top", F.lit(1)), two.withColumn("n", F.lit(2)).withColumn("hot", F.lit(3))
+    assert rows(S.skew_join(one, two, "k", "left")) == rows(one.join(two, "k", "left"))
 
 
 def test_building_a_join_runs_no_job(spark, sides):
@@ -92,6 +120,19 @@ def test_rank_in_group_equals_rank(spark, case):
     assert rows(rank_in_group(df, ["g"], "score", 3)) == rows(want)
 
 
+def test_a_global_rank_runs_what_lies_behind_it_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = spark.range(500).withColumnRenamed("id", "score").mapInPandas(seen, "score long")
+    assert S.global_rank(df, "score").count() == 500
+    assert reads.value == 500
+
+
 def test_durable_cuts_lineage(spark):
     df = S.durable(spark.range(10).withColumn("x", F.col("id") * 2))
     assert df.count() == 10
@@ -101,7 +142,6 @@ def test_durable_cuts_lineage(spark):
 def test_intermediates_are_removed(spark, tmp_path, monkeypatch):
     root = tmp_path / "shared"
     monkeypatch.setattr(S, "checkpoint_root", lambda spark: str(root))
-    S.global_rank(spark.range(100).withColumnRenamed("id", "s"), "s").collect()
     with S.kept(spark) as keep:
         assert keep(spark.range(3)).count() == 3
     assert not list(root.rglob("*.parquet"))

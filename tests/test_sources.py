@@ -1,9 +1,10 @@
+import json
 from datetime import date
 from decimal import Decimal
 
 import pytest
 
-from fixtures import rows
+from fixtures import EVENTS, rows, write_documents
 from shopmill import schemas
 from shopmill.sources import files, sinks
 
@@ -67,3 +68,33 @@ def test_views(spark, tmp_path):
     sinks.register_views(spark, {"from_frame": df, "from_path": str(tmp_path / "v")})
     joined = spark.sql("SELECT * FROM from_frame JOIN from_path USING (k)")
     assert rows(joined) == [(1, Decimal("2.00"), Decimal("2.00"))]
+
+
+def test_csv_rejects_are_kept_with_their_file(spark, tmp_path):
+    for i, name in enumerate("ab"):
+        lines = ["PaymentID,Amount", f"{i},1.50", "x,2.00", f"{i + 5},", "7", '9,"many"', f"{i + 8},3.00,4"]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    checked = files.read_csv_checked(spark, str(tmp_path), "paymentid long, amount decimal(12,2)")
+    good, bad = files.split_rejects(checked)
+    assert rows(good) == [(0, Decimal("1.50")), (1, Decimal("1.50")), (5, None), (6, None)]
+    found = [(r["file"].rsplit("/", 1)[1], r["record"]) for r in bad.collect()]
+    assert sorted(found) == sorted((f"{n}.csv", t) for i, n in enumerate("ab") for t in ("x,2.00", "7", '9,"many"', f"{i + 8},3.00,4"))
+    assert good.count() + bad.count() == 12
+
+
+def test_event_rejects_are_kept_with_their_file(spark, tmp_path):
+    documents = [*EVENTS, "{broken", " \n", '{"order": {"OrderID": "x"}}', "[1, 2]", "null", json.dumps(EVENTS[0])[:-1]]
+    folder = write_documents(tmp_path / "in", documents)
+    good, bad = files.split_rejects(files.read_events_checked(spark, folder))
+    assert [r[0] for r in rows(good.select("order.OrderID"))] == [2000001, 2000002, 2000003, 2000004]
+    assert good.columns == schemas.schema("event").fieldNames()
+    assert len({r["file"] for r in bad.collect()}) == 6
+    assert rows(good) == rows(files.read_events(spark, write_documents(tmp_path / "good", EVENTS)))
+
+
+def test_a_document_is_read_whole(spark, tmp_path):
+    folder = write_documents(tmp_path / "in", EVENTS)
+    assert files.read_documents(spark, folder).count() == len(EVENTS)
+    assert [r[0] for r in rows(files.parse_events(files.read_documents(spark, folder)).select("order.OrderID"))] == [
+        2000001, 2000002, 2000003, 2000004
+    ]
