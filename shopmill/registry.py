@@ -25,7 +25,7 @@ from shopmill.operators import windows as W
 from shopmill.operators.scale import scratch
 from shopmill.operators.setops import unify
 from shopmill.oracle import typed
-from shopmill.plans import curated, reports, star
+from shopmill.plans import curated, deltas, reports, star
 from shopmill.sources import files, landing, sinks
 from shopmill.sources.tpch import Shop, open_shop
 from shopmill.streaming import ingest
@@ -1798,6 +1798,44 @@ def ingest_summary(shop):
     return reduce(DataFrame.unionAll, [r.withColumn("run", F.lit(i)) for i, r in enumerate(runs, 1)])
 
 
+# --- marts by delta -------------------------------------------------------------------------
+
+
+def _taken(shop) -> str:
+    """Marts that took three deliveries: orders of the wrong customer, day and lines; every third order mended and
+    every fifth emptied; the rest, and again what was emptied, as it should be."""
+    root = _scratch(shop)
+    lines, orders = shop.star["fact_order_detail"], shop.star["fact_order"]
+    third, fifth = F.col("order_id") % 3 == 0, F.col("order_id") % 5 == 0
+    wrong = orders.withColumns({"customer_id": F.col("customer_id") + 1, "order_date": F.date_add("order_date", -40)})
+    deltas.apply(shop.spark, root, 1, lines.filter(F.col("quantity") % 2 == 0), wrong, IDS_PER_FOLDER, 16)
+    deltas.apply(shop.spark, root, 2, lines.filter(~fifth), orders.filter(third | fifth), IDS_PER_FOLDER)
+    deltas.apply(shop.spark, root, 3, lines, orders.filter(~third | fifth), IDS_PER_FOLDER)
+    return root
+
+
+@query(
+    "customer_id:i total_orders:i total_quantity:i gross_sales:m total_discount:m total_sales:m average_order_line:d "
+    "first_order_date:s last_order_date:s",
+    "SELECT * FROM m_customer_mart",
+)
+def customer_mart_by_delta(shop):
+    """The customer mart after three deliveries that correct each other."""
+    return deltas.customer_mart(shop.spark, _taken(shop))
+
+
+@query(
+    "product_id:i total_orders:i units_sold:i gross_sales:m total_discount:m total_sales:m average_unit_price:d",
+    """SELECT product_id, count(DISTINCT order_id) AS total_orders, sum(quantity) AS units_sold,
+              sum(gross_amount) AS gross_sales, sum(discount_amount) AS total_discount, sum(net_amount) AS total_sales,
+              CAST(CAST(sum(unit_price) AS DECIMAL(38,2)) AS DOUBLE) / CAST(count(unit_price) AS DOUBLE) AS average_unit_price
+       FROM m_facts WHERE order_id IN (SELECT orderid FROM m_orders) GROUP BY product_id""",
+)
+def product_mart_by_delta(shop):
+    """The product mart after three deliveries that correct each other."""
+    return deltas.product_mart(shop.spark, _taken(shop))
+
+
 # --- history and events to a written star ---------------------------------------------------
 
 _HISTORY = "orderid % 2 = 0"  # orders of the history; the others arrive as events, every third order in both
