@@ -187,6 +187,72 @@ def sql_over_views(shop):
     )
 
 
+@query(
+    "country:s customers:i spending:m",
+    "SELECT country, count(*) AS customers, sum(total_sales) AS spending FROM m_customer_mart "
+    "JOIN m_customers ON customer_id = customerid GROUP BY country",
+)
+def sql_over_tables(shop):
+    """Written star tables in the catalog, with statistics, answer the same SQL by table name."""
+    root = _scratch(shop)
+    names = ("dim_customer", "fact_customer_sales")
+    for name in names:
+        sinks.write_table(shop.star[name], f"{root}/{name}")
+    database = f"shop_{root.rsplit('/', 1)[1].replace('-', '')}"
+    sinks.register_tables(shop.spark, {n: f"{root}/{n}" for n in names}, database)
+    return shop.spark.sql(
+        "SELECT country, count(*) AS customers, sum(total_sales) AS spending "
+        f"FROM {database}.fact_customer_sales JOIN {database}.dim_customer USING (customer_id) GROUP BY country"
+    )
+
+
+@query(
+    "kind:s records:i",
+    """SELECT CASE WHEN paymentid % 7 = 0 THEN 'rejected' ELSE 'read' END AS kind, count(*) AS records
+       FROM m_payments GROUP BY ALL""",
+)
+def csv_rejects(shop):
+    """Payments as CSV, the amount of every seventh no number: how many records are read and how many set aside."""
+    path = _scratch(shop)
+    payments = shop.raw["payments"].select("paymentid", "orderid", F.col("amount").cast("string").alias("amount"))
+    broken = F.when(F.col("paymentid") % 7 == 0, F.concat("amount", F.lit(" (open)"))).otherwise(F.col("amount"))
+    payments.withColumn("amount", broken).write.option("header", True).csv(path)
+    checked = files.read_csv_checked(shop.spark, path, "paymentid long, orderid long, amount decimal(12,2)")
+    good, bad = files.split_rejects(checked)
+    one = good.agg(F.count("*").alias("records")).select(F.lit("read").alias("kind"), "records")
+    two = bad.filter("file IS NOT NULL").agg(F.count("*").alias("records"))
+    return one.unionAll(two.select(F.lit("rejected").alias("kind"), "records")).filter("records > 0")
+
+
+@query(
+    "kind:s records:i",
+    """SELECT CASE WHEN u = '2-HIGH' AND s IN ('F', 'P') OR u = '1-URGENT' AND s = 'F' OR u = '3-MEDIUM' AND s = 'P'
+                   THEN 'rejected' ELSE 'read' END AS kind, count(*) AS records FROM m_events GROUP BY ALL""",
+)
+def event_rejects(shop):
+    """Event texts, some damaged, read as JSON lines: typed events and texts that are no event."""
+    path = _scratch(shop)
+    _damaged_events(shop).select("value").write.text(path)
+    good, bad = files.split_rejects(files.read_events_checked(shop.spark, path, whole_files=False))
+    one = good.agg(F.count("*").alias("records")).select(F.lit("read").alias("kind"), "records")
+    two = bad.filter("file IS NOT NULL").agg(F.count("*").alias("records"))
+    return one.unionAll(two.select(F.lit("rejected").alias("kind"), "records")).filter("records > 0")
+
+
+@query(
+    "column:s nulls:i",
+    """SELECT 'rows' AS "column", count(*) AS nulls FROM m_customers UNION ALL
+       SELECT 'customerid', count(CASE WHEN customerid IS NULL THEN 1 END) FROM m_customers UNION ALL
+       SELECT 'email', count(CASE WHEN email IS NULL THEN 1 END) FROM m_customers UNION ALL
+       SELECT 'country', count(CASE WHEN country IS NULL THEN 1 END) FROM m_customers""",
+)
+def profile_while_writing(shop):
+    """Rows and NULLs of the customers, counted by the job that writes them."""
+    columns = ["customerid", "email", "country"]
+    counted = sinks.write_observed(shop.raw["customers"].select(*columns), _scratch(shop))
+    return shop.spark.createDataFrame(list(counted.items()), "column string, nulls long")
+
+
 @query("file:s", "SELECT 'lineitem.parquet' AS file UNION ALL SELECT 'orders.parquet'")
 def list_inputs(shop):
     both = [files.list_inputs(shop.source[n]) for n in ("orders", "lineitem")]
@@ -1265,6 +1331,23 @@ def unify_orders(shop):
     return unify(old, new, ["orderid"], ["orderid", "customerid", "orderdate", "status"])
 
 
+@query(
+    ORDERS,
+    f"""SELECT orderid, customerid, orderdate,
+               CASE WHEN orderdate >= {_NEW} THEN 'SHIPPED' ELSE status END AS status
+        FROM m_orders""",
+)
+def unify_orders_bucketed(shop):
+    """The same with the history as a bucketed table, which the union does not shuffle."""
+    columns = ["orderid", "customerid", "orderdate", "status"]
+    old, new = _split(shop.raw["orders"], "orderdate")
+    path = _scratch(shop)
+    name = f"orders_{path.rsplit('/', 1)[1].replace('-', '')}"
+    stored = sinks.write_bucketed(old.select(*columns), name, "orderid", 8, path)
+    new = new.withColumn("status", F.lit("SHIPPED"))
+    return unify(stored, new, ["orderid"], columns, historical_is_unique=True)
+
+
 @query(
     "l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i quantity:i",
     f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, quantity FROM
@@ -1798,6 +1881,17 @@ def ingest_summary(shop):
     return reduce(DataFrame.unionAll, [r.withColumn("run", F.lit(i)) for i, r in enumerate(runs, 1)])
 
 
+@query("orderid:i customerid:i status:s", _LATEST)
+def ingest_stream_keyed(shop):
+    """Later versions first, then all first ones and again the later: versions are told apart by the stream's state."""
+    landed, target, checkpoint = _scratch(shop), _scratch(shop), _scratch(shop)
+    texts, later = _deliveries(shop)
+    for delivery in (later, texts.unionAll(later)):
+        delivery.write.mode("append").text(landed)
+        ingest.ingest_stream_keyed(shop.spark, landed, target, checkpoint, whole_files=False).awaitTermination()
+    return E.event_orders(ingest.stored_events(shop.spark, target))
+
+
 # --- marts by delta -------------------------------------------------------------------------
 
 

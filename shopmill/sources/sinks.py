@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shopmill import schemas
@@ -35,6 +35,53 @@ def register_views(spark: SparkSession, tables: Mapping[str, DataFrame | str]) -
         df.createOrReplaceTempView(name)
 
 
+def register_tables(
+    spark: SparkSession,
+    tables: Mapping[str, str],
+    database: str = "shop",
+    partition_by: Mapping[str, Sequence[str]] | None = None,
+    analyze: bool = True,
+) -> None:
+    """Written Parquet tables as tables of Spark's catalog, by name and path, with statistics.
+
+    Tables point to their folders and are made anew, so they follow a changed schema; dropping one leaves its files. For
+    tables in ``partition_by`` the catalog is told the partitions that the folder has. ``analyze`` counts rows, sizes and the
+    columns' values, from which the optimizer picks join orders and broadcasts (``spark.sql.cbo.enabled``).
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, path in tables.items():
+        full = f"`{database}`.`{name}`"
+        folders = list((partition_by or {}).get(name, ()))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        by = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in folders)})" if folders else ""
+        place = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet {by} LOCATION '{place}'")
+        if folders:
+            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+        if analyze:
+            spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """A table of the catalog whose files hold the rows of a key's hash, sorted by key: joins and groupings by
+    the key need no shuffle of it. Returns the table."""
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    writer.mode("overwrite").option("path", path).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def write_observed(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+) -> dict[str, int]:
+    """``write_table``, with the number of rows (``rows``) and of NULLs by column counted by the same job."""
+    seen = Observation()
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"c{i}") for i, c in enumerate(df.columns)]
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls), path, partition_by, mode)
+    found = seen.get
+    return {"rows": found["rows"]} | {c: found[f"c{i}"] for i, c in enumerate(df.columns)}
+
+
 def write_events(events: DataFrame, path: str, ids_per_folder: int = IDS_PER_FOLDER) -> None:
     """Events as JSON lines in folders of consecutive order ids, so that a pull can prune."""
     fields = schemas.schema("event").fieldNames()

@@ -212,3 +212,33 @@ def test_a_pull_judges_each_text_once(spark, paths, monkeypatch):
     raw = _texts(spark, [*EVENTS, "{broken"]).mapInPandas(seen, "value string")
     I.ingest_batch(raw, paths["target"], paths["mark"], limit=2)
     assert reads.value == len(EVENTS) + 1
+
+
+def test_keyed_stream_equals_the_batch_with_files_out_of_order_and_repeated(spark, paths, tmp_path):
+    a, b, c = _at(5, 1, "Pending"), _at(5, 9, "Shipped"), _at(5, 4, "Confirmed")
+    deliveries = [[b, _at(9, 1), "{broken", a], [c, b, _at(7, 1), "{broken"], [_at(5, 20, "Delivered"), _at(9, 1)]]
+    source = tmp_path / "landing"
+    for delivery in deliveries:
+        write_documents(source, delivery)
+        I.ingest_stream_keyed(spark, str(source), paths["target"], paths["checkpoint"]).awaitTermination()
+    other = str(tmp_path / "batch")
+    I.save_mark(spark, paths["mark"], 0)
+    I.ingest_batch(_texts(spark, [d for ds in deliveries for d in ds]), other, paths["mark"])
+    assert _status(spark, paths["target"]) == _status(spark, other) == {5: "DELIVERED", 7: "PENDING", 9: "PENDING"}
+    assert rows(I.stored_events(spark, paths["target"])) == rows(I.stored_events(spark, other))
+    assert spark.read.parquet(paths["target"] + "_quarantine").count() == 1
+    log = [tuple(r)[1:] for r in spark.read.parquet(paths["target"] + "_log").orderBy("batch").collect()]
+    # new, replaced, stale, repeated, broken, late, mark
+    assert log == [(2, 1, 0, 0, 1, 0, 9), (1, 0, 1, 2, 0, 1, 9), (0, 1, 0, 1, 0, 0, 9)]
+
+
+def test_keyed_stream_reads_no_store(spark, paths, tmp_path, monkeypatch):
+    source = tmp_path / "landing"
+    write_documents(source, [_at(5, 1)])
+    I.ingest_stream_keyed(spark, str(source), paths["target"], paths["checkpoint"]).awaitTermination()
+    asked = []
+    monkeypatch.setattr(I, "read_or_empty", lambda s, path, schema, f=I.read_or_empty: asked.append(path) or f(s, path, schema))
+    write_documents(source, [_at(5, 2, "Shipped")])
+    I.ingest_stream_keyed(spark, str(source), paths["target"], paths["checkpoint"]).awaitTermination()
+    assert paths["target"] not in asked
+    assert _status(spark, paths["target"]) == {5: "SHIPPED"}

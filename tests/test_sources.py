@@ -6,6 +6,7 @@ import pytest
 
 from fixtures import EVENTS, rows, write_documents
 from shopmill import schemas
+from shopmill.operators.setops import unify
 from shopmill.sources import files, sinks
 
 
@@ -98,3 +99,82 @@ def test_a_document_is_read_whole(spark, tmp_path):
     assert [r[0] for r in rows(files.parse_events(files.read_documents(spark, folder)).select("order.OrderID"))] == [
         2000001, 2000002, 2000003, 2000004
     ]
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = f"shop_{tmp_path.name}"
+    yield name
+    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
+def test_catalog_tables_with_partitions_and_statistics(spark, tmp_path, database):
+    orders = spark.range(2000).selectExpr("id", "id % 50 AS customer", "2020 + id % 3 AS year", "1 + id % 2 AS month")
+    sinks.write_table(orders.selectExpr("id", "customer", "int(year)", "int(month)"), str(tmp_path / "o"), ["year", "month"])
+    sinks.write_table(spark.range(50).selectExpr("id AS customer", "concat('n', id) AS name"), str(tmp_path / "c"))
+    tables = {"orders": str(tmp_path / "o"), "customers": str(tmp_path / "c")}
+    for _ in range(2):  # made anew, files stay
+        sinks.register_tables(spark, tables, database, {"orders": ["year", "month"]})
+    assert spark.sql(f"SHOW PARTITIONS `{database}`.orders").count() == 6
+    found = spark.sql(f"SELECT year, count(*) AS n FROM `{database}`.orders JOIN `{database}`.customers USING (customer) GROUP BY year")
+    assert rows(found) == [(2020, 667), (2021, 667), (2022, 666)]
+    stats = spark.sql(f"DESCRIBE EXTENDED `{database}`.orders").filter("col_name = 'Statistics'").first()["data_type"]
+    assert "2000 rows" in stats
+    pruned = spark.table(f"{database}.orders").filter("year = 2021")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in pruned
+
+
+def test_statistics_turn_a_join_to_a_broadcast(spark, tmp_path, database):
+    """A rare value of the dimension: from counted values the optimizer knows that few rows are left."""
+    sinks.write_table(spark.range(40_000).selectExpr("id", "id % 5000 AS k"), str(tmp_path / "f"))
+    sinks.write_table(spark.range(5000).selectExpr("id AS k", "id AS kind", "uuid() AS note"), str(tmp_path / "d"))
+    tables = {"facts": str(tmp_path / "f"), "dims": str(tmp_path / "d")}
+    query = f"SELECT count(*) FROM `{database}`.facts JOIN `{database}`.dims USING (k) WHERE kind = 17"
+    conf = {"spark.sql.cbo.enabled": "true", "spark.sql.autoBroadcastJoinThreshold": "20k", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plans = []
+        for analyze in (False, True):
+            sinks.register_tables(spark, tables, database, analyze=analyze)
+            plans.append(spark.sql(query)._jdf.queryExecution().executedPlan().toString())
+            assert spark.sql(query).first()[0] == 8
+        assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" in plans[1]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_write_counts_rows_and_nulls_by_the_way(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a long, `b c` string")
+    counted = sinks.write_observed(df.mapInPandas(seen, df.schema), str(tmp_path / "t"))
+    assert counted == {"rows": 3, "a": 1, "b c": 2} and reads.value == 3
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 3
+    assert sinks.write_observed(df.filter("false"), str(tmp_path / "e")) == {"rows": 0, "a": 0, "b c": 0}
+
+
+def test_a_bucketed_history_is_not_shuffled(spark, tmp_path, database):
+    spark.sql(f"CREATE DATABASE `{database}`")
+    history = spark.range(1000).selectExpr("id AS orderid", "'old' AS status")
+    stored = sinks.write_bucketed(history, f"{database}.orders", "orderid", 8, str(tmp_path / "h"))
+    incoming = spark.createDataFrame([(5, "new"), (2000, "new"), (5, "new")], "orderid long, status string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = unify(stored, incoming, ["orderid"], ["orderid", "status"], historical_is_unique=True)
+        plan = merged._jdf.queryExecution().sparkPlan().toString()
+        executed = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in executed
+        scan = executed.index("Bucketed: true")
+        above = executed[:scan].rsplit("SortMergeJoin", 1)[1]
+        assert "Exchange" not in above, plan
+        assert merged.count() == 1001 and merged.filter("status = 'new'").count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
