@@ -39,7 +39,7 @@ from shopmill.operators.scale import durable
 WINDOW = 50
 M = 5  # words of a piece
 LONGEST = 64  # windows in one packed string; longer stretches of one minimiser are cut
-HOT = 512
+HOT = 4096
 SALTS = 16
 
 RESULT = T.StructType().add("n_words", "long").add("n_removed", "long").add("kept", "string")
