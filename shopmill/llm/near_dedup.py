@@ -329,9 +329,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     blank = F.col("_comp").isNull()
     place = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("_k"), F.col("text_hash").alias("_h"))
     first = found.groupBy("_comp", F.when(blank, place).alias("_own")).agg(F.min(place).alias("_first"))
-    first = first.select("_first._k", "_first._h", blank.alias("_blank"))
-    hashed = docs.withColumn("_t", F.xxhash64(text_of(text)))
-    on = F.col("_t").eqNullSafe(F.col("_h")) & F.col(key).eqNullSafe(F.col("_k"))
-    kept = hashed.join(first, on)
-    blank = kept.filter("_blank").select(*docs.columns)
-    return kept.filter("not _blank").dropDuplicates([key, "_t"]).select(*docs.columns).unionAll(blank)
+    own = F.struct(F.col("_first._k").alias("k"), F.col("_first._h").alias("h"))
+    first = first.select(own.alias("_id"), blank.alias("_blank"))
+    # The whole row in one column, so that no name of the caller's meets one of these; one join key, so that copies of a
+    # row that stays are folded where the join has brought them.
+    mark = F.struct(F.col(key).alias("k"), F.xxhash64(text_of(text)).alias("h"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), mark.alias("_id"))
+    kept = rows.join(first, "_id")
+    blank = kept.filter("_blank").select("_row.*")
+    return kept.filter("not _blank").dropDuplicates(["_id"]).select("_row.*").unionAll(blank)

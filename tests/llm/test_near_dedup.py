@@ -76,3 +76,10 @@ def test_signatures_are_circulant_and_estimate_similarity():
     assert abs((both[0] == both[1]).mean() - 800 / 1200) < 0.08
     x = np.arange(2**16, dtype=np.uint32)
     assert len(np.unique(N._mix(x.copy()))) == len(x)  # one to one
+
+
+def test_keep_one_leaves_columns_of_any_name_alone(spark):
+    text = prose(1, 60)
+    rows = [(1, text, 10, "a", True, "x"), (2, text, 20, "b", False, "y"), (None, text, 30, "c", True, "z"), (3, None, 40, "d", True, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _t long, _k string, _blank boolean, _id string")
+    assert sorted(map(tuple, N.keep_one(docs).collect())) == [rows[0], rows[3]]
