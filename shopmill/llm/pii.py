@@ -27,7 +27,8 @@ from shopmill.llm.common import let, text_of
 from shopmill.operators.scale import durable
 
 KINDS = ("email", "ip", "card", "phone")
-STEPS = 8
+TOLERANCE = 1e-4  # estimation ends when no probability moves by more
+MOST_STEPS = 300  # ends it in any case
 ACCEPT = 0.9
 PRIOR_VOTES = 20.0  # pseudo-votes that anchor each labeler at ``PRIOR_TRUST``
 PRIOR_TRUST = 0.85
@@ -41,7 +42,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 AT = r"(?:\[at\]|\(at\)|\{at\}|@)"
 DOT = r"(?:\[dot\]|\(dot\)|\{dot\}|\[\.\]|\.)"
-LOOSE_EMAIL = rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}\x20?{AT}\x20?[A-Za-z0-9-]{{1,63}}(?:\x20?{DOT}\x20?[A-Za-z0-9-]{{2,63}}){{1,8}}"
+LOOSE_EMAIL = rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?{AT}\x20?[A-Za-z0-9-]++(?:\x20?{DOT}\x20?[A-Za-z0-9-]{{2,}}+)++"
 LOOSE_IP = r"(?<![0-9.])[0-9]{1,3}(?:\[\.\]|\(\.\)|\[dot\])[0-9]{1,3}(?:\[?\.\]?|\(\.\)|\[dot\])[0-9]{1,3}(?:\[?\.\]?|\(\.\)|\[dot\])[0-9]{1,3}(?![0-9.])"
 LOOSE_PHONE = r"(?<![0-9+.,-])(?:\([0-9]{2,5}\)\x20?|[0-9]{2,5}[\x20./-])(?:[0-9]{2,5}[\x20./-]){0,3}[0-9]{3,5}(?![0-9.,-]?[0-9])"
 
@@ -271,13 +272,19 @@ class Model(NamedTuple):
     reliability: dict[str, dict[int, tuple[float, float]]]  # vote -> share if personal, share if not
 
 
-def estimate(patterns: DataFrame, steps: int = STEPS) -> tuple[float, list[dict[int, tuple[float, float]]]]:
-    """Expectation-maximisation over ``votes, n`` (one row a vote pattern): prior and vote shares by class."""
+def estimate(
+    patterns: DataFrame, tolerance: float = TOLERANCE, most: int = MOST_STEPS
+) -> tuple[float, list[dict[int, tuple[float, float]]]]:
+    """Expectation-maximisation over ``votes, n`` (one row a vote pattern): prior and vote shares by class.
+
+    It ends when neither the prior nor a share moves by more than ``tolerance`` in a step.
+    """
     votes = (-1, 0, 1)
     start = {1: (PRIOR_TRUST, 1 - PRIOR_TRUST), -1: (1 - PRIOR_TRUST, PRIOR_TRUST), 0: (0.5, 0.5)}
     shares = [{v: (start[v][0], start[v][1]) for v in votes} for _ in LABELERS]
     prior = 0.5
-    for _ in range(steps):
+    for _ in range(most):
+        was = [prior, *(p for s in shares for pair in s.values() for p in pair)]
         post = F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(prior, shares)))
         yes, no = F.col("n") * post, F.col("n") * (1 - post)
         sums = [F.sum(yes).alias("y"), F.sum(no).alias("n")]
@@ -299,6 +306,9 @@ def estimate(patterns: DataFrame, steps: int = STEPS) -> tuple[float, list[dict[
                 )
                 for v in votes
             }
+        now = [prior, *(p for s in shares for pair in s.values() for p in pair)]
+        if max(abs(a - b) for a, b in zip(was, now)) <= tolerance:
+            break
     return prior, shares
 
 
@@ -321,7 +331,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     counted = durable(
         docs.select(F.explode(found).alias("d")).select("d.*").groupBy("votes", "active").agg(F.count("*").alias("n"))
     )
-    prior, shares = estimate(counted.groupBy("votes").agg(F.sum("n").alias("n")))
+    prior, shares = estimate(durable(counted.groupBy("votes").agg(F.sum("n").alias("n")).coalesce(1)))  # at most 3 ** labelers rows
     soft = counted.withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(prior, shares))))
     soft = soft.select("n", "p", F.explode("active").alias("id"))
     rows = soft.groupBy("id").agg(F.sum(F.col("n") * F.col("p")).alias("y"), F.sum(F.col("n") * (1 - F.col("p"))).alias("m"))

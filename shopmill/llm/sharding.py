@@ -103,7 +103,7 @@ def shuffle_into_shards(
     turn = F.row_number().over(local)
     dealt = (
         placed.withColumn("_s_turn", turn)
-        .join(F.broadcast(plan), "_s_part")  # partitions x shards numbers
+        .join(plan, "_s_part")  # lies by partition already
         .withColumn("shard", F.size(F.filter("_s_ends", lambda e: e < F.col("_s_turn"))))
     )
 
@@ -124,7 +124,7 @@ def shuffle_into_shards(
     )
     return (
         dealt.withColumn("_s_rank", F.row_number().over(order))
-        .join(F.broadcast(starts), ["shard", "_s_bucket"])  # one row a bucket of bucket_rows rows
+        .join(starts, ["shard", "_s_bucket"])  # one row a bucket of bucket_rows rows
         .withColumn("slot", F.col("_s_start") + F.col("_s_rank") - 1)
         .select(*rows.columns, "shard", "slot")
     )

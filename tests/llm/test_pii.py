@@ -53,6 +53,23 @@ def test_reliabilities_learn_from_agreement(spark):
     assert shares[7][-1][0] > shares[7][-1][1]  # edges votes no on them
 
 
+def test_estimation_runs_until_nothing_moves(spark):
+    rows = [([1, 1, 1, 0, 0, 0, 1, -1], 90), ([-1, 0, 0, 1, -1, 0, 0, 0], 70), ([1, -1, 0, 0, 0, -1, 0, 0], 50)]
+    df = spark.createDataFrame(rows, "votes array<int>, n long")
+    ended, _ = P.estimate(df)
+    assert abs(ended - P.estimate(df, tolerance=1e-7)[0]) < 0.01
+    assert abs(ended - P.estimate(df, most=1)[0]) > 10 * P.TOLERANCE
+
+
+def test_written_out_addresses_of_any_length(spark):
+    """A loose form has no longest part, and a text of nothing but its beginnings stays linear."""
+    long = "a" * 5000 + " [at] " + "b" * 3000 + " [dot] " + " [dot] ".join(["cd"] * 3000)
+    texts = [f"({long})", "x" * 70 + " [at] mail [dot] com", "a [at] " * 20000, "a [dot] b" * 20000, "a" * 200000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(P.matches(F.col("text"), P.LOOSE_EMAIL)).collect()]
+    assert [[(m["start"], m["end"]) for m in g] for g in got] == [[(1, len(long) + 1)], [(0, 90)], [], [], []]
+
+
 def test_running_sums(spark):
     df = spark.createDataFrame([([1] * 1000,), ([],), ([3, 4],)], "a array<int>")
     got = [r[0] for r in df.select(P.running(F.col("a"))).collect()]

@@ -56,6 +56,11 @@ def test_large_populations_keep_margins(monkeypatch):
     assert m.sum(axis=0).tolist() == [777, 776, 776, 776] and m.sum(axis=1).tolist() == [5, 0, 100, 3000]
 
 
+def test_broadcasts_are_left_to_statistics(spark):
+    plan = S.shuffle_into_shards(spark.range(100).repartition(5), 4)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
+
+
 def test_documents(spark, odd, empty):
     clash = odd.withColumns({c: F.lit("x") for c in ("shard", "slot", "size", "law")})
     rows = S.shard_documents(clash, 4).collect()
