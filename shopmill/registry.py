@@ -20,6 +20,7 @@ from shopmill.functions import events as E
 from shopmill.functions import measures as M
 from shopmill.operators import aggregates as A
 from shopmill.operators import joins as J
+from shopmill.operators import keysets as K
 from shopmill.operators import quality as Q
 from shopmill.operators import windows as W
 from shopmill.operators.scale import scratch
@@ -484,6 +485,33 @@ def integrity_report(shop):
     return Q.integrity_report(shop.raw)
 
 
+@query(
+    "fk:s rows:i unmatched:i lost_amount:m",
+    f"""SELECT 'order_details.orderid' AS fk, count(*) AS "rows", count(*) - count(o.orderid) AS unmatched,
+              sum(CASE WHEN o.orderid IS NULL THEN total_amount END) AS lost_amount
+       FROM m_lines l LEFT JOIN m_orders o ON {_gone("l.orderid")} = o.orderid
+       UNION ALL
+       SELECT 'order_details.productid', count(*), count(*) - count(p.productid),
+              sum(CASE WHEN p.productid IS NULL THEN total_amount END)
+       FROM m_lines l LEFT JOIN m_products p ON {_gone("l.productid")} = p.productid""",
+)
+def references_one_pass(shop):
+    """Both references of the lines against sets of keys, the lines read once."""
+    lines = _astray(shop.raw["order_details"], "orderid", "productid")
+    sets = {k: K.key_set(shop.raw[t], k) for k, t in (("orderid", "orders"), ("productid", "products"))}
+    return K.references(lines, sets, "order_details", "total_amount")
+
+
+@query(
+    "shipmentid:s orderid:i shipdate:s",
+    f"""SELECT shipmentid, {_gone("orderid")} AS orderid, shipdate FROM m_shipments
+        WHERE {_gone("orderid")} NOT IN (SELECT orderid FROM m_orders)""",
+)
+def shipments_outside_key_set(shop):
+    shipments = _astray(shop.raw["shipments"], "orderid")
+    return K.without_reference(shipments, "orderid", K.key_set(shop.raw["orders"], "orderid"))
+
+
 @query(
     "shipmentid:s orderid:i shipdate:s",
     f"""SELECT shipmentid, {_gone("orderid")} AS orderid, shipdate FROM m_shipments

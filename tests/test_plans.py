@@ -21,6 +21,7 @@ ONE_TASK_IS_SHORT = {
 # Left joins look for hot keys in one sketch of fixed size per task; rejects are counted in one row per task.
 ONE_TASK_IS_SHORT |= {
     "orders_payments_left", "orders_shipments_left", "products_suppliers_left", "csv_rejects", "event_rejects",
+    "references_one_pass",
 }
 WRITES = {
     "csv_roundtrip", "csv_multiline", "partition_roundtrip", "append_events", "write_events",
@@ -56,6 +57,12 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_extendedprice:double>" in plan
 
 
+def test_references_read_the_child_once_and_shuffle_none_of_it(spark):
+    plan = _plan(spark, "references_one_pass")
+    assert plan.count("Scan parquet") == 3 and plan.count("BroadcastHashJoin") == 2  # the child and two sets
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
 def test_filters_reach_the_scan(spark):
     assert "EqualTo(o_orderkey,77)" in _plan(spark, "get_event")
     assert "GreaterThanOrEqual(o_orderkey,100)" in _plan(spark, "read_next_id")
