@@ -283,17 +283,16 @@ def estimate(
     start = {1: (PRIOR_TRUST, 1 - PRIOR_TRUST), -1: (1 - PRIOR_TRUST, PRIOR_TRUST), 0: (0.5, 0.5)}
     shares = [{v: (start[v][0], start[v][1]) for v in votes} for _ in LABELERS]
     prior = 0.5
+    here = {(i, v): F.get("votes", F.lit(i)) == v for i in range(len(LABELERS)) for v in votes}
     for _ in range(most):
         was = [prior, *(p for s in shares for pair in s.values() for p in pair)]
-        post = F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(prior, shares)))
-        yes, no = F.col("n") * post, F.col("n") * (1 - post)
+        scored = patterns.select("votes", "n", _probability(prior, shares).alias("p"))
+        yes, no = F.col("n") * F.col("p"), F.col("n") * (1 - F.col("p"))
         sums = [F.sum(yes).alias("y"), F.sum(no).alias("n")]
-        for i in range(len(LABELERS)):
-            for v in votes:
-                here = F.get("votes", F.lit(i)) == v
-                sums.append(F.sum(F.when(here, yes).otherwise(0.0)).alias(f"y{i}_{v + 1}"))
-                sums.append(F.sum(F.when(here, no).otherwise(0.0)).alias(f"n{i}_{v + 1}"))
-        row = patterns.agg(*sums).first()  # a fixed number of sums
+        for (i, v), voted in here.items():
+            sums.append(F.sum(F.when(voted, yes).otherwise(0.0)).alias(f"y{i}_{v + 1}"))
+            sums.append(F.sum(F.when(voted, no).otherwise(0.0)).alias(f"n{i}_{v + 1}"))
+        row = scored.agg(*sums).first()  # a fixed number of sums
         if row["y"] is None:
             break
         prior = min(max((row["y"] + 1) / (row["y"] + row["n"] + 2), 1e-3), 1 - 1e-3)
@@ -312,15 +311,19 @@ def estimate(
     return prior, shares
 
 
-def _log_odds(prior: float, shares: list[dict[int, tuple[float, float]]]) -> Column:
-    """Log-odds that a row with ``votes`` is personal; an abstention says nothing."""
-    total = F.lit(math.log(prior / (1 - prior)))
-    for i, s in enumerate(shares):
-        vote = F.get("votes", F.lit(i))
-        total = total + F.when(vote == 1, math.log(s[1][0] / s[1][1])).when(
-            vote == -1, math.log(s[-1][0] / s[-1][1])
-        ).otherwise(0.0)
-    return total
+def _probability(prior: float, shares: list[dict[int, tuple[float, float]]]) -> Column:
+    """Probability that a row with ``votes`` is personal; an abstention says nothing.
+
+    The numbers stand in one array, which generated code refers to, so every step runs the code compiled for the first.
+    """
+    weights = [math.log(prior / (1 - prior))]
+    for s in shares:
+        weights += [math.log(s[-1][0] / s[-1][1]), 0.0, math.log(s[1][0] / s[1][1])]
+    table = F.lit(weights)
+    total = F.get(table, F.lit(0))
+    for i in range(len(shares)):
+        total = total + F.get(table, F.get("votes", F.lit(i)) + (3 * i + 2))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
@@ -332,7 +335,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
         docs.select(F.explode(found).alias("d")).select("d.*").groupBy("votes", "active").agg(F.count("*").alias("n"))
     )
     prior, shares = estimate(durable(counted.groupBy("votes").agg(F.sum("n").alias("n")).coalesce(1)))  # at most 3 ** labelers rows
-    soft = counted.withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(prior, shares))))
+    soft = counted.withColumn("p", _probability(prior, shares))
     soft = soft.select("n", "p", F.explode("active").alias("id"))
     rows = soft.groupBy("id").agg(F.sum(F.col("n") * F.col("p")).alias("y"), F.sum(F.col("n") * (1 - F.col("p"))).alias("m"))
     by_id = {r["id"]: (r["y"], r["m"]) for r in rows.collect()}  # at most FEATURE_IDS rows
