@@ -46,3 +46,11 @@ def words_of(text: Column) -> Column:
             F.split(t, f"{SPACE}+")
         ),
     )
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

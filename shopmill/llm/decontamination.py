@@ -7,8 +7,9 @@ piece must then occur unchanged, so every exact piece hit (one automaton pass ov
 candidate, and no match within the budget is missed. Around each hit Myers' bit-parallel algorithm gives the
 edit distance of the item to the best stretch of the document; words are its symbols.
 
-The items are the stated query set. They come to the tasks in blocks of at most ``block_chars`` characters, one pass over
-the documents each, so neither a broadcast nor the driver grows with the item table.
+The items are the stated query set. They come to the tasks in blocks of at most ``block_chars`` characters, so neither a
+broadcast nor the driver grows with the item table. One block is searched where the documents are read. Several are one
+pass over the texts each, so a task builds one automaton; what they find joins the documents by digest of the words.
 
 Defined cases: a NULL text is empty and matches nothing; every item with a word is searched, short ones
 without edits as their budget is 0 (a caller that takes short matches for no evidence sets ``min_words``); items with equal words are each
@@ -19,7 +20,7 @@ first place; repeated rows are judged alike; empty tables give no match. Other c
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import ahocorasick
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopmill.llm.common import text_of
+from shopmill.llm.common import text_of, unused
 
 ERROR_RATE = 0.15
 MIN_WORDS = 1
@@ -190,7 +191,7 @@ def contamination(
     )
     context = docs.sparkSession.sparkContext
 
-    def found(block: list) -> Column:
+    def searcher(block: list) -> Callable[[str], Column]:
         ids = [r["item"] for r in block]
         name = uuid.uuid4().hex
         shared = context.broadcast(([(i, r["words"]) for i, r in enumerate(block)], ids))
@@ -201,10 +202,26 @@ def contamination(
             match = _matcher(name, numbered, error_rate)
             return pd.Series([[(ids[n], *rest) for n, *rest in match(t)] for t in texts])
 
-        return search("_plain")
-
-    found_in = [found(block) for block in _blocks(queries, block_chars)]
-    if not found_in:
-        return docs.withColumn(out, F.array().cast(T.ArrayType(row)))
-    marked = docs.withColumn("_plain", normal(text_of(text)))
-    return marked.withColumn(out, reduce(lambda a, b: F.concat(a, b), found_in)).drop("_plain")
+        return search.asNondeterministic()  # or filters on the result would search once more
+
+    searches = [searcher(block) for block in _blocks(queries, block_chars)]
+    none = F.array().cast(T.ArrayType(row))
+    if not searches:
+        return docs.withColumn(out, none)
+    plain = unused(docs, "_plain")
+    if len(searches) == 1:
+        return docs.withColumn(plain, normal(text_of(text))).withColumn(out, searches[0](plain)).drop(plain)
+    mark, found = unused(docs, "_mark"), unused(docs, "_found")
+    digest = lambda words: F.sha2(words, 256)
+    texts = docs.select(normal(text_of(text)).alias("words"))
+    parts = [
+        texts.select(digest("words").alias(mark), F.lit(number).alias("block"), search("words").alias("found"))
+        for number, search in enumerate(searches)
+    ]
+    hits = reduce(DataFrame.unionAll, parts).filter(F.size("found") > 0)
+    # Equal texts have equal finds; a text has at most one row a block then.
+    hits = hits.groupBy(mark, "block").agg(F.first("found").alias("found"))
+    hits = hits.groupBy(mark).agg(F.array_sort(F.collect_list(F.struct("block", "found"))).alias(found))
+    hits = hits.select(mark, F.flatten(F.transform(found, lambda b: b["found"])).alias(found))
+    marked = docs.withColumn(mark, digest(normal(text_of(text)))).join(hits, mark, "left")
+    return marked.withColumn(out, F.coalesce(found, none)).drop(mark, found)

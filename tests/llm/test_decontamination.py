@@ -87,6 +87,28 @@ def test_odd_rows_and_empty_tables(spark, odd, empty):
     assert sorted(r[0] for r in hit) == [1, 6, 6] and marked.count() == odd.count()
 
 
+def test_own_columns_do_not_meet_the_callers(spark):
+    items = [(i, prose(500 + i, 20)) for i in range(6)]
+    docs = [(i, f"x {prose(500 + i, 20)} y", 7, 8, 9) for i in range(4)] + [(4, None, 7, 8, 9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, _plain int, _mark int, _found int")
+    queries = spark.createDataFrame(items, "item_id long, text string")
+    for size in (D.BLOCK_CHARS, 100):
+        marked = D.contamination(df, queries, block_chars=size)
+        assert marked.columns == [*df.columns, "matches"]
+        rows = {r["doc_id"]: r for r in marked.collect()}
+        assert all((r["_plain"], r["_mark"], r["_found"]) == (7, 8, 9) for r in rows.values())
+        assert [[m["item"] for m in rows[i]["matches"]] for i in range(5)] == [[0], [1], [2], [3], []]
+
+
+def test_a_text_is_searched_once_for_each_block(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    for n, size in ((1, D.BLOCK_CHARS), (5, 30)):
+        items = spark.createDataFrame([(i, prose(i, 10)) for i in range(5)], "item_id long, text string")
+        found = D.contamination(docs, items, block_chars=size).select("doc_id", F.explode("matches"))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == n
+
+
 def test_pieces_cover_an_item():
     words = [f"w{i}" for i in range(23)]
     cut = D.pieces(words, 3)
