@@ -1,4 +1,9 @@
-"""Training-text pipeline over ``documents``: one stage per operator, each written and read again."""
+"""Training-text pipeline over ``documents``: one stage per operator, each written and read again.
+
+Each stage takes rows with ``doc_id`` and ``text``; other columns are kept under their names, whatever these are. A NULL
+text is an empty one and an id may be NULL or repeated: rows are judged by their text. Texts are read whole. An empty table
+gives an empty result. What blank texts, ties and repeated rows give stands with each stage.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopmill.llm import bpe, decontamination, near_dedup, quality_rules, secret_scan
-from shopmill.llm.common import show_package, table
+from shopmill.llm.common import show_package, table, unused
 from shopmill.operators.scale import checkpoint_root
 
 
@@ -16,34 +21,50 @@ EVIDENCE = 5  # words of a benchmark item from which its occurrence is taken for
 
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep: no blank text (too few words); equal texts are judged alike."""
     trusted = table(spark, folder, "labels").filter("quality = 1")
     model = quality_rules.fit(docs, trusted)
-    judged = quality_rules.judge(docs, model, out="_quality")
-    return judged.filter(F.col("_quality")["kept"]).drop("_quality")
+    out = unused(docs, "_quality")
+    judged = quality_rules.judge(docs, model, out=out)
+    return judged.filter(F.col(out)["kept"]).drop(out)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8)."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8).
+
+    That of the least id stays, ids that are NULL come last, ties go by the hash of the text; repeated rows leave one;
+    blank texts are in no group and stay.
+    """
     return near_dedup.keep_one(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that hold no benchmark item of at least ``EVIDENCE`` words within its error budget."""
+    """Documents that hold no benchmark item of at least ``EVIDENCE`` words within its error budget.
+
+    Blank texts hold none and stay, as does everything when there are no items; equal texts are judged alike.
+    """
     items = table(spark, folder, "benchmark")
-    marked = decontamination.contamination(docs, items, min_words=EVIDENCE, out="_matches")
-    return marked.filter(F.size("_matches") == 0).drop("_matches")
+    out = unused(docs, "_matches")
+    marked = decontamination.contamination(docs, items, min_words=EVIDENCE, out=out)
+    return marked.filter(F.size(out) == 0).drop(out)
 
 
 def secret_free(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents, every found secret replaced by a sign; ``n_chars`` follows the text."""
-    marked = secret_scan.scan(docs, out="_secrets").withColumn("text", secret_scan.mask("text", "_secrets"))
-    size = F.when(F.size("_secrets") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    """All documents, every found secret replaced by a sign; ``n_chars`` follows the text.
+
+    Rows without a secret, blank ones among them, come back as they were; a NULL text stays NULL.
+    """
+    out = unused(docs, "_secrets")
+    marked = secret_scan.scan(docs, out=out).withColumn("text", secret_scan.mask("text", out))
+    size = F.when(F.size(out) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return marked.withColumn("n_chars", size).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of each remaining document, its length in tokens and the digest of its decoded text."""
+    """Token ids of each remaining document, its length in tokens and the digest of its decoded text.
+
+    A blank text gets the ids of its blanks, an empty or NULL one none; every row gets its own, repeated rows equal ones.
+    """
     path = bpe.vocabulary("word_bpe_49k.json")
     return bpe.encode(docs, path, outputs=("ids_sha256", "decoded_sha256", "ids"))
 
