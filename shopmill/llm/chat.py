@@ -95,6 +95,55 @@ def viterbi(model: Model, scores: np.ndarray, before: int = -1, last: int = -1)
     return path
 
 
+#: Every combination of features; a line's is a number, its place here.
+SEEN = np.stack(np.unravel_index(np.arange(np.prod([n for _, n in FEATURES])), [n for _, n in FEATURES]), axis=1)
+CELLS = 1 << 18  # lines, padding included, that are decoded at once
+
+
+def numbered(seen: Column) -> Column:
+    """The place in ``SEEN`` of an array of categories."""
+    place = F.lit(0)
+    for i, (_, size) in enumerate(FEATURES):
+        place = place * size + F.get(seen, F.lit(i))
+    return place.cast("int")
+
+
+def paths(model: Model, blocks: list[np.ndarray], before: np.ndarray, last: np.ndarray) -> list[np.ndarray]:
+    """``viterbi`` of many blocks, each an array of places in ``SEEN``, line by line over all of them at once.
+
+    Blocks of like length go together, so little is padded; a block beyond ``CELLS`` lines goes alone.
+    """
+    known = model.scores(SEEN)
+    lengths = np.array([len(b) for b in blocks], dtype=np.int64)
+    order, found, at = np.argsort(-lengths, kind="stable"), [None] * len(blocks), 0
+    while at < len(order):
+        longest = lengths[order[at]]
+        these = order[at : at + max(1, CELLS // longest)]
+        at += len(these)
+        # Blocks are sorted: those with a line ``t`` are the first ``left[t]``.
+        left = (lengths[these][:, None] > np.arange(longest)).sum(axis=0)
+        places = np.zeros((len(these), longest), dtype=np.int64)
+        for row, b in zip(places, these):
+            row[: lengths[b]] = blocks[b]
+        entered, ends = before[these], last[these]
+        best = np.where(entered[:, None] < 0, model.start, model.move[entered]) + known[places[:, 0]]
+        back = np.zeros((longest, len(these), len(STATES)), dtype=np.int8)
+        for t in range(1, longest):
+            n = left[t]
+            ways = best[:n, :, None] + model.move
+            back[t, :n] = ways.argmax(axis=1)
+            best[:n] = ways.max(axis=1) + known[places[:n, t]]
+        state = np.where(ends < 0, best.argmax(axis=1), ends)
+        path = np.zeros((len(these), longest), dtype=np.int32)
+        for t in range(longest - 1, -1, -1):
+            n = left[t]
+            path[:n, t] = state[:n]
+            state[:n] = back[t, np.arange(n), state[:n]]
+        for row, b in zip(path, these):
+            found[b] = row[: lengths[b]]
+    return found
+
+
 def chain(tables: list[np.ndarray]) -> list[tuple[int, int]]:
     """(state before, state at the end) of each block of a conversation, along the best path; -1 before the first."""
     best, back = tables[0][0], []
@@ -203,18 +252,17 @@ def fit(lines: DataFrame, key: str, role: str = "role", begins: str = "begins",
 def decode(lines: DataFrame, model: Model, key: str, text: str = "text") -> DataFrame:
     """``key, turn, line, text, role, begins`` for every line, ``role`` and ``begins`` recovered."""
     rows = prepared(lines, key, text)
-    group = list(_PLACE)
     conv_type = lines.schema[key].dataType.simpleString()
     shared = lines.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
 
-    def tables(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["turn", "line", "text"], na_position="first")
-        first = pdf.iloc[0]
-        scores = shared.value.scores(np.array(pdf["seen"].tolist()))
-        table = block_table(shared.value, scores, bool(first["opens"]))
-        out = pdf.iloc[[0]][["_conv", "_solo", "_block"]].copy()
-        out["table"] = [table.ravel().tolist()]
-        return out
+    @F.pandas_udf("array<double>")
+    def table(places: pd.Series, opens: pd.Series) -> pd.Series:
+        known = shared.value.scores(SEEN)
+        return pd.Series([block_table(shared.value, known[p], o).ravel() for p, o in zip(places, opens)])
+
+    @F.pandas_udf("array<int>")
+    def path(places: pd.Series, before: pd.Series, last: pd.Series) -> pd.Series:
+        return pd.Series(paths(shared.value, list(places), before.to_numpy(), last.to_numpy()))
 
     def chained(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_block")
@@ -222,24 +270,22 @@ def decode(lines: DataFrame, model: Model, key: str, text: str = "text") -> Data
         ends = chain([np.array(t).reshape(size, size) for t in pdf["table"]])
         return pdf[["_conv", "_solo", "_block"]].assign(before=[a for a, _ in ends], last=[b for _, b in ends])
 
-    def states(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["turn", "line", "text"], na_position="first")
-        first = pdf.iloc[0]
-        scores = shared.value.scores(np.array(pdf["seen"].tolist()))
-        path = viterbi(shared.value, scores, int(first["before"]), int(first["last"]))
-        out = pdf[["_conv", "turn", "line", "text"]].rename(columns={"_conv": key})
-        out["role"] = [STATES[s][0] for s in path]
-        out["begins"] = [STATES[s][1] for s in path]
-        return out
-
-    where = f"_conv {conv_type}, _solo long, _block long"
-    long_ones = rows.filter("not alone")
-    reduced = long_ones.groupBy(*group).applyInPandas(tables, f"{where}, table array<double>")
+    # One row a block; only the places of its lines go to Python, its texts stay where they are.
+    line = F.struct(*ORDER, numbered(F.col("seen")).alias("place"))
+    blocks = rows.groupBy(*_PLACE, "opens", "alone").agg(F.array_sort(F.collect_list(line)).alias("_lines"))
+    blocks = blocks.withColumn("_places", F.col("_lines.place"))
+    reduced = blocks.filter("not alone").select(*_PLACE, table("_places", "opens").alias("table"))
     # One row a block of a conversation, 36 numbers each.
-    ends = reduced.groupBy("_conv", "_solo").applyInPandas(chained, f"{where}, before int, last int")
-    bounded = _join_blocks(rows, ends, "before", "last").na.fill(-1, ["before", "last"])
-    return bounded.groupBy(*group).applyInPandas(
-        states, f"`{key}` {conv_type}, turn long, line long, text string, role string, begins boolean"
+    ends = reduced.groupBy("_conv", "_solo").applyInPandas(
+        chained, f"_conv {conv_type}, _solo long, _block long, before int, last int"
+    )
+    bounded = _join_blocks(blocks, ends, "before", "last").na.fill(-1, ["before", "last"])
+    found = path.asNondeterministic()("_places", "before", "last")  # or a filter would decode once more
+    each = F.explode(F.arrays_zip("_lines", "_path")).alias("_each")
+    states = bounded.select("_conv", "_lines", found.alias("_path")).select("_conv", each)
+    role, begins = (F.get(F.lit(list(of)), F.col("_each._path")) for of in zip(*STATES))
+    return states.select(
+        F.col("_conv").alias(key), *[F.col(f"_each._lines.{c}") for c in ORDER], role.alias("role"), begins.alias("begins")
     )
 
 

@@ -41,6 +41,17 @@ def test_viterbi_and_blocks_find_the_best_path():
         assert joined == list(path)
 
 
+def test_many_blocks_at_once_are_decoded_as_each_alone(monkeypatch):
+    model, r = _model(), np.random.default_rng(5)
+    blocks = [r.integers(0, len(C.SEEN), n) for n in (1, 7, 2, 40, 1, 13, 7, 3)]
+    before, last = r.integers(-1, 6, len(blocks)), r.integers(-1, 6, len(blocks))
+    want = [C.viterbi(model, model.scores(C.SEEN[b]), x, y).tolist() for b, x, y in zip(blocks, before, last)]
+    for cells in (C.CELLS, 30, 1):
+        monkeypatch.setattr(C, "CELLS", cells)
+        assert [p.tolist() for p in C.paths(model, blocks, before, last)] == want
+    assert C.paths(model, [], before[:0], last[:0]) == []
+
+
 def _talk(conv, turns, seed, lost=0.2):
     r, rows = random.Random(seed), []
     for t in range(turns):

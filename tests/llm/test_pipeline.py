@@ -71,6 +71,25 @@ def test_planted_secrets_with_punctuation_are_masked_whole(spark):
         assert got[i]["text"] == f'a line\n{kept}[SECRET]"\nanother' and got[i]["n_chars"] == len(got[i]["text"])
 
 
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    text = "one two three four five six\npassword = 'hunter22'\n"
+    docs = [(1, text, 1, 2, 3, 4), (2, None, 1, 2, 3, 4), (3, "asked who wrote the play Faust again", 1, 2, 3, 4)]
+    kind = "doc_id long, text string, n_chars long, _quality int, _matches int, _secrets int"
+    df = spark.createDataFrame(docs, kind)
+    spark.createDataFrame([(1, "Who wrote the play Faust?")], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet")
+    )
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    clean = P.benchmark_free(spark, df, str(tmp_path))
+    assert clean.columns == df.columns and sorted(tuple(r)[0] for r in clean.collect()) == [1, 2]
+    masked = P.secret_free(spark, df, str(tmp_path))
+    rows = {r["doc_id"]: tuple(r) for r in masked.collect()}
+    assert masked.columns == df.columns and rows[2] == docs[1] and rows[3] == docs[2]
+    assert "hunter22" not in rows[1][1] and rows[1][3:] == (2, 3, 4)
+    kept = P.quality(spark, df, str(tmp_path))
+    assert kept.columns == df.columns and kept.count() == 0  # all too short
+
+
 def test_verbatim_short_items_are_evidence(spark, tmp_path):
     items = [(1, "Who wrote the play Faust?"), (2, "the end")]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
