@@ -83,9 +83,11 @@ def write_observed(
 
 
 def write_events(events: DataFrame, path: str, ids_per_folder: int = IDS_PER_FOLDER) -> None:
-    """Events as JSON lines in folders of consecutive order ids, so that a pull can prune."""
+    """Events as JSON lines in folders of consecutive order ids, so that a pull can prune; gzipped, as they repeat
+    every key in every line. A file is one task's to read, and the rebalancing keeps files small."""
     fields = schemas.schema("event").fieldNames()
     doc = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     bucket = F.floor(F.col("order.OrderID") / F.lit(ids_per_folder)).cast("long")
-    lines = events.select(doc.alias("value"), bucket.alias("id_bucket")).hint("rebalance", "id_bucket")
-    lines.write.mode("overwrite").partitionBy("id_bucket").text(path)
+    dealt = events.select(*fields, bucket.alias("id_bucket")).hint("rebalance", "id_bucket")
+    lines = dealt.select(doc.alias("value"), "id_bucket")
+    lines.write.mode("overwrite").partitionBy("id_bucket").option("compression", "gzip").text(path)

@@ -1,13 +1,16 @@
 import json
 from datetime import date
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import EVENTS, event, write_documents, rows
 from shopmill.functions import events as E
 from shopmill.operators import quality as Q
 from shopmill.sources import files, sinks
+from shopmill.sources.tpch import Shop
 
 D = Decimal
 
@@ -143,3 +146,26 @@ def test_lines_parse_each_document_once(spark):
     raw = spark.createDataFrame([("{}",)], "value string")
     plan = E.event_lines(files.parse_events(raw))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_written_events_are_compressed(spark, events, tmp_path):
+    path = tmp_path / "out"
+    sinks.write_events(events, str(path))
+    written = [f.name for f in path.glob("id_bucket=*/part-*")]
+    assert written and all(name.endswith(".txt.gz") for name in written)
+    assert spark.read.text(str(path)).count() == events.count()
+
+
+def test_lines_of_orders_move_once(spark):
+    """Numbering the lines of an order deals them out by order; grouping them by it moves nothing more."""
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double"
+    some = [(1, 7, 3, 1, 2.0, 10.5, 0.05), (1, 7, 3, 1, 2.0, 9.5, None), (1, 2, 3, 1, 1.0, 1.0, 0.0), (None, 2, 3, 1, 1.0, 1.0, 0.0)]
+    lines = Shop.event_lines(SimpleNamespace(source={"lineitem": spark.createDataFrame(some, columns)}))
+    got = lines.orderBy("orderid", "orderdetailid").collect()
+    assert [tuple(r)[:4] for r in got] == [
+        (None, None, 2, 1), (10**11 + 1, 1, 2, 1), (2 * 10**11 + 1, 1, 7, 2), (3 * 10**11 + 1, 1, 7, 2)
+    ]
+    assert [None if r["discount"] is None else int(r["discount"]) for r in got] == [0, 0, None, 5]
+    grouped = lines.groupBy("orderid").agg(F.collect_list("orderdetailid"))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
