@@ -93,6 +93,17 @@ def test_event_rejects_are_kept_with_their_file(spark, tmp_path):
     assert rows(good) == rows(files.read_events(spark, write_documents(tmp_path / "good", EVENTS)))
 
 
+def test_texts_written_compressed_are_read_line_by_line(spark, tmp_path):
+    path = tmp_path / "out"
+    texts = [*map(json.dumps, EVENTS), "{broken", "", "[1, 2]"]
+    sinks.write_texts(spark.createDataFrame([(t,) for t in texts], "value string"), str(path))
+    written = [f.name for f in path.glob("part-*")]
+    assert written and all(name.endswith(".txt.gz") for name in written)
+    assert sorted(r["value"] for r in spark.read.text(str(path)).collect()) == sorted(texts)
+    good, bad = files.split_rejects(files.read_events_checked(spark, str(path), whole_files=False))
+    assert good.count() == len(EVENTS) and sorted(r["record"] for r in bad.collect()) == ["", "[1, 2]", "{broken"]
+
+
 def test_a_document_is_read_whole(spark, tmp_path):
     folder = write_documents(tmp_path / "in", EVENTS)
     assert files.read_documents(spark, folder).count() == len(EVENTS)
