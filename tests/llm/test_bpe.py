@@ -48,3 +48,34 @@ def test_most_frequent_words_without_a_sort_in_one_task(spark):
         left = {w for w, _ in counts} - {r["word"] for r in kept}
         assert all(n <= least * 2 ** (1 / 8) + 1 for w, n in counts if w in left or not kept) or most == 0
     assert "TakeOrdered" not in bpe.frequent(df, 100)._jdf.queryExecution().executedPlan().toString()
+
+
+CUTS = [
+    "it's IT'S we'll'll 're'd ''s !'s 's! x'sample 'tis l'l 'l 'v 've1 'reé 'r", "1²½12 a1b é1É ß×÷¡¿ µªº ŉſŸ", "",
+    "a<|b", "<", "|x", " \t\n", "ƁaɁ xȺy ƀɏ", "İx", "한 a", "a\x85b\xa0c", "\x7f\x00", "e\u0301 's", "'", "s", "'", "\x1cq", "plain Words, again",
+]
+
+
+def test_array_cut_equals_cutting_one_by_one():
+    import random
+
+    import pyarrow as pa
+
+    draw = random.Random(5)
+    signs = "".join(CUTS)
+    texts = CUTS + ["".join(draw.choices(signs, k=draw.randrange(30))) for _ in range(2000)]
+    words, sizes = bpe.cut(pa.array(["skipped", *texts], pa.string()).slice(1))
+    assert words.to_pylist() == [w for t in texts for w in bpe.words_of(t)]
+    assert sizes.tolist() == [len(bpe.words_of(t)) for t in texts]
+    none = bpe.cut(pa.array([], pa.string()))
+    assert len(none[0]) == 0 and len(none[1]) == 0
+
+
+def test_letters_whose_lower_case_lies_beyond_latin(spark):
+    """Their words were cut behind such a letter."""
+    tokenizer = bpe._tokenizer(PATH)
+    texts = ["Ɓa ƁƁ", "aƁ1", "xȺy Ɏ'll", "ƀƁ ɏz"]
+    rows = bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect()
+    assert {r[0]: list(r[2]) for r in rows} == {
+        i: tokenizer.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)
+    }
