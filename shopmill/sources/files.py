@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,24 +110,41 @@ def read_events_since(
 ) -> DataFrame:
     """Landed events (JSON lines in ``id_bucket`` folders) of the ``limit`` lowest ids >= ``from_id``.
 
-    Folders of lower ids are pruned before any document is parsed.
+    Folders of lower ids are pruned before any document is parsed, and so are those behind the last one needed: folders
+    hold disjoint ranges of ids in the order of their numbers, so they are gone through, more at each step, until the ids are found.
     """
+    _check_pull(from_id, limit)
     texts = spark.read.schema("value string, id_bucket long").text(path)
+    named = [re.search(r"/id_bucket=(-?\d+)/", f) for f in texts.inputFiles()]
     texts = texts.filter(F.col("id_bucket") >= from_id // ids_per_folder)
+    ahead = sorted({int(m[1]) for m in named if m and int(m[1]) >= from_id // ids_per_folder})
+    found = at = 0
+    while found < limit and at < len(ahead):
+        step = ahead[at : 2 * at + 1]
+        looked = parse_events(texts.filter(F.col("id_bucket").between(step[0], step[-1])))
+        ids = looked.select(F.col("order.OrderID").alias("orderid")).filter(F.col("orderid") >= from_id)
+        found += ids.distinct().limit(limit).count()
+        at += len(step)
+    if at < len(ahead):
+        texts = texts.filter(F.col("id_bucket") <= ahead[at - 1])
     events = parse_events(texts).withColumn("orderid", F.col("order.OrderID"))
     return read_since(events, from_id, limit).drop("orderid")
 
 
+def _check_pull(from_id: int, limit: int) -> None:
+    if from_id < 1:
+        raise ValueError("from_id must be greater than 0")
+    if not 1 <= limit <= MAX_PULL:
+        raise ValueError(f"limit must be between 1 and {MAX_PULL}")
+
+
 def read_since(df: DataFrame, from_id: int, limit: int, id_col: str = "orderid") -> DataFrame:
     """All events of the ``limit`` lowest ids >= ``from_id``, lowest ids first.
 
     An id is taken with every event it has, so a pull may hold more than ``limit`` rows and the next one, from the last id
     plus one, misses none. Rows of one id come in no certain order.
     """
-    if from_id < 1:
-        raise ValueError("from_id must be greater than 0")
-    if not 1 <= limit <= MAX_PULL:
-        raise ValueError(f"limit must be between 1 and {MAX_PULL}")
+    _check_pull(from_id, limit)
     wanted = df.filter(F.col(id_col) >= from_id)
     ids = wanted.select(id_col).distinct().orderBy(id_col).limit(limit)  # at most MAX_PULL numbers
     return wanted.join(F.broadcast(ids), id_col, "left_semi").orderBy(id_col)

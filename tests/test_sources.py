@@ -3,8 +3,9 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from fixtures import EVENTS, rows, write_documents
+from fixtures import EVENTS, event, rows, write_documents
 from shopmill import schemas
 from shopmill.operators.setops import unify
 from shopmill.sources import files, sinks
@@ -63,6 +64,32 @@ def test_partitioned_write_keeps_null_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan.toString()
 
 
+def test_a_shelf_is_one_of_few_and_never_below_its_ranges(spark):
+    numbers = [-1000, -1, 0, 1, 127, 128, 129, 255, 256, 259, 260, 140_624, 10**12, 2**62, None]
+    got = dict(spark.createDataFrame([(n,) for n in numbers], "n long").select("n", sinks.shelf(F.col("n"))).collect())
+    assert {n: got[n] for n in numbers[2:11]} == {0: 0, 1: 1, 127: 127, 128: 129, 129: 129, 255: 255, 256: 259, 259: 259, 260: 263}
+    assert got[None] is None and all(got[n] >= n for n in numbers if n is not None)
+    many = spark.range(140_625).select(sinks.shelf(F.col("id")).alias("s"), "id").groupBy("s").agg(F.min("id"), F.max("id")).orderBy("s")
+    found = [tuple(r) for r in many.collect()]
+    assert len(found) < 900 and all(a[2] + 1 == b[1] for a, b in zip(found, found[1:]))
+
+
+def test_a_pull_of_landed_events_stops_at_the_last_folder_it_needs(spark, tmp_path):
+    """Ids 3, 6, ... 3000 in ranges of one id: they share folders, and a pull reads the few that hold its ids."""
+    path = tmp_path / "out"
+    events = files.parse_events(spark.createDataFrame([(json.dumps(event(i, [])),) for i in range(3, 3001, 3)], "value string"))
+    sinks.write_events(events.unionAll(events.filter("order.OrderID = 1500")), str(path), ids_per_folder=1)
+    assert len(list(path.glob("id_bucket=*"))) < 400
+    for start, limit in ((1, 4), (1498, 3), (2999, 5), (1, 1000), (3001, 2)):
+        pulled = files.read_events_since(spark, str(path), start, limit, ids_per_folder=1)
+        wanted = [i for i in range(3, 3001, 3) if i >= start][:limit]
+        assert sorted(r[0] for r in pulled.select("order.OrderID").collect()) == sorted(wanted + [1500] * (1500 in wanted))
+    plan = files.read_events_since(spark, str(path), 1498, 3, ids_per_folder=1)._jdf.queryExecution().executedPlan().toString()
+    assert "(id_bucket" in plan and "<= 1535)" in plan
+    with pytest.raises(ValueError):
+        files.read_events_since(spark, str(path), 0, 3)
+
+
 def test_views(spark, tmp_path):
     df = spark.createDataFrame([(1, Decimal("2.00"))], "k int, v decimal(12,2)")
     sinks.write_table(df, str(tmp_path / "v"))
