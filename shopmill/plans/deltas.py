@@ -1,6 +1,6 @@
 """Customer and product marts that follow deliveries of orders without a rebuild.
 
-The store keeps what every order adds: one row per order and product (``parts``, foldered by order id), and two sums of them,
+The store keeps what every order adds: one row per order and product (``parts``, foldered by ranges of order ids, ``sinks.shelf``), and two sums of them,
 per customer and day and per product (foldered by a hash of the key). A delivery brings whole orders: what the
 stored version of each added is retracted, what the new one adds is added, and only the folders of touched orders,
 customers and products are rewritten. First and last order dates follow from the days, so they can move back as well. Cost follows
@@ -21,7 +21,7 @@ from shopmill.functions.measures import customer_segment
 from shopmill.operators.aggregates import TOTAL
 from shopmill.operators.scale import kept, skew_join
 from shopmill.sources.landing import read_or_empty
-from shopmill.sources.sinks import IDS_PER_FOLDER
+from shopmill.sources.sinks import IDS_PER_FOLDER, shelf
 
 BUCKETS = 256  # folders of the sums of a new store; a store keeps its number
 MEASURES = ("quantity", "gross_amount", "discount_amount", "total_amount", "unit_price")
@@ -29,6 +29,7 @@ Keep = Callable[[DataFrame], DataFrame]
 
 _SUMS = ", ".join(f"{m} {TOTAL}, {m}_n long" for m in MEASURES)
 PARTS = f"order_id long, product_id long, customer_id long, order_date date, lines long, {_SUMS}, id_bucket long"
+APPLIED = "delivery long, buckets long, shelves boolean"
 DAYS = f"customer_id long, order_date date, orders long, {_SUMS}, delivery long, bucket long"
 PRODUCTS = f"product_id long, orders long, {_SUMS}, delivery long, bucket long"
 
@@ -56,7 +57,8 @@ def _sums() -> list:
 
 
 def _overwrite(rows: DataFrame, path: str, folder: str) -> None:
-    """Replace the folders that ``rows`` has; others keep their files."""
+    """Replace the folders that ``rows`` has; others keep their files. ``rows`` may read them: Spark writes beside the folders and
+    puts them in place of the old ones when all rows are written."""
     writer = rows.hint("rebalance", folder).write.mode("overwrite").partitionBy(folder)
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
@@ -81,7 +83,7 @@ def _merge(spark: SparkSession, path: str, schema: str, keys: Sequence[str], del
     kinds = {c: delta.schema[c].dataType for c in sums}
     rows = both.groupBy(*keys, "bucket").agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in sums])
     # Rows that have come to nothing stay: they carry the folder's delivery.
-    _overwrite(keep(rows.withColumn("delivery", F.lit(number).cast("long"))), path, "bucket")
+    _overwrite(rows.withColumn("delivery", F.lit(number).cast("long")), path, "bucket")
     return len(todo)
 
 
@@ -99,12 +101,16 @@ def apply(
     Returns the number of folders of sums rewritten; 0 for a delivery taken before. Lines of orders without a header in the
     delivery, and headers without an id, are left out.
     """
-    log = read_or_empty(spark, f"{root}/applied", "delivery long, buckets long")
-    last = log.agg(F.max("delivery").alias("delivery"), F.max("buckets").alias("buckets")).first()
+    log = read_or_empty(spark, f"{root}/applied", APPLIED)
+    last = log.agg(
+        F.max("delivery").alias("delivery"), F.max("buckets").alias("buckets"), F.count_if(F.col("shelves").isNull()).alias("unshelved")
+    ).first()
+    if last["unshelved"]:
+        raise ValueError(f"the store at {root} has a folder for each range of order ids; build it anew")
     if last["delivery"] is not None and number <= last["delivery"]:
         return 0
     buckets = last["buckets"] or buckets
-    bucket = F.floor(F.col("order_id") / F.lit(ids_per_folder)).cast("long")
+    bucket = shelf(F.floor(F.col("order_id") / F.lit(ids_per_folder)).cast("long"))
     with kept(spark) as keep:
         fresh = keep(order_parts(fact_lines, fact_orders).withColumn("id_bucket", bucket))
         ids = fresh.select("order_id").distinct()
@@ -120,8 +126,8 @@ def apply(
         done += _merge(spark, f"{root}/products", PRODUCTS, ["product_id"], products, number, buckets, keep)
         if not fresh.isEmpty():
             rest = skew_join(stored, ids, "order_id", "left_anti", "right")
-            _overwrite(keep(rest.unionByName(fresh)), f"{root}/parts", "id_bucket")
-    row = spark.createDataFrame([(number, buckets)], "delivery long, buckets long")
+            _overwrite(rest.unionByName(fresh), f"{root}/parts", "id_bucket")
+    row = spark.createDataFrame([(number, buckets, True)], APPLIED)
     row.coalesce(1).write.mode("append").parquet(f"{root}/applied")
     return done
 

@@ -90,6 +90,24 @@ def test_untouched_folders_keep_their_files(spark, tmp_path):
     assert len([f for f in before - after if "/days/" in f]) <= 2  # the old and the new customer's folder
 
 
+def test_many_narrow_ranges_share_folders(spark, tmp_path):
+    """1,000 ranges of one order: orders that share a folder are replaced one by one, and its others stay."""
+    r, root = random.Random(5), str(tmp_path / "marts")
+    current = _delivery(r, range(0, 3000, 3))
+    deltas.apply(spark, root, 1, *_frames(spark, current), ids_per_folder=1, buckets=4)
+    assert len(list(Path(root, "parts").glob("id_bucket=*"))) < 400
+    sent = _delivery(r, [6, 1500, 1503, 2002, 2997, 5000])
+    deltas.apply(spark, root, 2, *_frames(spark, sent), ids_per_folder=1)
+    _same(spark, root, current | sent)
+
+
+def test_a_store_with_a_folder_for_each_range_is_refused(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    spark.createDataFrame([(1, 8)], "delivery long, buckets long").write.parquet(f"{root}/applied")
+    with pytest.raises(ValueError, match="anew"):
+        deltas.apply(spark, root, 2, *_frames(spark, {}))
+
+
 def test_an_empty_store_and_an_empty_delivery(spark, tmp_path):
     root = str(tmp_path / "marts")
     assert deltas.customer_mart(spark, root).count() == deltas.product_mart(spark, root).count() == 0
