@@ -1,6 +1,8 @@
 import json
+import random
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from fixtures import EVENTS, event, write_documents, rows
@@ -242,3 +244,45 @@ def test_keyed_stream_reads_no_store(spark, paths, tmp_path, monkeypatch):
     I.ingest_stream_keyed(spark, str(source), paths["target"], paths["checkpoint"]).awaitTermination()
     assert paths["target"] not in asked
     assert _status(spark, paths["target"]) == {5: "SHIPPED"}
+
+
+def test_a_keyed_stream_keeps_one_state_for_neighbouring_orders(spark, paths, tmp_path):
+    """Python is called once for 300 orders and once for the broken texts, not once an order."""
+    source = tmp_path / "lines"
+    source.mkdir()
+    texts = [json.dumps(_at(i, i % 50)) for i in range(1, 301)] + ["{broken"] * 3
+    (source / "a.txt").write_text("\n".join(texts) + "\n")
+    query = I.ingest_stream_keyed(spark, str(source), paths["target"], paths["checkpoint"], whole_files=False)
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 2
+    assert I.stored_events(spark, paths["target"]).count() == 300
+    log = spark.read.parquet(paths["target"] + "_log").first()
+    assert (log["new"], log["repeated"], log["broken"], log["mark"]) == (300, 2, 1, 300)
+
+
+def _told_one_by_one(last, documents):
+    """The definition: an order's documents of a micro-batch by time, each against the last version taken."""
+    verdicts = []
+    for moment, digest in sorted(documents):
+        if last is not None and digest == last[1]:
+            verdicts.append("repeated")
+        elif last is not None and last[0] != I.NO_MOMENT and (moment, digest) < last:
+            verdicts.append("stale")
+        else:
+            verdicts.append("new" if last is None else "replaced")
+            last = moment, digest
+    return sorted(zip(sorted(documents), verdicts)), last
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_verdicts_of_a_group_are_those_of_its_orders_one_by_one(seed):
+    r = random.Random(seed)
+    held, known = (np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "S64")), {}
+    for _ in range(6):
+        sent = [(r.randint(1, 9), m := r.choice([I.NO_MOMENT, 1, 2, 3, 4]), f"{m * 7 & 15:x}{r.randint(0, 2)}" * 32) for _ in range(r.randint(1, 40))]
+        ids, moments = (np.array([d[i] for d in sent], "i8") for i in (0, 1))
+        verdicts, held = I._orders_told(ids, moments, np.array([d[2] for d in sent], "S64"), held)
+        for order in set(ids.tolist()):
+            wanted, known[order] = _told_one_by_one(known.get(order), [d[1:] for d in sent if d[0] == order])
+            assert sorted((d[1:], v) for d, v in zip(sent, verdicts) if d[0] == order) == wanted
+        assert [(i, (m, d.decode())) for i, m, d in zip(*(h.tolist() for h in held))] == sorted(known.items())
