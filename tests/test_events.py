@@ -123,6 +123,21 @@ def test_text_that_looks_like_a_list_is_none(spark):
     ]
 
 
+def test_judging_looks_at_kinds_only_and_parses_a_text_once(spark):
+    """The schema of a whole text is not derived to learn that it is an object; what lies in its parts does not matter."""
+    odd = ["{}", "[]", "null", "7", '"x"', '[null, {"a": []}]', '{"OrderID": {"a": [1, "x"]}}']
+    texts = [json.dumps({"order": {"OrderID": 4}, "order_details": json.loads(o)}) for o in odd]
+    texts += [json.dumps({"order": json.loads(o), "order_details": [[1], {"Quantity": {}}, None]}) for o in odd]
+    judged = Q.judge_events(spark.createDataFrame([(t,) for t in texts], "value string"))
+    no_list, no_order = ["order_details_not_a_list"], ["order_not_an_object"]
+    assert [r["errors"] for r in judged.collect()] == [
+        no_list, [], no_list, no_list, no_list, [], no_list,
+        ["order_id_missing"], no_order, no_order, no_order, no_order, no_order, ["order_id_not_an_integer"],
+    ]
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "schema" not in plan.lower()
+
+
 def test_pull_of_landed_events_reads_only_later_folders(spark, events, tmp_path):
     path = str(tmp_path / "out")
     sinks.write_events(events, path, ids_per_folder=2)
